@@ -2,7 +2,10 @@
 
 Each query reads the given tables (or data Spark derives from them) in
 full. Floating outputs are rounded to 6 digits so that the SQL twin in
-``oracle.py`` can be compared value by value.
+``oracle.py`` can be compared value by value. Model-dependent queries use
+the given centres (``fixtures.given_centers``) so their results do not
+depend on how a fit happened to be partitioned; the fitted-model queries
+(k-means, sweeps, self-fitted detectors) are row-checked only.
 """
 
 from __future__ import annotations
@@ -13,17 +16,168 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clusterlens.functions.nearest import assign
+from clusterlens.functions.vectors import distance
+from clusterlens.operators import anomaly as an
+from clusterlens.operators import encode as enc
 from clusterlens.operators import evaluate as ev
+from clusterlens.operators import kmeans as km
+from clusterlens.operators import parse as ps
+from clusterlens.operators import sample as sm
+from clusterlens.operators import stats as st
 from clusterlens.plans import fixtures as fx
+from clusterlens.schema import layout_schema
+from clusterlens.session import scratch_path
+from clusterlens.sources import records as rec
 
 Query = Callable[[SparkSession, str], DataFrame]
 DIGITS = 6
+LAYOUT = fx.RECORD_LAYOUT
+SWEEP_KS = (2, 5, 10)
+SWEEP_RUNS = 3
 
 
 def r6(c) -> F.Column:
     return F.round(F.col(c) if isinstance(c, str) else c, DIGITS)
 
 
+def centers_long(spark, cs) -> DataFrame:
+    """``cluster, pos, value`` rows of a centre set."""
+    return (cs.to_df(spark)
+              .select("cluster", F.posexplode("center").alias("pos", "value"))
+              .withColumn("value", r6("value")))
+
+
+# ---------------------------------------------------------------- records
+
+def _records(spark, sf_dir):
+    return fx.record_lines(spark, sf_dir)
+
+
+def _numeric_records(spark, sf_dir):
+    return ps.valid(ps.parse_numeric(_records(spark, sf_dir), LAYOUT, keep=("rid",)))
+
+
+def _mixed_records(spark, sf_dir, keep=("rid",)):
+    lines = _records(spark, sf_dir)
+    return ps.valid(enc.parse_mixed(lines, LAYOUT, enc.fit_categories(lines, LAYOUT),
+                                    keep=keep))
+
+
+def _written_records(spark, sf_dir) -> str:
+    """Write the record lines as a text file in the shared folder (S1 input)."""
+    path = scratch_path(spark, "records")
+    rec.write_lines(_records(spark, sf_dir).select("line"), path)
+    return path
+
+
+def q_scan_records(spark, sf_dir):
+    path = _written_records(spark, sf_dir)
+    return rec.scan_csv(spark, path, layout_schema(LAYOUT))
+
+
+def q_record_count(spark, sf_dir):
+    path = _written_records(spark, sf_dir)
+    return rec.record_count(rec.scan_text(spark, path))
+
+
+def q_parse_numeric(spark, sf_dir):
+    p = ps.parse_numeric(_records(spark, sf_dir), LAYOUT, keep=("rid",))
+    names = [LAYOUT.name(i) for i in LAYOUT.numeric]
+    return p.select("rid", "label",
+                    *[F.col("features")[j].alias(n) for j, n in enumerate(names)], "ok")
+
+
+def q_category_index(spark, sf_dir):
+    return enc.fit_categories(_records(spark, sf_dir), LAYOUT)
+
+
+def q_one_hot(spark, sf_dir):
+    lines = _records(spark, sf_dir)
+    index = enc.CategoryIndex.from_df(enc.fit_categories(lines, LAYOUT))
+    prio = 3
+    idx = F.try_element_at(enc._map_literal(index.maps[prio]),
+                           F.get(ps.split_fields("line"), prio))
+    block = enc.one_hot(idx, index.size(prio))
+    return lines.select("rid", F.posexplode(block).alias("pos", "value"))
+
+
+def q_parse_mixed(spark, sf_dir):
+    return _mixed_records(spark, sf_dir).select(
+        "rid", "label", F.posexplode("features").alias("pos", "value"))
+
+
+def q_label_counts(spark, sf_dir):
+    lines = _records(spark, sf_dir).select(ps.extract_label("line").alias("label"))
+    return st.label_counts(lines)
+
+
+def q_label_clean(spark, sf_dir):
+    lines = _records(spark, sf_dir).select(ps.extract_label("line").alias("label"))
+    return st.label_counts(lines).select(
+        "label", ps.clean_label("label").alias("clean_label"),
+        ps.display_label("label").alias("display_label"), "count")
+
+
+def q_feature_moments(spark, sf_dir):
+    m = st.feature_moments(_numeric_records(spark, sf_dir), dim=len(LAYOUT.numeric))
+    return m.select("pos", "n", r6("mean").alias("mean"), r6("std").alias("std"))
+
+
+def q_hash_split(spark, sf_dir):
+    return _records(spark, sf_dir).select(
+        "rid", sm.split_index("rid", (0.01, 0.99), seed=11).alias("part"))
+
+
+def q_bootstrap_sample(spark, sf_dir):
+    return sm.bootstrap_sample(_numeric_records(spark, sf_dir), 0.01, seed=11)
+
+
+def q_kmeans_default(spark, sf_dir):
+    pts = fx.embedding_points(spark, sf_dir)
+    return centers_long(spark, km.fit(pts, k=2, seed=1).centers)
+
+
+def q_kmeans_tuned(spark, sf_dir):
+    pts = fx.embedding_points(spark, sf_dir)
+    return centers_long(spark, km.fit_best(pts, k=10, runs=10, tol=1e-6, seed=1).centers)
+
+
+def q_k_sweep_basic(spark, sf_dir):
+    return km.k_sweep(_numeric_records(spark, sf_dir), SWEEP_KS, tuned=False)
+
+
+def q_k_sweep_raw(spark, sf_dir):
+    return km.k_sweep(_numeric_records(spark, sf_dir), SWEEP_KS, runs=SWEEP_RUNS)
+
+
+def q_k_sweep_zscore(spark, sf_dir):
+    return km.k_sweep(st.zscore(_numeric_records(spark, sf_dir)), SWEEP_KS, runs=SWEEP_RUNS)
+
+
+def q_k_sweep_mixed(spark, sf_dir):
+    return km.k_sweep(st.zscore(_mixed_records(spark, sf_dir)), SWEEP_KS, runs=SWEEP_RUNS)
+
+
+def q_k_sweep_entropy(spark, sf_dir):
+    return km.k_sweep(st.zscore(_mixed_records(spark, sf_dir)), SWEEP_KS, how="entropy",
+                      runs=SWEEP_RUNS)
+
+
+def q_anomaly_selffit(spark, sf_dir):
+    pts = _numeric_records(spark, sf_dir)
+    det = an.build_detector_selffit(pts, k=20, runs=3, n=100, seed=1)
+    return det.anomalies(pts).select("rid", "label", "cluster", r6("dist").alias("dist"))
+
+
+def q_anomaly_mixed(spark, sf_dir):
+    """Original line, its label and distance for every anomalous record."""
+    pts = _mixed_records(spark, sf_dir, keep=("rid", "line"))
+    det = an.build_detector_selffit(pts, k=20, runs=3, n=100, seed=1)
+    return det.anomalies(pts).select("line", "label", r6("dist").alias("dist"))
+
+
+# ------------------------------------------------------------- embeddings
+
 def assigned_embeddings(spark: SparkSession, sf_dir: str, method: str = "arrow") -> DataFrame:
     """Embeddings assigned to the given centres (id, label, cluster, dist)."""
     pts = fx.embedding_points(spark, sf_dir)
@@ -34,6 +188,129 @@ def q_label_makeup(spark, sf_dir):
     return ev.label_makeup(assigned_embeddings(spark, sf_dir))
 
 
+def q_makeup_text(spark, sf_dir):
+    return ev.makeup_text(ev.label_makeup(assigned_embeddings(spark, sf_dir)))
+
+
+def q_assign_clusters(spark, sf_dir):
+    a = assigned_embeddings(spark, sf_dir)
+    return a.select("id", "label", "cluster", r6("dist").alias("dist"))
+
+
+def q_vector_distance(spark, sf_dir):
+    e = fx.embedding_points(spark, sf_dir)
+    nxt = e.select((F.col("id") - 1).alias("id"), F.col("id").alias("next_id"),
+                   F.col("features").alias("g"))
+    return (e.join(nxt, "id").select("id", "next_id",
+                                     r6(distance("features", "g")).alias("dist")))
+
+
+def q_distance_score(spark, sf_dir):
+    s = ev.distance_score(assigned_embeddings(spark, sf_dir))
+    return s.select("n", r6("distance_score").alias("distance_score"))
+
+
+def q_cluster_entropy(spark, sf_dir):
+    e = ev.cluster_entropy(ev.label_makeup(assigned_embeddings(spark, sf_dir)))
+    return e.select("cluster", "n", r6("entropy").alias("entropy"))
+
+
+def q_entropy_score(spark, sf_dir):
+    e = ev.entropy_score(ev.label_makeup(assigned_embeddings(spark, sf_dir)))
+    return e.select("n", r6("entropy_score").alias("entropy_score"))
+
+
+def q_distance_threshold(spark, sf_dir):
+    t = an.distance_threshold(assigned_embeddings(spark, sf_dir), n=100)
+    return t.select(r6("threshold").alias("threshold"))
+
+
+def q_anomaly_count(spark, sf_dir):
+    a = assigned_embeddings(spark, sf_dir)
+    return ev.anomaly_count(an.flag(a, an.threshold_value(a, 100)))
+
+
+def q_anomaly_records(spark, sf_dir):
+    """N1 + F1: z-scored embeddings, given centres (z-scored the same way),
+    threshold = 100th largest distance, records strictly beyond it."""
+    pts = fx.embedding_points(spark, sf_dir)
+    nz = st.Normalizer.fit(pts)
+    det = an.AnomalyDetector.build(pts, fx.given_centers(spark, sf_dir), nz, n=100,
+                                   centers_normalized=False)
+    return det.anomalies(pts).select("id", "label", "cluster", r6("dist").alias("dist"))
+
+
+def q_cluster_report(spark, sf_dir):
+    from clusterlens.operators.report import cluster_report
+    rep = cluster_report(assigned_embeddings(spark, sf_dir), n=100)
+    return rep.select("cluster", "label", "count", r6("entropy").alias("entropy"),
+                      r6("mean_dist").alias("mean_dist"), "anomalies")
+
+
+def q_lloyd_steps(spark, sf_dir):
+    pts = fx.embedding_points(spark, sf_dir).persist()
+    try:
+        cs = km.lloyd(pts, fx.given_centers(spark, sf_dir), steps=2)
+    finally:
+        pts.unpersist()
+    return centers_long(spark, cs)
+
+
+def q_parse_tab_labelled(spark, sf_dir):
+    p = ps.parse_tab_labelled(fx.embedding_lines(spark, sf_dir), keep=("id",))
+    return p.select("id", "label", F.posexplode("features").alias("pos", "value"))
+
+
+def q_parse_unlabelled(spark, sf_dir):
+    p = ps.parse_unlabelled(fx.embedding_lines(spark, sf_dir), line_col="plain", keep=("id",))
+    return p.select("id", F.posexplode("features").alias("pos", "value"))
+
+
+# ----------------------------------------------------------------- events
+
+def q_zscore_events(spark, sf_dir):
+    z = st.zscore(fx.event_points(spark, sf_dir))
+    return z.select(F.col("id").alias("event_id"), r6(F.col("features")[0]).alias("z_value"),
+                    r6(F.col("features")[1]).alias("z_k"))
+
+
 QUERIES: dict[str, Query] = {
+    # sources, parsing, encoding, sampling (records from lineitem x orders)
+    "scan_records": q_scan_records,
+    "record_count": q_record_count,
+    "parse_numeric": q_parse_numeric,
+    "category_index": q_category_index,
+    "one_hot": q_one_hot,
+    "parse_mixed": q_parse_mixed,
+    "label_counts": q_label_counts,
+    "label_clean": q_label_clean,
+    "feature_moments": q_feature_moments,
+    "hash_split": q_hash_split,
+    "bootstrap_sample": q_bootstrap_sample,
+    "parse_tab_labelled": q_parse_tab_labelled,
+    "parse_unlabelled": q_parse_unlabelled,
+    "zscore_events": q_zscore_events,
+    # nearest centre and scores (embeddings, given centres)
     "label_makeup": q_label_makeup,
+    "makeup_text": q_makeup_text,
+    "assign_clusters": q_assign_clusters,
+    "vector_distance": q_vector_distance,
+    "distance_score": q_distance_score,
+    "cluster_entropy": q_cluster_entropy,
+    "entropy_score": q_entropy_score,
+    "distance_threshold": q_distance_threshold,
+    "anomaly_count": q_anomaly_count,
+    "anomaly_records": q_anomaly_records,
+    "cluster_report": q_cluster_report,
+    "lloyd_steps": q_lloyd_steps,
+    # fitted models (row checks)
+    "kmeans_default": q_kmeans_default,
+    "kmeans_tuned": q_kmeans_tuned,
+    "k_sweep_basic": q_k_sweep_basic,
+    "k_sweep_raw": q_k_sweep_raw,
+    "k_sweep_zscore": q_k_sweep_zscore,
+    "k_sweep_mixed": q_k_sweep_mixed,
+    "k_sweep_entropy": q_k_sweep_entropy,
+    "anomaly_selffit": q_anomaly_selffit,
+    "anomaly_mixed": q_anomaly_mixed,
 }

@@ -2,26 +2,173 @@
 tables (views ``embeddings``, ``events``, ``lineitem``, ``orders``, ...).
 
 They are independent formulations (cross join + row_number for the nearest
-centre, window sums for entropy, ...), not translations of the Spark code.
+centre, window sums for entropy, typed columns instead of parsed text, ...)
+rather than translations of the Spark code. Floats are rounded to 6 digits
+(``+ 0.0`` turns a negative zero into zero).
 """
 
 from __future__ import annotations
 
-# points and the given centres, as DOUBLE lists
+
+def R(x: str) -> str:
+    return f"(round({x}, 6) + 0.0)"
+
+
+# ------------------------------------------------------------------ records
+_J = """
+j AS (SELECT concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS rid,
+             l_quantity, l_returnflag, l_linestatus, o_orderpriority,
+             l_extendedprice, l_discount, l_tax, o_orderstatus || '.' AS label
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+
+_DICT = _J + """,
+dct AS (SELECT field, value,
+               CAST(row_number() OVER (PARTITION BY field ORDER BY value) - 1 AS INTEGER) AS idx
+        FROM (SELECT DISTINCT 1 AS field, l_returnflag AS value FROM j
+              UNION SELECT DISTINCT 2, l_linestatus FROM j
+              UNION SELECT DISTINCT 3, o_orderpriority FROM j)),
+sz AS (SELECT field, count(*) AS n FROM dct GROUP BY field)"""
+
+# ---------------------------------------------------------------- embeddings
 _EMB = """
 pts AS (SELECT vec_id AS id, label, CAST(embedding AS DOUBLE[]) AS f FROM embeddings),
 ctr AS (SELECT CAST(vec_id AS INTEGER) AS cluster, CAST(embedding AS DOUBLE[]) AS c
         FROM embeddings WHERE vec_id < 10)"""
 
-# nearest given centre for every embedding
 _ASSIGNED = _EMB + """,
 pairs AS (SELECT p.id, p.label, c.cluster, list_distance(p.f, c.c) AS dist,
-                 row_number() OVER (PARTITION BY p.id ORDER BY list_distance(p.f, c.c), c.cluster) AS rn
+                 row_number() OVER (PARTITION BY p.id
+                                    ORDER BY list_distance(p.f, c.c), c.cluster) AS rn
           FROM pts p CROSS JOIN ctr c),
-asg AS (SELECT id, label, cluster, dist FROM pairs WHERE rn = 1)"""
+asg AS (SELECT id, label, cluster, dist FROM pairs WHERE rn = 1),
+thr AS (SELECT min(dist) AS t FROM (SELECT dist FROM asg ORDER BY dist DESC LIMIT 100)),
+mk AS (SELECT cluster, label, count(*) AS count FROM asg GROUP BY cluster, label),
+ent AS (SELECT cluster, CAST(sum(count) AS BIGINT) AS n, sum(-(count / tot) * ln(count / tot)) AS entropy
+        FROM (SELECT cluster, count, sum(count) OVER (PARTITION BY cluster) AS tot FROM mk)
+        GROUP BY cluster)"""
+
+# z-scored embeddings, centres z-scored the same way
+_ZEMB = """
+raw AS (SELECT vec_id AS id, label, CAST(embedding AS DOUBLE[]) AS f FROM embeddings),
+u AS (SELECT r.id, x.v, x.pos FROM raw r, unnest(r.f) WITH ORDINALITY AS x(v, pos)),
+mom AS (SELECT pos, avg(v) AS mu, stddev_pop(v) AS sd FROM u GROUP BY pos),
+z AS (SELECT u.id, list(CASE WHEN m.sd > 0 THEN (u.v - m.mu) / m.sd ELSE u.v - m.mu END
+                        ORDER BY u.pos) AS f
+      FROM u JOIN mom m USING (pos) GROUP BY u.id),
+pts AS (SELECT raw.id, raw.label, z.f FROM raw JOIN z USING (id)),
+ctr AS (SELECT CAST(id AS INTEGER) AS cluster, f AS c FROM pts WHERE id < 10),
+pairs AS (SELECT p.id, p.label, c.cluster, list_distance(p.f, c.c) AS dist,
+                 row_number() OVER (PARTITION BY p.id
+                                    ORDER BY list_distance(p.f, c.c), c.cluster) AS rn
+          FROM pts p CROSS JOIN ctr c),
+asg AS (SELECT id, label, cluster, dist FROM pairs WHERE rn = 1),
+thr AS (SELECT min(dist) AS t FROM (SELECT dist FROM asg ORDER BY dist DESC LIMIT 100))"""
+
+
+def lloyd_sql(steps: int) -> str:
+    ctes = [_EMB.strip(),
+            "pl AS (SELECT p.id, x.v, CAST(x.pos - 1 AS INTEGER) AS pos "
+            "FROM pts p, unnest(p.f) WITH ORDINALITY AS x(v, pos))"]
+    prev = "ctr"
+    for s in range(steps):
+        ctes.append(f"""a{s} AS (SELECT id, cluster FROM (
+    SELECT p.id, c.cluster, row_number() OVER (PARTITION BY p.id
+           ORDER BY list_distance(p.f, c.c), c.cluster) AS rn
+    FROM pts p CROSS JOIN {prev} c) WHERE rn = 1)""")
+        ctes.append(f"""m{s} AS (SELECT a.cluster, pl.pos, avg(pl.v) AS v
+    FROM a{s} a JOIN pl USING (id) GROUP BY a.cluster, pl.pos)""")
+        ctes.append(f"""c{s + 1} AS (SELECT cluster, list(v ORDER BY pos) AS c FROM m{s} GROUP BY cluster
+    UNION ALL SELECT cluster, c FROM {prev} WHERE cluster NOT IN (SELECT cluster FROM a{s}))""")
+        prev = f"c{s + 1}"
+    return ("WITH " + ",\n".join(ctes) + f"""
+SELECT cluster, CAST(x.pos - 1 AS INTEGER) AS pos, {R('x.v')} AS value
+FROM {prev}, unnest({prev}.c) WITH ORDINALITY AS x(v, pos)""")
+
 
 ORACLE: dict[str, str] = {
-    "label_makeup": f"""
-WITH {_ASSIGNED}
-SELECT cluster, label, count(*) AS count FROM asg GROUP BY cluster, label""",
+    # ------------------------------------------------------------ records
+    "scan_records": f"""WITH {_J}
+SELECT l_quantity, l_returnflag, l_linestatus, o_orderpriority,
+       l_extendedprice, l_discount, l_tax, label FROM j""",
+    "record_count": f"WITH {_J} SELECT count(*) AS n FROM j",
+    "parse_numeric": f"""WITH {_J}
+SELECT rid, label, l_quantity, l_extendedprice, l_discount, l_tax, true AS ok FROM j""",
+    "category_index": f"WITH {_DICT} SELECT field, value, idx FROM dct",
+    "one_hot": f"""WITH {_DICT}
+SELECT j.rid, d.idx AS pos, CAST(d.value = j.o_orderpriority AS DOUBLE) AS value
+FROM j JOIN dct d ON d.field = 3""",
+    "parse_mixed": f"""WITH {_DICT},
+o AS (SELECT (SELECT n FROM sz WHERE field = 1) AS n1,
+             (SELECT n FROM sz WHERE field = 2) AS n2,
+             (SELECT n FROM sz WHERE field = 3) AS n3)
+SELECT rid, label, 0 AS pos, l_quantity AS value FROM j
+UNION ALL SELECT j.rid, j.label, CAST(1 + d.idx AS INTEGER), CAST(d.value = j.l_returnflag AS DOUBLE)
+  FROM j JOIN dct d ON d.field = 1
+UNION ALL SELECT j.rid, j.label, CAST(1 + o.n1 + d.idx AS INTEGER), CAST(d.value = j.l_linestatus AS DOUBLE)
+  FROM j JOIN dct d ON d.field = 2 CROSS JOIN o
+UNION ALL SELECT j.rid, j.label, CAST(1 + o.n1 + o.n2 + d.idx AS INTEGER),
+       CAST(d.value = j.o_orderpriority AS DOUBLE)
+  FROM j JOIN dct d ON d.field = 3 CROSS JOIN o
+UNION ALL SELECT rid, label, CAST(1 + n1 + n2 + n3 AS INTEGER), l_extendedprice FROM j, o
+UNION ALL SELECT rid, label, CAST(2 + n1 + n2 + n3 AS INTEGER), l_discount FROM j, o
+UNION ALL SELECT rid, label, CAST(3 + n1 + n2 + n3 AS INTEGER), l_tax FROM j, o""",
+    "label_counts": f"WITH {_J} SELECT label, count(*) AS count FROM j GROUP BY label",
+    "label_clean": f"""WITH {_J},
+c AS (SELECT label, regexp_replace(label, '\\.$', '') AS clean_label, count(*) AS count
+      FROM j GROUP BY label)
+SELECT label, clean_label,
+       upper(substr(clean_label, 1, 1)) || lower(substr(clean_label, 2)) AS display_label, count
+FROM c""",
+    "feature_moments": f"""WITH {_J},
+u AS (SELECT 0 AS pos, l_quantity AS x FROM j UNION ALL SELECT 1, l_extendedprice FROM j
+      UNION ALL SELECT 2, l_discount FROM j UNION ALL SELECT 3, l_tax FROM j)
+SELECT pos, count(x) AS n, {R('avg(x)')} AS mean, {R('stddev_pop(x)')} AS std
+FROM u GROUP BY pos""",
+    "hash_split": f"""WITH {_J}
+SELECT rid, CAST(CASE WHEN CAST('0x' || substr(md5('11:' || rid), 1, 8) AS BIGINT) % 10000 < 100
+                      THEN 0 ELSE 1 END AS INTEGER) AS part FROM j""",
+    "parse_tab_labelled": """
+SELECT e.vec_id AS id, CAST(e.label AS DOUBLE) AS label, CAST(x.pos - 1 AS INTEGER) AS pos,
+       CAST(x.v AS DOUBLE) AS value
+FROM embeddings e, unnest(e.embedding) WITH ORDINALITY AS x(v, pos)""",
+    "parse_unlabelled": """
+SELECT e.vec_id AS id, CAST(x.pos - 1 AS INTEGER) AS pos, CAST(x.v AS DOUBLE) AS value
+FROM embeddings e, unnest(e.embedding) WITH ORDINALITY AS x(v, pos)""",
+    "zscore_events": f"""
+WITH e AS (SELECT event_id, value AS x0,
+                  CAST(json_extract_string(props, '$.k') AS DOUBLE) AS x1 FROM events),
+m AS (SELECT avg(x0) AS m0, stddev_pop(x0) AS s0, avg(x1) AS m1, stddev_pop(x1) AS s1 FROM e)
+SELECT event_id,
+       {R('CASE WHEN s0 > 0 THEN (x0 - m0) / s0 ELSE x0 - m0 END')} AS z_value,
+       {R('CASE WHEN s1 > 0 THEN (x1 - m1) / s1 ELSE x1 - m1 END')} AS z_k
+FROM e, m""",
+    # --------------------------------------------------------- embeddings
+    "label_makeup": f"WITH {_ASSIGNED} SELECT cluster, label, count FROM mk",
+    "makeup_text": f"""WITH {_ASSIGNED}
+SELECT cluster, label, count,
+       printf('%1s%18s%8s', CAST(cluster AS VARCHAR), CAST(label AS VARCHAR),
+              CAST(count AS VARCHAR)) AS line FROM mk""",
+    "assign_clusters": f"WITH {_ASSIGNED} SELECT id, label, cluster, {R('dist')} AS dist FROM asg",
+    "vector_distance": f"""
+SELECT a.vec_id AS id, b.vec_id AS next_id,
+       {R('list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[]))')} AS dist
+FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1""",
+    "distance_score": f"""WITH {_ASSIGNED}
+SELECT count(*) AS n, {R('avg(dist)')} AS distance_score FROM asg""",
+    "cluster_entropy": f"WITH {_ASSIGNED} SELECT cluster, n, {R('entropy')} AS entropy FROM ent",
+    "entropy_score": f"""WITH {_ASSIGNED}
+SELECT CAST(sum(n) AS BIGINT) AS n, {R('sum(n * entropy) / sum(n)')} AS entropy_score FROM ent""",
+    "distance_threshold": f"WITH {_ASSIGNED} SELECT {R('t')} AS threshold FROM thr",
+    "anomaly_count": f"""WITH {_ASSIGNED}
+SELECT count(*) FILTER (WHERE dist > t) AS anomalies FROM asg, thr""",
+    "anomaly_records": f"""WITH {_ZEMB}
+SELECT id, label, cluster, {R('dist')} AS dist FROM asg, thr WHERE dist > t""",
+    "cluster_report": f"""WITH {_ASSIGNED},
+pc AS (SELECT cluster, avg(dist) AS mean_dist,
+              count(*) FILTER (WHERE dist > (SELECT t FROM thr)) AS anomalies
+       FROM asg GROUP BY cluster)
+SELECT mk.cluster, mk.label, mk.count, {R('ent.entropy')} AS entropy,
+       {R('pc.mean_dist')} AS mean_dist, pc.anomalies
+FROM mk JOIN ent USING (cluster) JOIN pc USING (cluster)""",
+    "lloyd_steps": lloyd_sql(2),
 }
