@@ -274,6 +274,158 @@ def q_zscore_events(spark, sf_dir):
                     r6(F.col("features")[1]).alias("z_k"))
 
 
+# ----------------------------------------------------- events model
+
+def event_model(spark, sf_dir):
+    """z-scored events and one centre per event type (the type's mean)."""
+    pts = fx.event_points(spark, sf_dir)
+    nz = st.Normalizer.fit(pts)
+    z = nz.apply(pts)
+    means = z.groupBy("label").agg(F.avg(F.col("features")[0]).alias("c0"),
+                                   F.avg(F.col("features")[1]).alias("c1"))
+    from pyspark.sql import Window
+    centers = means.select(
+        (F.dense_rank().over(Window.orderBy("label")) - 1).cast("int").alias("cluster"),
+        F.array("c0", "c1").alias("center"))
+    return z, centers
+
+
+def q_window_score(spark, sf_dir):
+    """R5 (batch form): hourly event-time windows, count and mean distance."""
+    from clusterlens.streaming.score import window_scores
+    z, centers = event_model(spark, sf_dir)
+    w = window_scores(assign(z, centers), time_col="ts", duration="1 hour")
+    return w.select("window_start", "n", r6("mean_dist").alias("mean_dist"))
+
+
+def q_stream_anomalies(spark, sf_dir):
+    """R3 (batch form): events beyond the frozen detector's threshold."""
+    z, centers = event_model(spark, sf_dir)
+    det = an.AnomalyDetector.build(z, centers, None, n=100)
+    return det.anomalies(z).select(F.col("id").alias("event_id"), "label", "cluster",
+                                   r6("dist").alias("dist"))
+
+
+def q_stream_predict(spark, sf_dir):
+    """R4 (batch form): tab-labelled records -> nearest given centre."""
+    from clusterlens.streaming.score import predict
+    p = ps.valid(ps.parse_tab_labelled(fx.embedding_lines(spark, sf_dir), keep=("id",)))
+    out = predict(p, fx.given_centers(spark, sf_dir))
+    return out.select("id", "label", "cluster", r6("dist").alias("dist"))
+
+
+def _run_stream_kmeans(spark, sf_dir):
+    """Streaming k-means over the embeddings arriving as 4 files."""
+    from clusterlens.streaming.kmeans_stream import StreamingKMeans
+    from clusterlens.streaming.score import file_stream
+    pts = fx.embedding_points(spark, sf_dir)
+    src = scratch_path(spark, "stream-src")
+    tagged = pts.withColumn("_part", sm.split_index("id", (1, 1, 1, 1), seed=7))
+    for i in range(4):
+        (tagged.where(F.col("_part") == i).drop("_part").coalesce(1)
+               .write.mode("overwrite").parquet(f"{src}/{i}"))
+    stream = file_stream(spark, f"{src}/*", pts.schema, max_files_per_trigger=1)
+    skm = StreamingKMeans(spark, scratch_path(spark, "stream-state"),
+                          fx.given_centers(spark, sf_dir), initial_weight=100.0, decay=1.0)
+    q = skm.start(stream, scratch_path(spark, "stream-ckpt"), {"availableNow": True})
+    q.awaitTermination()
+    return skm
+
+
+def q_stream_kmeans(spark, sf_dir):
+    skm = _run_stream_kmeans(spark, sf_dir)
+    return (skm.centers().select("cluster", r6("weight").alias("weight"),
+                                 F.posexplode("center").alias("pos", "value"))
+            .withColumn("value", r6("value")))
+
+
+def q_stream_distance(spark, sf_dir):
+    skm = _run_stream_kmeans(spark, sf_dir)
+    return skm.metrics().select("batch_id", "n", r6("distance_score").alias("distance_score"))
+
+
+# ------------------------------------------------------------ report rows
+
+def _makeup(spark, sf_dir):
+    return ev.label_makeup(assigned_embeddings(spark, sf_dir))
+
+
+def _chart(spark, sf_dir):
+    mk = _makeup(spark, sf_dir)
+    return mk.select(F.concat(F.lit("cluster "), F.col("cluster").cast("string"),
+                              F.lit(" label "), F.col("label").cast("string")).alias("label"),
+                     F.col("count").cast("double").alias("value"))
+
+
+def q_report_validate(spark, sf_dir):
+    """F3 on the deviation of each (cluster, label) count from an even split
+    of its cluster (zero or negative for under-represented labels)."""
+    from clusterlens.operators.report import validate
+    mk = _makeup(spark, sf_dir)
+    per = mk.groupBy("cluster").agg(F.sum("count").alias("_t"), F.count(F.lit(1)).alias("_l"))
+    rows = mk.join(per, "cluster").select(
+        F.concat(F.lit("cluster "), F.col("cluster").cast("string"), F.lit(" label "),
+                 F.col("label").cast("string")).alias("label"),
+        (F.col("count") - F.col("_t") / F.col("_l")).alias("value"))
+    return validate(rows).select("label", r6("value").alias("value"))
+
+
+def _sorted(order):
+    def q(spark, sf_dir):
+        from clusterlens.operators.report import sort_rows
+        return sort_rows(_chart(spark, sf_dir), order, seed=11)
+    q.__name__ = f"q_report_sort_{order.replace('-', '_')}"
+    return q
+
+
+def q_report_share(spark, sf_dir):
+    from clusterlens.operators.report import hide_below, with_share
+    sh = hide_below(with_share(_chart(spark, sf_dir), decimals=1), 2.0)
+    return sh.select("label", "value", "total", "share",
+                     r6("share_exact").alias("share_exact"), "hidden")
+
+
+def q_report_group_small(spark, sf_dir):
+    from clusterlens.operators.report import group_small, sort_rows
+    rows = sort_rows(_chart(spark, sf_dir), "value-asc")
+    return group_small(rows, 1.0, "percentage", label="Other clusters less than 1%")
+
+
+def q_report_cumulative(spark, sf_dir):
+    from clusterlens.operators.report import running_share, sort_rows
+    rows = running_share(sort_rows(_chart(spark, sf_dir), "value-desc"))
+    return rows.select("label", "value", "pos", r6("end_share").alias("end_share"),
+                       r6("mid_share").alias("mid_share"))
+
+
+def q_report_captions(spark, sf_dir):
+    from clusterlens.operators.report import caption, number_text, truncate_label, with_share
+    sh = with_share(_chart(spark, sf_dir), decimals=1)
+    text = caption("{label}, Count: {value}, {percentage}%",
+                   {"label": F.col("label"), "value": number_text("value"),
+                    "percentage": F.col("share").cast("string")})
+    return sh.select("label", truncate_label("label", 10).alias("short_label"),
+                     text.alias("caption"))
+
+
+def q_report_upsert(spark, sf_dir):
+    """Make-up of one half of the ids upserted (sum) with the other half."""
+    from clusterlens.operators.report import upsert
+    a = assigned_embeddings(spark, sf_dir).withColumn(
+        "_h", sm.split_index("id", (0.5, 0.5), seed=11))
+    old = ev.label_makeup(a.where(F.col("_h") == 0))
+    new = ev.label_makeup(a.where(F.col("_h") == 1))
+    return upsert(old, new, ("cluster", "label"), "count", mode="sum")
+
+
+def q_report_json(spark, sf_dir):
+    """S4 then S5: write the make-up as a JSON report, read it back."""
+    from clusterlens.sources.report_json import read_report_json, write_report_json
+    path = scratch_path(spark, "report-json")
+    write_report_json(_makeup(spark, sf_dir), path)
+    return read_report_json(spark, path)
+
+
 QUERIES: dict[str, Query] = {
     # sources, parsing, encoding, sampling (records from lineitem x orders)
     "scan_records": q_scan_records,
@@ -313,4 +465,23 @@ QUERIES: dict[str, Query] = {
     "k_sweep_entropy": q_k_sweep_entropy,
     "anomaly_selffit": q_anomaly_selffit,
     "anomaly_mixed": q_anomaly_mixed,
+    # streaming (batch forms are SQL-checked; stream runs are row-checked)
+    "window_score": q_window_score,
+    "stream_anomalies": q_stream_anomalies,
+    "stream_predict": q_stream_predict,
+    "stream_kmeans": q_stream_kmeans,
+    "stream_distance": q_stream_distance,
+    # report preparation
+    "report_validate": q_report_validate,
+    "report_sort_value_asc": _sorted("value-asc"),
+    "report_sort_value_desc": _sorted("value-desc"),
+    "report_sort_label_asc": _sorted("label-asc"),
+    "report_sort_label_desc": _sorted("label-desc"),
+    "report_sort_random": _sorted("random"),
+    "report_share": q_report_share,
+    "report_group_small": q_report_group_small,
+    "report_cumulative": q_report_cumulative,
+    "report_captions": q_report_captions,
+    "report_upsert": q_report_upsert,
+    "report_json": q_report_json,
 }

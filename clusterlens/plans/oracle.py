@@ -172,3 +172,96 @@ SELECT mk.cluster, mk.label, mk.count, {R('ent.entropy')} AS entropy,
 FROM mk JOIN ent USING (cluster) JOIN pc USING (cluster)""",
     "lloyd_steps": lloyd_sql(2),
 }
+
+# events: z-scored [value, k], one centre per event type (its mean)
+_EVZ = """
+e AS (SELECT event_id, event_type AS label, ts, value AS x0,
+             CAST(json_extract_string(props, '$.k') AS DOUBLE) AS x1 FROM events),
+m AS (SELECT avg(x0) AS m0, stddev_pop(x0) AS s0, avg(x1) AS m1, stddev_pop(x1) AS s1 FROM e),
+z AS (SELECT event_id, label, ts,
+             CASE WHEN s0 > 0 THEN (x0 - m0) / s0 ELSE x0 - m0 END AS z0,
+             CASE WHEN s1 > 0 THEN (x1 - m1) / s1 ELSE x1 - m1 END AS z1 FROM e, m),
+ctr AS (SELECT CAST(dense_rank() OVER (ORDER BY label) - 1 AS INTEGER) AS cluster, c0, c1
+        FROM (SELECT label, avg(z0) AS c0, avg(z1) AS c1 FROM z GROUP BY label)),
+pairs AS (SELECT z.event_id, z.label, z.ts, c.cluster,
+                 sqrt((z.z0 - c.c0) * (z.z0 - c.c0) + (z.z1 - c.c1) * (z.z1 - c.c1)) AS dist
+          FROM z CROSS JOIN ctr c),
+asg AS (SELECT event_id, label, ts, cluster, dist FROM (
+          SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY dist, cluster) AS rn
+          FROM pairs) WHERE rn = 1),
+thr AS (SELECT min(dist) AS t FROM (SELECT dist FROM asg ORDER BY dist DESC LIMIT 100))"""
+
+# chart rows: one per (cluster, label) of the given-centre make-up
+_CHART = _ASSIGNED + """,
+chart AS (SELECT 'cluster ' || CAST(cluster AS VARCHAR) || ' label ' || CAST(label AS VARCHAR) AS label,
+                 CAST(count AS DOUBLE) AS value FROM mk),
+tot AS (SELECT sum(value) AS total FROM chart)"""
+
+
+def _sort_sql(order_by: str) -> str:
+    return f"""WITH {_CHART}
+SELECT label, value, CAST(row_number() OVER (ORDER BY {order_by}) - 1 AS INTEGER) AS pos
+FROM chart"""
+
+
+ORACLE_MORE: dict[str, str] = {
+    "window_score": f"""WITH {_EVZ}
+SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n,
+       {R('avg(dist)')} AS mean_dist
+FROM asg GROUP BY 1""",
+    "stream_anomalies": f"""WITH {_EVZ}
+SELECT event_id, label, cluster, {R('dist')} AS dist FROM asg, thr WHERE dist > t""",
+    "stream_predict": f"""WITH {_ASSIGNED}
+SELECT id, CAST(label AS DOUBLE) AS label, cluster, {R('dist')} AS dist FROM asg""",
+    "report_validate": f"""WITH {_ASSIGNED},
+v AS (SELECT 'cluster ' || CAST(cluster AS VARCHAR) || ' label ' || CAST(label AS VARCHAR) AS label,
+             count - (sum(count) OVER (PARTITION BY cluster)) / (count(*) OVER (PARTITION BY cluster)) AS value
+      FROM mk)
+SELECT label, {R('value')} AS value FROM v WHERE value IS NOT NULL AND NOT isnan(value) AND value > 0""",
+    "report_sort_value_asc": _sort_sql("value, label"),
+    "report_sort_value_desc": _sort_sql("value DESC, label"),
+    "report_sort_label_asc": _sort_sql("lower(label), label"),
+    "report_sort_label_desc": _sort_sql("lower(label) DESC, label DESC"),
+    "report_share": f"""WITH {_CHART}
+SELECT label, value, total, round(value / total * 100, 1) AS share,
+       {R('value / total * 100')} AS share_exact, round(value / total * 100, 1) < 2 AS hidden
+FROM chart, tot""",
+    "report_group_small": f"""WITH {_CHART},
+s AS (SELECT label, value, value / total * 100 <= 1 AS small FROM chart, tot),
+kept AS (SELECT label, value, false AS is_grouped, CAST(0 AS BIGINT) AS members,
+                row_number() OVER (ORDER BY value, label) AS o FROM s WHERE NOT small),
+grp AS (SELECT 'Other clusters less than 1%' AS label, sum(value) AS value, true AS is_grouped,
+               count(*) AS members, CAST(4611686018427387904 AS BIGINT) AS o
+        FROM s WHERE small HAVING count(*) > 0),
+u AS (SELECT * FROM kept UNION ALL SELECT * FROM grp)
+SELECT label, value, is_grouped, members, CAST(row_number() OVER (ORDER BY o) - 1 AS INTEGER) AS pos
+FROM u""",
+    "report_cumulative": f"""WITH {_CHART},
+o AS (SELECT label, value, CAST(row_number() OVER (ORDER BY value DESC, label) - 1 AS INTEGER) AS pos
+      FROM chart)
+SELECT label, value, pos,
+       {R('sum(value) OVER (ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / total * 100')}
+         AS end_share,
+       {R('sum(value) OVER (ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / total * 100 - value / total * 50')}
+         AS mid_share
+FROM o, tot""",
+    "report_captions": f"""WITH {_CHART}
+SELECT label,
+       CASE WHEN length(label) > 10 THEN substr(label, 1, 10) || '...' ELSE label END AS short_label,
+       label || ', Count: ' ||
+       (CASE WHEN value = floor(value) AND abs(value) < 1e15 THEN CAST(CAST(value AS BIGINT) AS VARCHAR)
+             ELSE CAST(value AS VARCHAR) END) ||
+       ', ' || CAST(round(value / total * 100, 1) AS VARCHAR) || '%' AS caption
+FROM chart, tot""",
+    "report_upsert": f"""WITH {_ASSIGNED},
+h AS (SELECT *, CAST('0x' || substr(md5('11:' || CAST(id AS VARCHAR)), 1, 8) AS BIGINT) % 10000 < 5000
+                AS first_half FROM asg),
+o AS (SELECT cluster, label, count(*) AS n FROM h WHERE first_half GROUP BY cluster, label),
+n AS (SELECT cluster, label, count(*) AS n FROM h WHERE NOT first_half GROUP BY cluster, label)
+SELECT coalesce(o.cluster, n.cluster) AS cluster, coalesce(o.label, n.label) AS label,
+       coalesce(o.n, 0) + coalesce(n.n, 0) AS count
+FROM o FULL OUTER JOIN n ON o.cluster = n.cluster AND o.label = n.label""",
+    "report_json": f"""WITH {_ASSIGNED}
+SELECT cluster, CAST(label AS VARCHAR) AS label, count AS value FROM mk""",
+}
+ORACLE.update(ORACLE_MORE)
