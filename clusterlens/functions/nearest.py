@@ -179,7 +179,10 @@ def _arrow_udf_for(block):
         ids, c = block.value
         return _arrow_nearest(feats, ids, c)
 
-    return nearest_centre
+    # Marked non-deterministic only so the optimizer evaluates it exactly
+    # once per row: otherwise a filter on its output (e.g. cluster IS NOT
+    # NULL) is pushed below the projection and the kernel runs twice.
+    return nearest_centre.asNondeterministic()
 
 
 def _blocks(centers: CenterSet):

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clusterlens.operators.parse import _num, split_fields
+from clusterlens.operators.parse import _all_present, _num, split_fields
 from clusterlens.schema import RecordLayout
 
 # A one-hot block wider than this is not a feature encoding any more.
@@ -102,19 +102,19 @@ def parse_mixed(df: DataFrame, layout: RecordLayout, dictionary: DataFrame,
             base = base.join(d, F.get(F.col(fs), c) == F.col(f"_v{c}"), "left").drop(f"_v{c}")
             idx_cols[c] = F.col(f"_i{c}")
     sizes = {c: index.size(c) for c in layout.categorical}
-    pieces = []
+    pieces, numeric = [], []
     for i in range(layout.width):
         if i == layout.label_pos:
             continue
         if i in sizes:
             pieces.append(one_hot(idx_cols[i], sizes[i]))
         else:
-            pieces.append(F.array(_num(F.get(F.col(fs), i))))
+            numeric.append(_num(F.get(F.col(fs), i)))
+            pieces.append(F.array(numeric[-1]))
     unseen = F.lit(False)
     for c in layout.categorical:
         unseen = unseen | (F.get(F.col(fs), c).isNotNull() & idx_cols[c].isNull())
-    out = base.select(*keep, F.get(F.col(fs), layout.label_pos).alias("label"),
-                      F.concat(*pieces).alias("features"), unseen.alias("unseen"),
-                      (F.size(fs) == layout.width).alias("_wide"))
-    return (out.withColumn("ok", F.col("_wide") & ~F.exists("features", lambda x: x.isNull()))
-               .drop("_wide"))
+    ok = (F.size(fs) == layout.width) & _all_present(numeric)
+    return base.select(*keep, F.get(F.col(fs), layout.label_pos).alias("label"),
+                       F.when(ok, F.concat(*pieces)).alias("features"),
+                       unseen.alias("unseen"), ok.alias("ok"))

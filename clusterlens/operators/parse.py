@@ -26,22 +26,28 @@ def _num(c: Column) -> Column:
     return c.try_cast("double")
 
 
+def _all_present(cols) -> Column:
+    out = F.lit(True)
+    for c in cols:
+        out = out & c.isNotNull()
+    return out
+
+
 def parse_numeric(df: DataFrame, layout: RecordLayout, line_col: str = "line",
                   keep: tuple[str, ...] = ()) -> DataFrame:
     """``label`` + numeric ``features`` (categorical fields dropped).
 
     ``keep`` columns (e.g. an id, or the line itself, P7) are carried along.
+    A malformed row has ``ok = false`` and null ``features``; every operator
+    downstream skips null features, so hot paths need no filter here (a
+    filter would be pushed below this projection and re-run the split).
     """
-    fs = "_fields"
-    feats = F.array(*[_num(F.get(F.col(fs), i)) for i in layout.numeric])
-    return (df.withColumn(fs, split_fields(line_col, layout.sep))
-              .select(*keep,
-                      F.get(F.col(fs), layout.label_pos).alias("label"),
-                      feats.alias("features"),
-                      F.size(fs).alias("_width"))
-              .withColumn("ok", (F.col("_width") == layout.width)
-                          & ~F.exists("features", lambda x: x.isNull()))
-              .drop("_width"))
+    fs = F.col("_fields")
+    parts = [_num(F.get(fs, i)) for i in layout.numeric]
+    ok = (F.size(fs) == layout.width) & _all_present(parts)
+    return (df.withColumn("_fields", split_fields(line_col, layout.sep))
+              .select(*keep, F.get(fs, layout.label_pos).alias("label"),
+                      F.when(ok, F.array(*parts)).alias("features"), ok.alias("ok")))
 
 
 def valid(parsed: DataFrame) -> DataFrame:
@@ -79,17 +85,16 @@ def parse_tab_labelled(df: DataFrame, line_col: str = "line", sep: str = ",",
                        keep: tuple[str, ...] = ()) -> DataFrame:
     """``label<TAB>f0,f1,...`` -> numeric ``label`` and ``features``."""
     parts = F.split(F.col(line_col), "\t", 2)
-    feats = F.transform(split_fields(F.get(parts, 1), sep), _num)
     out = df.select(*keep, _num(F.get(parts, 0)).alias("label"),
-                    feats.alias("features"))
-    return out.withColumn(
-        "ok", F.col("label").isNotNull() & F.col("features").isNotNull()
-        & ~F.exists("features", lambda x: x.isNull()))
+                    F.transform(split_fields(F.get(parts, 1), sep), _num).alias("_x"))
+    ok = F.col("label").isNotNull() & F.col("_x").isNotNull() & \
+        ~F.exists("_x", lambda x: x.isNull())
+    return out.select(*keep, "label", F.when(ok, F.col("_x")).alias("features"), ok.alias("ok"))
 
 
 def parse_unlabelled(df: DataFrame, line_col: str = "line", sep: str = ",",
                      keep: tuple[str, ...] = ()) -> DataFrame:
     """``f0,f1,...`` -> ``features``."""
-    feats = F.transform(split_fields(line_col, sep), _num)
-    out = df.select(*keep, feats.alias("features"))
-    return out.withColumn("ok", ~F.exists("features", lambda x: x.isNull()))
+    out = df.select(*keep, F.transform(split_fields(line_col, sep), _num).alias("_x"))
+    ok = ~F.exists("_x", lambda x: x.isNull())
+    return out.select(*keep, F.when(ok, F.col("_x")).alias("features"), ok.alias("ok"))

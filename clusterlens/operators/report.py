@@ -29,20 +29,33 @@ def cluster_report(assigned: DataFrame, n: int = 100, cluster_col: str = "cluste
     distance to its centre (A3 per cluster); anomalies: records of the
     cluster beyond the n-th largest distance overall (A7 per cluster).
     """
-    flagged = flag(assigned.where(F.col(cluster_col).isNotNull()),
-                   threshold_value(assigned, n, dist_col), dist_col)
+    flagged = flag(assigned, threshold_value(assigned, n, dist_col), dist_col)
+    return report_from_flags(flagged, cluster_col, label_col, dist_col)
+
+
+def report_from_flags(flagged: DataFrame, cluster_col: str = "cluster",
+                      label_col: str = "label", dist_col: str = "dist",
+                      flag_col: str = "anomalous") -> DataFrame:
+    """D1 from records that already carry their anomaly flag.
+
+    The records are read once: one map-side-combined aggregate per
+    (cluster, label). The per-cluster figures come from a window over that
+    aggregated table (at most #labels rows per cluster), not from a second
+    pass over the records.
+    """
     cl = (flagged.groupBy(cluster_col, label_col)
                  .agg(F.count(F.lit(1)).alias("count"),
                       F.sum(dist_col).alias("_sd"),
-                      F.count(F.when(F.col("anomalous"), 1)).alias("_an")))
+                      F.count(F.when(F.col(flag_col), 1)).alias("_an"))
+                 .where(F.col(cluster_col).isNotNull()))
+    w = Window.partitionBy(cluster_col)
     c = F.col("count").cast("double")
-    per = (cl.groupBy(cluster_col)
-             .agg(F.sum("count").alias("_n"), F.sum(c * F.log(c)).alias("_nlogn"),
-                  F.sum("_sd").alias("_sd"), F.sum("_an").alias("anomalies")))
-    t = F.col("_n").cast("double")
-    per = per.select(cluster_col, (F.log(t) - F.col("_nlogn") / t).alias("entropy"),
-                     (F.col("_sd") / t).alias("mean_dist"), "anomalies")
-    return cl.select(cluster_col, label_col, "count").join(per, cluster_col)
+    t = F.sum("count").over(w).cast("double")
+    return cl.select(
+        cluster_col, label_col, "count",
+        (F.log(t) - F.sum(c * F.log(c)).over(w) / t).alias("entropy"),
+        (F.sum("_sd").over(w) / t).alias("mean_dist"),
+        F.sum("_an").over(w).alias("anomalies"))
 
 
 def chart_rows(makeup: DataFrame, cluster_col: str = "cluster",

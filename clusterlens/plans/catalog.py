@@ -485,3 +485,12 @@ QUERIES: dict[str, Query] = {
     "report_upsert": q_report_upsert,
     "report_json": q_report_json,
 }
+
+# Queries SQL cannot express (fitted models depend on the partition layout,
+# streamed model state, random order, Poisson sampling); the driver checks
+# their rows only and pytest checks them against brute force / MLlib.
+ROW_CHECKED = frozenset({
+    "bootstrap_sample", "kmeans_default", "kmeans_tuned", "k_sweep_basic", "k_sweep_raw",
+    "k_sweep_zscore", "k_sweep_mixed", "k_sweep_entropy", "anomaly_selffit", "anomaly_mixed",
+    "stream_kmeans", "stream_distance", "report_sort_random",
+})
