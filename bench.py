@@ -49,7 +49,8 @@ def main() -> None:
 
     # Train on a 1 % hash sample, k = 130, best of 10 runs, tol 1e-6
     trained = timed("e1_train", lambda: tr.train(lines, layout, k=130, runs=10, tol=1e-6,
-                                                 sample=0.01, seed=11, n_top=100))
+                                                 sample=0.01, seed=11, n_top=100,
+                                                 parallelism=4))
     # apply the detector to every record; per-cluster report
     timed("e1_score_report",
           lambda: tr.report_all(tr.score_all(lines, layout, trained)).collect())

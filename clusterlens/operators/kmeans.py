@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,11 +35,15 @@ class KMeansResult:
         return self.centers.to_df(spark)
 
 
-def fit(points: DataFrame, k: int = 2, seed: int = 1, tol: float = 1e-4,
-        max_iter: int = 20, init_steps: int = 2,
-        features: str = "features") -> KMeansResult:
-    """K1: one k-means fit (defaults: k = 2, tolerance 1e-4, 20 iterations)."""
-    vec = points.select(array_to_vector(col_of(features)).alias("_v"))
+def _vectors(points: DataFrame, features: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The ML input: one VectorUDT column ``_v`` (plus ``keep``), quarantined
+    (null-feature) rows dropped."""
+    f = col_of(features)
+    return points.where(f.isNotNull()).select(array_to_vector(f).alias("_v"), *keep)
+
+
+def _fit_vectors(vec: DataFrame, k: int, seed: int, tol: float, max_iter: int,
+                 init_steps: int) -> KMeansResult:
     km = KMeans(k=k, seed=seed, tol=tol, maxIter=max_iter, initSteps=init_steps,
                 featuresCol="_v", predictionCol="_p")
     model = km.fit(vec)
@@ -48,21 +52,42 @@ def fit(points: DataFrame, k: int = 2, seed: int = 1, tol: float = 1e-4,
                         float(model.summary.trainingCost), k, seed)
 
 
+def fit(points: DataFrame, k: int = 2, seed: int = 1, tol: float = 1e-4,
+        max_iter: int = 20, init_steps: int = 2,
+        features: str = "features") -> KMeansResult:
+    """K1: one k-means fit (defaults: k = 2, tolerance 1e-4, 20 iterations)."""
+    return _fit_vectors(_vectors(points, features), k, seed, tol, max_iter, init_steps)
+
+
 def fit_best(points: DataFrame, k: int, runs: int = 10, tol: float = 1e-6,
              seed: int = 1, max_iter: int = 20, init_steps: int = 5,
-             features: str = "features") -> KMeansResult:
-    """K2: best (lowest cost) of ``runs`` fits with seeds seed..seed+runs-1."""
-    data = points.select(col_of(features).alias("features")).persist()
+             features: str = "features", parallelism: int = 1) -> KMeansResult:
+    """K2: best (lowest cost) of ``runs`` fits with seeds seed..seed+runs-1.
+
+    The vector input is persisted once for all runs; with ``parallelism`` > 1
+    runs are submitted as concurrent jobs (useful when one fit cannot fill
+    the cluster, e.g. a small training sample).
+    """
+    vec = _vectors(points, features).persist()
     try:
-        best = None
-        for r in range(runs):
-            res = fit(data, k=k, seed=seed + r, tol=tol, max_iter=max_iter,
-                      init_steps=init_steps)
-            if best is None or res.cost < best.cost:
-                best = res
-        return best
+        vec.count()  # fill the cache once, before concurrent runs read it
+        return _best_of(vec, k, runs, tol, seed, max_iter, init_steps, parallelism)
     finally:
-        data.unpersist()
+        vec.unpersist()
+
+
+def _best_of(vec: DataFrame, k: int, runs: int, tol: float, seed: int, max_iter: int,
+             init_steps: int, parallelism: int) -> KMeansResult:
+    def one(r):
+        return _fit_vectors(vec, k, seed + r, tol, max_iter, init_steps)
+
+    if parallelism > 1:
+        with ThreadPoolExecutor(min(parallelism, runs)) as pool:
+            results = list(pool.map(one, range(runs)))
+    else:
+        results = [one(r) for r in range(runs)]
+    # lowest cost; the earliest run wins a tie, whatever the completion order
+    return min(results, key=lambda res: (res.cost, res.seed))
 
 
 def vector_sums(assigned: DataFrame, dim: int, features: str = "features",
@@ -133,20 +158,25 @@ def tuned_score(points: DataFrame, k: int, runs: int = 10, tol: float = 1e-6,
 def k_sweep(points: DataFrame, ks, how: str = "distance", tuned: bool = True,
             runs: int = 10, tol: float = 1e-6, seed: int = 1,
             features: str = "features", parallelism: int = 1) -> DataFrame:
-    """K5-K8: ``(k, score)`` for every k; the input is persisted once.
+    """K3-K8: ``(k, score)`` for every k.
 
-    With ``parallelism`` > 1 the fits for different k are submitted as
+    One copy of the input (the vector form, plus the label for entropy) is
+    persisted for the whole sweep; fits read it directly and scores read it
+    back as arrays. With ``parallelism`` > 1 the values of k are fitted as
     concurrent Spark jobs on the same session.
     """
     spark = points.sparkSession
-    cols = [features] + (["label"] if how == "entropy" else [])
-    data = points.select(*cols).persist()
+    keep = ("label",) if how == "entropy" else ()
+    vec = _vectors(points, features, keep).persist()
+    arrays = vec.select(vector_to_array("_v").alias("features"), *keep)
     try:
+        vec.count()  # fill the cache once, before concurrent fits read it
         def one(k):
             if tuned:
-                return k, tuned_score(data, k, runs=runs, tol=tol, seed=seed,
-                                      how=how, features=features)
-            return k, basic_score(data, k, seed=seed, features=features)
+                model = _best_of(vec, k, runs, tol, seed, 20, 5, 1)
+            else:
+                model = _fit_vectors(vec, k, seed, 1e-4, 20, 2)
+            return k, score(arrays, model.centers, how)
 
         if parallelism > 1:
             with ThreadPoolExecutor(parallelism) as pool:
@@ -154,5 +184,5 @@ def k_sweep(points: DataFrame, ks, how: str = "distance", tuned: bool = True,
         else:
             rows = [one(k) for k in ks]
     finally:
-        data.unpersist()
+        vec.unpersist()
     return spark.createDataFrame(rows, "k int, score double")

@@ -54,13 +54,14 @@ def _records(spark, sf_dir):
 
 
 def _numeric_records(spark, sf_dir):
-    return ps.valid(ps.parse_numeric(_records(spark, sf_dir), LAYOUT, keep=("rid",)))
+    """Parsed records; malformed ones keep null features, which every
+    consumer skips (no filter is pushed back into the parse)."""
+    return ps.parse_numeric(_records(spark, sf_dir), LAYOUT, keep=("rid",))
 
 
 def _mixed_records(spark, sf_dir, keep=("rid",)):
     lines = _records(spark, sf_dir)
-    return ps.valid(enc.parse_mixed(lines, LAYOUT, enc.fit_categories(lines, LAYOUT),
-                                    keep=keep))
+    return enc.parse_mixed(lines, LAYOUT, enc.fit_categories(lines, LAYOUT), keep=keep)
 
 
 def _written_records(spark, sf_dir) -> str:
@@ -102,7 +103,7 @@ def q_one_hot(spark, sf_dir):
 
 
 def q_parse_mixed(spark, sf_dir):
-    return _mixed_records(spark, sf_dir).select(
+    return ps.valid(_mixed_records(spark, sf_dir)).select(
         "rid", "label", F.posexplode("features").alias("pos", "value"))
 
 
@@ -129,7 +130,7 @@ def q_hash_split(spark, sf_dir):
 
 
 def q_bootstrap_sample(spark, sf_dir):
-    return sm.bootstrap_sample(_numeric_records(spark, sf_dir), 0.01, seed=11)
+    return sm.bootstrap_sample(ps.valid(_numeric_records(spark, sf_dir)), 0.01, seed=11)
 
 
 def q_kmeans_default(spark, sf_dir):

@@ -50,7 +50,7 @@ def parse_records(lines: DataFrame, layout: RecordLayout, dictionary: DataFrame,
 
 def train(lines: DataFrame, layout: RecordLayout, k: int = 130, runs: int = 10,
           tol: float = 1e-6, sample: float = 0.01, seed: int = 11, n_top: int = 100,
-          id_col: str = "rid", max_iter: int = 20) -> TrainResult:
+          id_col: str = "rid", max_iter: int = 20, parallelism: int = 1) -> TrainResult:
     """E1 on the ``sample`` share of the records (hash split on ``id_col``)."""
     dictionary = enc.fit_categories(lines, layout).persist()
     part = split_index(id_col, (sample, 1.0 - sample), seed)
@@ -61,7 +61,8 @@ def train(lines: DataFrame, layout: RecordLayout, k: int = 130, runs: int = 10,
         nz = Normalizer.fit(batch)
         nbatch = nz.apply(batch).persist()
         try:
-            model = fit_best(nbatch, k, runs=runs, tol=tol, seed=seed, max_iter=max_iter)
+            model = fit_best(nbatch, k, runs=runs, tol=tol, seed=seed, max_iter=max_iter,
+                             parallelism=parallelism)
             assigned = assign(nbatch, model.centers).persist()
             try:
                 s = ev.distance_score(assigned).first()
