@@ -185,6 +185,21 @@ def truncate_label(label: str | Column, n: int = 10) -> Column:
     return F.when(F.length(c) > n, F.concat(F.substring(c, 1, n), F.lit("..."))).otherwise(c)
 
 
+def label_text(rows: DataFrame, formatter=None, truncate: int | None = 10,
+               label_col: str = "label", value_col: str = "value",
+               out: str = "label_text") -> DataFrame:
+    """The label the chart shows: ``formatter(label, value)`` when a hook is
+    given (a Column -> Column function, it wins), else the truncated label."""
+    lab, val = F.col(label_col), F.col(value_col)
+    if formatter is not None:
+        text = formatter(lab, val)
+    elif truncate is not None:
+        text = truncate_label(lab, truncate)
+    else:
+        text = lab
+    return rows.withColumn(out, text)
+
+
 def number_text(value: str | Column) -> Column:
     """A number as the chart prints it: integral values without ``.0``."""
     v = col_of(value)
@@ -195,12 +210,16 @@ def number_text(value: str | Column) -> Column:
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
 
 
-def caption(template: str, fields: dict[str, Column]) -> Column:
+def caption(template: str, fields: dict[str, Column], parser=None) -> Column:
     """Fill ``{name}`` placeholders from ``fields``; unknown names stay.
 
-    The template is split once on the driver into literal text and column
+    ``parser`` is the placeholder hook: it receives the mapping and returns
+    the mapping to use (it may replace or add Column expressions). The
+    template is split once on the driver into literal text and column
     references, so the result is a single ``concat`` expression.
     """
+    if parser is not None:
+        fields = parser(dict(fields))
     parts: list[Column] = []
     last = 0
     for m in _PLACEHOLDER.finditer(template):

@@ -96,3 +96,25 @@ def test_report_json_reads_dashboard_array(spark, tmp_path):
                              {"cluster": 0, "label": "Back", "count": 2203}]))
     back = read_report_json(spark, str(p), multi_line=True).orderBy("value").collect()
     assert [(r.label, r.value) for r in back] == [("Back", 2203), ("Smurf", 280790)]
+
+
+def test_label_formatter_hook_wins_over_truncation(spark):
+    df = chart(spark, [("abcdefghijkl", 3.0)])
+    plain = rp.label_text(df, truncate=4).first().label_text
+    hooked = rp.label_text(df, formatter=lambda lab, val: F.concat(F.upper(lab), F.lit("="),
+                                                                   val.cast("int").cast("string"))).first()
+    assert plain == "abcd..." and hooked.label_text == "ABCDEFGHIJKL=3"
+
+
+def test_caption_parser_hook(spark):
+    df = chart(spark, [("a", 2.0)])
+
+    def parser(fields):
+        fields["label"] = F.upper(fields["label"])
+        fields["extra"] = F.lit("!")
+        return fields
+
+    out = df.select(rp.caption("{label}{extra} {value}", {"label": F.col("label"),
+                                                          "value": rp.number_text("value")},
+                               parser=parser).alias("c")).first().c
+    assert out == "A! 2"
