@@ -110,6 +110,19 @@ def vector_sums(assigned: DataFrame, dim: int, features: str = "features",
                .select(cluster_col, "n", F.transform("_ps", lambda x: x["s"]).alias("sums")))
 
 
+def group_means(points: DataFrame, group_col: str = "label", dim: int | None = None,
+                features: str = "features") -> DataFrame:
+    """``cluster, center``: the mean vector of each group (e.g. one centre per
+    label, a nearest-centroid model). One map-side-combined aggregate."""
+    if dim is None:
+        from clusterlens.operators.stats import vector_width
+        dim = vector_width(points, features)
+    sums = vector_sums(points.where(F.col(group_col).isNotNull()), dim, features,
+                       cluster_col=group_col)
+    return sums.select(F.col(group_col).cast("int").alias("cluster"),
+                       F.transform("sums", lambda v: v / F.col("n")).alias("center"))
+
+
 def lloyd(points: DataFrame, centers, steps: int = 1,
           features: str = "features") -> CenterSet:
     """K9: ``steps`` Lloyd iterations from the given centres.

@@ -232,12 +232,12 @@ def q_anomaly_count(spark, sf_dir):
 
 
 def q_anomaly_records(spark, sf_dir):
-    """N1 + F1: z-scored embeddings, given centres (z-scored the same way),
-    threshold = 100th largest distance, records strictly beyond it."""
+    """N1 + F1: z-scored embeddings, one centre per label in the z-scored
+    space, threshold = 100th largest distance, records strictly beyond it."""
     pts = fx.embedding_points(spark, sf_dir)
-    nz = st.Normalizer.fit(pts)
-    det = an.AnomalyDetector.build(pts, fx.given_centers(spark, sf_dir), nz, n=100,
-                                   centers_normalized=False)
+    nz = st.Normalizer.fit(pts, dim=fx.EMBEDDING_DIM)
+    centers = km.group_means(nz.apply(pts), "label", dim=fx.EMBEDDING_DIM)
+    det = an.AnomalyDetector.build(pts, centers, nz, n=100)
     return det.anomalies(pts).select("id", "label", "cluster", r6("dist").alias("dist"))
 
 

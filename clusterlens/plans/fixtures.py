@@ -4,8 +4,9 @@
   field, three categorical fields, three numerics, a label ending in ``.``
   (the same shape as the reference's records, 8 fields wide);
 * labelled points from ``embeddings`` (64-dim) and from ``events``;
-* given centres: the first ``n`` embeddings, so model-dependent results can
-  be checked in SQL without a fitted (layout-dependent) model.
+* given centres: one per embedding label (the label's mean vector), so
+  model-dependent results can be checked in SQL without a fitted
+  (partition-layout-dependent) model.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ RECORD_LAYOUT = RecordLayout(
     names=("l_quantity", "l_returnflag", "l_linestatus", "o_orderpriority",
            "l_extendedprice", "l_discount", "l_tax", "label"))
 
-EVENT_TYPES_ORDER = "event_type"
+EMBEDDING_DIM = 64
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,12 +55,11 @@ def embedding_points(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("embedding").cast("array<double>").alias("features"))
 
 
-def given_centers(spark: SparkSession, sf_dir: str, n: int = 10) -> DataFrame:
-    """``cluster, center``: the embeddings with ``vec_id < n``."""
-    return (table(spark, sf_dir, "embeddings")
-            .where(F.col("vec_id") < n)
-            .select(F.col("vec_id").cast("int").alias("cluster"),
-                    F.col("embedding").cast("array<double>").alias("center")))
+def given_centers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``cluster, center``: one centre per embedding label, the label's mean
+    vector over the whole table (cluster id = label)."""
+    from clusterlens.operators.kmeans import group_means
+    return group_means(embedding_points(spark, sf_dir), "label", dim=EMBEDDING_DIM)
 
 
 def embedding_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,8 +32,10 @@ sz AS (SELECT field, count(*) AS n FROM dct GROUP BY field)"""
 # ---------------------------------------------------------------- embeddings
 _EMB = """
 pts AS (SELECT vec_id AS id, label, CAST(embedding AS DOUBLE[]) AS f FROM embeddings),
-ctr AS (SELECT CAST(vec_id AS INTEGER) AS cluster, CAST(embedding AS DOUBLE[]) AS c
-        FROM embeddings WHERE vec_id < 10)"""
+ctr AS (SELECT CAST(label AS INTEGER) AS cluster, list(v ORDER BY pos) AS c
+        FROM (SELECT p.label, x.pos, avg(x.v) AS v
+              FROM pts p, unnest(p.f) WITH ORDINALITY AS x(v, pos) GROUP BY p.label, x.pos)
+        GROUP BY label)"""
 
 _ASSIGNED = _EMB + """,
 pairs AS (SELECT p.id, p.label, c.cluster, list_distance(p.f, c.c) AS dist,
@@ -47,7 +49,7 @@ ent AS (SELECT cluster, CAST(sum(count) AS BIGINT) AS n, sum(-(count / tot) * ln
         FROM (SELECT cluster, count, sum(count) OVER (PARTITION BY cluster) AS tot FROM mk)
         GROUP BY cluster)"""
 
-# z-scored embeddings, centres z-scored the same way
+# z-scored embeddings, one centre per label in the z-scored space
 _ZEMB = """
 raw AS (SELECT vec_id AS id, label, CAST(embedding AS DOUBLE[]) AS f FROM embeddings),
 u AS (SELECT r.id, x.v, x.pos FROM raw r, unnest(r.f) WITH ORDINALITY AS x(v, pos)),
@@ -56,7 +58,10 @@ z AS (SELECT u.id, list(CASE WHEN m.sd > 0 THEN (u.v - m.mu) / m.sd ELSE u.v - m
                         ORDER BY u.pos) AS f
       FROM u JOIN mom m USING (pos) GROUP BY u.id),
 pts AS (SELECT raw.id, raw.label, z.f FROM raw JOIN z USING (id)),
-ctr AS (SELECT CAST(id AS INTEGER) AS cluster, f AS c FROM pts WHERE id < 10),
+ctr AS (SELECT CAST(label AS INTEGER) AS cluster, list(v ORDER BY pos) AS c
+        FROM (SELECT p.label, x.pos, avg(x.v) AS v
+              FROM pts p, unnest(p.f) WITH ORDINALITY AS x(v, pos) GROUP BY p.label, x.pos)
+        GROUP BY label),
 pairs AS (SELECT p.id, p.label, c.cluster, list_distance(p.f, c.c) AS dist,
                  row_number() OVER (PARTITION BY p.id
                                     ORDER BY list_distance(p.f, c.c), c.cluster) AS rn
