@@ -2,10 +2,10 @@
 
 ``cluster_report`` (D1) aggregates the assigned data once per
 (cluster, label) with map-side combine; everything after it works on that
-aggregated table, whose size is bounded by clusters x labels (a model
-quantity, not a data quantity). The chart steps that need one global order
-(sort positions, running shares) therefore run a single small window over
-the report, never over the records.
+aggregated table. The chart steps that need one global order (sort
+positions, the position of the folded group, running shares) use
+``ordering.positions``: a distributed sort plus per-partition offsets, so no
+step moves the whole table into one task.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from clusterlens.functions.vectors import col_of
 from clusterlens.operators.anomaly import flag, threshold_value
+from clusterlens.operators.ordering import positions
 
 
 # ------------------------------------------------------------------- D1
@@ -100,8 +101,7 @@ def sort_rows(rows: DataFrame, order: str = "value-asc", seed: int = 0,
     }
     if order not in keys:
         raise ValueError(f"order must be one of {SORT_ORDERS}")
-    w = Window.orderBy(*keys[order])  # the report is small (clusters x labels)
-    return rows.withColumn("pos", (F.row_number().over(w) - 1).cast("int"))
+    return positions(rows, keys[order], "pos")
 
 
 # ---------------------------------------------------------------- D2, D5
@@ -153,8 +153,7 @@ def group_small(rows: DataFrame, threshold: float = 1.0, mode: str = "percentage
                        F.lit(True).alias("is_grouped"), "members",
                        F.lit(1 << 62).cast("long").alias("_o")))
     both = kept.unionByName(grouped)
-    w = Window.orderBy("_o")
-    return both.withColumn("pos", (F.row_number().over(w) - 1).cast("int")).drop("_o")
+    return positions(both, [F.col("_o").asc(), F.col(label_col).asc()], "pos").drop("_o")
 
 
 def group_members(rows: DataFrame, threshold: float = 1.0, mode: str = "percentage",
@@ -170,11 +169,12 @@ def running_share(rows: DataFrame, value_col: str = "value") -> DataFrame:
     """``end_share`` (share up to and including the row, in order of
     ``pos``) and ``mid_share`` (minus half the row's own share), percent."""
     total = rows.agg(F.sum(value_col)).scalar()
-    w = Window.orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    end = F.sum(value_col).over(w) / total * 100.0
-    return (rows.withColumn("end_share", end)
-                .withColumn("mid_share", F.col("end_share")
-                            - F.col(value_col) / total * 50.0))
+    cum = positions(rows.withColumnRenamed("pos", "_p"), [F.col("_p").asc()], "_q",
+                    value_col=value_col, cum_col="_cum")
+    return (cum.withColumnRenamed("_p", "pos").drop("_q")
+               .withColumn("end_share", F.col("_cum") / total * 100.0)
+               .withColumn("mid_share", F.col("end_share") - F.col(value_col) / total * 50.0)
+               .drop("_cum"))
 
 
 # ---------------------------------------------------------------- D6, D7
