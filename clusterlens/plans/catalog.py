@@ -427,6 +427,42 @@ def q_report_json(spark, sf_dir):
     return read_report_json(spark, path)
 
 
+# ------------------------------------------------ main flows
+
+def _trained(spark, sf_dir):
+    from clusterlens.plans import train as tr
+    return tr.train(_records(spark, sf_dir), LAYOUT, k=20, runs=3, tol=1e-6,
+                    sample=0.05, seed=11, n_top=100, parallelism=3)
+
+
+def q_train_evaluate(spark, sf_dir):
+    """Train on a 5 % hash sample, then its scores and threshold."""
+    t = _trained(spark, sf_dir)
+    return spark.createDataFrame(
+        [(t.n_train, t.model.k, t.distance_score, t.entropy_score, t.detector.threshold)],
+        "n_train long, k int, distance_score double, entropy_score double, threshold double")
+
+
+def q_stream_monitor(spark, sf_dir):
+    """Record lines streamed as 4 files through the monitor; the
+    anomalies it wrote (frozen detector) for all micro-batches."""
+    from clusterlens.plans import train as tr
+    from clusterlens.plans.monitor import StreamMonitor
+    from clusterlens.streaming.score import file_stream
+    t = _trained(spark, sf_dir)
+    lines = _records(spark, sf_dir)
+    src = scratch_path(spark, "monitor-src")
+    tagged = lines.withColumn("_p", sm.split_index("rid", (1, 1, 1, 1), 5))
+    for i in range(4):
+        tagged.where(F.col("_p") == i).drop("_p").write.mode("overwrite").parquet(f"{src}/{i}")
+    mon = StreamMonitor(spark, scratch_path(spark, "monitor"),
+                        lambda df: tr.parse_records(df, LAYOUT, t.dictionary), t.detector)
+    q = mon.start(file_stream(spark, f"{src}/*", lines.schema),
+                  scratch_path(spark, "monitor-ckpt"), {"availableNow": True})
+    q.awaitTermination()
+    return mon.anomalies().select("rid", "label", "cluster", r6("dist").alias("dist"))
+
+
 QUERIES: dict[str, Query] = {
     # sources, parsing, encoding, sampling (records from lineitem x orders)
     "scan_records": q_scan_records,
@@ -485,6 +521,9 @@ QUERIES: dict[str, Query] = {
     "report_captions": q_report_captions,
     "report_upsert": q_report_upsert,
     "report_json": q_report_json,
+    # main flows
+    "train_evaluate": q_train_evaluate,
+    "stream_monitor": q_stream_monitor,
 }
 
 # Queries SQL cannot express (fitted models depend on the partition layout,
@@ -493,5 +532,5 @@ QUERIES: dict[str, Query] = {
 ROW_CHECKED = frozenset({
     "bootstrap_sample", "kmeans_default", "kmeans_tuned", "k_sweep_basic", "k_sweep_raw",
     "k_sweep_zscore", "k_sweep_mixed", "k_sweep_entropy", "anomaly_selffit", "anomaly_mixed",
-    "stream_kmeans", "stream_distance", "report_sort_random",
+    "stream_kmeans", "stream_distance", "report_sort_random", "train_evaluate", "stream_monitor",
 })

@@ -72,7 +72,7 @@ def write_snapshot(report: DataFrame, root: str, version: int) -> str:
     dashboard polling the folder never reads a half-written snapshot.
     """
     path = f"{root.rstrip('/')}/v={int(version)}"
-    report.coalesce(1).write.mode("overwrite").json(path)
+    report.write.mode("overwrite").json(path)
     return path
 
 
@@ -80,11 +80,12 @@ def read_latest_snapshot(spark: SparkSession, root: str, schema: T.StructType) -
     """The most recent committed report version."""
     allv = spark.read.schema(T.StructType(list(schema.fields) + [
         T.StructField("v", T.LongType())])).json(root)
-    versions = [r[0] for r in allv.select("v").distinct().collect()]
-    for v in sorted(versions, reverse=True):
-        if path_exists(spark, f"{root.rstrip('/')}/v={v}/_SUCCESS"):
-            return allv.where(F.col("v") == v).drop("v")
-    return spark.createDataFrame([], schema)
+    v = allv.agg(F.max("v")).first()[0]
+    while v is not None and not path_exists(spark, f"{root.rstrip('/')}/v={v}/_SUCCESS"):
+        v = allv.where(F.col("v") < v).agg(F.max("v")).first()[0]
+    if v is None:
+        return spark.createDataFrame([], schema)
+    return allv.where(F.col("v") == v).drop("v")
 
 
 def snapshot_writer(report_fn, root: str):
