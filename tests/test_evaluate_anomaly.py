@@ -146,3 +146,17 @@ def test_sweep_returns_one_row_per_k(spark):
     rows = km.k_sweep(pts, (2, 4), runs=1, parallelism=2).orderBy("k").collect()
     assert [r.k for r in rows] == [2, 4]
     assert all(r.score > 0 for r in rows)
+
+
+def test_fit_quality_and_determinism(spark):
+    pts = fx.embedding_points(spark, SF_SMALL).persist()
+
+    def cost(cs):
+        return assign(pts, cs).selectExpr("sum(dist * dist) AS s").first().s
+
+    lloyd_cost = cost(km.lloyd(pts, fx.given_centers(spark, SF_SMALL), steps=5))
+    best = km.fit_best(pts, k=10, runs=3, seed=5)
+    assert cost(best.centers) <= 1.1 * lloyd_cost
+    again = km.fit_best(pts, k=10, runs=3, seed=5)
+    np.testing.assert_allclose(best.centers.matrix, again.centers.matrix, rtol=1e-12)
+    pts.unpersist()

@@ -1,4 +1,3 @@
-import pytest
 
 from clusterlens.schema import CONNECTION_LAYOUT, connection_schema, layout_schema
 from clusterlens.session import checkpoint_root, scratch_path

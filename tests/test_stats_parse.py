@@ -2,7 +2,6 @@ import math
 
 import pytest
 from hypothesis import given, settings, strategies as st
-from pyspark.sql import functions as F
 
 from clusterlens.operators import encode as enc
 from clusterlens.operators import parse as ps
