@@ -34,6 +34,7 @@ DIGITS = 6
 LAYOUT = fx.RECORD_LAYOUT
 SWEEP_KS = (2, 5, 10)
 SWEEP_RUNS = 3
+SWEEP_PARALLELISM = 3
 
 
 def r6(c) -> F.Column:
@@ -144,24 +145,28 @@ def q_kmeans_tuned(spark, sf_dir):
 
 
 def q_k_sweep_basic(spark, sf_dir):
-    return km.k_sweep(_numeric_records(spark, sf_dir), SWEEP_KS, tuned=False)
+    return km.k_sweep(_numeric_records(spark, sf_dir), SWEEP_KS, tuned=False,
+                      parallelism=SWEEP_PARALLELISM)
 
 
 def q_k_sweep_raw(spark, sf_dir):
-    return km.k_sweep(_numeric_records(spark, sf_dir), SWEEP_KS, runs=SWEEP_RUNS)
+    return km.k_sweep(_numeric_records(spark, sf_dir), SWEEP_KS, runs=SWEEP_RUNS,
+                      parallelism=SWEEP_PARALLELISM)
 
 
 def q_k_sweep_zscore(spark, sf_dir):
-    return km.k_sweep(st.zscore(_numeric_records(spark, sf_dir)), SWEEP_KS, runs=SWEEP_RUNS)
+    return km.k_sweep(st.zscore(_numeric_records(spark, sf_dir)), SWEEP_KS, runs=SWEEP_RUNS,
+                      parallelism=SWEEP_PARALLELISM)
 
 
 def q_k_sweep_mixed(spark, sf_dir):
-    return km.k_sweep(st.zscore(_mixed_records(spark, sf_dir)), SWEEP_KS, runs=SWEEP_RUNS)
+    return km.k_sweep(st.zscore(_mixed_records(spark, sf_dir)), SWEEP_KS, runs=SWEEP_RUNS,
+                      parallelism=SWEEP_PARALLELISM)
 
 
 def q_k_sweep_entropy(spark, sf_dir):
     return km.k_sweep(st.zscore(_mixed_records(spark, sf_dir)), SWEEP_KS, how="entropy",
-                      runs=SWEEP_RUNS)
+                      runs=SWEEP_RUNS, parallelism=SWEEP_PARALLELISM)
 
 
 def q_anomaly_selffit(spark, sf_dir):
@@ -284,10 +289,9 @@ def event_model(spark, sf_dir):
     z = nz.apply(pts)
     means = z.groupBy("label").agg(F.avg(F.col("features")[0]).alias("c0"),
                                    F.avg(F.col("features")[1]).alias("c1"))
-    from pyspark.sql import Window
-    centers = means.select(
-        (F.dense_rank().over(Window.orderBy("label")) - 1).cast("int").alias("cluster"),
-        F.array("c0", "c1").alias("center"))
+    from clusterlens.operators.ordering import positions
+    centers = positions(means, [F.col("label").asc()], "cluster").select(
+        "cluster", F.array("c0", "c1").alias("center"))
     return z, centers
 
 
