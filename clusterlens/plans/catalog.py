@@ -436,7 +436,7 @@ def q_report_json(spark, sf_dir):
 def _trained(spark, sf_dir):
     from clusterlens.plans import train as tr
     return tr.train(_records(spark, sf_dir), LAYOUT, k=20, runs=3, tol=1e-6,
-                    sample=0.05, seed=11, n_top=100, parallelism=3)
+                    sample=0.05, seed=11, n_top=100, parallelism=3, encoding="mixed")
 
 
 def q_train_evaluate(spark, sf_dir):
@@ -450,7 +450,6 @@ def q_train_evaluate(spark, sf_dir):
 def q_stream_monitor(spark, sf_dir):
     """Record lines streamed as 4 files through the monitor; the
     anomalies it wrote (frozen detector) for all micro-batches."""
-    from clusterlens.plans import train as tr
     from clusterlens.plans.monitor import StreamMonitor
     from clusterlens.streaming.score import file_stream
     t = _trained(spark, sf_dir)
@@ -459,8 +458,7 @@ def q_stream_monitor(spark, sf_dir):
     tagged = lines.withColumn("_p", sm.split_index("rid", (1, 1, 1, 1), 5))
     for i in range(4):
         tagged.where(F.col("_p") == i).drop("_p").write.mode("overwrite").parquet(f"{src}/{i}")
-    mon = StreamMonitor(spark, scratch_path(spark, "monitor"),
-                        lambda df: tr.parse_records(df, LAYOUT, t.dictionary), t.detector)
+    mon = StreamMonitor(spark, scratch_path(spark, "monitor"), t.parse, t.detector)
     q = mon.start(file_stream(spark, f"{src}/*", lines.schema),
                   scratch_path(spark, "monitor-ckpt"), {"availableNow": True})
     q.awaitTermination()

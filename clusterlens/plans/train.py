@@ -28,7 +28,8 @@ from clusterlens.schema import RecordLayout
 
 @dataclass
 class TrainResult:
-    dictionary: DataFrame
+    layout: RecordLayout
+    dictionary: DataFrame | None  # one-hot dictionaries (mixed encoding only)
     normalizer: Normalizer
     model: KMeansResult
     detector: AnomalyDetector
@@ -36,23 +37,38 @@ class TrainResult:
     distance_score: float
     entropy_score: float
 
+    def parse(self, lines: DataFrame, id_col: str = "rid") -> DataFrame:
+        """The training parser: numeric fields only, or with one-hot blocks."""
+        return parse_records(lines, self.layout, self.dictionary, id_col)
 
-def parse_records(lines: DataFrame, layout: RecordLayout, dictionary: DataFrame,
+
+def parse_records(lines: DataFrame, layout: RecordLayout, dictionary: DataFrame | None,
                   id_col: str = "rid") -> DataFrame:
-    """Mixed (one-hot) parse, keeping the id and the original line.
+    """Parse keeping the id and the original line: one-hot (mixed) when a
+    dictionary is given, numeric fields only otherwise.
 
     Malformed records stay in the output with ``ok = false`` and null
     features (the quarantine, ``parse.quarantine``); scoring and the
     aggregates skip them without a filter being pushed into the parse.
     """
+    if dictionary is None:
+        return ps.parse_numeric(lines, layout, keep=(id_col, "line"))
     return enc.parse_mixed(lines, layout, dictionary, keep=(id_col, "line"))
 
 
 def train(lines: DataFrame, layout: RecordLayout, k: int = 130, runs: int = 10,
           tol: float = 1e-6, sample: float = 0.01, seed: int = 11, n_top: int = 100,
-          id_col: str = "rid", max_iter: int = 20, parallelism: int = 1) -> TrainResult:
-    """E1 on the ``sample`` share of the records (hash split on ``id_col``)."""
-    dictionary = enc.fit_categories(lines, layout).persist()
+          id_col: str = "rid", max_iter: int = 20, parallelism: int = 1,
+          encoding: str = "numeric") -> TrainResult:
+    """E1 on the ``sample`` share of the records (hash split on ``id_col``).
+
+    ``encoding="numeric"`` drops the categorical fields (the main job);
+    ``"mixed"`` one-hot encodes them with dictionaries fitted on all records
+    (the offline anomaly listing).
+    """
+    if encoding not in ("numeric", "mixed"):
+        raise ValueError("encoding must be 'numeric' or 'mixed'")
+    dictionary = enc.fit_categories(lines, layout).persist() if encoding == "mixed" else None
     part = split_index(id_col, (sample, 1.0 - sample), seed)
     parsed = (parse_records(lines.where(part == 0), layout, dictionary, id_col)
               .select(id_col, "label", "features", "ok").persist())
@@ -75,7 +91,7 @@ def train(lines: DataFrame, layout: RecordLayout, k: int = 130, runs: int = 10,
             nbatch.unpersist()
     finally:
         parsed.unpersist()
-    return TrainResult(dictionary, nz, model, AnomalyDetector(nz, model.centers, t),
+    return TrainResult(layout, dictionary, nz, model, AnomalyDetector(nz, model.centers, t),
                        int(s["n"]), float(s["distance_score"]), float(e))
 
 
@@ -83,8 +99,7 @@ def score_all(lines: DataFrame, layout: RecordLayout, trained: TrainResult,
               id_col: str = "rid") -> DataFrame:
     """Every record scored by the trained detector: id, line, label,
     cluster, dist, anomalous (the threshold is the trained one)."""
-    parsed = parse_records(lines, layout, trained.dictionary, id_col)
-    return trained.detector.score(parsed)
+    return trained.detector.score(trained.parse(lines, id_col))
 
 
 def report_all(scored: DataFrame) -> DataFrame:

@@ -12,7 +12,8 @@ from conftest import SF_SMALL
 
 def test_train_then_monitor_stream(spark):
     lines = fx.record_lines(spark, SF_SMALL)
-    trained = tr.train(lines, fx.RECORD_LAYOUT, k=5, runs=2, sample=0.2, seed=11, n_top=20)
+    trained = tr.train(lines, fx.RECORD_LAYOUT, k=5, runs=2, sample=0.2, seed=11, n_top=20,
+                       encoding="mixed")
     assert trained.model.centers.k == 5 and trained.n_train > 0
     assert trained.detector.threshold is not None
 
@@ -21,15 +22,23 @@ def test_train_then_monitor_stream(spark):
     for i in range(3):
         tagged.where(F.col("_p") == i).drop("_p").coalesce(1).write.parquet(f"{src}/{i}")
     root = scratch_path(spark, "t-monitor")
-    parse = lambda df: tr.parse_records(df, fx.RECORD_LAYOUT, trained.dictionary)
-    mon = StreamMonitor(spark, root, parse, trained.detector)
+    mon = StreamMonitor(spark, root, trained.parse, trained.detector)
     q = mon.start(file_stream(spark, f"{src}/*", lines.schema), scratch_path(spark, "t-ckpt"),
                   {"availableNow": True})
     q.awaitTermination()
 
     assert mon.metrics().count() == 3
     streamed = {r.rid for r in mon.anomalies().collect()}
-    batch = {r.rid for r in trained.detector.anomalies(parse(lines)).collect()}
+    batch = {r.rid for r in trained.detector.anomalies(trained.parse(lines)).collect()}
     assert streamed == batch
     snap = read_latest_snapshot(spark, f"{root}/report", REPORT_JSON_SCHEMA)
     assert snap.agg(F.sum("count")).first()[0] > 0
+
+
+def test_numeric_training_matches_main_job_shape(spark):
+    lines = fx.record_lines(spark, SF_SMALL)
+    trained = tr.train(lines, fx.RECORD_LAYOUT, k=3, runs=1, sample=0.3, seed=11, n_top=10)
+    assert trained.dictionary is None and trained.model.centers.dim == 4
+    scored = tr.score_all(lines, fx.RECORD_LAYOUT, trained)
+    rep = tr.report_all(scored).collect()
+    assert sum(r["count"] for r in rep) == lines.count()
