@@ -59,13 +59,17 @@ def report_from_flags(flagged: DataFrame, cluster_col: str = "cluster",
         F.sum("_an").over(w).alias("anomalies"))
 
 
+def chart_label(cluster: str | Column = "cluster", label: str | Column = "label") -> Column:
+    """The chart's row label for a (cluster, label) pair."""
+    return F.concat(F.lit("cluster "), col_of(cluster).cast("string"),
+                    F.lit(" label "), col_of(label).cast("string"))
+
+
 def chart_rows(makeup: DataFrame, cluster_col: str = "cluster",
                label_col: str = "label", count_col: str = "count") -> DataFrame:
-    """Report rows as chart rows: ``label`` = "cluster:label", ``value``."""
-    return makeup.select(
-        F.concat(F.col(cluster_col).cast("string"), F.lit(":"),
-                 F.col(label_col).cast("string")).alias("label"),
-        F.col(count_col).cast("double").alias("value"))
+    """Report rows as chart rows: ``label`` ("cluster C label L"), ``value``."""
+    return makeup.select(chart_label(cluster_col, label_col).alias("label"),
+                         F.col(count_col).cast("double").alias("value"))
 
 
 # ------------------------------------------------------------------- F3

@@ -356,22 +356,18 @@ def _makeup(spark, sf_dir):
 
 
 def _chart(spark, sf_dir):
-    mk = _makeup(spark, sf_dir)
-    return mk.select(F.concat(F.lit("cluster "), F.col("cluster").cast("string"),
-                              F.lit(" label "), F.col("label").cast("string")).alias("label"),
-                     F.col("count").cast("double").alias("value"))
+    from clusterlens.operators.report import chart_rows
+    return chart_rows(_makeup(spark, sf_dir))
 
 
 def q_report_validate(spark, sf_dir):
     """F3 on the deviation of each (cluster, label) count from an even split
     of its cluster (zero or negative for under-represented labels)."""
-    from clusterlens.operators.report import validate
+    from clusterlens.operators.report import chart_label, validate
     mk = _makeup(spark, sf_dir)
     per = mk.groupBy("cluster").agg(F.sum("count").alias("_t"), F.count(F.lit(1)).alias("_l"))
     rows = mk.join(per, "cluster").select(
-        F.concat(F.lit("cluster "), F.col("cluster").cast("string"), F.lit(" label "),
-                 F.col("label").cast("string")).alias("label"),
-        (F.col("count") - F.col("_t") / F.col("_l")).alias("value"))
+        chart_label().alias("label"), (F.col("count") - F.col("_t") / F.col("_l")).alias("value"))
     return validate(rows).select("label", r6("value").alias("value"))
 
 
