@@ -15,19 +15,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+                                          group_small, hide_below, number_text,
+                                          running_share, sort_rows, truncate_label, upsert,
+                                          validate, with_share)
 from clusterlens.functions.nearest import assign
 from clusterlens.functions.vectors import distance
-from clusterlens.operators import anomaly as an
 from clusterlens.operators import encode as enc
 from clusterlens.operators import evaluate as ev
+from clusterlens.operators import stats as st
+from clusterlens.operators import sample as sm
+from clusterlens.operators import anomaly as an
 from clusterlens.operators import kmeans as km
 from clusterlens.operators import parse as ps
-from clusterlens.operators import sample as sm
-from clusterlens.operators import stats as st
+from clusterlens.operators.ordering import positions
+from clusterlens.operators.report import (caption, chart_label, chart_rows, cluster_report,
 from clusterlens.plans import fixtures as fx
+from clusterlens.plans import train as tr
+from clusterlens.plans.monitor import StreamMonitor
 from clusterlens.schema import layout_schema
 from clusterlens.session import scratch_path
 from clusterlens.sources import records as rec
+from clusterlens.sources.report_json import read_report_json, write_report_json
+from clusterlens.streaming.kmeans_stream import StreamingKMeans
+from clusterlens.streaming.score import file_stream, predict, window_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
 DIGITS = 6
@@ -247,7 +257,6 @@ def q_anomaly_records(spark, sf_dir):
 
 
 def q_cluster_report(spark, sf_dir):
-    from clusterlens.operators.report import cluster_report
     rep = cluster_report(assigned_embeddings(spark, sf_dir), n=100)
     return rep.select("cluster", "label", "count", r6("entropy").alias("entropy"),
                       r6("mean_dist").alias("mean_dist"), "anomalies")
@@ -289,7 +298,6 @@ def event_model(spark, sf_dir):
     z = nz.apply(pts)
     means = z.groupBy("label").agg(F.avg(F.col("features")[0]).alias("c0"),
                                    F.avg(F.col("features")[1]).alias("c1"))
-    from clusterlens.operators.ordering import positions
     centers = positions(means, [F.col("label").asc()], "cluster").select(
         "cluster", F.array("c0", "c1").alias("center"))
     return z, centers
@@ -297,7 +305,6 @@ def event_model(spark, sf_dir):
 
 def q_window_score(spark, sf_dir):
     """R5 (batch form): hourly event-time windows, count and mean distance."""
-    from clusterlens.streaming.score import window_scores
     z, centers = event_model(spark, sf_dir)
     w = window_scores(assign(z, centers), time_col="ts", duration="1 hour")
     return w.select("window_start", "n", r6("mean_dist").alias("mean_dist"))
@@ -313,7 +320,6 @@ def q_stream_anomalies(spark, sf_dir):
 
 def q_stream_predict(spark, sf_dir):
     """R4 (batch form): tab-labelled records -> nearest given centre."""
-    from clusterlens.streaming.score import predict
     p = ps.valid(ps.parse_tab_labelled(fx.embedding_lines(spark, sf_dir), keep=("id",)))
     out = predict(p, fx.given_centers(spark, sf_dir))
     return out.select("id", "label", "cluster", r6("dist").alias("dist"))
@@ -321,8 +327,6 @@ def q_stream_predict(spark, sf_dir):
 
 def _run_stream_kmeans(spark, sf_dir):
     """Streaming k-means over the embeddings arriving as 4 files."""
-    from clusterlens.streaming.kmeans_stream import StreamingKMeans
-    from clusterlens.streaming.score import file_stream
     pts = fx.embedding_points(spark, sf_dir)
     src = scratch_path(spark, "stream-src")
     tagged = pts.withColumn("_part", sm.split_index("id", (1, 1, 1, 1), seed=7))
@@ -356,14 +360,12 @@ def _makeup(spark, sf_dir):
 
 
 def _chart(spark, sf_dir):
-    from clusterlens.operators.report import chart_rows
     return chart_rows(_makeup(spark, sf_dir))
 
 
 def q_report_validate(spark, sf_dir):
     """F3 on the deviation of each (cluster, label) count from an even split
     of its cluster (zero or negative for under-represented labels)."""
-    from clusterlens.operators.report import chart_label, validate
     mk = _makeup(spark, sf_dir)
     per = mk.groupBy("cluster").agg(F.sum("count").alias("_t"), F.count(F.lit(1)).alias("_l"))
     rows = mk.join(per, "cluster").select(
@@ -380,27 +382,23 @@ def _sorted(order):
 
 
 def q_report_share(spark, sf_dir):
-    from clusterlens.operators.report import hide_below, with_share
     sh = hide_below(with_share(_chart(spark, sf_dir), decimals=1), 2.0)
     return sh.select("label", "value", "total", "share",
                      r6("share_exact").alias("share_exact"), "hidden")
 
 
 def q_report_group_small(spark, sf_dir):
-    from clusterlens.operators.report import group_small, sort_rows
     rows = sort_rows(_chart(spark, sf_dir), "value-asc")
     return group_small(rows, 1.0, "percentage", label="Other clusters less than 1%")
 
 
 def q_report_cumulative(spark, sf_dir):
-    from clusterlens.operators.report import running_share, sort_rows
     rows = running_share(sort_rows(_chart(spark, sf_dir), "value-desc"))
     return rows.select("label", "value", "pos", r6("end_share").alias("end_share"),
                        r6("mid_share").alias("mid_share"))
 
 
 def q_report_captions(spark, sf_dir):
-    from clusterlens.operators.report import caption, number_text, truncate_label, with_share
     sh = with_share(_chart(spark, sf_dir), decimals=1)
     text = caption("{label}, Count: {value}, {percentage}%",
                    {"label": F.col("label"), "value": number_text("value"),
@@ -411,7 +409,6 @@ def q_report_captions(spark, sf_dir):
 
 def q_report_upsert(spark, sf_dir):
     """Make-up of one half of the ids upserted (sum) with the other half."""
-    from clusterlens.operators.report import upsert
     a = assigned_embeddings(spark, sf_dir).withColumn(
         "_h", sm.split_index("id", (0.5, 0.5), seed=11))
     old = ev.label_makeup(a.where(F.col("_h") == 0))
@@ -421,7 +418,6 @@ def q_report_upsert(spark, sf_dir):
 
 def q_report_json(spark, sf_dir):
     """S4 then S5: write the make-up as a JSON report, read it back."""
-    from clusterlens.sources.report_json import read_report_json, write_report_json
     path = scratch_path(spark, "report-json")
     write_report_json(_makeup(spark, sf_dir), path)
     return read_report_json(spark, path)
@@ -430,7 +426,6 @@ def q_report_json(spark, sf_dir):
 # ------------------------------------------------ main flows
 
 def _trained(spark, sf_dir):
-    from clusterlens.plans import train as tr
     return tr.train(_records(spark, sf_dir), LAYOUT, k=20, runs=3, tol=1e-6,
                     sample=0.05, seed=11, n_top=100, parallelism=3, encoding="mixed")
 
@@ -446,8 +441,6 @@ def q_train_evaluate(spark, sf_dir):
 def q_stream_monitor(spark, sf_dir):
     """Record lines streamed as 4 files through the monitor; the
     anomalies it wrote (frozen detector) for all micro-batches."""
-    from clusterlens.plans.monitor import StreamMonitor
-    from clusterlens.streaming.score import file_stream
     t = _trained(spark, sf_dir)
     lines = _records(spark, sf_dir)
     src = scratch_path(spark, "monitor-src")
