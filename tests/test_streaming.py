@@ -150,3 +150,38 @@ def test_snapshot_versions(spark):
     run = ss.snapshot_writer(lambda b: b, root)
     run(rep.withColumn("count", F.lit(9).cast("long")), 2)
     assert ss.read_latest_snapshot(spark, root, REPORT_JSON_SCHEMA).first()["count"] == 9
+
+
+def test_restart_resumes_from_checkpoint_and_state(spark):
+    pts = fx.embedding_points(spark, SF_SMALL)
+    init = CenterSet.from_df(fx.given_centers(spark, SF_SMALL))
+    tagged = pts.withColumn("_p", sm.split_index("id", (1, 1, 1, 1), 3))
+
+    def write(src, parts):
+        for i in parts:
+            tagged.where(F.col("_p") == i).drop("_p").coalesce(1).write.parquet(f"{src}/{i}")
+
+    def run(src, state, ckpt):
+        skm = StreamingKMeans(spark, state, init, initial_weight=10.0, decay=0.9)
+        q = skm.start(ss.file_stream(spark, f"{src}/*", pts.schema), ckpt, {"availableNow": True})
+        q.awaitTermination()
+        return skm
+
+    # one uninterrupted run over four files
+    src1 = scratch_path(spark, "t-src")
+    write(src1, range(4))
+    whole = run(src1, scratch_path(spark, "t-state"), scratch_path(spark, "t-ckpt"))
+
+    # two files, stop; two more files, a fresh object on the same folders
+    src2, state2, ckpt2 = (scratch_path(spark, n) for n in ("t-src", "t-state", "t-ckpt"))
+    write(src2, range(2))
+    run(src2, state2, ckpt2)
+    write(src2, range(2, 4))
+    resumed = run(src2, state2, ckpt2)
+
+    a = sorted((r.cluster, tuple(r.center), r.weight) for r in whole.centers().collect())
+    b = sorted((r.cluster, tuple(r.center), r.weight) for r in resumed.centers().collect())
+    assert [x[0] for x in a] == [x[0] for x in b]
+    np.testing.assert_allclose([x[1] for x in a], [x[1] for x in b], rtol=1e-12, atol=1e-12)
+    np.testing.assert_allclose([x[2] for x in a], [x[2] for x in b], rtol=1e-12)
+    assert resumed.metrics().count() == 4
