@@ -101,7 +101,8 @@ def vector_sums(assigned: DataFrame, dim: int, features: str = "features",
             *[F.sum(F.get(f, i)).alias(f"s{i}") for i in range(dim)])
         return agg.select(cluster_col, "n",
                           F.array(*[F.col(f"s{i}") for i in range(dim)]).alias("sums"))
-    per = (live.select(cluster_col, F.posexplode(f).alias("pos", "x"))
+    per = (live.select(cluster_col, F.posexplode_outer(f).alias("pos", "x"))
+               .where(F.col("pos").isNotNull())
                .groupBy(cluster_col, "pos").agg(F.sum("x").alias("s"),
                                                 F.count(F.lit(1)).alias("n")))
     return (per.groupBy(cluster_col)

@@ -124,3 +124,27 @@ def test_bootstrap_sample_is_seeded(spark):
     a = sm.bootstrap_sample(ids, 0.5, 3).count()
     assert a == sm.bootstrap_sample(ids, 0.5, 3).count()
     assert 350 < a < 650
+
+
+def _join_lines(df, capsys):
+    df.explain()
+    plan = capsys.readouterr().out
+    return [l for l in plan.splitlines() if "HashJoin" in l or "SortMergeJoin" in l]
+
+
+def test_no_parse_expression_is_pushed_into_the_join(spark, capsys):
+    """Filters inferred on parsed values must not be inlined below the parse
+    (that re-runs split once per reference)."""
+    from clusterlens.functions.nearest import CenterSet
+    from clusterlens.operators.anomaly import AnomalyDetector
+    from clusterlens.plans import fixtures as fx
+    from clusterlens.plans import train as tr
+    lines = fx.record_lines(spark, "/root/testdata/sf0.001")
+    parsed = ps.parse_numeric(lines, fx.RECORD_LAYOUT, keep=("rid",))
+    for line in _join_lines(stt.feature_moments(parsed, dim=4), capsys):
+        assert "split(" not in line
+    nz = stt.Normalizer(means=(0.0,) * 4, stds=(1.0,) * 4, n=1)
+    det = AnomalyDetector(nz, CenterSet.from_arrays([0, 1], [[0.0] * 4, [1.0] * 4]), 1.0)
+    scored = tr.report_all(det.score(parsed))
+    for line in _join_lines(scored, capsys):
+        assert "split(" not in line
