@@ -13,11 +13,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clusterlens import defaults as D
 from clusterlens.functions.nearest import CenterSet, as_center_set, assign
 from clusterlens.operators.stats import Normalizer
 
 
-def distance_threshold(scored: DataFrame, n: int = 100,
+def distance_threshold(scored: DataFrame, n: int = D.ANOMALY_TOP_N,
                        dist_col: str = "dist") -> DataFrame:
     """One row ``threshold`` = n-th largest distance.
 
@@ -29,7 +30,8 @@ def distance_threshold(scored: DataFrame, n: int = 100,
     return top.agg(F.min(dist_col).alias("threshold"))
 
 
-def threshold_value(scored: DataFrame, n: int = 100, dist_col: str = "dist") -> Column:
+def threshold_value(scored: DataFrame, n: int = D.ANOMALY_TOP_N,
+                    dist_col: str = "dist") -> Column:
     """The threshold as a scalar subquery (stays inside one plan)."""
     return distance_threshold(scored, n, dist_col).scalar()
 
@@ -51,7 +53,7 @@ class AnomalyDetector:
 
     @classmethod
     def build(cls, points: DataFrame, centers, normalizer: Normalizer | None = None,
-              n: int = 100, features: str = "features",
+              n: int = D.ANOMALY_TOP_N, features: str = "features",
               centers_normalized: bool = True) -> "AnomalyDetector":
         """Threshold = n-th largest distance of ``points`` under the model.
 
@@ -76,8 +78,8 @@ class AnomalyDetector:
         return self.score(df, features).where(F.col("anomalous"))
 
 
-def build_detector_selffit(points: DataFrame, k: int = 150, runs: int = 10,
-                           tol: float = 1e-6, n: int = 100, seed: int = 1,
+def build_detector_selffit(points: DataFrame, k: int = D.DETECTOR_K, runs: int = D.BATCH_RUNS,
+                           tol: float = D.BATCH_EPSILON, n: int = D.ANOMALY_TOP_N, seed: int = 1,
                            features: str = "features",
                            max_iter: int = 20) -> AnomalyDetector:
     """Normalise, fit the best of ``runs`` k-means models, then N1."""

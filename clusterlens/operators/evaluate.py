@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clusterlens import defaults as D
+
 
 def label_makeup(assigned: DataFrame, cluster_col: str = "cluster",
                  label_col: str = "label") -> DataFrame:
@@ -25,7 +27,7 @@ def makeup_text(makeup: DataFrame, cluster_col: str = "cluster",
     """The fixed-width text line ``cluster%1s label%18s count%8s``."""
     return makeup.select(
         cluster_col, label_col, "count",
-        F.format_string("%1s%18s%8s", F.col(cluster_col).cast("string"),
+        F.format_string(D.MAKEUP_LINE_FORMAT, F.col(cluster_col).cast("string"),
                         F.col(label_col).cast("string"),
                         F.col("count").cast("string")).alias("line"))
 

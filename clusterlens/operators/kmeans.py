@@ -19,6 +19,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clusterlens import defaults as D
 from clusterlens.functions.nearest import CenterSet, as_center_set, assign
 from clusterlens.functions.vectors import UNROLL_LIMIT, col_of
 from clusterlens.operators import evaluate as ev
@@ -52,14 +53,14 @@ def _fit_vectors(vec: DataFrame, k: int, seed: int, tol: float, max_iter: int,
                         float(model.summary.trainingCost), k, seed)
 
 
-def fit(points: DataFrame, k: int = 2, seed: int = 1, tol: float = 1e-4,
+def fit(points: DataFrame, k: int = D.DEFAULT_K, seed: int = 1, tol: float = 1e-4,
         max_iter: int = 20, init_steps: int = 2,
         features: str = "features") -> KMeansResult:
     """K1: one k-means fit (defaults: k = 2, tolerance 1e-4, 20 iterations)."""
     return _fit_vectors(_vectors(points, features), k, seed, tol, max_iter, init_steps)
 
 
-def fit_best(points: DataFrame, k: int, runs: int = 10, tol: float = 1e-6,
+def fit_best(points: DataFrame, k: int, runs: int = D.BATCH_RUNS, tol: float = D.BATCH_EPSILON,
              seed: int = 1, max_iter: int = 20, init_steps: int = 5,
              features: str = "features", parallelism: int = 1) -> KMeansResult:
     """K2: best (lowest cost) of ``runs`` fits with seeds seed..seed+runs-1.

@@ -15,6 +15,7 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clusterlens import defaults as D
 from clusterlens.functions.vectors import col_of
 from clusterlens.operators.anomaly import flag, threshold_value
 from clusterlens.operators.ordering import positions
@@ -85,7 +86,7 @@ def validate(rows: DataFrame, value_col: str = "value") -> DataFrame:
 SORT_ORDERS = ("none", "random", "value-asc", "value-desc", "label-asc", "label-desc")
 
 
-def sort_rows(rows: DataFrame, order: str = "value-asc", seed: int = 0,
+def sort_rows(rows: DataFrame, order: str = D.REPORT_SORT_ORDER, seed: int = 0,
               value_col: str = "value", label_col: str = "label",
               input_order: str | None = None) -> DataFrame:
     """T4: add ``pos`` (0-based) in the chart order.
@@ -110,7 +111,8 @@ def sort_rows(rows: DataFrame, order: str = "value-asc", seed: int = 0,
 
 # ---------------------------------------------------------------- D2, D5
 
-def with_share(rows: DataFrame, decimals: int = 1, value_col: str = "value") -> DataFrame:
+def with_share(rows: DataFrame, decimals: int = D.PERCENT_DECIMALS,
+               value_col: str = "value") -> DataFrame:
     """``total``, ``share`` (percent, rounded half-up to ``decimals``)
     and ``share_exact`` (unrounded)."""
     total = rows.agg(F.sum(value_col)).scalar()
@@ -137,8 +139,9 @@ def _small(rows: DataFrame, threshold: float, mode: str, value_col: str) -> Colu
     raise ValueError("mode must be 'percentage' or 'value'")
 
 
-def group_small(rows: DataFrame, threshold: float = 1.0, mode: str = "percentage",
-                label: str = "Other", value_col: str = "value",
+def group_small(rows: DataFrame, threshold: float = D.GROUP_SMALL_PERCENT,
+                mode: str = "percentage", label: str = D.GROUP_SMALL_LABEL,
+                value_col: str = "value",
                 label_col: str = "label") -> DataFrame:
     """D3: rows at or below the threshold become one ``label`` row, last.
 
@@ -160,8 +163,9 @@ def group_small(rows: DataFrame, threshold: float = 1.0, mode: str = "percentage
     return positions(both, [F.col("_o").asc(), F.col(label_col).asc()], "pos").drop("_o")
 
 
-def group_members(rows: DataFrame, threshold: float = 1.0, mode: str = "percentage",
-                  label: str = "Other", value_col: str = "value") -> DataFrame:
+def group_members(rows: DataFrame, threshold: float = D.GROUP_SMALL_PERCENT,
+                  mode: str = "percentage", label: str = D.GROUP_SMALL_LABEL,
+                  value_col: str = "value") -> DataFrame:
     """D3 members: the rows folded into the group, with the group label."""
     flagged = rows.withColumn("_small", _small(rows, threshold, mode, value_col))
     return flagged.where(F.col("_small")).drop("_small").withColumn("group", F.lit(label))
@@ -183,13 +187,13 @@ def running_share(rows: DataFrame, value_col: str = "value") -> DataFrame:
 
 # ---------------------------------------------------------------- D6, D7
 
-def truncate_label(label: str | Column, n: int = 10) -> Column:
+def truncate_label(label: str | Column, n: int = D.TRUNCATE_LENGTH) -> Column:
     """First n characters + ``...`` when longer than n."""
     c = col_of(label)
     return F.when(F.length(c) > n, F.concat(F.substring(c, 1, n), F.lit("..."))).otherwise(c)
 
 
-def label_text(rows: DataFrame, formatter=None, truncate: int | None = 10,
+def label_text(rows: DataFrame, formatter=None, truncate: int | None = D.TRUNCATE_LENGTH,
                label_col: str = "label", value_col: str = "value",
                out: str = "label_text") -> DataFrame:
     """The label the chart shows: ``formatter(label, value)`` when a hook is

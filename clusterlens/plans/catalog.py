@@ -15,6 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clusterlens import defaults as D
 from clusterlens.functions.nearest import assign
 from clusterlens.functions.vectors import distance
 from clusterlens.operators import anomaly as an
@@ -382,14 +383,15 @@ def _sorted(order):
 
 
 def q_report_share(spark, sf_dir):
-    sh = hide_below(with_share(_chart(spark, sf_dir), decimals=1), 2.0)
+    sh = hide_below(with_share(_chart(spark, sf_dir), decimals=D.PERCENT_DECIMALS),
+                    D.HIDE_BELOW_PERCENT)
     return sh.select("label", "value", "total", "share",
                      r6("share_exact").alias("share_exact"), "hidden")
 
 
 def q_report_group_small(spark, sf_dir):
     rows = sort_rows(_chart(spark, sf_dir), "value-asc")
-    return group_small(rows, 1.0, "percentage", label="Other clusters less than 1%")
+    return group_small(rows, D.GROUP_SMALL_PERCENT, "percentage", label=D.GROUP_SMALL_LABEL)
 
 
 def q_report_cumulative(spark, sf_dir):
@@ -399,11 +401,11 @@ def q_report_cumulative(spark, sf_dir):
 
 
 def q_report_captions(spark, sf_dir):
-    sh = with_share(_chart(spark, sf_dir), decimals=1)
-    text = caption("{label}, Count: {value}, {percentage}%",
+    sh = with_share(_chart(spark, sf_dir), decimals=D.PERCENT_DECIMALS)
+    text = caption(D.CAPTION_TEMPLATE,
                    {"label": F.col("label"), "value": number_text("value"),
                     "percentage": F.col("share").cast("string")})
-    return sh.select("label", truncate_label("label", 10).alias("short_label"),
+    return sh.select("label", truncate_label("label", D.TRUNCATE_LENGTH).alias("short_label"),
                      text.alias("caption"))
 
 

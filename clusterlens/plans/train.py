@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from clusterlens import defaults as D
 from clusterlens.functions.nearest import assign
 from clusterlens.operators import encode as enc
 from clusterlens.operators import evaluate as ev
@@ -56,8 +57,9 @@ def parse_records(lines: DataFrame, layout: RecordLayout, dictionary: DataFrame
     return enc.parse_mixed(lines, layout, dictionary, keep=(id_col, "line"))
 
 
-def train(lines: DataFrame, layout: RecordLayout, k: int = 130, runs: int = 10,
-          tol: float = 1e-6, sample: float = 0.01, seed: int = 11, n_top: int = 100,
+def train(lines: DataFrame, layout: RecordLayout, k: int = D.BATCH_K, runs: int = D.BATCH_RUNS,
+          tol: float = D.BATCH_EPSILON, sample: float = D.BATCH_SAMPLE,
+          seed: int = D.SPLIT_SEED, n_top: int = D.ANOMALY_TOP_N,
           id_col: str = "rid", max_iter: int = 20, parallelism: int = 1,
           encoding: str = "numeric") -> TrainResult:
     """E1 on the ``sample`` share of the records (hash split on ``id_col``).

@@ -25,6 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clusterlens import defaults as D
 from clusterlens.functions.nearest import CenterSet, as_center_set, assign
 from clusterlens.operators.kmeans import vector_sums
 from clusterlens.operators.stats import Normalizer
@@ -67,7 +68,8 @@ class StreamingKMeans:
     """R1 + R2 as a ``foreachBatch`` function with versioned state."""
 
     def __init__(self, spark: SparkSession, state_dir: str, initial_centers,
-                 initial_weight: float | list[float] = 100.0, decay: float = 1.0,
+                 initial_weight: float | list[float] = D.STREAM_INITIAL_WEIGHT,
+                 decay: float = D.STREAM_DECAY,
                  time_unit: str = "batches", normalizer: Normalizer | None = None,
                  features: str = "features", score_first: bool = False):
         self.spark = spark
@@ -167,5 +169,5 @@ class StreamingKMeans:
         """Run on a streaming DataFrame; returns the ``StreamingQuery``."""
         self.ensure_initial()
         w = stream.writeStream.foreachBatch(self.process).option("checkpointLocation", checkpoint)
-        w = w.trigger(**(trigger or {"processingTime": "10 seconds"}))
+        w = w.trigger(**(trigger or {"processingTime": f"{D.STREAM_BATCH_SECONDS} seconds"}))
         return w.start()
