@@ -31,6 +31,7 @@ from clusterlens.operators.report import (caption, chart_label, chart_rows, clus
                                           running_share, sort_rows, truncate_label, upsert,
                                           validate, with_share)
 from clusterlens.plans import fixtures as fx
+from clusterlens.plans import model_search as ms
 from clusterlens.plans import train as tr
 from clusterlens.plans.monitor import StreamMonitor
 from clusterlens.schema import layout_schema
@@ -156,28 +157,28 @@ def q_kmeans_tuned(spark, sf_dir):
 
 
 def q_k_sweep_basic(spark, sf_dir):
-    return km.k_sweep(_numeric_records(spark, sf_dir), SWEEP_KS, tuned=False,
-                      parallelism=SWEEP_PARALLELISM)
+    return ms.search_k_basic(_records(spark, sf_dir), LAYOUT, SWEEP_KS,
+                             parallelism=SWEEP_PARALLELISM)
 
 
 def q_k_sweep_raw(spark, sf_dir):
-    return km.k_sweep(_numeric_records(spark, sf_dir), SWEEP_KS, runs=SWEEP_RUNS,
-                      parallelism=SWEEP_PARALLELISM)
+    return ms.search_k_raw(_records(spark, sf_dir), LAYOUT, SWEEP_KS, runs=SWEEP_RUNS,
+                           parallelism=SWEEP_PARALLELISM)
 
 
 def q_k_sweep_zscore(spark, sf_dir):
-    return km.k_sweep(st.zscore(_numeric_records(spark, sf_dir)), SWEEP_KS, runs=SWEEP_RUNS,
-                      parallelism=SWEEP_PARALLELISM)
+    return ms.search_k_zscore(_records(spark, sf_dir), LAYOUT, SWEEP_KS, runs=SWEEP_RUNS,
+                              parallelism=SWEEP_PARALLELISM)
 
 
 def q_k_sweep_mixed(spark, sf_dir):
-    return km.k_sweep(st.zscore(_mixed_records(spark, sf_dir)), SWEEP_KS, runs=SWEEP_RUNS,
-                      parallelism=SWEEP_PARALLELISM)
+    return ms.search_k_mixed(_records(spark, sf_dir), LAYOUT, SWEEP_KS, runs=SWEEP_RUNS,
+                             parallelism=SWEEP_PARALLELISM)
 
 
 def q_k_sweep_entropy(spark, sf_dir):
-    return km.k_sweep(st.zscore(_mixed_records(spark, sf_dir)), SWEEP_KS, how="entropy",
-                      runs=SWEEP_RUNS, parallelism=SWEEP_PARALLELISM)
+    return ms.search_k_entropy(_records(spark, sf_dir), LAYOUT, SWEEP_KS, runs=SWEEP_RUNS,
+                               parallelism=SWEEP_PARALLELISM)
 
 
 def q_anomaly_selffit(spark, sf_dir):
@@ -188,9 +189,8 @@ def q_anomaly_selffit(spark, sf_dir):
 
 def q_anomaly_mixed(spark, sf_dir):
     """Original line, its label and distance for every anomalous record."""
-    pts = _mixed_records(spark, sf_dir, keep=("rid", "line"))
-    det = an.build_detector_selffit(pts, k=20, runs=3, n=100, seed=1)
-    return det.anomalies(pts).select("line", "label", r6("dist").alias("dist"))
+    out = ms.list_anomalies(_records(spark, sf_dir), LAYOUT, k=20, runs=3, n=100, seed=1)
+    return out.select("line", "label", r6("dist").alias("dist"))
 
 
 # ------------------------------------------------------------- embeddings
