@@ -75,6 +75,14 @@ def one_hot(idx: Column, n: int) -> Column:
                        lambda j: F.when(j == idx, 1.0).otherwise(0.0))
 
 
+def category_index(index: CategoryIndex, field: int, value: Column) -> Column:
+    """The dictionary index of ``value`` for ``field`` (null when unseen);
+    needs an index small enough to inline (``index.maps`` set)."""
+    if index.maps is None:
+        raise ValueError("dictionary too large to inline; use parse_mixed (joins)")
+    return F.try_element_at(_map_literal(index.maps.get(field, {})), value)
+
+
 def _map_literal(m: dict[str, int]) -> Column:
     args = []
     for k in sorted(m):

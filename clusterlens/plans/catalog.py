@@ -109,8 +109,7 @@ def q_one_hot(spark, sf_dir):
     lines = _records(spark, sf_dir)
     index = enc.CategoryIndex.from_df(enc.fit_categories(lines, LAYOUT))
     prio = 3
-    idx = F.try_element_at(enc._map_literal(index.maps[prio]),
-                           F.get(ps.split_fields("line"), prio))
+    idx = enc.category_index(index, prio, F.get(ps.split_fields("line"), prio))
     block = enc.one_hot(idx, index.size(prio))
     return lines.select("rid", F.posexplode(block).alias("pos", "value"))
 

@@ -160,3 +160,33 @@ def test_fit_quality_and_determinism(spark):
     again = km.fit_best(pts, k=10, runs=3, seed=5)
     np.testing.assert_allclose(best.centers.matrix, again.centers.matrix, rtol=1e-12)
     pts.unpersist()
+
+
+def test_hot_value_third_of_rows_is_exact(spark):
+    """One point value holds a third of the rows, spread over 8 partitions."""
+    rng = np.random.RandomState(2)
+    cold = rng.randn(2000, 3) * 3
+    hot = np.tile([[0.5, 0.5, 0.5]], (1000, 1))
+    x = np.vstack([cold, hot])
+    labels = ["a" if i % 3 else "b" for i in range(2000)] + ["hot"] * 1000
+    df = spark.createDataFrame([(i, labels[i], [float(v) for v in x[i]]) for i in range(len(x))],
+                               "id long, label string, features array<double>").repartition(8)
+    cs = CenterSet.from_arrays([0, 1, 2], [[0.0, 0.0, 0.0], [5.0, 5.0, 5.0], [-5.0, -5.0, -5.0]])
+    d = np.sqrt(((x[:, None, :] - cs.matrix[None]) ** 2).sum(-1))
+    near = d.argmin(1)
+    a = assign(df, cs)
+    mk = {(r.cluster, r.label): r["count"] for r in ev.label_makeup(a).collect()}
+    expect = {}
+    for c, lab in zip(near, labels):
+        expect[(int(c), lab)] = expect.get((int(c), lab), 0) + 1
+    assert mk == expect
+    rep = cluster_report(a, n=100).collect()
+    assert sum(r["count"] for r in rep) == 3000
+    step = km.lloyd(df, cs, steps=1)
+    for j in range(3):
+        if (near == j).any():
+            np.testing.assert_allclose(step.matrix[j], x[near == j].mean(0), rtol=1e-10)
+    from clusterlens.operators.stats import feature_moments
+    m = sorted((r.pos, r.mean, r.std) for r in feature_moments(df).collect())
+    np.testing.assert_allclose([v[1] for v in m], x.mean(0), rtol=1e-10)
+    np.testing.assert_allclose([v[2] for v in m], x.std(0), rtol=1e-10)
