@@ -99,9 +99,12 @@ class StreamingKMeans:
             self._centers_path(v))
 
     def ensure_initial(self) -> None:
+        """Commit the initial model as version -1 unless a state exists."""
         if not self.committed(INITIAL_VERSION):
             cs, w = self.initial
             self._write_centers(INITIAL_VERSION, cs, w)
+            if self._latest is None:  # fresh state: nothing newer can exist
+                self._latest = (INITIAL_VERSION, cs, w)
 
     def latest(self, before: int | None = None) -> tuple[int, CenterSet, np.ndarray]:
         """Largest committed version (below ``before`` when given)."""
