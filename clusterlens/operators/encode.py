@@ -69,6 +69,8 @@ class CategoryIndex:
 
 def one_hot(idx: Column, n: int) -> Column:
     """``n`` doubles, 1.0 at ``idx``; a null index gives all zeros."""
+    if n == 0:
+        return F.array().cast("array<double>")
     if n <= _UNROLL_BLOCK:
         return F.array(*[F.when(idx == j, 1.0).otherwise(0.0) for j in range(n)])
     return F.transform(F.sequence(F.lit(0), F.lit(n - 1)),

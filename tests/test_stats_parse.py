@@ -3,6 +3,8 @@ import math
 import pytest
 from hypothesis import given, settings, strategies as st
 
+from pyspark.sql import functions as F
+
 from clusterlens.operators import encode as enc
 from clusterlens.operators import parse as ps
 from clusterlens.operators import sample as sm
@@ -148,3 +150,21 @@ def test_no_parse_expression_is_pushed_into_the_join(spark, capsys):
     scored = tr.report_all(det.score(parsed))
     for line in _join_lines(scored, capsys):
         assert "split(" not in line
+
+
+def test_empty_field_is_a_category_and_missing_fields_quarantine(spark):
+    fit = lines(spark, ["1,,m,u,2,a.", "3,,m,v,4,b."])
+    d = enc.fit_categories(fit, LAYOUT)
+    out = enc.parse_mixed(fit, LAYOUT, d).orderBy("label").collect()
+    # "" is a value of the field (one slot), as splitting the line gives it
+    assert [list(r.features) for r in out] == [[1.0, 1.0, 1.0, 1.0, 0.0, 2.0],
+                                               [3.0, 1.0, 1.0, 0.0, 1.0, 4.0]]
+    short = lines(spark, ["1", "2"])  # no categorical field at all: empty dictionaries
+    p = enc.parse_mixed(short, LAYOUT, enc.fit_categories(short, LAYOUT))
+    assert [r.ok for r in p.collect()] == [False, False]
+
+
+def test_wide_one_hot_uses_sequence_form(spark):
+    df = spark.createDataFrame([(3,), (None,)], "i int")
+    out = df.select(enc.one_hot(F.col("i"), 100).alias("v")).collect()
+    assert out[0].v[3] == 1.0 and sum(out[0].v) == 1.0 and sum(out[1].v) == 0.0 and len(out[1].v) == 100
