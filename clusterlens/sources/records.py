@@ -33,6 +33,18 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",
     return reader.schema(schema).csv(path)
 
 
+def with_record_id(df: DataFrame, out: str = "rid") -> DataFrame:
+    """A stable id for records read straight from files (the lines carry
+    none): file, start of the split, and position inside the split. It is
+    the same every time the scan is recomputed (same files, same splits), so
+    hash splits and replays keep their records. Apply right after the scan.
+    """
+    pos = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    return df.withColumn(out, F.concat_ws(":", F.input_file_name(),
+                                          F.input_file_block_start().cast("string"),
+                                          pos.cast("string")))
+
+
 def record_count(df: DataFrame) -> DataFrame:
     """One row ``n``."""
     return df.agg(F.count(F.lit(1)).alias("n"))
