@@ -10,6 +10,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -80,10 +81,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` exists on whatever file system it names."""
-    if "://" not in path:
-        return os.path.exists(path)
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
+    """True when ``path`` exists, on whatever file system it names.
+
+    Local paths are checked directly; others by resolving them with the
+    public reader API (resolution lists the path and fails if it is absent).
+    """
+    if "://" not in path or path.startswith("file:"):
+        return os.path.exists(path[len("file:"):] if path.startswith("file:") else path)
+    try:
+        spark.read.format("text").load(path)
+        return True
+    except AnalysisException:
+        return False
