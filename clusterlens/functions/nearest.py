@@ -74,19 +74,27 @@ class CenterSet:
     @classmethod
     def from_df(cls, centers: DataFrame, cluster_col: str = "cluster",
                 center_col: str = "center") -> "CenterSet":
-        """Collect a ``(cluster, center)`` DataFrame after checking its size."""
-        stats = centers.agg(F.count(F.lit(1)).alias("k"),
-                            F.max(F.size(center_col)).alias("d"),
-                            F.min(F.size(center_col)).alias("d0")).first()
-        k, d, d0 = int(stats["k"]), stats["d"], stats["d0"]
-        if k == 0:
-            raise ValueError("no centres")
-        if d != d0:
-            raise ValueError(f"centres have unequal widths {d0}..{d}")
-        if k * d > MAX_CENTER_VALUES:
-            raise ValueError(
-                f"{k} centres x {d} dims exceed {MAX_CENTER_VALUES} values")
-        rows = centers.select(cluster_col, center_col).collect()
+        """Collect a ``(cluster, center)`` DataFrame after checking its size.
+
+        The (small) centres are cached across the check and the collect, so
+        centres derived from a large table are computed once.
+        """
+        c = centers.select(cluster_col, center_col).persist()
+        try:
+            stats = c.agg(F.count(F.lit(1)).alias("k"),
+                          F.max(F.size(center_col)).alias("d"),
+                          F.min(F.size(center_col)).alias("d0")).first()
+            k, d, d0 = int(stats["k"]), stats["d"], stats["d0"]
+            if k == 0:
+                raise ValueError("no centres")
+            if d != d0:
+                raise ValueError(f"centres have unequal widths {d0}..{d}")
+            if k * d > MAX_CENTER_VALUES:
+                raise ValueError(
+                    f"{k} centres x {d} dims exceed {MAX_CENTER_VALUES} values")
+            rows = c.collect()
+        finally:
+            c.unpersist()
         return cls.from_arrays([r[0] for r in rows], [r[1] for r in rows])
 
     def to_df(self, spark, weights=None) -> DataFrame:
