@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clusterlens.functions.vectors import col_of, distance
+from clusterlens.schema import CENTERS_SCHEMA, WEIGHTED_CENTERS_SCHEMA
 
 # Centres beyond this many values are not collected at all: no k-means model
 # of that size is meaningful, and the driver must not hold it.
@@ -101,11 +102,9 @@ class CenterSet:
         rows = [(int(i), [float(v) for v in row])
                 for i, row in zip(self.ids, self.matrix)]
         if weights is None:
-            return spark.createDataFrame(
-                rows, "cluster int, center array<double>")
-        return spark.createDataFrame(
-            [r + (float(w),) for r, w in zip(rows, weights)],
-            "cluster int, center array<double>, weight double")
+            return spark.createDataFrame(rows, CENTERS_SCHEMA)
+        return spark.createDataFrame([r + (float(w),) for r, w in zip(rows, weights)],
+                                     WEIGHTED_CENTERS_SCHEMA)
 
 
 def as_center_set(centers) -> CenterSet:

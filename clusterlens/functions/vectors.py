@@ -39,17 +39,6 @@ def distance(a: str | Column, b: str | Column) -> Column:
     return F.when(F.size(a) == F.size(b), F.sqrt(total))
 
 
-def squared_distance_to(c: str | Column, point: Sequence[float]) -> Column:
-    """Squared distance to a constant point, unrolled (width known)."""
-    c = col_of(c)
-    terms = [(F.get(c, i) - F.lit(float(v))) * (F.get(c, i) - F.lit(float(v)))
-             for i, v in enumerate(point)]
-    out = terms[0]
-    for t in terms[1:]:
-        out = out + t
-    return out
-
-
 def usable_scale(s: float | None) -> bool:
     """A scale divides only when it is a positive number (not 0, NaN, null)."""
     return s is not None and s == s and s > 0

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clusterlens.functions.vectors import as_double_array
 from clusterlens.schema import RecordLayout
 
 RECORD_LAYOUT = RecordLayout(
@@ -52,7 +53,7 @@ def embedding_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id, label, features ARRAY<DOUBLE>`` from embeddings."""
     return table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("id"), "label",
-        F.col("embedding").cast("array<double>").alias("features"))
+        as_double_array("embedding").alias("features"))
 
 
 def given_centers(spark: SparkSession, sf_dir: str) -> DataFrame:

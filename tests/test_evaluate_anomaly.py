@@ -190,3 +190,11 @@ def test_hot_value_third_of_rows_is_exact(spark):
     m = sorted((r.pos, r.mean, r.std) for r in feature_moments(df).collect())
     np.testing.assert_allclose([v[1] for v in m], x.mean(0), rtol=1e-10)
     np.testing.assert_allclose([v[2] for v in m], x.std(0), rtol=1e-10)
+
+
+def test_single_k_scores(spark):
+    pts = fx.embedding_points(spark, SF_SMALL)
+    b = km.basic_score(pts, 3, seed=1)
+    t = km.tuned_score(pts, 3, runs=2, seed=1)
+    e = km.tuned_score(pts, 3, runs=1, seed=1, how="entropy")
+    assert b > 0 and t > 0 and 0 <= e <= math.log(10) + 1e-12
