@@ -1,7 +1,7 @@
 """Command line: the batch job of the reference, on any Spark-readable path.
 
     spark-submit --py-files clusterlens.zip -m clusterlens \\
-        --input /data/kddcup.data_10_percent --out /shared/report [--k 130 ...]
+        --input /data/connections --out /shared/report [--k 130 ...]
 
 Reads the record lines, trains on a hash sample (E1), scores every record
 with the trained detector and writes the per-cluster report (cluster, label,

@@ -90,7 +90,7 @@ def test_report_json_round_trip(spark):
 
 
 def test_report_json_reads_dashboard_array(spark, tmp_path):
-    p = tmp_path / "data.json"
+    p = tmp_path / "report.json"
     p.write_text(json.dumps([{"cluster": 0, "label": "Smurf", "count": 280790},
                              {"cluster": 0, "label": "Back", "count": 2203}]))
     back = read_report_json(spark, str(p), multi_line=True).orderBy("value").collect()
