@@ -12,10 +12,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from clusterlens import defaults as D
-from clusterlens.functions.nearest import assign
+from clusterlens.functions.nearest import CenterSet, assign
 from clusterlens.operators import encode as enc
 from clusterlens.operators import evaluate as ev
 from clusterlens.operators import parse as ps
@@ -25,6 +25,7 @@ from clusterlens.operators.report import report_from_flags
 from clusterlens.operators.sample import split_index
 from clusterlens.operators.stats import Normalizer
 from clusterlens.schema import RecordLayout
+from clusterlens.session import path_exists
 
 
 @dataclass
@@ -107,3 +108,45 @@ def score_all(lines: DataFrame, layout: RecordLayout, trained: TrainResult,
 def report_all(scored: DataFrame) -> DataFrame:
     """D1 over scored records, using the detector's own flag."""
     return report_from_flags(scored)
+
+
+
+_META = ("width int, categorical array<int>, label_index int, sep string, names array<string>, "
+         "threshold double, k int, cost double, seed int, n_train long, distance_score double, "
+         "entropy_score double")
+
+
+def save(spark: SparkSession, trained: TrainResult, path: str) -> None:
+    """Write the trained model as small tables under ``path`` (shared
+    storage): ``centers``, ``moments``, ``dictionary`` (mixed encoding only)
+    and a one-row ``meta``. A separate streaming job loads it with ``load``."""
+    root = path.rstrip("/")
+    trained.detector.centers.to_df(spark).write.mode("overwrite").parquet(f"{root}/centers")
+    trained.normalizer.to_df(spark).write.mode("overwrite").parquet(f"{root}/moments")
+    if trained.dictionary is not None:
+        trained.dictionary.write.mode("overwrite").parquet(f"{root}/dictionary")
+    lay, m = trained.layout, trained.model
+    spark.createDataFrame(
+        [(lay.width, list(lay.categorical), lay.label_index, lay.sep, list(lay.names),
+          trained.detector.threshold, m.k, m.cost, m.seed, trained.n_train,
+          trained.distance_score, trained.entropy_score)], _META
+    ).write.mode("overwrite").parquet(f"{root}/meta")
+
+
+def load(spark: SparkSession, path: str) -> TrainResult:
+    """Read a model written by ``save``."""
+    root = path.rstrip("/")
+    meta = spark.read.parquet(f"{root}/meta").first()
+    layout = RecordLayout(width=meta["width"], categorical=tuple(meta["categorical"]),
+                          label_index=meta["label_index"], sep=meta["sep"],
+                          names=tuple(meta["names"] or ()))
+    moments = spark.read.parquet(f"{root}/moments").orderBy("pos").collect()
+    nz = Normalizer(tuple(r["mean"] for r in moments), tuple(r["std"] for r in moments),
+                    int(moments[0]["n"]) if moments else 0)
+    centers = CenterSet.from_df(spark.read.parquet(f"{root}/centers"))
+    dictionary = (spark.read.parquet(f"{root}/dictionary")
+                  if path_exists(spark, f"{root}/dictionary") else None)
+    model = KMeansResult(centers, meta["cost"], meta["k"], meta["seed"])
+    return TrainResult(layout, dictionary, nz, model,
+                       AnomalyDetector(nz, centers, meta["threshold"]), meta["n_train"],
+                       meta["distance_score"], meta["entropy_score"])

@@ -42,3 +42,19 @@ def test_numeric_training_matches_main_job_shape(spark):
     scored = tr.score_all(lines, fx.RECORD_LAYOUT, trained)
     rep = tr.report_all(scored).collect()
     assert sum(r["count"] for r in rep) == lines.count()
+
+
+def test_save_and_load_model(spark):
+    from clusterlens.session import scratch_path
+    lines = fx.record_lines(spark, SF_SMALL)
+    trained = tr.train(lines, fx.RECORD_LAYOUT, k=4, runs=1, sample=0.3, seed=11, n_top=10,
+                       encoding="mixed")
+    path = scratch_path(spark, "t-model")
+    tr.save(spark, trained, path)
+    back = tr.load(spark, path)
+    assert back.layout == trained.layout and back.model.k == 4
+    assert back.detector.threshold == trained.detector.threshold
+    assert back.normalizer.means == trained.normalizer.means
+    a = {r.rid: (r.cluster, r.dist) for r in trained.detector.score(trained.parse(lines)).collect()}
+    b = {r.rid: (r.cluster, r.dist) for r in back.detector.score(back.parse(lines)).collect()}
+    assert a == b
