@@ -21,3 +21,16 @@ def test_positions_and_running_sum_match_sorted_brute_force(spark):
 def test_positions_empty(spark):
     df = spark.createDataFrame([], "id long, value double")
     assert positions(df, [F.col("id")], "pos", "value").count() == 0
+
+
+def test_positions_with_many_shuffle_partitions(spark):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        df = spark.range(0, 5000).select((F.col("id") * 7919 % 5000).alias("k"),
+                                         F.lit(1.0).alias("v"))
+        out = positions(df, [F.col("k").asc()], "pos", "v", "cum").collect()
+        assert sorted(r.pos for r in out) == list(range(5000))
+        assert all(r.pos == r.k and r.cum == r.k + 1 for r in out)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)

@@ -185,3 +185,14 @@ def test_restart_resumes_from_checkpoint_and_state(spark):
     np.testing.assert_allclose([x[1] for x in a], [x[1] for x in b], rtol=1e-12, atol=1e-12)
     np.testing.assert_allclose([x[2] for x in a], [x[2] for x in b], rtol=1e-12)
     assert resumed.metrics().count() == 4
+
+
+def test_snapshot_without_commit_marker_is_skipped(spark):
+    root = scratch_path(spark, "t-snap")
+    rep = spark.createDataFrame([(0, "a", 1)], REPORT_JSON_SCHEMA)
+    ss.write_snapshot(rep, root, 1)
+    # a version whose job did not commit: files without the _SUCCESS marker
+    (rep.withColumn("count", F.lit(7).cast("long")).write
+        .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+        .mode("overwrite").json(f"{root}/v=2"))
+    assert ss.read_latest_snapshot(spark, root, REPORT_JSON_SCHEMA).first()["count"] == 1
