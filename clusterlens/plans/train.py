@@ -1,11 +1,13 @@
 """Batch train-and-evaluate flow (the reference's main job, E1), and
 scoring of all records with the trained detector.
 
-read -> hash split -> dictionaries -> one-hot parse -> z-score -> tuned
-k-means -> distance score, entropy, make-up -> anomaly threshold; then the
-detector scores every record and the per-cluster report is built. Only
-O(k*d) values (moments, centres, threshold) reach the driver. Each input
-that is read more than once is persisted once and released in ``finally``.
+read -> hash split -> parse (numeric fields, or one-hot with dictionaries)
+-> z-score -> tuned k-means -> distance score, entropy, make-up -> anomaly
+threshold; then the detector scores every record and the per-cluster report
+is built. Only O(k*d) values (moments, centres, threshold) reach the driver.
+Each input that is read more than once is persisted once and released in
+``finally``. ``save`` / ``load`` keep the model as small tables so a separate
+streaming job can use it.
 """
 
 from __future__ import annotations
@@ -110,7 +112,6 @@ def report_all(scored: DataFrame) -> DataFrame:
     return report_from_flags(scored)
 
 
-
 _META = ("width int, categorical array<int>, label_index int, sep string, names array<string>, "
          "threshold double, k int, cost double, seed int, n_train long, distance_score double, "
          "entropy_score double")
