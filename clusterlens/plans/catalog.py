@@ -27,7 +27,7 @@ from clusterlens.operators import sample as sm
 from clusterlens.operators import stats as st
 from clusterlens.operators.ordering import positions
 from clusterlens.operators.report import (caption, chart_label, chart_rows, cluster_report,
-                                          group_small, hide_below, number_text,
+                                          group_members, group_small, hide_below, number_text,
                                           running_share, sort_rows, truncate_label, upsert,
                                           validate, with_share)
 from clusterlens.plans import fixtures as fx
@@ -101,6 +101,11 @@ def q_parse_numeric(spark, sf_dir):
                     *[F.col("features")[j].alias(n) for j, n in enumerate(names)], "ok")
 
 
+def q_quarantine_counts(spark, sf_dir):
+    """P1 quarantine accounting: parsed + quarantined = total."""
+    return ps.quarantine_counts(ps.parse_numeric(_records(spark, sf_dir), LAYOUT))
+
+
 def q_category_index(spark, sf_dir):
     return enc.fit_categories(_records(spark, sf_dir), LAYOUT)
 
@@ -226,6 +231,12 @@ def q_distance_score(spark, sf_dir):
     return s.select("n", r6("distance_score").alias("distance_score"))
 
 
+def q_cluster_distance(spark, sf_dir):
+    """A3 per cluster: size and mean distance to the cluster's centre."""
+    d = ev.distance_by_cluster(assigned_embeddings(spark, sf_dir))
+    return d.select("cluster", "n", r6("mean_dist").alias("mean_dist"))
+
+
 def q_cluster_entropy(spark, sf_dir):
     e = ev.cluster_entropy(ev.label_makeup(assigned_embeddings(spark, sf_dir)))
     return e.select("cluster", "n", r6("entropy").alias("entropy"))
@@ -393,6 +404,13 @@ def q_report_group_small(spark, sf_dir):
     return group_small(rows, D.GROUP_SMALL_PERCENT, "percentage", label=D.GROUP_SMALL_LABEL)
 
 
+def q_report_group_members(spark, sf_dir):
+    """D3 members: the chart rows folded into the small-rows group."""
+    rows = group_members(_chart(spark, sf_dir), D.GROUP_SMALL_PERCENT, "percentage",
+                         label=D.GROUP_SMALL_LABEL)
+    return rows.select("label", "value", "group")
+
+
 def q_report_cumulative(spark, sf_dir):
     rows = running_share(sort_rows(_chart(spark, sf_dir), "value-desc"))
     return rows.select("label", "value", "pos", r6("end_share").alias("end_share"),
@@ -460,6 +478,7 @@ QUERIES: dict[str, Query] = {
     "scan_records": q_scan_records,
     "record_count": q_record_count,
     "parse_numeric": q_parse_numeric,
+    "quarantine_counts": q_quarantine_counts,
     "category_index": q_category_index,
     "one_hot": q_one_hot,
     "parse_mixed": q_parse_mixed,
@@ -477,6 +496,7 @@ QUERIES: dict[str, Query] = {
     "assign_clusters": q_assign_clusters,
     "vector_distance": q_vector_distance,
     "distance_score": q_distance_score,
+    "cluster_distance": q_cluster_distance,
     "cluster_entropy": q_cluster_entropy,
     "entropy_score": q_entropy_score,
     "distance_threshold": q_distance_threshold,
@@ -509,6 +529,7 @@ QUERIES: dict[str, Query] = {
     "report_sort_random": _sorted("random"),
     "report_share": q_report_share,
     "report_group_small": q_report_group_small,
+    "report_group_members": q_report_group_members,
     "report_cumulative": q_report_cumulative,
     "report_captions": q_report_captions,
     "report_upsert": q_report_upsert,

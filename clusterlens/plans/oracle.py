@@ -270,3 +270,13 @@ FROM o FULL OUTER JOIN n ON o.cluster = n.cluster AND o.label = n.label""",
 SELECT cluster, CAST(label AS VARCHAR) AS label, count AS value FROM mk""",
 }
 ORACLE.update(ORACLE_MORE)
+
+ORACLE.update({
+    "quarantine_counts": f"""WITH {_J}
+SELECT count(*) AS parsed, CAST(0 AS BIGINT) AS quarantined, count(*) AS total FROM j""",
+    "cluster_distance": f"""WITH {_ASSIGNED}
+SELECT cluster, count(*) AS n, {R('avg(dist)')} AS mean_dist FROM asg GROUP BY cluster""",
+    "report_group_members": f"""WITH {_CHART}
+SELECT label, value, 'Other clusters less than 1%' AS "group"
+FROM chart, tot WHERE value / total * 100 <= 1""",
+})
