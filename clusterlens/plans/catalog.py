@@ -435,6 +435,15 @@ def q_report_upsert(spark, sf_dir):
     return upsert(old, new, ("cluster", "label"), "count", mode="sum")
 
 
+def q_report_upsert_replace(spark, sf_dir):
+    """D8, replace mode: keys present in the new half take its count."""
+    a = assigned_embeddings(spark, sf_dir).withColumn(
+        "_h", sm.split_index("id", (0.5, 0.5), seed=11))
+    old = ev.label_makeup(a.where(F.col("_h") == 0))
+    new = ev.label_makeup(a.where(F.col("_h") == 1))
+    return upsert(old, new, ("cluster", "label"), "count", mode="replace")
+
+
 def q_report_json(spark, sf_dir):
     """S4 then S5: write the make-up as a JSON report, read it back."""
     path = scratch_path(spark, "report-json")
@@ -533,6 +542,7 @@ QUERIES: dict[str, Query] = {
     "report_cumulative": q_report_cumulative,
     "report_captions": q_report_captions,
     "report_upsert": q_report_upsert,
+    "report_upsert_replace": q_report_upsert_replace,
     "report_json": q_report_json,
     # main flows
     "train_evaluate": q_train_evaluate,

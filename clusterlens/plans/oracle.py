@@ -280,3 +280,12 @@ SELECT cluster, count(*) AS n, {R('avg(dist)')} AS mean_dist FROM asg GROUP BY c
 SELECT label, value, 'Other clusters less than 1%' AS "group"
 FROM chart, tot WHERE value / total * 100 <= 1""",
 })
+
+ORACLE["report_upsert_replace"] = f"""WITH {_ASSIGNED},
+h AS (SELECT *, CAST('0x' || substr(md5('11:' || CAST(id AS VARCHAR)), 1, 8) AS BIGINT) % 10000 < 5000
+                AS first_half FROM asg),
+o AS (SELECT cluster, label, count(*) AS n FROM h WHERE first_half GROUP BY cluster, label),
+n AS (SELECT cluster, label, count(*) AS n FROM h WHERE NOT first_half GROUP BY cluster, label)
+SELECT coalesce(o.cluster, n.cluster) AS cluster, coalesce(o.label, n.label) AS label,
+       coalesce(n.n, o.n) AS count
+FROM o FULL OUTER JOIN n ON o.cluster = n.cluster AND o.label = n.label"""
