@@ -319,20 +319,20 @@ def _templates(parsed: DataFrame, min_pages: int) -> DataFrame:
              .agg(F.min("hash").alias("lo"), F.max("hash").alias("hi"),
                   F.approx_count_distinct("page").alias("n")))
 
-    def merge(frame):
-        import pandas as pd
-        names = sorted(frame["layout"].unique())
+    def merge(rows: pa.Table) -> pa.Table:
+        rows = rows.to_pylist()
+        names = sorted({r["layout"] for r in rows})
         at = {n: k for k, n in enumerate(names)}
-        stats = {(at[a], int(s)): (int(lo), int(hi), int(n)) for a, s, lo, hi, n in zip(
-            frame["layout"], frame["slot"], frame["lo"], frame["hi"], frame["n"])}
+        stats = {(at[r["layout"]], r["slot"]): (r["lo"], r["hi"], r["n"]) for r in rows}
         found: dict[int, list[int]] = {}
         for k, s in sorted(template_slots(names, stats, min_pages)):
             found.setdefault(k, []).append(s)
-        return pd.DataFrame({"host": [frame["host"].iloc[0]] * len(found),
-                             "layout": [names[k] for k in found],
-                             "template": list(found.values())})
+        return pa.table([pa.array([rows[0]["host"]] * len(found), pa.string()),
+                         pa.array([names[k] for k in found], pa.string()),
+                         pa.array(list(found.values()), pa.list_(pa.int32()))],
+                        names=["host", "layout", "template"])
 
-    return slots.groupBy("host").applyInPandas(merge, "host string, layout string, template array<int>")
+    return slots.groupBy("host").applyInArrow(merge, "host string, layout string, template array<int>")
 
 
 def extract(pages: DataFrame, key: str = "page_id", min_pages: int = MIN_PAGES) -> DataFrame:
