@@ -30,6 +30,7 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PCT = 50
 MAX_HOST_RATE = 0.5
+MAX_BROADCAST_HOSTS = 10_000    # more rejected hosts are joined by shuffle
 METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -164,7 +165,12 @@ def judge(docs: DataFrame, text: str = "text", host: str = "source", keep: tuple
     base = (with_metrics(wanted, "__qr_in", "qr_").drop("__qr_in")
             .withColumn("qr_base_failed", base_failed("qr_", min_words, max_repeat_pct)))
     base = staged(base, "quality-rules")
-    bad = rejected_hosts(base, hidden, "qr_base_failed", max_host_rate)
+    bad = staged(rejected_hosts(base, hidden, "qr_base_failed", max_host_rate), "quality-hosts")
+    n = bad.count()
+    if not n:
+        return base.withColumn("qr_kept", ~F.col("qr_base_failed")).drop(hidden)
+    if n <= MAX_BROADCAST_HOSTS:
+        bad = F.broadcast(bad)
     return (base.join(bad, base[hidden] == bad["__host"], "left")
             .withColumn("qr_kept", ~F.col("qr_base_failed") & F.col("__rejected").isNull())
             .drop(hidden, "__host", "__rejected"))
