@@ -69,6 +69,10 @@ def affine(c: str | Column, shift: Sequence[float],
     return F.when(F.size(c) == dim, F.transform(c, one))
 
 
-def element(c: str | Column, i: int) -> Column:
-    """Null-safe element access (no error on short arrays under ANSI mode)."""
-    return F.get(col_of(c), i)
+def of_width(c: str | Column, dim: int) -> Column:
+    """``c`` itself; a vector of another width stops the job (a null passes)."""
+    c = col_of(c)
+    wrong = F.concat(F.lit(f"feature vector of another width than {dim}: "),
+                     F.size(c).cast("string"))
+    return F.when(c.isNull() | (F.size(c) == dim), c).otherwise(
+        F.raise_error(wrong).cast("array<double>"))

@@ -109,7 +109,8 @@ def parse_mixed(df: DataFrame, layout: RecordLayout, dictionary: DataFrame,
         for c in layout.categorical:
             d = (dictionary.where(F.col("field") == c)
                  .select(F.col("value").alias(f"_v{c}"), F.col("idx").alias(f"_i{c}")))
-            base = base.join(d, F.get(F.col(fs), c) == F.col(f"_v{c}"), "left").drop(f"_v{c}")
+            # MAX_CATEGORIES rows at most (checked above)
+            base = base.join(F.broadcast(d), F.get(F.col(fs), c) == F.col(f"_v{c}"), "left").drop(f"_v{c}")
             idx_cols[c] = F.col(f"_i{c}")
     sizes = {c: index.size(c) for c in layout.categorical}
     pieces, numeric = [], []

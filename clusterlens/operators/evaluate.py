@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clusterlens import defaults as D
+from clusterlens.operators.ordering import positions
 
 
 def label_makeup(assigned: DataFrame, cluster_col: str = "cluster",
@@ -54,7 +55,8 @@ def _cluster_sums(makeup: DataFrame, cluster_col: str, count_col: str) -> DataFr
     return (makeup.where(F.col(count_col) > 0)
             .groupBy(cluster_col)
             .agg(F.sum(count_col).alias("n"),
-                 F.sum(n * F.log(n)).alias("_nlogn")))
+                 F.sum(n * F.log(n)).alias("_nlogn"),
+                 F.max(count_col).alias("_most")))
 
 
 def cluster_entropy(makeup: DataFrame, cluster_col: str = "cluster",
@@ -62,8 +64,16 @@ def cluster_entropy(makeup: DataFrame, cluster_col: str = "cluster",
     """A5: label entropy of each cluster, natural log: ``-sum p ln p``."""
     s = _cluster_sums(makeup, cluster_col, count_col)
     t = F.col("n").cast("double")
+    # rounding must not take a pure cluster off 0, nor any below it
+    h = F.greatest(F.log(t) - F.col("_nlogn") / t, F.lit(0.0))
     return s.select(cluster_col, "n",
-                    (F.log(t) - F.col("_nlogn") / t).alias("entropy"))
+                    F.when(F.col("_most") == F.col("n"), 0.0).otherwise(h).alias("entropy"))
+
+
+def sorted_makeup(makeup: DataFrame, cluster_col: str = "cluster",
+                  label_col: str = "label") -> DataFrame:
+    """The make-up with ``pos``, its place in (cluster, label) order."""
+    return positions(makeup, [F.col(cluster_col), F.col(label_col)], "pos")
 
 
 def entropy_score(makeup: DataFrame, cluster_col: str = "cluster",

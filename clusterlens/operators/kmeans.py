@@ -18,10 +18,11 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from clusterlens import defaults as D
 from clusterlens.functions.nearest import CenterSet, as_center_set, assign
-from clusterlens.functions.vectors import UNROLL_LIMIT, col_of
+from clusterlens.functions.vectors import UNROLL_LIMIT, col_of, of_width
 from clusterlens.operators import evaluate as ev
 
 
@@ -115,14 +116,24 @@ def vector_sums(assigned: DataFrame, dim: int, features: str = "features",
 def group_means(points: DataFrame, group_col: str = "label", dim: int | None = None,
                 features: str = "features") -> DataFrame:
     """``cluster, center``: the mean vector of each group (e.g. one centre per
-    label, a nearest-centroid model). One map-side-combined aggregate."""
+    label, a nearest-centroid model). One map-side-combined aggregate.
+
+    Integer groups keep their number; string groups are numbered in their
+    order and kept as a third column. A vector of another width than ``dim``
+    stops the job."""
     if dim is None:
         from clusterlens.operators.stats import vector_width
         dim = vector_width(points, features)
-    sums = vector_sums(points.where(F.col(group_col).isNotNull()), dim, features,
-                       cluster_col=group_col)
-    return sums.select(F.col(group_col).cast("int").alias("cluster"),
-                       F.transform("sums", lambda v: v / F.col("n")).alias("center"))
+    live = points.where(F.col(group_col).isNotNull()).withColumn(
+        features, of_width(features, dim))
+    sums = vector_sums(live, dim, features, cluster_col=group_col)
+    center = F.transform("sums", lambda v: v / F.col("n")).alias("center")
+    if isinstance(points.schema[group_col].dataType, StringType):
+        from clusterlens.operators.ordering import positions
+        numbered = positions(sums, [F.col(group_col)], "cluster")
+        return numbered.select(F.col("cluster").cast("int").alias("cluster"), center,
+                               F.col(group_col))
+    return sums.select(F.col(group_col).cast("int").alias("cluster"), center)
 
 
 def lloyd(points: DataFrame, centers, steps: int = 1,

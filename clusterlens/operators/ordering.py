@@ -52,12 +52,12 @@ def positions(df: DataFrame, keys: list[Column], pos_col: str = "pos",
         aggs.append(F.sum(value_col).alias("s"))
     totals = numbered.groupBy(pid.alias("_pid")).agg(*aggs).collect()  # one row per partition
     if not totals:
-        out = numbered.withColumn(pos_col, F.lit(None).cast("int"))
+        out = numbered.withColumn(pos_col, F.lit(None).cast("bigint"))
         if value_col is not None:
             out = out.withColumn(cum_col, F.lit(None).cast("double"))
         return out.drop("_mid")
     counts = _offsets({int(r["_pid"]): int(r["c"]) for r in totals})
-    out = numbered.withColumn(pos_col, (F.element_at(counts, pid) + local).cast("int"))
+    out = numbered.withColumn(pos_col, (F.element_at(counts, pid) + local).cast("bigint"))
     if value_col is not None:
         sums = _offsets({int(r["_pid"]): float(r["s"] or 0.0) for r in totals})
         w = (Window.partitionBy(pid).orderBy("_mid")

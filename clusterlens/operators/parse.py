@@ -2,13 +2,14 @@
 
 All parsing is built-in string/array expressions (``split``, ``try_cast``),
 so it runs inside whole-stage code generation. Malformed rows (wrong width,
-a non-numeric value in a numeric field) are kept and marked ``ok = false``;
+a non-numeric or non-finite value in a numeric field) are kept and marked ``ok = false``;
 ``valid`` + ``quarantine`` always add up to the input.
 """
 
 from __future__ import annotations
 
 import re
+import sys
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +24,9 @@ def split_fields(line: str | Column, sep: str = ",") -> Column:
 
 
 def _num(c: Column) -> Column:
-    return c.try_cast("double")
+    """The number, or null: NaN and the infinities are no valid field either."""
+    v = c.try_cast("double")
+    return F.when(~F.isnan(v) & (F.abs(v) <= sys.float_info.max), v)
 
 
 def _all_present(cols) -> Column:
@@ -81,20 +84,25 @@ def display_label(label: str | Column) -> Column:
     return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 1 << 30)))
 
 
+def _has_width(width: int | None) -> Column:
+    return F.lit(True) if width is None else F.size("_x") == width
+
+
 def parse_tab_labelled(df: DataFrame, line_col: str = "line", sep: str = ",",
-                       keep: tuple[str, ...] = ()) -> DataFrame:
-    """``label<TAB>f0,f1,...`` -> numeric ``label`` and ``features``."""
+                       keep: tuple[str, ...] = (), width: int | None = None) -> DataFrame:
+    """``label<TAB>f0,f1,...`` -> numeric ``label`` and ``features``;
+    with ``width`` a record of another number of features is not ok."""
     parts = F.split(F.col(line_col), "\t", 2)
     out = df.select(*keep, _num(F.get(parts, 0)).alias("label"),
                     F.transform(split_fields(F.get(parts, 1), sep), _num).alias("_x"))
     ok = F.col("label").isNotNull() & F.col("_x").isNotNull() & \
-        ~F.exists("_x", lambda x: x.isNull())
+        ~F.exists("_x", lambda x: x.isNull()) & _has_width(width)
     return out.select(*keep, "label", F.when(ok, F.col("_x")).alias("features"), ok.alias("ok"))
 
 
 def parse_unlabelled(df: DataFrame, line_col: str = "line", sep: str = ",",
-                     keep: tuple[str, ...] = ()) -> DataFrame:
-    """``f0,f1,...`` -> ``features``."""
+                     keep: tuple[str, ...] = (), width: int | None = None) -> DataFrame:
+    """``f0,f1,...`` -> ``features``; ``width`` as in P8."""
     out = df.select(*keep, F.transform(split_fields(line_col, sep), _num).alias("_x"))
-    ok = ~F.exists("_x", lambda x: x.isNull())
+    ok = ~F.exists("_x", lambda x: x.isNull()) & _has_width(width)
     return out.select(*keep, F.when(ok, F.col("_x")).alias("features"), ok.alias("ok"))

@@ -55,7 +55,8 @@ def report_from_flags(flagged: DataFrame, cluster_col: str = "cluster",
     t = F.sum("count").over(w).cast("double")
     return cl.select(
         cluster_col, label_col, "count",
-        (F.log(t) - F.sum(c * F.log(c)).over(w) / t).alias("entropy"),
+        F.when(F.max("count").over(w) == F.sum("count").over(w), 0.0).otherwise(
+            F.greatest(F.log(t) - F.sum(c * F.log(c)).over(w) / t, F.lit(0.0))).alias("entropy"),
         (F.sum("_sd").over(w) / t).alias("mean_dist"),
         F.sum("_an").over(w).alias("anomalies"))
 
@@ -83,6 +84,7 @@ def validate(rows: DataFrame, value_col: str = "value") -> DataFrame:
 
 # ------------------------------------------------------------------- T4
 
+# fixed values: the chart's order names
 SORT_ORDERS = ("none", "random", "value-asc", "value-desc", "label-asc", "label-desc")
 
 
@@ -92,7 +94,8 @@ def sort_rows(rows: DataFrame, order: str = D.REPORT_SORT_ORDER, seed: int = 0,
     """T4: add ``pos`` (0-based) in the chart order.
 
     Ties are broken by the label (the chart's comparator left them to the
-    sort implementation). Labels compare case-insensitively. ``none`` keeps
+    sort implementation). ``random`` goes by the md5 of seed and label, the
+    same on any partition layout. Labels compare case-insensitively. ``none`` keeps
     ``input_order`` (a column) when given.
     """
     v, lab = F.col(value_col), F.col(label_col)
@@ -101,7 +104,7 @@ def sort_rows(rows: DataFrame, order: str = D.REPORT_SORT_ORDER, seed: int = 0,
         "value-desc": [v.desc(), lab.asc()],
         "label-asc": [F.lower(lab).asc(), lab.asc()],
         "label-desc": [F.lower(lab).desc(), lab.desc()],
-        "random": [F.rand(seed), lab.asc()],
+        "random": [F.md5(F.concat(F.lit(f"{seed}:"), lab.cast("string"))), lab.asc()],
         "none": [F.col(input_order).asc()] if input_order else [F.monotonically_increasing_id()],
     }
     if order not in keys:
@@ -211,10 +214,11 @@ def label_text(rows: DataFrame, formatter=None, truncate: int | None = D.TRUNCAT
 def number_text(value: str | Column) -> Column:
     """A number as the chart prints it: integral values without ``.0``."""
     v = col_of(value)
-    return F.when((v == F.floor(v)) & (F.abs(v) < 1e15), v.cast("long").cast("string")) \
+    return F.when((v % 1 == 0) & (F.abs(v) < 1e21), v.cast("decimal(22,0)").cast("string")) \
         .otherwise(v.cast("string"))
 
 
+# fixed value: the chart's placeholder syntax
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
 
 

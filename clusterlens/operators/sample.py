@@ -1,13 +1,15 @@
 """Seeded splits and samples (M1, M2).
 
 ``randomSplit`` depends on how the input happens to be partitioned, so the
-default split is a hash split: a record's bucket is the first 32 bits of
-``md5("<seed>:<id>")`` mod 10000, the same wherever and however often it is
-computed (and reproducible in SQL). It is a per-row expression: no shuffle.
+default split is a hash split: a record's place is the first 32 bits of
+``md5("<seed>:<id>")``, the same wherever and however often it is computed
+(and reproducible in SQL). It is a per-row expression: no shuffle. The
+bootstrap draws its Poisson counts from the same kind of hash.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from itertools import accumulate
 
@@ -16,13 +18,13 @@ from pyspark.sql import functions as F
 
 from clusterlens.functions.vectors import col_of
 
-BUCKETS = 10_000
+BUCKETS = 1 << 32
 
 
 def hash_bucket(id_col: str | Column, seed: int, buckets: int = BUCKETS) -> Column:
     key = F.concat_ws(":", F.lit(str(seed)), col_of(id_col).cast("string"))
     h = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")
-    return (h % buckets).cast("int")
+    return h if buckets == BUCKETS else h % buckets
 
 
 def split_index(id_col: str | Column, weights: Sequence[float], seed: int,
@@ -46,6 +48,29 @@ def hash_split(df: DataFrame, weights: Sequence[float], seed: int,
     return [tagged.where(F.col("_part") == i).drop("_part") for i in range(len(weights))]
 
 
-def bootstrap_sample(df: DataFrame, fraction: float, seed: int) -> DataFrame:
-    """M2: sample with replacement (Poisson per row), seeded."""
-    return df.sample(withReplacement=True, fraction=fraction, seed=seed)
+def poisson_bounds(mean: float) -> list[int]:
+    """Places (of 2^32) at which a Poisson count of that mean rises by one."""
+    if not 0 <= mean <= 700:
+        raise ValueError("fraction must be between 0 and 700")
+    p = below = math.exp(-mean)
+    out, k = [], 0
+    while round(below * BUCKETS) < BUCKETS and k < mean + 40 * math.sqrt(mean + 1):
+        out.append(round(below * BUCKETS))
+        k += 1
+        p *= mean / k
+        below += p
+    return out
+
+
+def bootstrap_sample(df: DataFrame, fraction: float, seed: int,
+                     id_col: str = "id") -> DataFrame:
+    """M2: sample with replacement: each record ``fraction`` times on average,
+    its Poisson count taken from the hash of its id, so the sample does not
+    depend on the partition layout."""
+    h = hash_bucket(id_col, seed)
+    count = F.lit(0)
+    for b in poisson_bounds(fraction):
+        count = count + (h >= b).cast("int")
+    copies = F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(
+        F.array().cast("array<int>"))
+    return df.withColumn("_copy", F.explode(copies)).drop("_copy")

@@ -103,7 +103,13 @@ def q_parse_numeric(spark, sf_dir):
 
 def q_quarantine_counts(spark, sf_dir):
     """P1 quarantine accounting: parsed + quarantined = total."""
-    return ps.quarantine_counts(ps.parse_numeric(_records(spark, sf_dir), LAYOUT))
+    return ps.quarantine_counts(ps.parse_numeric(fx.spoiled_lines(spark, sf_dir), LAYOUT))
+
+
+def q_quarantine_rows(spark, sf_dir):
+    """Exactly the spoiled records are quarantined."""
+    p = ps.parse_numeric(fx.spoiled_lines(spark, sf_dir), LAYOUT, keep=("rid", "kind"))
+    return ps.quarantine(p).select("rid", "kind")
 
 
 def q_category_index(spark, sf_dir):
@@ -147,7 +153,14 @@ def q_hash_split(spark, sf_dir):
 
 
 def q_bootstrap_sample(spark, sf_dir):
-    return sm.bootstrap_sample(ps.valid(_numeric_records(spark, sf_dir)), 0.01, seed=11)
+    s = sm.bootstrap_sample(_numeric_records(spark, sf_dir), 0.01, seed=11, id_col="rid")
+    return s.select("rid", "label", F.get("features", F.lit(0)).alias("l_quantity"))
+
+
+def q_hash_split_fine(spark, sf_dir):
+    """M1 with a part of 0.00004 of the records."""
+    lines = _records(spark, sf_dir).withColumn("label", ps.extract_label("line"))
+    return sm.hash_split(lines, (0.00004, 0.99996), 11, "rid")[0].select("rid", "label")
 
 
 def q_kmeans_default(spark, sf_dir):
@@ -384,6 +397,17 @@ def q_report_validate(spark, sf_dir):
     return validate(rows).select("label", r6("value").alias("value"))
 
 
+def q_makeup_sorted(spark, sf_dir):
+    return ev.sorted_makeup(_makeup(spark, sf_dir))
+
+
+def q_report_sort_none(spark, sf_dir):
+    """T4 "none": the given order, here by count, survives."""
+    from clusterlens.operators.report import sort_rows
+    given = sort_rows(_chart(spark, sf_dir), "value-desc").withColumnRenamed("pos", "given")
+    return sort_rows(given, "none", input_order="given").drop("given")
+
+
 def _sorted(order):
     def q(spark, sf_dir):
         from clusterlens.operators.report import sort_rows
@@ -476,7 +500,7 @@ def q_stream_monitor(spark, sf_dir):
     for i in range(4):
         tagged.where(F.col("_p") == i).drop("_p").write.mode("overwrite").parquet(f"{src}/{i}")
     mon = StreamMonitor(spark, scratch_path(spark, "monitor"), t.parse, t.detector)
-    q = mon.start(file_stream(spark, f"{src}/*", lines.schema),
+    q = mon.start(file_stream(spark, f"{src}/*", lines.schema, max_files_per_trigger=1),
                   scratch_path(spark, "monitor-ckpt"), {"availableNow": True})
     q.awaitTermination()
     return mon.anomalies().select("rid", "label", "cluster", r6("dist").alias("dist"))
@@ -488,6 +512,7 @@ QUERIES: dict[str, Query] = {
     "record_count": q_record_count,
     "parse_numeric": q_parse_numeric,
     "quarantine_counts": q_quarantine_counts,
+    "quarantine_rows": q_quarantine_rows,
     "category_index": q_category_index,
     "one_hot": q_one_hot,
     "parse_mixed": q_parse_mixed,
@@ -495,6 +520,7 @@ QUERIES: dict[str, Query] = {
     "label_clean": q_label_clean,
     "feature_moments": q_feature_moments,
     "hash_split": q_hash_split,
+    "hash_split_fine": q_hash_split_fine,
     "bootstrap_sample": q_bootstrap_sample,
     "parse_tab_labelled": q_parse_tab_labelled,
     "parse_unlabelled": q_parse_unlabelled,
@@ -536,6 +562,8 @@ QUERIES: dict[str, Query] = {
     "report_sort_label_asc": _sorted("label-asc"),
     "report_sort_label_desc": _sorted("label-desc"),
     "report_sort_random": _sorted("random"),
+    "report_sort_none": q_report_sort_none,
+    "makeup_sorted": q_makeup_sorted,
     "report_share": q_report_share,
     "report_group_small": q_report_group_small,
     "report_group_members": q_report_group_members,
@@ -553,7 +581,7 @@ QUERIES: dict[str, Query] = {
 # streamed model state, random order, Poisson sampling); the driver checks
 # their rows only and pytest checks them against brute force / MLlib.
 ROW_CHECKED = frozenset({
-    "bootstrap_sample", "kmeans_default", "kmeans_tuned", "k_sweep_basic", "k_sweep_raw",
+    "kmeans_default", "kmeans_tuned", "k_sweep_basic", "k_sweep_raw",
     "k_sweep_zscore", "k_sweep_mixed", "k_sweep_entropy", "anomaly_selffit", "anomaly_mixed",
-    "stream_kmeans", "stream_distance", "report_sort_random", "train_evaluate", "stream_monitor",
+    "stream_kmeans", "stream_distance", "train_evaluate", "stream_monitor",
 })

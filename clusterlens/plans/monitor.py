@@ -2,13 +2,16 @@
 
 For every micro-batch of record lines (one ``foreachBatch`` call):
 
-* parse with the training parser (same dictionaries, quarantine kept out);
+* parse with the training parser (same dictionaries); malformed lines are
+  written as ``quarantine/batch_id=N`` and counted in ``counts/batch_id=N``
+  (total = parsed + quarantined);
 * R1 + R2: streaming k-means update from the batch model, normalised with
   the frozen training moments, then the batch's distance score;
 * R3: records the frozen batch detector flags, written as
   ``anomalies/batch_id=N``;
 * R6: the cluster/label make-up of the batch under the updated model,
-  written as report version N for the dashboard.
+  written as report version N for the dashboard; and the running make-up of
+  all batches so far (D8, sums), as version N of ``running``.
 
 Everything is keyed by the batch id and overwritten on replay, and the model
 update is skipped for a committed batch, so at-least-once delivery of
@@ -24,9 +27,11 @@ from pyspark.sql import functions as F
 
 from clusterlens.functions.nearest import assign
 from clusterlens.operators import evaluate as ev
+from clusterlens.operators import parse as ps
 from clusterlens.operators.anomaly import AnomalyDetector
+from clusterlens.operators.report import upsert
 from clusterlens.streaming.kmeans_stream import StreamingKMeans
-from clusterlens.streaming.score import write_snapshot
+from clusterlens.streaming.score import read_latest_snapshot, write_snapshot
 
 
 class StreamMonitor:
@@ -40,8 +45,14 @@ class StreamMonitor:
                                      time_unit=time_unit, normalizer=detector.normalizer)
 
     def process(self, lines: DataFrame, batch_id: int) -> None:
-        parsed = self.parse(lines).where(F.col("features").isNotNull()).persist()
+        # filters come after the cache: none is pushed back into the parse
+        every = self.parse(lines).persist()
         try:
+            bad = ps.quarantine(every).select(*self.keep)
+            bad.write.mode("overwrite").parquet(f"{self.root}/quarantine/batch_id={batch_id}")
+            ps.quarantine_counts(every).write.mode("overwrite").parquet(
+                f"{self.root}/counts/batch_id={batch_id}")
+            parsed = every.where(F.col("features").isNotNull())
             self.model.process(parsed, batch_id)
             flagged = self.detector.anomalies(parsed).select(*self.keep, "label", "cluster", "dist")
             flagged.write.mode("overwrite").parquet(f"{self.root}/anomalies/batch_id={batch_id}")
@@ -51,12 +62,24 @@ class StreamMonitor:
                 pts = self.detector.normalizer.apply(parsed)
             makeup = ev.label_makeup(assign(pts, cs))
             write_snapshot(makeup, f"{self.root}/report", batch_id)
+            now = read_latest_snapshot(self.spark, f"{self.root}/report", makeup.schema)
+            before = read_latest_snapshot(self.spark, f"{self.root}/running", makeup.schema,
+                                          before=batch_id)
+            write_snapshot(upsert(before, now, ("cluster", "label"), "count", mode="sum"),
+                           f"{self.root}/running", batch_id)
         finally:
-            parsed.unpersist()
+            every.unpersist()
 
     def anomalies(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/anomalies")
 
+    def quarantined(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/quarantine")
+
+    def counts(self) -> DataFrame:
+        """``batch_id, parsed, quarantined, total`` per processed batch."""
+        return self.spark.read.parquet(f"{self.root}/counts")
+
     def metrics(self) -> DataFrame:
         return self.model.metrics()
 

@@ -10,6 +10,11 @@ rather than translations of the Spark code. Floats are rounded to 6 digits
 from __future__ import annotations
 
 
+# places (of 2^32) at which a Poisson count of mean 0.01 rises by one:
+# 2^32 times its distribution function at 0, 1, 2, 3
+BOOTSTRAP_BOUNDS = "[4252231657, 4294753974, 4294966586, 4294967294]"
+
+
 def R(x: str) -> str:
     return f"(round({x}, 6) + 0.0)"
 
@@ -21,6 +26,10 @@ j AS (SELECT concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS r
              l_extendedprice, l_discount, l_tax, o_orderstatus || '.' AS label
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
+# records of which four kinds are spoiled: too few fields, text, NaN, infinity
+_SPOILED = _J + """,
+s AS (SELECT rid, CAST(CAST('0x' || substr(md5('spoil:' || rid), 1, 8) AS BIGINT) % 100 AS INTEGER) AS kind FROM j)"""
+
 _DICT = _J + """,
 dct AS (SELECT field, value,
                CAST(row_number() OVER (PARTITION BY field ORDER BY value) - 1 AS INTEGER) AS idx
@@ -130,8 +139,14 @@ u AS (SELECT 0 AS pos, l_quantity AS x FROM j UNION ALL SELECT 1, l_extendedpric
 SELECT pos, count(x) AS n, {R('avg(x)')} AS mean, {R('stddev_pop(x)')} AS std
 FROM u GROUP BY pos""",
     "hash_split": f"""WITH {_J}
-SELECT rid, CAST(CASE WHEN CAST('0x' || substr(md5('11:' || rid), 1, 8) AS BIGINT) % 10000 < 100
+SELECT rid, CAST(CASE WHEN CAST('0x' || substr(md5('11:' || rid), 1, 8) AS BIGINT) < 42949673
                       THEN 0 ELSE 1 END AS INTEGER) AS part FROM j""",
+    "hash_split_fine": f"""WITH {_J}
+SELECT rid, label FROM j WHERE CAST('0x' || substr(md5('11:' || rid), 1, 8) AS BIGINT) < 171799""",
+    "bootstrap_sample": f"""WITH {_J},
+h AS (SELECT rid, label, l_quantity, CAST('0x' || substr(md5('11:' || rid), 1, 8) AS BIGINT) AS h FROM j)
+SELECT rid, label, CAST(l_quantity AS DOUBLE) AS l_quantity
+FROM h JOIN (SELECT unnest({BOOTSTRAP_BOUNDS}) AS b) ON h >= b""",
     "parse_tab_labelled": """
 SELECT e.vec_id AS id, CAST(e.label AS DOUBLE) AS label, CAST(x.pos - 1 AS INTEGER) AS pos,
        CAST(x.v AS DOUBLE) AS value
@@ -205,7 +220,7 @@ tot AS (SELECT sum(value) AS total FROM chart)"""
 
 def _sort_sql(order_by: str) -> str:
     return f"""WITH {_CHART}
-SELECT label, value, CAST(row_number() OVER (ORDER BY {order_by}) - 1 AS INTEGER) AS pos
+SELECT label, value, CAST(row_number() OVER (ORDER BY {order_by}) - 1 AS BIGINT) AS pos
 FROM chart"""
 
 
@@ -223,6 +238,10 @@ v AS (SELECT 'cluster ' || CAST(cluster AS VARCHAR) || ' label ' || CAST(label A
              count - (sum(count) OVER (PARTITION BY cluster)) / (count(*) OVER (PARTITION BY cluster)) AS value
       FROM mk)
 SELECT label, {R('value')} AS value FROM v WHERE value IS NOT NULL AND NOT isnan(value) AND value > 0""",
+    "report_sort_random": _sort_sql("md5('11:' || label), label"),
+    "report_sort_none": _sort_sql("value DESC, label"),
+    "makeup_sorted": f"""WITH {_ASSIGNED}
+SELECT cluster, label, count, CAST(row_number() OVER (ORDER BY cluster, label) - 1 AS BIGINT) AS pos FROM mk""",
     "report_sort_value_asc": _sort_sql("value, label"),
     "report_sort_value_desc": _sort_sql("value DESC, label"),
     "report_sort_label_asc": _sort_sql("lower(label), label"),
@@ -239,10 +258,10 @@ grp AS (SELECT 'Other clusters less than 1%' AS label, sum(value) AS value, true
                count(*) AS members, CAST(4611686018427387904 AS BIGINT) AS o
         FROM s WHERE small HAVING count(*) > 0),
 u AS (SELECT * FROM kept UNION ALL SELECT * FROM grp)
-SELECT label, value, is_grouped, members, CAST(row_number() OVER (ORDER BY o) - 1 AS INTEGER) AS pos
+SELECT label, value, is_grouped, members, CAST(row_number() OVER (ORDER BY o) - 1 AS BIGINT) AS pos
 FROM u""",
     "report_cumulative": f"""WITH {_CHART},
-o AS (SELECT label, value, CAST(row_number() OVER (ORDER BY value DESC, label) - 1 AS INTEGER) AS pos
+o AS (SELECT label, value, CAST(row_number() OVER (ORDER BY value DESC, label) - 1 AS BIGINT) AS pos
       FROM chart)
 SELECT label, value, pos,
        {R('sum(value) OVER (ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / total * 100')}
@@ -259,7 +278,7 @@ SELECT label,
        ', ' || CAST(round(value / total * 100, 1) AS VARCHAR) || '%' AS caption
 FROM chart, tot""",
     "report_upsert": f"""WITH {_ASSIGNED},
-h AS (SELECT *, CAST('0x' || substr(md5('11:' || CAST(id AS VARCHAR)), 1, 8) AS BIGINT) % 10000 < 5000
+h AS (SELECT *, CAST('0x' || substr(md5('11:' || CAST(id AS VARCHAR)), 1, 8) AS BIGINT) < 2147483648
                 AS first_half FROM asg),
 o AS (SELECT cluster, label, count(*) AS n FROM h WHERE first_half GROUP BY cluster, label),
 n AS (SELECT cluster, label, count(*) AS n FROM h WHERE NOT first_half GROUP BY cluster, label)
@@ -272,8 +291,10 @@ SELECT cluster, CAST(label AS VARCHAR) AS label, count AS value FROM mk""",
 ORACLE.update(ORACLE_MORE)
 
 ORACLE.update({
-    "quarantine_counts": f"""WITH {_J}
-SELECT count(*) AS parsed, CAST(0 AS BIGINT) AS quarantined, count(*) AS total FROM j""",
+    "quarantine_counts": f"""WITH {_SPOILED}
+SELECT count(*) FILTER (kind > 3) AS parsed, count(*) FILTER (kind <= 3) AS quarantined, count(*) AS total FROM s""",
+    "quarantine_rows": f"""WITH {_SPOILED}
+SELECT rid, kind FROM s WHERE kind <= 3""",
     "cluster_distance": f"""WITH {_ASSIGNED}
 SELECT cluster, count(*) AS n, {R('avg(dist)')} AS mean_dist FROM asg GROUP BY cluster""",
     "report_group_members": f"""WITH {_CHART}
@@ -282,7 +303,7 @@ FROM chart, tot WHERE value / total * 100 <= 1""",
 })
 
 ORACLE["report_upsert_replace"] = f"""WITH {_ASSIGNED},
-h AS (SELECT *, CAST('0x' || substr(md5('11:' || CAST(id AS VARCHAR)), 1, 8) AS BIGINT) % 10000 < 5000
+h AS (SELECT *, CAST('0x' || substr(md5('11:' || CAST(id AS VARCHAR)), 1, 8) AS BIGINT) < 2147483648
                 AS first_half FROM asg),
 o AS (SELECT cluster, label, count(*) AS n FROM h WHERE first_half GROUP BY cluster, label),
 n AS (SELECT cluster, label, count(*) AS n FROM h WHERE NOT first_half GROUP BY cluster, label)

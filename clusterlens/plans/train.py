@@ -27,7 +27,6 @@ from clusterlens.operators.report import report_from_flags
 from clusterlens.operators.sample import split_index
 from clusterlens.operators.stats import Normalizer
 from clusterlens.schema import RecordLayout
-from clusterlens.session import path_exists
 
 
 @dataclass
@@ -76,7 +75,9 @@ def train(lines: DataFrame, layout: RecordLayout, k: int = D.BATCH_K, runs: int
     dictionary = enc.fit_categories(lines, layout).persist() if encoding == "mixed" else None
     part = split_index(id_col, (sample, 1.0 - sample), seed)
     parsed = (parse_records(lines.where(part == 0), layout, dictionary, id_col)
-              .select(id_col, "label", "features", "ok").persist())
+              .select(id_col, "label", "features", "ok")
+              # a small sample keeps the input's many partitions: gather it once
+              .repartition(lines.sparkSession.sparkContext.defaultParallelism).persist())
     try:
         batch = ps.valid(parsed)
         nz = Normalizer.fit(batch)
@@ -114,7 +115,7 @@ def report_all(scored: DataFrame) -> DataFrame:
 
 _META = ("width int, categorical array<int>, label_index int, sep string, names array<string>, "
          "threshold double, k int, cost double, seed int, n_train long, distance_score double, "
-         "entropy_score double")
+         "entropy_score double, mixed boolean")
 
 
 def save(spark: SparkSession, trained: TrainResult, path: str) -> None:
@@ -130,7 +131,7 @@ def save(spark: SparkSession, trained: TrainResult, path: str) -> None:
     spark.createDataFrame(
         [(lay.width, list(lay.categorical), lay.label_index, lay.sep, list(lay.names),
           trained.detector.threshold, m.k, m.cost, m.seed, trained.n_train,
-          trained.distance_score, trained.entropy_score)], _META
+          trained.distance_score, trained.entropy_score, trained.dictionary is not None)], _META
     ).write.mode("overwrite").parquet(f"{root}/meta")
 
 
@@ -145,8 +146,8 @@ def load(spark: SparkSession, path: str) -> TrainResult:
     nz = Normalizer(tuple(r["mean"] for r in moments), tuple(r["std"] for r in moments),
                     int(moments[0]["n"]) if moments else 0)
     centers = CenterSet.from_df(spark.read.parquet(f"{root}/centers"))
-    dictionary = (spark.read.parquet(f"{root}/dictionary")
-                  if path_exists(spark, f"{root}/dictionary") else None)
+    # a mixed model without its dictionary fails here, it would parse to another width
+    dictionary = spark.read.parquet(f"{root}/dictionary") if meta["mixed"] else None
     model = KMeansResult(centers, meta["cost"], meta["k"], meta["seed"])
     return TrainResult(layout, dictionary, nz, model,
                        AnomalyDetector(nz, centers, meta["threshold"]), meta["n_train"],

@@ -6,7 +6,6 @@ the only session-level things they rely on are gathered here.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -86,11 +85,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def path_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` exists, on whatever file system it names.
 
-    Local paths are checked directly; others by resolving them with the
-    public reader API (resolution lists the path and fails if it is absent).
+    Resolved by the session's reader, which lists the path and fails if it is
+    absent; so a path without a scheme means the session's default file system,
+    as it does everywhere else, not the driver's disk.
     """
-    if "://" not in path or path.startswith("file:"):
-        return os.path.exists(path[len("file:"):] if path.startswith("file:") else path)
     try:
         spark.read.format("text").load(path)
         return True

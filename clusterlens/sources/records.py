@@ -33,16 +33,13 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",
     return reader.schema(schema).csv(path)
 
 
-def with_record_id(df: DataFrame, out: str = "rid") -> DataFrame:
+def with_record_id(df: DataFrame, out: str = "rid", line_col: str = "line") -> DataFrame:
     """A stable id for records read straight from files (the lines carry
-    none): file, start of the split, and position inside the split. It is
-    the same every time the scan is recomputed (same files, same splits), so
-    hash splits and replays keep their records. Apply right after the scan.
+    none): the line's md5. It depends on nothing but the line, neither on
+    files nor on splits, so hash splits and replays keep their records. Equal
+    lines have equal ids and fall into the same part of a split.
     """
-    pos = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-    return df.withColumn(out, F.concat_ws(":", F.input_file_name(),
-                                          F.input_file_block_start().cast("string"),
-                                          pos.cast("string")))
+    return df.withColumn(out, F.md5(F.col(line_col)))
 
 
 def record_count(df: DataFrame) -> DataFrame:

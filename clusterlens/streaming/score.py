@@ -18,7 +18,7 @@ from clusterlens.session import path_exists
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
-                max_files_per_trigger: int | None = 1, **options) -> DataFrame:
+                max_files_per_trigger: int | None = None, **options) -> DataFrame:
     """S3: a stream of records arriving as files (parquet, csv, text, json).
 
     A socket or Kafka source plugs in the same way: every operator below
@@ -68,24 +68,31 @@ def as_event_time(df: DataFrame, time_col: str = "ts") -> DataFrame:
 def write_snapshot(report: DataFrame, root: str, version: int) -> str:
     """Write one report version as JSON (``root/v=<version>``).
 
-    Readers only ever see committed versions (``_SUCCESS`` present), so a
-    dashboard polling the folder never reads a half-written snapshot.
+    The version is then entered into the table ``root.versions``; readers only
+    see entered versions, so a dashboard polling the folder never reads a
+    half-written snapshot, and an empty report is a version like any other.
     """
     path = f"{root.rstrip('/')}/v={int(version)}"
     report.write.mode("overwrite").json(path)
+    spark = report.sparkSession
+    spark.createDataFrame([(int(version),)], "version long").write.mode("overwrite").parquet(
+        f"{root.rstrip('/')}.versions/v={int(version)}")
     return path
 
 
-def read_latest_snapshot(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """The most recent committed report version."""
-    allv = spark.read.schema(T.StructType(list(schema.fields) + [
-        T.StructField("v", T.LongType())])).json(root)
-    v = allv.agg(F.max("v")).first()[0]
-    while v is not None and not path_exists(spark, f"{root.rstrip('/')}/v={v}/_SUCCESS"):
-        v = allv.where(F.col("v") < v).agg(F.max("v")).first()[0]
+def read_latest_snapshot(spark: SparkSession, root: str, schema: T.StructType,
+                         before: int | None = None) -> DataFrame:
+    """The most recent entered report version (below ``before`` when given)."""
+    root = root.rstrip("/")
+    v = None
+    if path_exists(spark, f"{root}.versions"):
+        known = spark.read.schema("version long").parquet(f"{root}.versions/*")
+        if before is not None:
+            known = known.where(F.col("version") < before)
+        v = known.agg(F.max("version")).first()[0]
     if v is None:
         return spark.createDataFrame([], schema)
-    return allv.where(F.col("v") == v).drop("v")
+    return spark.read.schema(schema).json(f"{root}/v={v}")
 
 
 def snapshot_writer(report_fn, root: str):

@@ -23,7 +23,7 @@ def test_train_then_monitor_stream(spark):
         tagged.where(F.col("_p") == i).drop("_p").coalesce(1).write.parquet(f"{src}/{i}")
     root = scratch_path(spark, "t-monitor")
     mon = StreamMonitor(spark, root, trained.parse, trained.detector)
-    q = mon.start(file_stream(spark, f"{src}/*", lines.schema), scratch_path(spark, "t-ckpt"),
+    q = mon.start(file_stream(spark, f"{src}/*", lines.schema, max_files_per_trigger=1), scratch_path(spark, "t-ckpt"),
                   {"availableNow": True})
     q.awaitTermination()
 

@@ -65,7 +65,7 @@ def test_streaming_kmeans_equals_mllib_batch_by_batch(spark):
         seen.append((bid, [list(r.features) for r in df.select("features").collect()]))
         skm.process(df, bid)
 
-    stream = ss.file_stream(spark, f"{src}/*", pts.schema)
+    stream = ss.file_stream(spark, f"{src}/*", pts.schema, max_files_per_trigger=1)
     q = (stream.writeStream.foreachBatch(run).trigger(availableNow=True)
          .option("checkpointLocation", scratch_path(spark, "t-ckpt")).start())
     q.awaitTermination()
@@ -96,7 +96,7 @@ def test_stream_predict_equals_batch(spark):
     centers = CenterSet.from_df(fx.given_centers(spark, SF_SMALL))
     src = write_parts(spark, pts)
     out = scratch_path(spark, "t-pred")
-    stream = ss.file_stream(spark, f"{src}/*", pts.schema)
+    stream = ss.file_stream(spark, f"{src}/*", pts.schema, max_files_per_trigger=1)
     q = (ss.predict(stream, centers).writeStream.format("parquet").option("path", out)
          .option("checkpointLocation", scratch_path(spark, "t-ckpt")).trigger(availableNow=True).start())
     q.awaitTermination()
@@ -117,7 +117,7 @@ def test_stream_anomalies_and_windows_equal_batch(spark):
     week = F.floor((F.dayofmonth("ts") - 1) / 7)
     for i in range(5):
         ev.where(week == i).coalesce(1).write.parquet(f"{src}/{i}")
-    stream = ss.file_stream(spark, f"{src}/*", ev.schema)
+    stream = ss.file_stream(spark, f"{src}/*", ev.schema, max_files_per_trigger=1)
 
     out_a = scratch_path(spark, "t-anom")
     qa = (ss.anomalies(stream, det).writeStream.format("parquet").option("path", out_a)
@@ -163,7 +163,7 @@ def test_restart_resumes_from_checkpoint_and_state(spark):
 
     def run(src, state, ckpt):
         skm = StreamingKMeans(spark, state, init, initial_weight=10.0, decay=0.9)
-        q = skm.start(ss.file_stream(spark, f"{src}/*", pts.schema), ckpt, {"availableNow": True})
+        q = skm.start(ss.file_stream(spark, f"{src}/*", pts.schema, max_files_per_trigger=1), ckpt, {"availableNow": True})
         q.awaitTermination()
         return skm
 
