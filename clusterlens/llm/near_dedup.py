@@ -11,13 +11,18 @@ or more, found by alignment within the band that this allows. A class is a
 connected component of links; its id is the least doc_id in it.
 
 Work never grows with the square of a group: equal word sequences count as
-one text; every text is first compared with the least text of each bucket (a
-star); only buckets whose texts are then still in different components go on.
-Texts outside a bucket's largest component meet all its other texts; where
-these are more than ``PAIRWISE`` (a passage that many different texts share),
-the bucket is first split by the texts' other sketches, of which similar texts
-share several, and the star is repeated. Every bucket is finished; no cap. Links, components and sketches stay distributed; each round
-is written to the shared checkpoint folder.
+one text, and every text is compared with the least text of each bucket (a
+star). Edits of words are a metric, which settles most other pairs exactly: a
+text at distance d from the centre cannot be similar to one at distance e of
+it if d - e exceeds what similarity allows. So a text that is not similar to
+the centre meets two linked texts and, if still apart from them, those linked
+texts that this leaves open; and it meets the other
+texts that are not: all of them where they are few, and where more than
+``PAIRWISE`` (a passage that many different texts share) those that agree on
+one of the next ``SECOND`` sketches too, in a second round (similar texts
+agree on many sketches, each with its own bucket). Word counters rule most of
+these pairs out, exactly, before any text is read. There is no cap. Links, components and
+sketches stay distributed; each round is written to the shared folder.
 
 Defined results: rows of one doc_id are one document and share a class; texts
 with no words are grouped only if equal (null counts as empty); a row without
@@ -39,8 +44,10 @@ K = 5
 SIMILARITY = 0.8
 FUNCTIONS = 48
 PICKS = 2
-PAIRWISE = 32       # texts outside a bucket's main component, else it is split
-MAX_WORD_CACHE = 400_000
+SECOND = 3          # further sketches by which a large bucket is split
+COUNTERS = 128      # word counters of a text, to rule pairs out before reading texts
+PAIRWISE = 32       # texts of a bucket that are not similar to its centre
+MAX_WORD_CACHE = 150_000
 
 _MASK = (1 << 64) - 1
 
@@ -74,6 +81,12 @@ class Sketcher:
             known[w] = xxh3_64_intdigest(w)
         return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
+    def counters(self, words: list[bytes]) -> np.ndarray:
+        """Words per counter: two texts share at most the sum of the lesser
+        counts, and every word beyond that is an edit."""
+        at = (self.word_hashes(words) >> np.uint64(20)) % np.uint64(COUNTERS)
+        return np.bincount(at.astype(np.int64), minlength=COUNTERS).astype(np.int32)
+
     def kmers(self, words: list[bytes]) -> np.ndarray:
         """Hash of every k-mer with its occurrence number; a shorter text is one."""
         h = self.word_hashes(words)
@@ -179,11 +192,17 @@ def _banded(places: dict, b: list, skew: int, band: int) -> int:
     return score
 
 
+def distance(a: list[bytes], b: list[bytes], similarity: float = SIMILARITY,
+             reach: int = 1) -> tuple[int, bool]:
+    """Edits between two texts (beyond ``reach`` times the allowed number, a
+    lower bound) and whether they are similar."""
+    allowed = int((1 - similarity) * max(len(a), len(b)) + 1e-9)
+    edits = edits_within(a, b, reach * allowed)
+    return (reach * allowed + 1, False) if edits is None else (edits, edits <= allowed)
+
+
 def similar(a: list[bytes], b: list[bytes], similarity: float = SIMILARITY) -> bool:
-    longest = max(len(a), len(b))
-    if not longest:
-        return True
-    return edits_within(a, b, int((1 - similarity) * longest + 1e-9)) is not None
+    return distance(a, b, similarity)[1]
 
 
 def _sketches(docs: DataFrame, functions: int, picks: int, k: int) -> DataFrame:
@@ -193,40 +212,43 @@ def _sketches(docs: DataFrame, functions: int, picks: int, k: int) -> DataFrame:
 
         def run(batch: pa.RecordBatch) -> dict:
             from xxhash import xxh3_128_hexdigest
-            content, n, values = [], [], []
+            content, n, values, counts = [], [], [], []
             for t in texts(batch.column(1)):
                 w = tokens(t)
                 content.append(xxh3_128_hexdigest(b" ".join(w) if w else t.encode()))
                 n.append(len(w))
                 values.append(sketch(w) if w else None)
+                counts.append(sketch.counters(w) if w else None)
             return {"doc_id": batch.column(0), "content": content, "n_words": n,
-                    "sketch": values}
+                    "sketch": values, "counts": counts}
         return run
 
     return map_batches(docs, make,
-                       "doc_id long, content string, n_words int, sketch array<long>")
+                       "doc_id long, content string, n_words int, sketch array<long>, "
+                       "counts array<int>")
 
 
-def _verified(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose texts are similar."""
+def _judged(pairs: DataFrame, words: DataFrame, similarity: float, reach: int = 1) -> DataFrame:
+    """Pairs (a, b) with their distance and whether they are similar."""
     a = words.select(F.col("node").alias("a"), F.col("text").alias("ta"))
     b = words.select(F.col("node").alias("b"), F.col("text").alias("tb"))
 
-    def run(batches):
-        out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-        last, wa = None, None
-        for batch in batches:
-            keep = []
+    def make():
+        def run(batch: pa.RecordBatch) -> dict:
+            last = wa = None
+            out = {"a": batch.column(0), "b": batch.column(1), "d": [], "linked": []}
             for ta, tb in zip(texts(batch.column(2)), texts(batch.column(3))):
-                if ta != last:
+                if wa is None or ta != last:
                     last, wa = ta, tokens(ta)
-                keep.append(similar(wa, tokens(tb), similarity))
-            keep = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).filter(keep), batch.column(1).filter(keep)], schema=out)
+                d, linked = distance(wa, tokens(tb), similarity, reach)
+                out["d"].append(d)
+                out["linked"].append(linked)
+            return out
+        return run
 
     joined = pairs.join(b, "b").join(a, "a").select("a", "b", "ta", "tb")
-    return joined.mapInArrow(run, "a long, b long")
+    return staged(map_batches(joined, make, "a long, b long, d int, linked boolean"),
+                  "near-dedup-judged")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -234,7 +256,6 @@ def components(edges: DataFrame) -> DataFrame:
     "Connected Components in MapReduce and Beyond", 2014)."""
     both = lambda e: e.select("a", "b").unionByName(
         e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    sign = None
     while True:
         # every node's larger neighbours move to its least neighbour
         near = both(edges)
@@ -248,10 +269,10 @@ def components(edges: DataFrame) -> DataFrame:
         small = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = staged(small.where("a <> b").unionByName(
             least.select("a", F.col("m").alias("b"))).distinct(), "near-dedup-stars")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == sign:
+        # done when every node hangs on one node that hangs on none
+        if (edges.groupBy("a").count().where("count > 1").isEmpty()
+                and edges.join(edges.select(F.col("a").alias("b")), "b", "left_semi").isEmpty()):
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        sign = now
 
 
 def _buckets(members: DataFrame) -> DataFrame:
@@ -262,50 +283,94 @@ def _buckets(members: DataFrame) -> DataFrame:
     return members.join(sizes, "key")
 
 
+def _placed(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Rows by node, with the node's component so far."""
+    return rows.join(classes, "node", "left").withColumn(
+        "component", F.coalesce("component", "node"))
+
+
+def _named(classes: DataFrame) -> DataFrame:
+    return classes.select(F.col("node").alias("b"), F.col("component").alias("other"))
+
+
 def links(nodes: DataFrame, words: DataFrame, buckets: DataFrame,
           similarity: float = SIMILARITY) -> DataFrame:
     """node, component for all nodes that have a link."""
+    allowed = 1 - similarity
     near = F.least("n_words", "m_words") >= F.greatest("n_words", "m_words") * similarity - 1e-6
     sizes = nodes.select(F.col("node").alias("centre"), F.col("n_words").alias("m_words"))
-    found = classes = None
-
-    def link(pairs: DataFrame) -> None:
-        nonlocal found, classes
-        new = staged(_verified(pairs, words, similarity), "near-dedup-links")
-        if found is not None and new.isEmpty():
-            return
-        found = new if found is None else staged(found.unionByName(new).distinct(),
-                                                 "near-dedup-links")
-        classes = components(found)
+    classes = None
+
+    def link(judged: DataFrame) -> None:
+        """Add links; the components so far stand for all links before."""
+        nonlocal classes
+        new = judged.where("linked").select("a", "b")
+        if classes is not None:
+            if new.isEmpty():
+                return
+            new = new.unionByName(classes.select(F.col("node").alias("a"), F.col("component").alias("b")))
+        classes = components(new)
 
     for last in (False, True):
-        link(buckets.where("node <> centre").select("centre", "node", "n_words").distinct()
-             .join(sizes, "centre").where(near)
-             .select(F.col("centre").alias("a"), F.col("node").alias("b")))
-        # buckets whose texts are still apart; "main" is a bucket's largest component
-        mine = buckets.join(classes, "node", "left").withColumn(
-            "component", F.coalesce("component", "node"))
-        parts = mine.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-        apart = (parts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("m"),
-                                          F.sum("n").alias("all"), F.count(F.lit(1)).alias("k"))
-                 .where("k > 1").select("key", F.col("m.component").alias("main"),
-                                        (F.col("all") - F.col("m.n")).alias("outside")))
-        mine = staged(mine.join(apart, "key"), "near-dedup-apart")
-        # a text outside the main component meets all texts of other components
-        few = mine if last else mine.where(F.col("outside") <= PAIRWISE)
+        star = buckets.where("node <> centre").join(sizes, "centre")
+        judged = _judged(star.where(near).select(
+            F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), words, similarity, reach=2)
+        link(judged)
+        star = star.join(judged.withColumnsRenamed({"a": "centre", "b": "node"}),
+                         ["centre", "node"], "left")
+        # texts of other lengths were not compared: the difference is a lower bound
+        star = star.select(
+            "key", "fn", "node", "n_words",
+            F.coalesce("d", F.abs(F.col("n_words") - F.col("m_words"))).alias("d"),
+            F.coalesce("linked", F.lit(False)).alias("linked"))
+        star = staged(star, "near-dedup-star")
+        yes = star.where("linked").select(
+            "key", F.col("node").alias("b"), F.col("n_words").alias("m_words"), F.col("d").alias("e"))
+        reach = yes.groupBy("key").agg(
+            F.max("e").alias("e_max"), F.max("m_words").alias("m_max"),
+            F.max_by("b", "e").alias("far"), F.min_by("b", F.xxhash64("b")).alias("any"))
+        open_ = staged(
+            star.where("not linked").join(reach, "key")
+            .where(F.col("d") <= F.col("e_max") + F.greatest("m_max", "n_words") * allowed + 1e-6),
+            "near-dedup-open")
+        # two linked texts of the bucket first: they settle nearly all of these
+        two = _placed(open_, classes).select("node", "component", F.explode(F.array("far", "any")).alias("b"))
+        two = two.join(_named(classes), "b", "left").where(
+            F.coalesce("other", "b") != F.col("component"))
+        link(_judged(two.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
+                     .distinct(), words, similarity))
+        left = _placed(open_, classes).join(
+            yes.join(_named(classes), "b", "left").withColumn("other", F.coalesce("other", "b")), "key")
+        left = (left.where((F.col("component") != F.col("other")) & near
+                           & (F.col("d") <= F.col("e") + F.greatest("m_words", "n_words") * allowed + 1e-6))
+                .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")))
+        no = _placed(star.where("not linked"), classes)
+        apart = (no.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("lo"),
+                                       F.max("component").alias("hi"))
+                 .where("size > 1 and lo < hi").select("key", "size"))
+        rest = staged(no.join(apart, "key").join(nodes.select("node", "counts"), "node"),
+                      "near-dedup-rest")
+        few = rest if last else rest.where(F.col("size") <= PAIRWISE)
         other = few.select("key", F.col("node").alias("b"), F.col("n_words").alias("m_words"),
-                           F.col("component").alias("other"))
-        link(few.where("component <> main and node <> centre").join(other, "key")
-             .where((F.col("component") != F.col("other")) & (F.col("b") != F.col("centre"))
-                    & ((F.col("other") == F.col("main")) | (F.col("node") < F.col("b"))) & near)
-             .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct())
-        many = mine.where(F.col("outside") > PAIRWISE)
+                           F.col("component").alias("other"), F.col("counts").alias("m_counts"))
+        shared = F.aggregate(F.zip_with("counts", "m_counts", lambda x, y: F.least(x, y)), F.lit(0), lambda a, x: a + x)
+        among = (few.join(other, "key")
+                 .where((F.col("node") < F.col("b")) & (F.col("component") != F.col("other")) & near
+                        & (shared >= F.greatest("n_words", "m_words") * similarity - 1e-6))
+                 .select(F.col("node").alias("a"), "b"))
+        link(_judged(left.unionByName(among).distinct(), words, similarity))
+        many = rest.where(F.col("size") > PAIRWISE)
         if last or many.isEmpty():
             return classes
-        own = nodes.select("node", F.posexplode("sketch").alias("fn2", "value"))
-        rest = many.select("key", "node", "n_words", "fn").join(own, "node").where("fn2 > fn").select(
-            F.xxhash64("key", "value").alias("key"), "node", "n_words", F.col("fn2").alias("fn"))
-        buckets = staged(_buckets(rest), "near-dedup-buckets")
+        # the sketches of the next functions: similar texts agree on one somewhere
+        n = F.size("sketch")
+        then = F.array(*[F.struct(F.xxhash64("key", F.get("sketch", (F.col("fn") + j) % n)).alias("key"),
+                                  ((F.col("fn") + j) % n).alias("fn"))
+                         for j in range(1, SECOND + 1)])
+        again = (many.select("key", "node", "n_words", "fn").join(nodes.select("node", "sketch"), "node")
+                 .select("node", "n_words", F.explode(then).alias("t")))
+        buckets = staged(_buckets(again.select("t.key", "node", "n_words", "t.fn")),
+                         "near-dedup-buckets")
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -320,7 +385,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     owner = staged(owner, "near-dedup-owners")
     nodes = staged(sketched.where("sketch is not null")
                    .join(owner, "content").where("doc_id = node")
-                   .select("node", "n_words", "sketch").dropDuplicates(["node", "n_words"]),
+                   .select("node", "n_words", "sketch", "counts").dropDuplicates(["node", "n_words"]),
                    "near-dedup-nodes")
     members = nodes.select("node", "n_words", F.posexplode("sketch").alias("fn", "key"))
     buckets = staged(_buckets(members), "near-dedup-buckets")
