@@ -44,6 +44,7 @@ K = 5
 SIMILARITY = 0.8
 FUNCTIONS = 48
 PICKS = 2
+FIRST = 4           # functions whose buckets are compared first
 SECOND = 3          # further sketches by which a large bucket is split
 COUNTERS = 128      # word counters of a text, to rule pairs out before reading texts
 PAIRWISE = 32       # texts of a bucket that are not similar to its centre
@@ -228,19 +229,39 @@ def _sketches(docs: DataFrame, functions: int, picks: int, k: int) -> DataFrame:
                        "counts array<int>")
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """node and its compressed text: a third of the bytes to shuffle."""
+    def make():
+        import zstandard
+        press = zstandard.ZstdCompressor(level=3).compress
+
+        def run(batch: pa.RecordBatch) -> dict:
+            return {"node": batch.column(0), "text": [
+                press(t.encode("utf-8", "surrogatepass")) for t in texts(batch.column(1))]}
+        return run
+    return map_batches(docs, make, "node long, text binary")
+
+
 def _judged(pairs: DataFrame, words: DataFrame, similarity: float, reach: int = 1) -> DataFrame:
     """Pairs (a, b) with their distance and whether they are similar."""
     a = words.select(F.col("node").alias("a"), F.col("text").alias("ta"))
     b = words.select(F.col("node").alias("b"), F.col("text").alias("tb"))
 
     def make():
+        import zstandard
+        unpack = zstandard.ZstdDecompressor().decompress
+
+        def words_in(packed: bytes) -> list[bytes]:
+            return tokens(unpack(packed).decode("utf-8", "surrogatepass"))
+
         def run(batch: pa.RecordBatch) -> dict:
             last = wa = None
             out = {"a": batch.column(0), "b": batch.column(1), "d": [], "linked": []}
-            for ta, tb in zip(texts(batch.column(2)), texts(batch.column(3))):
+            for ta, tb in zip(batch.column(2), batch.column(3)):
+                ta = ta.as_py()
                 if wa is None or ta != last:
-                    last, wa = ta, tokens(ta)
-                d, linked = distance(wa, tokens(tb), similarity, reach)
+                    last, wa = ta, words_in(ta)
+                d, linked = distance(wa, words_in(tb.as_py()), similarity, reach)
                 out["d"].append(d)
                 out["linked"].append(linked)
             return out
@@ -311,6 +332,15 @@ def links(nodes: DataFrame, words: DataFrame, buckets: DataFrame,
             new = new.unionByName(classes.select(F.col("node").alias("a"), F.col("component").alias("b")))
         classes = components(new)
 
+    # a few functions unite most groups; buckets within one component are done
+    star = buckets.where((F.col("fn") < FIRST) & (F.col("node") != F.col("centre")))
+    link(_judged(star.join(sizes, "centre").where(near).select(
+        F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), words, similarity))
+    apart = (_placed(buckets, classes).groupBy("key")
+             .agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+             .where("lo < hi").select("key"))
+    buckets = staged(buckets.join(apart, "key", "left_semi"), "near-dedup-buckets")
+
     for last in (False, True):
         star = buckets.where("node <> centre").join(sizes, "centre")
         judged = _judged(star.where(near).select(
@@ -389,9 +419,8 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                    "near-dedup-nodes")
     members = nodes.select("node", "n_words", F.posexplode("sketch").alias("fn", "key"))
     buckets = staged(_buckets(members), "near-dedup-buckets")
-    words = staged(base.join(buckets.select(F.col("node").alias("doc_id")).distinct(), "doc_id",
-                             "left_semi")
-                   .select(F.col("doc_id").alias("node"), "text"), "near-dedup-texts")
+    words = staged(_packed(base).join(
+        buckets.select("node").distinct(), "node", "left_semi"), "near-dedup-texts")
     # rows of one doc_id belong together whatever their texts
     linked = links(nodes, words, buckets, similarity)
     versions = (sketched.select("doc_id", "content").where("doc_id is not null").distinct()
