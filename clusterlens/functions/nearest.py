@@ -59,6 +59,20 @@ class CenterSet:
     def k(self) -> int:
         return int(self.matrix.shape[0])
 
+    def broadcasts(self, sc) -> list:
+        """The blocks as broadcasts, made once for all uses of these centres."""
+        held = self.__dict__.get("_held")
+        if held is None or held[0] is not sc:
+            held = (sc, [sc.broadcast(b) for b in _blocks(self)])
+            object.__setattr__(self, "_held", held)
+        return held[1]
+
+    def release(self) -> None:
+        """Drop the broadcasts; only after the last action that uses them."""
+        held = self.__dict__.pop("_held", None)
+        for b in held[1] if held else ():
+            b.destroy()
+
     @property
     def dim(self) -> int:
         return int(self.matrix.shape[1])
@@ -205,10 +219,8 @@ def _min_struct(a: Column, b: Column) -> Column:
 
 
 def nearest_arrow(features: str | Column, centers: CenterSet, spark) -> Column:
-    sc = spark.sparkContext
     result = None
-    for ids, mat in _blocks(centers):
-        block = sc.broadcast((ids, mat))
+    for block in centers.broadcasts(spark.sparkContext):
         expr = _arrow_udf_for(block)(col_of(features))
         result = expr if result is None else _min_struct(result, expr)
     return result

@@ -143,13 +143,15 @@ def lloyd(points: DataFrame, centers, steps: int = 1,
     A cluster that receives no point keeps its centre. ``points`` should be
     persisted by the caller when ``steps`` > 1.
     """
-    cs = as_center_set(centers)
+    cs = given = as_center_set(centers)
     index = {int(c): i for i, c in enumerate(cs.ids)}
     for _ in range(steps):
         rows = vector_sums(assign(points, cs, features), cs.dim, features).collect()
         mat = cs.matrix.copy()
         for r in rows:
             mat[index[int(r["cluster"])]] = np.asarray(r["sums"], dtype=np.float64) / r["n"]
+        if cs is not given:
+            cs.release()
         cs = CenterSet(cs.ids, mat)
     return cs
 

@@ -162,6 +162,8 @@ class StreamingKMeans:
                 self._metrics_path(batch_id))
         self._write_centers(batch_id, new, w2)
         self._latest = (int(batch_id), new, w2)
+        if cs is not self.initial[0]:
+            cs.release()        # no later batch uses the model before this one
 
     def _score(self, pts: DataFrame, cs: CenterSet) -> tuple[int, float | None]:
         r = assign(pts, cs, self.features).agg(F.count("dist").alias("n"),

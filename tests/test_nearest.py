@@ -87,3 +87,16 @@ def test_udf_runs_once_per_row_in_plan(spark, capsys):
     a = assign(pts, fx.given_centers(spark, SF_SMALL)).where(F.col("cluster").isNotNull())
     a.explain()
     assert capsys.readouterr().out.count("ArrowEvalPython") == 1
+
+
+def test_one_broadcast_per_centre_set_and_release(spark):
+    from clusterlens.functions.nearest import CenterSet, assign
+    cs = CenterSet.from_arrays([0, 1], [[0.0], [9.0]])
+    df = spark.createDataFrame([([1.0],), ([8.0],)], "features array<double>")
+    assert [r.cluster for r in assign(df, cs).collect()] == [0, 1]
+    held = cs.broadcasts(spark.sparkContext)
+    assert [r.cluster for r in assign(df, cs).collect()] == [0, 1]
+    assert cs.broadcasts(spark.sparkContext) is held
+    cs.release()
+    assert [r.cluster for r in assign(df, cs).collect()] == [0, 1]
+    cs.release()
