@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from clusterlens.llm import (bpe, compression_quality, decontaminate, near_dedup, quality_rules,
                              resharding, token_files, toxicity)
 from clusterlens.session import scratch_path
+from llm_fixtures import documents, edges, empty  # noqa: F401
 
 
 def rows_of(df, *cols):

@@ -9,6 +9,7 @@ import corpus_pipeline
 from clusterlens.llm import bpe, decontaminate, near_dedup, quality_rules
 from clusterlens.llm.common import staged
 from clusterlens.llm.queries import ORACLE, QUERIES
+from llm_fixtures import documents, edges, empty  # noqa: F401
 
 SF = "/root/testdata/sf0.01"
 
