@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from clusterlens.llm.common import map_batches, per_worker, table, texts
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
-CACHE_ENTRIES = 200_000     # a cache keeps up to two generations of this size
+CACHE_ENTRIES = 400_000     # a fuller cache is emptied before the next text
 
 # a space beside other white space: the pieces between spaces are not independent
 _UNSAFE = re.compile(r"\s (?:\s|\Z)")
@@ -124,25 +124,16 @@ class Vocabulary:
         return self.decode_bytes(ids).decode("utf-8", "replace")
 
 
-class Cache:
-    """Mapping of bounded size: two generations, the older one dropped when
-    the newer is full; an entry found in the older one moves up."""
+class Pieces(dict):
+    """Ids by piece, made when first asked for."""
 
-    def __init__(self, size: int):
-        self.size, self.new, self.old = size, {}, {}
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
 
-    def get(self, key):
-        found = self.new.get(key)
-        if found is None:
-            found = self.old.get(key)
-            if found is not None:
-                self.put(key, found)
-        return found
-
-    def put(self, key, value):
-        if len(self.new) >= self.size:
-            self.old, self.new = self.new, {}
-        self.new[key] = value
+    def __missing__(self, piece: str) -> bytes:
+        ids = self[piece] = self.make(piece)
+        return ids
 
 
 class PieceEncoder:
@@ -156,36 +147,33 @@ class PieceEncoder:
         import regex
         self.added_ids = added
         self.pattern = regex.compile(public_tokenizers.PATTERN)
-        self.words, self.pieces = Cache(CACHE_ENTRIES), Cache(CACHE_ENTRIES)
+        self.pieces = Pieces(self._piece)       # pretokens too: they are pieces
         self.added = (re.compile("(" + "|".join(
             map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None)
 
     def encode_word(self, word: str) -> bytes:
         raise NotImplementedError
 
-    def word(self, word: str) -> bytes:
-        ids = self.words.get(word)
+    def _word(self, word: str) -> bytes:
+        ids = self.pieces.get(word)
         if ids is None:
-            ids = self.encode_word(word)
-            self.words.put(word, ids)
+            ids = self.pieces[word] = self.encode_word(word)
         return ids
 
-    def piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            # most pieces are a word, or a word and stops: letters are one pretoken
-            body = piece.rstrip(_STOPS)
-            if body[1:].isalpha() and (body[0] == " " or body[0].isalpha()):
-                ids = self.word(body)
-                if len(body) < len(piece):
-                    ids += self.word(piece[len(body):])
-            else:
-                ids = self.long(piece)
-            self.pieces.put(piece, ids)
-        return ids
+    def _piece(self, piece: str) -> bytes:
+        # most pieces are a word, or a word and stops: letters are one pretoken
+        body = piece.rstrip(_STOPS)
+        if body[1:].isalpha() and (body[0] == " " or body[0].isalpha()):
+            if len(body) == len(piece):
+                return self.encode_word(piece)
+            return self._word(body) + self._word(piece[len(body):])
+        return self.long(piece)
 
     def long(self, text: str) -> bytes:
-        return b"".join([self.word(w) for w in self.pattern.findall(text)])
+        words = self.pattern.findall(text)
+        if len(words) == 1:
+            return self.encode_word(words[0])
+        return b"".join(map(self._word, words))
 
     def encode(self, text: str) -> np.ndarray:
         if self.added is None or not any(t in text for t in self.added_ids):
@@ -199,12 +187,12 @@ class PieceEncoder:
             return b""
         if _UNSAFE.search(text):
             return self.long(text)
+        if len(self.pieces) > CACHE_ENTRIES:
+            self.pieces.clear()
         # "a b c" -> "a", " b", " c": no pretoken crosses the front of such a space
         first, *rest = text.split(" ")
-        piece, new = self.piece, self.pieces.new
-        out = [piece(first)] if first else []
-        out += [new.get(p) or piece(p) for p in [" " + r for r in rest]]
-        return b"".join(out)
+        ids = b"".join(map(self.pieces.__getitem__, [" " + r for r in rest]))
+        return self.pieces[first] + ids if first else ids
 
 
 class Encoder(PieceEncoder):
@@ -215,7 +203,7 @@ class Encoder(PieceEncoder):
         super().__init__(vocab.added)
         self.vocab = vocab
         self.parts = vocab.formed_by()
-        self.pairs = Cache(4 * CACHE_ENTRIES)
+        self.pairs: dict[int, bool] = {}
         self.width = len(vocab.bytes_of)
         self.sizes = [len(b or b"") for b in vocab.bytes_of]
         # bytes read as Latin-1 characters: the automaton works on strings
@@ -251,12 +239,14 @@ class Encoder(PieceEncoder):
         key = a * self.width + b
         known = self.pairs.get(key)
         if known is None:
+            if len(self.pairs) > CACHE_ENTRIES:
+                self.pairs.clear()
             known = self._apart(self.vocab.bytes_of[a], self.vocab.bytes_of[b], 1 << 60)
-            self.pairs.put(key, known)
+            self.pairs[key] = known
         return known
 
     def encode_bytes(self, data: bytes) -> bytes:
-        n, sizes, width, pairs = len(data), self.sizes, self.width, self.pairs.new
+        n, sizes, width, pairs = len(data), self.sizes, self.width, self.pairs
         starts: list[list[int]] = [[] for _ in range(n)]       # shortest first
         for end, (token, back) in self.matcher.iter(data.decode("latin-1")):
             starts[end - back].append(token)
