@@ -10,19 +10,20 @@ linked if 1 - (edits of words) / (words of the longer text) is ``similarity``
 or more, found by alignment within the band that this allows. A class is a
 connected component of links; its id is the least doc_id in it.
 
-Work never grows with the square of a group: equal word sequences count as
-one text, and every text is compared with the least text of each bucket (a
-star). Edits of words are a metric, which settles most other pairs exactly: a
+Equal word sequences count as one text, and every text is compared with the
+least text of each bucket (a star), so texts are not read once for every pair
+of a group. Edits of words are a metric, which settles most other pairs exactly: a
 text at distance d from the centre cannot be similar to one at distance e of
 it if d - e exceeds what similarity allows. So a text that is not similar to
 the centre meets two linked texts and, if still apart from them, those linked
-texts that this leaves open; and it meets the other
-texts that are not: all of them where they are few, and where more than
-``PAIRWISE`` (a passage that many different texts share) those that agree on
-one of the next ``SECOND`` sketches too, in a second round (similar texts
-agree on many sketches, each with its own bucket). Word counters rule most of
-these pairs out, exactly, before any text is read. There is no cap. Links, components and
-sketches stay distributed; each round is written to the shared folder.
+texts that this leaves open; and it meets all other texts of the bucket that
+are not. Lengths and word counters rule most of these pairs out, exactly,
+before any text is read. Where more than ``PAIRWISE`` such texts share a bucket
+(a passage that many different texts have), they are dealt into blocks and
+every two blocks are compared by arrays (``_tiled``), so a text makes a row per
+block, not per pair. There is no cap: every pair that agrees on a sketch is
+linked, ruled out exactly or aligned. Links, components and sketches stay
+distributed; each round is written to the shared folder.
 
 Defined results: rows of one doc_id are one document and share a class; texts
 with no words are grouped only if equal (null counts as empty); a row without
@@ -45,9 +46,9 @@ SIMILARITY = 0.8
 FUNCTIONS = 48
 PICKS = 2
 FIRST = 4           # functions whose buckets are compared first
-SECOND = 3          # further sketches by which a large bucket is split
 COUNTERS = 128      # word counters of a text, to rule pairs out before reading texts
-PAIRWISE = 32       # texts of a bucket that are not similar to its centre
+PAIRWISE = 32       # more texts of a bucket that are not similar to its centre are tiled
+TILE = 1024         # texts of a block, about
 MAX_WORD_CACHE = 150_000
 
 _MASK = (1 << 64) - 1
@@ -314,6 +315,41 @@ def _named(classes: DataFrame) -> DataFrame:
     return classes.select(F.col("node").alias("b"), F.col("component").alias("other"))
 
 
+def _tiled(rest: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of a bucket's texts (key, node, n_words, component, size,
+    counts) that lengths, components and word counters leave open. Every pair
+    of blocks is one group, so every pair of texts meets in one."""
+    blocks = F.ceil(F.col("size") / TILE).cast("int")
+    tiles = (rest.withColumn("blocks", blocks)
+             .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+             .withColumn("t", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("key", F.least("block", "t").alias("i"), F.greatest("block", "t").alias("j"),
+                     "block", "node", "n_words", "component", "counts"))
+
+    def run(rows: pa.Table) -> pa.Table:
+        n = rows["n_words"].to_numpy()
+        order = np.argsort(n, kind="stable")
+        n, node, block, component = (rows[c].to_numpy()[order] for c in
+                                     ("n_words", "node", "block", "component"))
+        counts = np.concatenate([c.flatten().to_numpy(zero_copy_only=False)
+                                 for c in rows["counts"].chunks]).reshape(len(n), -1)[order]
+        within = rows["i"][0].as_py() == rows["j"][0].as_py()
+        longest = np.searchsorted(n, (n + 1e-6) / similarity, "right")
+        a, b = [], []
+        for p in range(len(n)):
+            q = np.arange(p + 1, longest[p])
+            q = q[(component[q] != component[p]) & (within | (block[q] != block[p]))]
+            if len(q):
+                shared = np.minimum(counts[q], counts[p]).sum(axis=1)
+                q = q[shared >= n[q] * similarity - 1e-6]
+                a.append(np.minimum(node[q], node[p]))
+                b.append(np.maximum(node[q], node[p]))
+        none = [np.empty(0, np.int64)]
+        return pa.table({"a": np.concatenate(a or none), "b": np.concatenate(b or none)})
+
+    return tiles.groupBy("key", "i", "j").applyInArrow(run, "a long, b long")
+
+
 def links(nodes: DataFrame, words: DataFrame, buckets: DataFrame,
           similarity: float = SIMILARITY) -> DataFrame:
     """node, component for all nodes that have a link."""
@@ -341,66 +377,55 @@ def links(nodes: DataFrame, words: DataFrame, buckets: DataFrame,
              .where("lo < hi").select("key"))
     buckets = staged(buckets.join(apart, "key", "left_semi"), "near-dedup-buckets")
 
-    for last in (False, True):
-        star = buckets.where("node <> centre").join(sizes, "centre")
-        judged = _judged(star.where(near).select(
-            F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), words, similarity, reach=2)
-        link(judged)
-        star = star.join(judged.withColumnsRenamed({"a": "centre", "b": "node"}),
-                         ["centre", "node"], "left")
-        # texts of other lengths were not compared: the difference is a lower bound
-        star = star.select(
-            "key", "fn", "node", "n_words",
-            F.coalesce("d", F.abs(F.col("n_words") - F.col("m_words"))).alias("d"),
-            F.coalesce("linked", F.lit(False)).alias("linked"))
-        star = staged(star, "near-dedup-star")
-        yes = star.where("linked").select(
-            "key", F.col("node").alias("b"), F.col("n_words").alias("m_words"), F.col("d").alias("e"))
-        reach = yes.groupBy("key").agg(
-            F.max("e").alias("e_max"), F.max("m_words").alias("m_max"),
-            F.max_by("b", "e").alias("far"), F.min_by("b", F.xxhash64("b")).alias("any"))
-        open_ = staged(
-            star.where("not linked").join(reach, "key")
-            .where(F.col("d") <= F.col("e_max") + F.greatest("m_max", "n_words") * allowed + 1e-6),
-            "near-dedup-open")
-        # two linked texts of the bucket first: they settle nearly all of these
-        two = _placed(open_, classes).select("node", "component", F.explode(F.array("far", "any")).alias("b"))
-        two = two.join(_named(classes), "b", "left").where(
-            F.coalesce("other", "b") != F.col("component"))
-        link(_judged(two.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
-                     .distinct(), words, similarity))
-        left = _placed(open_, classes).join(
-            yes.join(_named(classes), "b", "left").withColumn("other", F.coalesce("other", "b")), "key")
-        left = (left.where((F.col("component") != F.col("other")) & near
-                           & (F.col("d") <= F.col("e") + F.greatest("m_words", "n_words") * allowed + 1e-6))
-                .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")))
-        no = _placed(star.where("not linked"), classes)
-        apart = (no.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("lo"),
-                                       F.max("component").alias("hi"))
-                 .where("size > 1 and lo < hi").select("key", "size"))
-        rest = staged(no.join(apart, "key").join(nodes.select("node", "counts"), "node"),
-                      "near-dedup-rest")
-        few = rest if last else rest.where(F.col("size") <= PAIRWISE)
-        other = few.select("key", F.col("node").alias("b"), F.col("n_words").alias("m_words"),
-                           F.col("component").alias("other"), F.col("counts").alias("m_counts"))
-        shared = F.aggregate(F.zip_with("counts", "m_counts", lambda x, y: F.least(x, y)), F.lit(0), lambda a, x: a + x)
-        among = (few.join(other, "key")
-                 .where((F.col("node") < F.col("b")) & (F.col("component") != F.col("other")) & near
-                        & (shared >= F.greatest("n_words", "m_words") * similarity - 1e-6))
-                 .select(F.col("node").alias("a"), "b"))
-        link(_judged(left.unionByName(among).distinct(), words, similarity))
-        many = rest.where(F.col("size") > PAIRWISE)
-        if last or many.isEmpty():
-            return classes
-        # the sketches of the next functions: similar texts agree on one somewhere
-        n = F.size("sketch")
-        then = F.array(*[F.struct(F.xxhash64("key", F.get("sketch", (F.col("fn") + j) % n)).alias("key"),
-                                  ((F.col("fn") + j) % n).alias("fn"))
-                         for j in range(1, SECOND + 1)])
-        again = (many.select("key", "node", "n_words", "fn").join(nodes.select("node", "sketch"), "node")
-                 .select("node", "n_words", F.explode(then).alias("t")))
-        buckets = staged(_buckets(again.select("t.key", "node", "n_words", "t.fn")),
-                         "near-dedup-buckets")
+    star = buckets.where("node <> centre").join(sizes, "centre")
+    judged = _judged(star.where(near).select(
+        F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), words, similarity, reach=2)
+    link(judged)
+    star = star.join(judged.withColumnsRenamed({"a": "centre", "b": "node"}),
+                     ["centre", "node"], "left")
+    # texts of other lengths were not compared: the difference is a lower bound
+    star = star.select(
+        "key", "fn", "node", "n_words",
+        F.coalesce("d", F.abs(F.col("n_words") - F.col("m_words"))).alias("d"),
+        F.coalesce("linked", F.lit(False)).alias("linked"))
+    star = staged(star, "near-dedup-star")
+    yes = star.where("linked").select(
+        "key", F.col("node").alias("b"), F.col("n_words").alias("m_words"), F.col("d").alias("e"))
+    reach = yes.groupBy("key").agg(
+        F.max("e").alias("e_max"), F.max("m_words").alias("m_max"),
+        F.max_by("b", "e").alias("far"), F.min_by("b", F.xxhash64("b")).alias("any"))
+    open_ = staged(
+        star.where("not linked").join(reach, "key")
+        .where(F.col("d") <= F.col("e_max") + F.greatest("m_max", "n_words") * allowed + 1e-6),
+        "near-dedup-open")
+    # two linked texts of the bucket first: they settle nearly all of these
+    two = _placed(open_, classes).select("node", "component", F.explode(F.array("far", "any")).alias("b"))
+    two = two.join(_named(classes), "b", "left").where(
+        F.coalesce("other", "b") != F.col("component"))
+    link(_judged(two.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
+                 .distinct(), words, similarity))
+    left = _placed(open_, classes).join(
+        yes.join(_named(classes), "b", "left").withColumn("other", F.coalesce("other", "b")), "key")
+    left = (left.where((F.col("component") != F.col("other")) & near
+                       & (F.col("d") <= F.col("e") + F.greatest("m_words", "n_words") * allowed + 1e-6))
+            .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")))
+    no = _placed(star.where("not linked"), classes)
+    apart = (no.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("lo"),
+                                   F.max("component").alias("hi"))
+             .where("size > 1 and lo < hi").select("key", "size"))
+    rest = staged(no.join(apart, "key").select("key", "node", "n_words", "component", "size")
+                  .join(nodes.select("node", "counts"), "node"), "near-dedup-rest")
+    few = rest.where(F.col("size") <= PAIRWISE)
+    other = few.select("key", F.col("node").alias("b"), F.col("n_words").alias("m_words"),
+                       F.col("component").alias("other"), F.col("counts").alias("m_counts"))
+    shared = F.aggregate(F.zip_with("counts", "m_counts", lambda x, y: F.least(x, y)), F.lit(0), lambda a, x: a + x)
+    among = (few.join(other, "key")
+             .where((F.col("node") < F.col("b")) & (F.col("component") != F.col("other")) & near
+                    & (shared >= F.greatest("n_words", "m_words") * similarity - 1e-6))
+             .select(F.col("node").alias("a"), "b"))
+    tiled = _tiled(rest.where(F.col("size") > PAIRWISE), similarity)
+    link(_judged(left.unionByName(among).unionByName(tiled).distinct(), words, similarity))
+    return classes
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",

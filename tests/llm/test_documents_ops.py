@@ -250,6 +250,31 @@ def test_classes_equal_brute_force_with_hot_groups(spark, documents):
     assert got == {i: root(i) for i in range(len(texts))}
 
 
+@pytest.mark.parametrize("tile", [1024, 50])
+def test_pairs_of_a_large_bucket_are_all_compared(spark, documents, monkeypatch, tile):
+    # texts that share only a passage, and a copy of each whose own part keeps
+    # no run of 5 words: such a pair meets in the passage's buckets alone
+    monkeypatch.setattr(near_dedup, "TILE", tile, raising=False)
+    rng = random.Random(8)
+    word = lambda: f"v{rng.randint(0, 40_000)}"
+    passage = [word() for _ in range(60)]
+    texts = []
+    for _ in range(60):
+        own = [word() for _ in range(64)]
+        copy = [word() if i % 4 == 3 else w for i, w in enumerate(own)]
+        texts += [passage + own, passage + copy]
+    sketch = near_dedup.Sketcher()
+    keys = [sketch([w.encode() for w in t]) for t in texts]
+    met = [i for i in range(0, len(texts), 2) if (keys[i] == keys[i + 1]).any()]
+    large = max(Counter(int(k) for row in keys for k in row).values())
+    assert len(met) > 50 and large > 2 * near_dedup.PAIRWISE
+    assert all(near_dedup.similar(texts[i], texts[i + 1]) for i in met)
+    got = dict(rows_of(near_dedup.classes(documents([(i, " ".join(t)) for i, t in enumerate(texts)])),
+                       "doc_id", "class_id"))
+    linked = {i for i in range(0, len(texts), 2) if got[i + 1] == i}
+    assert linked == set(met) and all(got[i] == i for i in range(0, len(texts), 2))
+
+
 def test_near_dedup_odd_cases(spark, documents, edges, empty):
     got = Counter(rows_of(near_dedup.classes(edges), "doc_id", "class_id"))
     assert got == Counter({(1, 1): 1, (2, 1): 1, (3, 3): 2, (4, 4): 1, (5, 5): 1, (6, 6): 1,
