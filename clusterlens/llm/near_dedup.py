@@ -49,6 +49,7 @@ FIRST = 4           # functions whose buckets are compared first
 COUNTERS = 128      # word counters of a text, to rule pairs out before reading texts
 PAIRWISE = 32       # more texts of a bucket that are not similar to its centre are tiled
 TILE = 1024         # texts of a block, about
+FINE = 16           # finer counters for each counter, for texts of large buckets
 MAX_WORD_CACHE = 150_000
 
 _MASK = (1 << 64) - 1
@@ -89,6 +90,15 @@ class Sketcher:
         at = (self.word_hashes(words) >> np.uint64(20)) % np.uint64(COUNTERS)
         return np.bincount(at.astype(np.int64), minlength=COUNTERS).astype(np.int32)
 
+    def fine_counters(self, words: list[bytes]) -> tuple[bytes, int]:
+        """``FINE`` * ``COUNTERS`` counters of a byte, and the words beyond 255
+        that these cannot count."""
+        n = FINE * COUNTERS
+        at = (self.word_hashes(words) >> np.uint64(20)) % np.uint64(n)
+        count = np.bincount(at.astype(np.int64), minlength=n)
+        held = np.minimum(count, 255)
+        return held.astype(np.uint8).tobytes(), int((count - held).sum())
+
     def kmers(self, words: list[bytes]) -> np.ndarray:
         """Hash of every k-mer with its occurrence number; a shorter text is one."""
         h = self.word_hashes(words)
@@ -315,33 +325,49 @@ def _named(classes: DataFrame) -> DataFrame:
     return classes.select(F.col("node").alias("b"), F.col("component").alias("other"))
 
 
-def _tiled(rest: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of a bucket's texts (key, node, n_words, component, size,
-    counts) that lengths, components and word counters leave open. Every pair
-    of blocks is one group, so every pair of texts meets in one."""
+def _tiled(rest: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of a bucket's texts (key, node, n_words, component, size)
+    that lengths, components and fine word counters leave open. Every pair of
+    blocks is one group, so every pair of texts meets in one."""
+    def make():
+        import zstandard
+        unpack, sketch = zstandard.ZstdDecompressor().decompress, Sketcher()
+
+        def fine(batch: pa.RecordBatch) -> dict:
+            found = [sketch.fine_counters(tokens(unpack(t.as_py()).decode("utf-8", "surrogatepass")))
+                     for t in batch.column(1)]
+            return {"node": batch.column(0), "counts": [c for c, _ in found],
+                    "over": [o for _, o in found]}
+        return fine
+
+    fine = map_batches(words.select("node", "text").join(rest.select("node").distinct(), "node", "left_semi"),
+                       make, "node long, counts binary, over long").distinct()
+    rest = rest.join(staged(fine, "near-dedup-counters"), "node")
     blocks = F.ceil(F.col("size") / TILE).cast("int")
     tiles = (rest.withColumn("blocks", blocks)
              .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
              .withColumn("t", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("key", F.least("block", "t").alias("i"), F.greatest("block", "t").alias("j"),
-                     "block", "node", "n_words", "component", "counts"))
+                     "block", "node", "n_words", "component", "counts", "over"))
 
     def run(rows: pa.Table) -> pa.Table:
         n = rows["n_words"].to_numpy()
         order = np.argsort(n, kind="stable")
-        n, node, block, component = (rows[c].to_numpy()[order] for c in
-                                     ("n_words", "node", "block", "component"))
-        counts = np.concatenate([c.flatten().to_numpy(zero_copy_only=False)
-                                 for c in rows["counts"].chunks]).reshape(len(n), -1)[order]
+        n, node, block, component, over = (rows[c].to_numpy()[order] for c in (
+            "n_words", "node", "block", "component", "over"))
+        fine = np.frombuffer(b"".join(rows["counts"].to_pylist()), np.uint8).reshape(len(n), -1)[order]
+        coarse = fine.reshape(len(n), FINE, COUNTERS).sum(axis=1, dtype=np.int32)
         within = rows["i"][0].as_py() == rows["j"][0].as_py()
         longest = np.searchsorted(n, (n + 1e-6) / similarity, "right")
         a, b = [], []
         for p in range(len(n)):
             q = np.arange(p + 1, longest[p])
             q = q[(component[q] != component[p]) & (within | (block[q] != block[p]))]
+            # texts share at most the sum of the lesser counts
+            for counts in (coarse, fine):
+                shared = np.minimum(counts[q], counts[p]).sum(axis=1, dtype=np.int64)
+                q = q[shared + np.minimum(over[q], over[p]) >= n[q] * similarity - 1e-6]
             if len(q):
-                shared = np.minimum(counts[q], counts[p]).sum(axis=1)
-                q = q[shared >= n[q] * similarity - 1e-6]
                 a.append(np.minimum(node[q], node[p]))
                 b.append(np.maximum(node[q], node[p]))
         none = [np.empty(0, np.int64)]
@@ -413,9 +439,9 @@ def links(nodes: DataFrame, words: DataFrame, buckets: DataFrame,
     apart = (no.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("lo"),
                                    F.max("component").alias("hi"))
              .where("size > 1 and lo < hi").select("key", "size"))
-    rest = staged(no.join(apart, "key").select("key", "node", "n_words", "component", "size")
-                  .join(nodes.select("node", "counts"), "node"), "near-dedup-rest")
-    few = rest.where(F.col("size") <= PAIRWISE)
+    rest = staged(no.join(apart, "key").select("key", "node", "n_words", "component", "size"),
+                  "near-dedup-rest")
+    few = rest.where(F.col("size") <= PAIRWISE).join(nodes.select("node", "counts"), "node")
     other = few.select("key", F.col("node").alias("b"), F.col("n_words").alias("m_words"),
                        F.col("component").alias("other"), F.col("counts").alias("m_counts"))
     shared = F.aggregate(F.zip_with("counts", "m_counts", lambda x, y: F.least(x, y)), F.lit(0), lambda a, x: a + x)
@@ -423,7 +449,7 @@ def links(nodes: DataFrame, words: DataFrame, buckets: DataFrame,
              .where((F.col("node") < F.col("b")) & (F.col("component") != F.col("other")) & near
                     & (shared >= F.greatest("n_words", "m_words") * similarity - 1e-6))
              .select(F.col("node").alias("a"), "b"))
-    tiled = _tiled(rest.where(F.col("size") > PAIRWISE), similarity)
+    tiled = _tiled(rest.where(F.col("size") > PAIRWISE), words, similarity)
     link(_judged(left.unionByName(among).unionByName(tiled).distinct(), words, similarity))
     return classes
 
