@@ -9,7 +9,8 @@ The risk is the class-prior-corrected estimate
 
 whose second part must not fall below zero; where it does, the step goes the
 other way. The prior is the share of toxic rows among the labelled rows used
-for training. Scores are calibrated on labelled rows kept out of the fit.
+for training. Scores are calibrated on labelled rows kept out of the fit, with
+the odds moved from the drawn shares to those of all labelled rows.
 
 Training rows are bounded (``Limits``): the rows of least hash of each kind.
 Their texts stay on the executors; the driver gets feature numbers only.
@@ -231,6 +232,10 @@ def train(docs: DataFrame, labels: DataFrame, held_out, doc_id: str = "doc_id",
                     min(max(prior, 1e-4), 0.9))
     margins = np.array([b + w[r].sum() for r in by["1"] + by["0"]])
     scale, shift = calibrate(margins, np.repeat([1, 0], [len(by["1"]), len(by["0"])]))
+    if by["1"] and by["0"]:
+        # the kinds were drawn apart: move the odds back to their true shares
+        drawn = len(by["1"]) / len(margins)
+        shift += float(np.log(prior / (1 - prior)) - np.log(drawn / (1 - drawn)))
     return Model(w, b, scale, shift)
 
 

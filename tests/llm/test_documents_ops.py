@@ -349,6 +349,21 @@ def test_toxicity_leaves_clean_documents_alone(spark):
     assert test[test.toxic == 1].score.mean() > test[test.toxic == 0].score.mean() + 0.2
 
 
+def test_toxicity_scores_do_not_depend_on_the_drawn_shares(spark):
+    docs, labels = labelled(spark, "/root/testdata/sf0.1")
+    table = spark.createDataFrame(labels.reset_index())
+    some = docs.join(table.select("doc_id"), "doc_id", "left_semi").select("doc_id", "text").persist()
+    share, mean = {}, {}
+    for most in (3_000, 60):            # natural shares of about 1 to 8, then 1 to 1
+        model = toxicity.train(docs, table, toxicity.held_out(),
+                               limits=toxicity.Limits(calibration=most))
+        got = toxicity.score(some, model).agg(
+            F.avg((F.col("score") >= toxicity.THRESHOLD).cast("double")), F.avg("score")).first()
+        share[most], mean[most] = got
+    some.unpersist()
+    assert abs(share[60] - share[3_000]) < 0.02 and abs(mean[60] - mean[3_000]) < 0.03
+
+
 def test_non_negative_risk_finds_the_marking_feature():
     rng = np.random.default_rng(0)
     row = lambda bad: np.append(rng.integers(100, 400, 20), [7] if bad else []).astype(np.int64)
