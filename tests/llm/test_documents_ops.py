@@ -364,6 +364,17 @@ def test_toxicity_scores_do_not_depend_on_the_drawn_shares(spark):
     assert abs(share[60] - share[3_000]) < 0.02 and abs(mean[60] - mean[3_000]) < 0.03
 
 
+def test_toxicity_limits_and_held_out_recall(spark):
+    assert toxicity.Limits() == toxicity.Limits(positives=3_000, unlabelled=9_000, calibration=3_000)
+    _, labels = labelled(spark, "/root/testdata/sf0.1")
+    got = toxicity.query(spark, "/root/testdata/sf0.1").toPandas().set_index("doc_id")
+    test = got[got.held_out].join(labels, how="inner")
+    hit = test[test.predicted == 1]
+    recall, precision = (test[test.toxic == 1].predicted.mean(), hit.toxic.mean())
+    print("held-out recall, precision", recall, precision, len(test), test.toxic.sum())
+    assert precision > 0.9 and recall > 0.3
+
+
 def test_non_negative_risk_finds_the_marking_feature():
     rng = np.random.default_rng(0)
     row = lambda bad: np.append(rng.integers(100, 400, 20), [7] if bad else []).astype(np.int64)
