@@ -1,6 +1,7 @@
 """Quality by compression: which of two zstandard dictionaries fits a text?
 
-One dictionary is trained on texts labelled good, one on texts labelled bad.
+One dictionary is made of texts labelled good, one of texts labelled bad: pieces
+of ``PIECE`` bytes drawn by hash from whole texts, in turn from every text.
 A text is compressed with each, in chunks of ``CHUNK`` bytes so that a long
 text cannot outgrow the dictionaries, and with none. Per byte of text, the
 difference of the two sizes (normalised by their sum) and the two rates feed
@@ -30,7 +31,8 @@ from clusterlens.llm.common import Shared, bucket_of, map_batches, table, texts
 CHUNK = 2_048
 LEVEL = 3
 DICTIONARY_BYTES = 65_536
-SAMPLE_BYTES = 8_192        # of one text, spread over it, for a dictionary
+PIECE = 128                 # bytes of a text that go into a dictionary together
+SAMPLE_BYTES = 8_192        # of one text, in pieces from all of it, for a dictionary
 THRESHOLD = 0.7
 
 
@@ -110,22 +112,27 @@ class Model:
         return score
 
 
-def dictionary_of(samples: list[bytes]) -> bytes:
-    """Raw dictionary content: an equal share of every sample, the texts that
-    come first by hash last, where zstandard finds them cheapest."""
-    if not samples:
-        return b" "
-    share = max(64, DICTIONARY_BYTES // len(samples))
-    return b"".join(s[:share] for s in reversed(samples))[-DICTIONARY_BYTES:]
+def dictionary_of(samples: list[tuple[bytes, ...]]) -> bytes:
+    """Raw dictionary content from each text's pieces in the order drawn: the
+    first piece of every text, then the second, until the space is full; what
+    was taken first comes last, where zstandard finds it cheapest."""
+    taken, size = [], 0
+    for turn in range(max(map(len, samples), default=0)):
+        for s in samples:
+            if turn < len(s) and size < DICTIONARY_BYTES:
+                taken.append(s[turn])
+                size += len(s[turn])
+    return b"".join(reversed(taken))[-DICTIONARY_BYTES:] or b" "
 
 
-def _excerpt(text: str) -> bytes:
+def pieces(text: str) -> list[bytes]:
+    """At most ``SAMPLE_BYTES`` of a text in pieces drawn by hash from all of it."""
+    from xxhash import xxh3_64_intdigest
     data = text.encode("utf-8", "surrogatepass")
-    if len(data) <= SAMPLE_BYTES:
-        return data
-    quarter = SAMPLE_BYTES // 4
-    at = np.linspace(0, len(data) - quarter, 4).astype(int)
-    return b"".join(data[i:i + quarter] for i in at)
+    seed = xxh3_64_intdigest(data)
+    cut = [data[i:i + PIECE] for i in range(0, len(data), PIECE)]
+    drawn = sorted(range(len(cut)), key=lambda i: xxh3_64_intdigest(i.to_bytes(8, "little"), seed))
+    return [cut[i] for i in drawn[:SAMPLE_BYTES // PIECE]]
 
 
 def train(docs: DataFrame, labels: DataFrame, held_out: Column, doc_id: str = "doc_id",
@@ -146,17 +153,17 @@ def train(docs: DataFrame, labels: DataFrame, held_out: Column, doc_id: str = "d
     sample = (docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__text"))
               .join(F.broadcast(picked), "__id").where(F.length("__text") > 0))
 
-    # dictionary excerpts come to the driver (bounded); calibration texts stay
+    # dictionary pieces come to the driver (bounded); calibration texts stay
     def make():
         def run(batch: pa.RecordBatch) -> dict:
             return {"y": batch.column(0), "h": batch.column(1),
-                    "excerpt": [_excerpt(t) for t in texts(batch.column(2))]}
+                    "pieces": [pieces(t) for t in texts(batch.column(2))]}
         return run
     rows = map_batches(sample.where("__fold = 0").select("__y", "__h", "__text"), make,
-                       f"y {known.schema['__y'].dataType.simpleString()}, h long, excerpt binary"
+                       f"y {known.schema['__y'].dataType.simpleString()}, h long, pieces array<binary>"
                        ).toArrow().to_pylist()
-    rows.sort(key=lambda r: (r["h"], r["excerpt"]))
-    good, bad = (list(dict.fromkeys(r["excerpt"] for r in rows if r["y"] == y)) for y in (1, 0))
+    rows.sort(key=lambda r: (r["h"], r["pieces"]))
+    good, bad = (list(dict.fromkeys(tuple(r["pieces"]) for r in rows if r["y"] == y)) for y in (1, 0))
     empty = Model(b" ", b" ", np.zeros(1), np.ones(1), None, base)
     if not good or not bad:
         return empty

@@ -341,6 +341,22 @@ def test_quality_is_accurate_on_held_out_rows(spark):
     assert (test.predicted == test.quality).mean() > 0.9
 
 
+def test_quality_is_learned_from_whole_texts(spark, documents):
+    # only what follows an opening of 300 characters tells the classes apart,
+    # and more texts a class are labelled than a dictionary takes
+    rng = random.Random(9)
+    some = lambda n: ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(n)]
+    opening, tails = some(300), {1: some(300), 0: some(300)}
+    rows = [(i, " ".join(rng.choices(opening, k=38) + rng.choices(tails[i % 2], k=60))) for i in range(3_000)]
+    docs = documents(rows)
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    model = compression_quality.train(docs, labels, F.col("doc_id") >= 2_600)
+    found = [model.good.count(w.encode()) > 0 for w in tails[1]]
+    assert np.mean(found) > 0.99 and len(model.good) == compression_quality.DICTIONARY_BYTES
+    got = rows_of(compression_quality.score(docs.where("doc_id >= 2600"), model), "doc_id", "score")
+    assert np.mean([(s >= 0.5) == i % 2 for i, s in got]) > 0.99
+
+
 def test_toxicity_leaves_clean_documents_alone(spark):
     _, labels = labelled(spark)
     got = toxicity.query(spark, "/root/testdata/sf0.01").toPandas().set_index("doc_id")
