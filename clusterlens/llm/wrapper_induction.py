@@ -8,9 +8,16 @@ matching (the largest number of matched node pairs under a common root) into a
 wrapper; the texts of aligned slots are compared over all of the host's pages.
 A slot whose text is the same on all of at least ``MIN_PAGES`` different pages
 is template, a varying slot is content. The page's text is its content slots,
-without containers that are furniture by name (menus, headers, footers,
-sidebars, notices, adverts, forms, scripts, styles, reader comments), within
-the article or main element where there is one.
+without elements that are furniture by tag or role (menus, site headers,
+footers, asides, forms, scripts, styles), within the article or main element
+where there is one.
+
+A class or id that is as a whole the name of furniture (sidebar, notice, advert,
+reader comments) only weighs: its text is aligned like any other, in slots of
+its own, and gives way to text that is not so named. Text so named is the
+page's text if there is no other, or if the page's only article or main element
+is within. An article or main element is never furniture by its own name, nor
+is a header in one.
 
 Slots are compared by partial aggregation on (host, layout, slot), so a host
 with a third of all pages costs no single task more; one task merges a host's
@@ -52,14 +59,17 @@ HIDDEN = frozenset("script style noscript template iframe object svg math canvas
 MAIN = frozenset("article main".split())
 CLOSES_P = TEXT_BLOCKS | frozenset("div section article main nav header footer aside form fieldset "
                                    "body".split())
-# words in a class or id that mark page furniture
+# classes and ids, as a whole, that mark page furniture
 FURNITURE = frozenset(
-    "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion "
+    "ad ads ad-box adbox ad-slot ad-banner ad-container advert adverts advertisement advertising banner sponsor sponsored promo promotion "
     "menu nav navbar navigation breadcrumb breadcrumbs sidebar side widget footer masthead header "
     "cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe "
     "signup login share sharing social related recommended comment comments reply replies respond "
+    "comment-list commentlist comments-area comments-section share-buttons social-links "
+    "social-share related-posts related-articles cookie-banner cookie-notice site-header "
+    "site-footer page-header page-footer main-nav site-nav left-sidebar right-sidebar "
     "discussion disqus pagination pager toolbar search copyright disclaimer".split())
-_NAME = re.compile(r"[a-z]+")
+HEADERS = frozenset("header masthead page-header site-header".split())
 _SPACE = re.compile(r"\s+")
 
 
@@ -68,54 +78,71 @@ def is_furniture(tag: str, attrs: dict[str, str | None]) -> bool:
         return True
     if "hidden" in attrs or attrs.get("aria-hidden") == "true":
         return True
-    if attrs.get("role") in ("navigation", "banner", "contentinfo", "complementary", "search",
-                             "form", "dialog", "alert", "menu", "menubar"):
-        return True
-    if tag in ("html", "body"):
+    return attrs.get("role") in ("navigation", "banner", "contentinfo", "complementary", "search",
+                                 "form", "dialog", "alert", "menu", "menubar")
+
+
+def is_named(tag: str, attrs: dict[str, str | None], main: bool) -> bool:
+    """Whether a class or id is the name of furniture; ``main``: within an
+    article or main element."""
+    if tag in MAIN or tag in ("html", "body") or attrs.get("role") == "main" or (main and tag == "header"):
         return False
-    named = f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower()
-    return not FURNITURE.isdisjoint(_NAME.findall(named))
+    names = set(f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower().split())
+    return not FURNITURE.isdisjoint(names - HEADERS if main else names)
 
 
 class Page(HTMLParser):
     """Layout tree and text blocks of one page.
 
     A layout node is [signature, children]; a slot is the node "#". ``blocks``:
-    (node that holds the block, text, inside an article or main element).
+    (node that holds the block, text, inside an article or main element, named
+    as furniture). Text so named hangs on the node "!", before its neighbours.
     """
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
         self.root = ["root", []]
-        self.stack = [("root", self.root, False, False)]    # tag, node, furniture, main
-        self.held: list[str] = []
-        self.blocks: list[tuple[list, str, bool]] = []
+        # tag, node, furniture, main, named
+        self.stack = [("root", self.root, False, False, False)]
+        self.held: list[tuple[str, bool]] = []              # text, named
+        self.blocks: list[tuple[list, str, bool, bool]] = []
         self.feed(html)
         self.close()
         self.flush()
 
     def flush(self) -> None:
         if self.held:
-            text = _SPACE.sub(" ", "".join(self.held)).strip()
-            self.held = []
-            _, node, furniture, main = self.stack[-1]
+            held, self.held = self.held, []
+            _, node, furniture, main, named = self.stack[-1]
+            plain = _SPACE.sub(" ", "".join(t for t, n in held if not n)).strip()
+            text = plain or _SPACE.sub(" ", "".join(t for t, _ in held)).strip()
             if text and not furniture:
+                if not plain and not named:
+                    node = self.aside(node)
                 if not node[1] or node[1][-1][0] != "#":
                     node[1].append(["#", []])
-                self.blocks.append((node[1][-1], text, main))
+                self.blocks.append((node[1][-1], text, main, not plain))
+
+    @staticmethod
+    def aside(node: list) -> list:
+        """The node's child for text named as furniture."""
+        if not node[1] or node[1][0][0] != "!":
+            node[1].insert(0, ["!", []])
+        return node[1][0]
 
     def handle_data(self, data: str) -> None:
-        if not self.stack[-1][2]:
-            self.held.append(data)
+        _, _, furniture, _, named = self.stack[-1]
+        if not furniture:
+            self.held.append((data, named))
 
     def handle_starttag(self, tag: str, attrs) -> None:
         if tag == "br":
-            self.held.append(" ")
+            self.held.append((" ", self.stack[-1][4]))
             return
         if tag in VOID:
             return
         if tag in INLINE:
-            if is_furniture(tag, dict(attrs)):
+            if is_furniture(tag, dict(attrs)) or is_named(tag, dict(attrs), self.stack[-1][3]):
                 self.open(tag, dict(attrs), None)
             return
         self.flush()
@@ -126,17 +153,21 @@ class Page(HTMLParser):
         self.open(tag, dict(attrs), tag)
 
     def open(self, tag: str, attrs: dict, block: str | None) -> None:
-        _, node, furniture, main = self.stack[-1]
+        _, node, furniture, main, named = self.stack[-1]
         # an article's own header holds its title
         own_header = tag == "header" and main
         furniture = furniture or is_furniture(tag, attrs) or (tag == "header" and not main)
-        if block and block not in TEXT_BLOCKS and not furniture and not own_header:
+        if not named and is_named(tag, attrs, main):
+            named = True
+            if block and not furniture:
+                node = self.aside(node)
+        elif block and block not in TEXT_BLOCKS and not furniture and not own_header:
             names = sorted((attrs.get("class") or "").split())[:3]
             new = [".".join([tag, *names]), []]
             node[1].append(new)
             node = new
         main = main or tag in MAIN or attrs.get("role") == "main"
-        self.stack.append((tag, node, furniture, main))
+        self.stack.append((tag, node, furniture, main, named))
 
     def shut(self, tag: str, through: frozenset) -> None:
         """Close an open ``tag`` if only elements of ``through`` stand above it."""
@@ -193,11 +224,11 @@ def fold(node: list) -> tuple[list, dict[int, int]]:
     return (walk([node]) if node[2] else [node[0], []]), number
 
 
-def layout_of(html: str) -> tuple[str, list[tuple[int, str, bool]]]:
-    """Layout (JSON) and (slot, text, in main) per block."""
+def layout_of(html: str) -> tuple[str, list[tuple[int, str, bool, bool]]]:
+    """Layout (JSON) and (slot, text, in main, named as furniture) per block."""
     page = Page(html)
     tree, number = fold(page.root)
-    return json.dumps(tree), [(number[id(n)], t, m) for n, t, m in page.blocks]
+    return json.dumps(tree), [(number[id(n)], t, m, f) for n, t, m, f in page.blocks]
 
 
 def tree_matching(a: list, b: list) -> tuple[int, list[tuple[list, list]]]:
@@ -289,24 +320,26 @@ def _parsed(pages: DataFrame, key: str) -> DataFrame:
         def run(batch: pa.RecordBatch) -> dict:
             from xxhash import xxh3_64_intdigest
             signed = lambda t: xxh3_64_intdigest(t) - (1 << 63)
-            out = {k: [] for k in ("layout", "page", "hashes", "slots", "blocks", "mains")}
+            out = {k: [] for k in ("layout", "page", "hashes", "slots", "blocks", "mains", "named")}
             for html in texts(batch.column(2)):
                 layout, blocks = layout_of(html)
                 held: dict[int, list[str]] = {}
-                for slot, t, _ in blocks:
+                for slot, t, *_ in blocks:
                     held.setdefault(slot, []).append(t)
                 out["layout"].append(layout)
-                out["page"].append(signed("\n".join(t for _, t, _ in blocks)))
+                out["page"].append(signed("\n".join(t for _, t, *_ in blocks)))
                 out["hashes"].append([signed("\n".join(held[s])) for s in sorted(held)])
-                out["slots"].append([s for s, _, _ in blocks])
-                out["blocks"].append([t for _, t, _ in blocks])
-                out["mains"].append([m for _, _, m in blocks])
+                out["slots"].append([s for s, *_ in blocks])
+                out["blocks"].append([t for _, t, *_ in blocks])
+                out["mains"].append([m for _, _, m, _ in blocks])
+                out["named"].append([f for *_, f in blocks])
             return out | {"key": batch.column(0), "url": batch.column(1)}
         return run
 
     parsed = map_batches(pages.select(key, "url", "html"), make,
                          f"key {kind}, url string, layout string, page long, hashes array<long>, "
-                         "slots array<int>, blocks array<string>, mains array<boolean>")
+                         "slots array<int>, blocks array<string>, mains array<boolean>, "
+                         "named array<boolean>")
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")),
                                     r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)", 1))
     return parsed.withColumn("host", host)
@@ -340,13 +373,16 @@ def extract(pages: DataFrame, key: str = "page_id", min_pages: int = MIN_PAGES)
     parsed = staged(_parsed(pages, key), "wrapper-pages")
     found = staged(_templates(parsed, min_pages), "wrapper-templates")
     b = parsed.join(found, ["host", "layout"], "left")
-    block = F.arrays_zip("slots", "blocks", "mains")
-    kept = F.filter(block, lambda x: ~F.coalesce(
+    block = F.arrays_zip("slots", "blocks", "mains", "named")
+    b = b.withColumn("all", block)
+    kept = F.filter("all", lambda x: ~F.coalesce(
         F.array_contains("template", x["slots"]), F.lit(False)))
-    b = b.withColumn("kept", kept)
-    within = F.filter("kept", lambda x: x["mains"])
-    # a page with a main element is that element alone
-    chosen = F.when(F.exists("mains", lambda m: m), within).otherwise(F.col("kept"))
+    # a page with a main element is that element alone; names of furniture give
+    # way to other text
+    rules = (lambda x: x["mains"] & ~x["named"], lambda x: x["mains"], lambda x: ~x["named"],
+             lambda x: F.lit(True))
+    chosen = F.coalesce(*[F.when(F.exists("all", r), F.filter(kept, r)) for r in rules],
+                        F.array().cast(b.schema["all"].dataType))
     return b.select(F.col("key").alias(key), "url",
                     F.array_join(F.transform(chosen, lambda x: x["blocks"]), "\n").alias("text"))
 

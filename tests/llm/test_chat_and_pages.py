@@ -94,3 +94,23 @@ def test_article_wins_and_its_title_stays(spark):
             "<p>a<div class='ad-box'>buy</div><p>b <b>c</b><aside>side</aside><ul><li>x<li>y</ul></article></body>")
     df = spark.createDataFrame([(1, "http://a.example/1", html)], "page_id long, url string, html string")
     assert wrapper_induction.extract(df).first().text == "Title\na\nb c\nx\ny"
+
+
+def test_names_do_not_lose_the_main_text(spark):
+    pages = ["<article class='post comments-open'><p>story</article>",
+             "<div id='page' class='has-sidebar'><p>story</div>",
+             "<main class='content no-header'><p>story</main>",
+             "<article><header class='entry-header'><h1>title</h1></header><p>story</article>",
+             "<article><div class='article-header'><h1>title</h1></div><p>story</article>",
+             "<article><div class='header'><h1>title</h1></div><p>story</article>",
+             "<div class='sidebar'><article><p>story</article></div>",
+             "<div class='notice'><p>story</div>",
+             "<article><p>story<p class='share'>no</p><p>on <span class='ad'>no</span> on</article>"
+             "<div class='comments'><article class='comment'><p>no</article></div>",
+             "<div class='text'><p>story</div><div class='sidebar'><p>no</div>"]
+    df = spark.createDataFrame([(i, f"http://h{i}.example/", f"<body class='sidebar'>{h}</body>")
+                                for i, h in enumerate(pages)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in wrapper_induction.extract(df).collect()}
+    title = "title\nstory"
+    assert [got[i] for i in range(len(pages))] == ["story"] * 3 + [title] * 3 + ["story"] * 2 + [
+        "story\non on", "story"]
