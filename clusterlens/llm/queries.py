@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from clusterlens.llm import (bpe, chat_format, compression_quality, decontaminate, near_dedup,
-                             quality_rules, resharding, token_files, toxicity, wrapper_induction)
+from clusterlens.llm import (bpe, chat_format, compression_quality, decontaminate,
+                             embedding_whitening, near_dedup, quality_rules, resharding, token_files,
+                             toxicity, wrapper_induction)
 
 QUERIES = {
     "op1_chat_format": chat_format.query,
@@ -16,6 +17,7 @@ QUERIES = {
     "op8_quality_rules": quality_rules.query,
     "op9_resharding": resharding.query,
     "op10_near_dedup": near_dedup.query,
+    "op13_whitening": embedding_whitening.query,
 }
 
 # the others cannot be said in SQL; tests/llm holds them against brute force
