@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from clusterlens.llm import (bpe, chat_format, compression_quality, decontaminate,
-                             embedding_whitening, near_dedup, quality_rules, resharding, token_files,
+from clusterlens.llm import (bpe, chat_format, collocations, compression_quality,
+                             decontaminate, embedding_whitening, near_dedup, quality_rules, resharding, token_files,
                              toxicity, wrapper_induction)
 
 QUERIES = {
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_quality_rules": quality_rules.query,
     "op9_resharding": resharding.query,
     "op10_near_dedup": near_dedup.query,
+    "op12_collocations": collocations.query,
     "op13_whitening": embedding_whitening.query,
 }
 
@@ -25,4 +26,5 @@ ORACLE = {
     "op1_chat_format": chat_format.ORACLE,
     "op5_decontaminate": decontaminate.ORACLE,
     "op8_quality_rules": quality_rules.ORACLE,
+    "op12_collocations": collocations.ORACLE,
 }
