@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from clusterlens.llm import (bpe, chat_format, collocations, compression_quality,
-                             decontaminate, embedding_whitening, near_dedup, quality_rules, resharding, token_files,
+                             decontaminate, embedding_whitening, language_id, near_dedup, quality_rules, resharding, token_files,
                              toxicity, wrapper_induction)
 
 QUERIES = {
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_quality_rules": quality_rules.query,
     "op9_resharding": resharding.query,
     "op10_near_dedup": near_dedup.query,
+    "op11_language_id": language_id.query,
     "op12_collocations": collocations.query,
     "op13_whitening": embedding_whitening.query,
 }
