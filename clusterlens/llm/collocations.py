@@ -6,13 +6,14 @@ Spark ROLLUP over (lang, w1, w2, w3, w4) then sums the ever shorter prefixes:
 a phrase occurs as often as windows begin with it, and the windows of a language
 are its words. No n-gram of a lower order is ever exploded.
 
-Most windows can be of no use: a phrase seen 30 times is made of pairs seen 30
-times. So words and pairs are first counted by hash, in saturating one-byte
-counters of a table sized by the corpus (a bucket counts at least what falls
-into it); a window is cut (padded) at its first pair whose bucket stays below
-the support, and its first word is '' where that word's does. No phrase with
-the support loses an occurrence, and the words of a language still add up. The
-filter is one bit a bucket, at most ``2**MOST_BITS`` of them.
+Most windows can be of no use: a phrase seen 30 times is made of pairs and
+triples seen 30 times. So words and pairs, then triples of pairs that passed,
+are first counted by hash, in saturating one-byte counters of a table sized by
+the corpus (a bucket counts at least what falls into it); a window is cut
+(padded) where its next pair or triple stays below the support, and its first
+word is '' where that word does. No phrase with the support loses an occurrence,
+and the words of a language still add up. The filter is two bits a bucket, at
+most ``2**MOST_BITS`` buckets; beyond that it only cuts less.
 
 Tokens are cut out of whole texts by byte masks over an Arrow column; a very
 long text is one block of its own. Phrases travel as dictionary words. Counts
@@ -108,23 +109,50 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 class Hashed:
-    """Hash buckets of words and of pairs, each within its language."""
+    """Hash buckets of the words, pairs and triples of pieces, each within its
+    language. ``pair[i]`` and ``triple[i]`` start at word ``pairs[i]``, ``triples[i]``."""
 
     def __init__(self, tokens: Tokens, lang: pa.Array, bits: int):
         from xxhash import xxh3_64_intdigest
         own = np.array([xxh3_64_intdigest(w) for w in tokens.vocabulary.cast(pa.large_binary()).to_pylist()],
-                       dtype=np.uint64)
+                       dtype=np.uint64)[tokens.code]
         langs = lang.dictionary_encode()
         by_lang = np.array([xxh3_64_intdigest(w.encode()) for w in langs.dictionary.to_pylist()], np.uint64)
-        where = langs.indices.to_numpy(zero_copy_only=False)[tokens.doc] if len(tokens.doc) else tokens.doc
-        self.lang = where
+        where = langs.indices.to_numpy(zero_copy_only=False)[tokens.doc]
         shift = np.uint64(64 - bits)
+        follows = ~tokens.last
         with np.errstate(over="ignore"):
-            word = mixed(own[tokens.code] + by_lang[where]) if len(where) else np.zeros(0, np.uint64)
-            self.word = (word >> shift).astype(np.int64)
-            self.followed = np.flatnonzero(~tokens.last)
-            a, b = word[self.followed], own[tokens.code[self.followed + 1]]
-            self.pair = (mixed(mixed(a + np.uint64(0x5851F42D4C957F2D)) + b) >> shift).astype(np.int64)
+            word = mixed(own + by_lang[where])
+            self.pairs = np.flatnonzero(follows)
+            pair = mixed(mixed(word[self.pairs] + np.uint64(0x5851F42D4C957F2D)) + own[self.pairs + 1])
+            inner = follows[self.pairs + 1]
+            self.triples = self.pairs[inner]
+            triple = mixed(mixed(pair[inner] + np.uint64(0x14057B7EF767814F)) + own[self.triples + 2])
+        self.word, self.pair, self.triple = ((h >> shift).astype(np.int64) for h in (word, pair, triple))
+
+
+class Filter:
+    """Which words, pairs and triples may have the support: one bit a bucket.
+    ``triples`` is None as long as they are not counted."""
+
+    def __init__(self, bits: int, short: np.ndarray, triples: np.ndarray | None = None):
+        self.bits, self.short, self.triples = bits, short, triples
+
+    def links(self, t: Tokens, h: Hashed) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per word: may it, the pair and the triple it starts have the support?"""
+        size = len(t.code)
+        word = _bit(self.short, h.word)
+        pair, triple = np.zeros(size, bool), np.zeros(size, bool)
+        pair[h.pairs] = _bit(self.short, h.pair)
+        at = pair[h.triples] & pair[h.triples + 1]
+        if self.triples is not None:
+            at[at] = _bit(self.triples, h.triple[at])
+        triple[h.triples[at]] = True
+        return word, pair, triple
+
+
+def _bit(table_: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+    return (table_[bucket >> 3] >> (7 - (bucket & 7)).astype(np.uint8)) & 1 == 1
 
 
 def _named(docs: DataFrame, text: str, lang: str) -> DataFrame:
@@ -132,17 +160,23 @@ def _named(docs: DataFrame, text: str, lang: str) -> DataFrame:
                        F.col(text).alias("text"))
 
 
-def frequent_buckets(docs: DataFrame, support: int) -> tuple[np.ndarray, int]:
-    """One bit per hash bucket of words and pairs that may reach ``support``."""
+def _bits(docs: DataFrame) -> int:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = int(np.clip(np.ceil(np.log2(max(size, 1) * BUCKETS_A_BYTE)), LEAST_BITS, MOST_BITS))
+    return int(np.clip(np.ceil(np.log2(max(size, 1) * BUCKETS_A_BYTE)), LEAST_BITS, MOST_BITS))
+
+
+def frequent_buckets(docs: DataFrame, support: int, bits: int,
+                     items: Callable[[Tokens, pa.Array], np.ndarray]) -> np.ndarray:
+    """One bit per hash bucket: may what falls into it reach ``support``?
+
+    ``items`` gives the buckets that some texts fill. Counters saturate at the
+    support (at most 255), so adding them up in any order gives the same bits."""
     width, full = 1 << SLICE_BITS, min(support, 255)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lang, text in blocks(batch):
-                h = Hashed(Tokens(text), lang, bits)
-                bucket, n = np.unique(np.concatenate((h.word, h.pair)), return_counts=True)
+                bucket, n = np.unique(items(Tokens(text), lang), return_counts=True)
                 n = np.minimum(n, full).astype(np.uint8)
                 part, at = np.unique(bucket >> SLICE_BITS, return_index=True)
                 at = np.append(at, len(bucket))
@@ -171,13 +205,29 @@ def frequent_buckets(docs: DataFrame, support: int) -> tuple[np.ndarray, int]:
     out = np.zeros((1 << bits) // 8, np.uint8)
     for p in parts:
         at = p["part"] * (width // 8)
-        piece = np.frombuffer(p["bits"], np.uint8)[:len(out) - at]
-        out[at:at + len(piece)] = piece
-    return out, bits
+        out[at:at + width // 8] = np.frombuffer(p["bits"], np.uint8)
+    return out
 
 
-def window_counts(lang: pa.Array, text: pa.Array, bits: int | None,
-                  known: Callable[[np.ndarray], np.ndarray]) -> pa.RecordBatch | None:
+def support_filter(docs: DataFrame, support: int) -> Callable[[], Filter]:
+    """The filter of words, pairs and triples, as something a task can load."""
+    context, bits = docs.sparkSession.sparkContext, _bits(docs)
+
+    def short(t: Tokens, lang: pa.Array) -> np.ndarray:
+        h = Hashed(t, lang, bits)
+        return np.concatenate((h.word, h.pair))
+    first = context.broadcast(frequent_buckets(docs, support, bits, short).tobytes())
+
+    # only triples of two pairs that passed are counted
+    def long(t: Tokens, lang: pa.Array) -> np.ndarray:
+        h = Hashed(t, lang, bits)
+        at = Filter(bits, np.frombuffer(first.value, np.uint8)).links(t, h)[2]
+        return h.triple[at[h.triples]]
+    second = context.broadcast(frequent_buckets(docs, support, bits, long).tobytes())
+    return lambda: Filter(bits, np.frombuffer(first.value, np.uint8), np.frombuffer(second.value, np.uint8))
+
+
+def window_counts(lang: pa.Array, text: pa.Array, known: Filter | None) -> pa.RecordBatch | None:
     """(lang, w1..w4, n): the padded longest windows of some texts, counted."""
     t = Tokens(text)
     size = len(t.code)
@@ -186,22 +236,18 @@ def window_counts(lang: pa.Array, text: pa.Array, bits: int | None,
     none = len(t.vocabulary)                       # code of the padding
     langs = lang.dictionary_encode()
     where = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[t.doc]
-    joined = ~t.last                               # may the next word follow in a window?
-    lead = t.code
-    if bits is not None:
-        h = Hashed(t, lang, bits)
-        joined[h.followed] &= known(h.pair)
-        fine = known(h.word)
-        lead = np.where(fine, t.code, none)
-        joined &= fine
-    columns, open_ = [lead], np.ones(size, bool)
-    for step in range(1, ORDER):
-        # column `step`: the code that many words on, while every link up to it holds
-        link = np.zeros(size, bool)
-        link[:size - step + 1] = joined[step - 1:]
-        open_ &= link
+    if known is not None:
+        word, pair, triple = known.links(t, Hashed(t, lang, known.bits))
+    else:
+        word, pair = np.ones(size, bool), ~t.last
+        triple = pair & np.append(pair[1:], False)
+    lead = np.where(word, t.code, none)
+    # lead columns: the word so many places on, while every link up to it holds
+    opens = [word & pair, word & triple, word & triple & np.append(triple[1:], False)]
+    columns = [lead]
+    for step, open_ in enumerate(opens, 1):
         ahead = np.full(size, none, np.int64)
-        ahead[:size - step] = t.code[step:]
+        ahead[:max(size - step, 0)] = t.code[step:]
         columns.append(np.where(open_, ahead, none))
     # windows are told apart by two joined numbers, made dense in turn
     base = none + 1
@@ -220,19 +266,13 @@ def window_counts(lang: pa.Array, text: pa.Array, bits: int | None,
 
 def windows(docs: DataFrame, support: int = SUPPORT, filtered: bool = True) -> DataFrame:
     """Padded longest windows and how often each occurs; (lang, w1..w4, n)."""
-    shared = bits = None
-    if filtered:
-        buckets, bits = frequent_buckets(docs, support)
-        shared = docs.sparkSession.sparkContext.broadcast(buckets.tobytes())
+    load = support_filter(docs, support) if filtered else lambda: None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table_ = np.frombuffer(shared.value, np.uint8) if shared is not None else None
-
-        def known(bucket: np.ndarray) -> np.ndarray:
-            return (table_[bucket >> 3] >> (7 - (bucket & 7)).astype(np.uint8)) & 1 == 1
+        known = load()
         for batch in batches:
             for lang, text in blocks(batch):
-                out = window_counts(lang, text, bits, known)
+                out = window_counts(lang, text, known)
                 if out is not None:
                     yield out
     schema = ", ".join(["lang string", *(f"{w} string" for w in WORDS), "n long"])
