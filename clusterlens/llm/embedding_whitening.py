@@ -40,8 +40,9 @@ COMPONENTS = 8
 GUARD = 24                      # columns beyond the wanted ones
 DEGREE = 16                     # most passes of one recurrence
 SPREAD = 23.0                   # log of the most by which a filter may stretch the first column
-CERTIFIED = 1e-13               # residual by the first eigenvalue
-CYCLES = 60
+CERTIFIED = 1e-14               # residual by the first eigenvalue
+FLOOR = 1e-11                   # accepted where rounding allows no less
+CYCLES = 400
 SEED = 20
 
 
@@ -149,39 +150,58 @@ class Components:
 
 def subspace(times: Callable[[np.ndarray], np.ndarray], width: int, wanted: int = COMPONENTS,
              guard: int = GUARD) -> Components:
-    """The leading eigenpairs of the operator ``times`` (positive semidefinite)."""
+    """The leading eigenpairs of the operator ``times`` (positive semidefinite).
+
+    A leading pair that is certified is locked: later blocks are held orthogonal
+    to it, so an eigenvalue far above the others does not hold the filter down.
+    """
     passes = 0
+    locked, values, residuals = np.zeros((width, 0)), [], []
+
+    def clear(y: np.ndarray) -> np.ndarray:
+        return y - locked @ (locked.T @ y)
 
     def counted(q: np.ndarray) -> np.ndarray:
         nonlocal passes
         passes += 1
-        return times(q)
+        return clear(times(q))
 
     wanted = min(wanted, width)
-    rng = np.random.default_rng(SEED)
-    y = rng.standard_normal((width, min(width, wanted + guard)))
-    worst, stalled = np.inf, 0
+    y = np.random.default_rng(SEED).standard_normal((width, min(width, wanted + guard)))
+    best, stalled = np.inf, 0
     for _ in range(CYCLES):
-        q, _r = np.linalg.qr(y)
+        q, _r = np.linalg.qr(clear(clear(y)))
         vq = counted(q)
         theta, u = np.linalg.eigh((q.T @ vq + vq.T @ q) / 2)
         theta, u = theta[::-1], u[:, ::-1]
         q, vq = q @ u, vq @ u
-        if theta[0] <= 0:
+        first = values[0] if values else theta[0]
+        if first <= 0:
             return Components(np.zeros(0), np.zeros((width, 0)), 0.0, passes)
-        left = np.linalg.norm(vq[:, :wanted] - q[:, :wanted] * theta[:wanted], axis=0).max() / theta[0]
-        # rounding sets a floor that depends on the width: no gain twice there is the floor
-        stalled = stalled + 1 if left > worst / 2 and left < 1e-10 else 0
-        worst = min(worst, left)
-        if left <= CERTIFIED or stalled == 2:
+        left = np.linalg.norm(vq - q * theta, axis=0)[:wanted - len(values)] / first
+        # no gain for some cycles, where little is left: that is rounding
+        worst = left.max()
+        stalled = 0 if worst < 0.8 * best else stalled + 1
+        best = min(best, worst)
+        done = left <= (FLOOR if stalled >= 4 else CERTIFIED)
+        fine = len(done) if done.all() else int(done.argmin())
+        if fine:
+            values += theta[:fine].tolist()
+            residuals += left[:fine].tolist()
+            locked = np.column_stack((locked, q[:, :fine]))
+            best, stalled = np.inf, 0
+        if len(values) == wanted:
             break
-        cut = max(theta[-1], 1e-9 * theta[0])
-        stretch = np.arccosh(max(2 * theta[0] / cut - 1, 1 + 1e-12))
-        y = chebyshev(counted, q, vq, int(np.clip(SPREAD / stretch, 2, DEGREE)), cut, theta[0])
+        q, vq, theta = q[:, fine:], clear(vq[:, fine:]), theta[fine:]
+        cut = max(theta[-1], 1e-9 * first)
+        top = max(theta[0], cut)
+        stretch = np.arccosh(max(2 * top / cut - 1, 1 + 1e-6))
+        y = chebyshev(counted, q, vq, int(np.clip(SPREAD / stretch, 2, DEGREE)), cut, top)
     else:
-        raise RuntimeError(f"residual {worst:.1e} after {passes} passes")
-    real = theta[:wanted] > width * 1e-14 * theta[0]
-    return Components(theta[:wanted][real], q[:, :wanted][:, real], float(left), passes)
+        raise RuntimeError(f"residual {best:.1e} after {passes} passes")
+    order = np.argsort(values)[::-1]
+    order = order[np.array(values)[order] > width * 1e-14 * max(values)]
+    return Components(np.array(values)[order], locked[:, order], float(max(residuals)), passes)
 
 
 @dataclass

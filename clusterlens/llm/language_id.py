@@ -80,12 +80,9 @@ def subwords(values: list[str], letters: Letters) -> tuple[np.ndarray, np.ndarra
     owner = np.repeat(np.arange(len(lower)), [len(v) + 1 for v in lower])
     owner = np.append(owner, max(len(lower) - 1, 0))
     letter = letters(codes)
-    kept = letter.copy()
-    kept[:-1] |= letter[1:]                 # one border between words,
+    kept = letter.copy()                    # letters and the borders beside them
+    kept[:-1] |= letter[1:]
     kept[1:] |= letter[:-1]
-    run = kept & ~letter
-    run[1:] &= ~(run[:-1] & ~letter[1:] & (owner[1:] == owner[:-1]))    # not two
-    kept = letter | run
     codes, letter, owner = codes[kept].astype(np.uint64), letter[kept], owner[kept]
     codes[~letter] = 0
     out, own = [], []
@@ -98,15 +95,14 @@ def subwords(values: list[str], letters: Letters) -> tuple[np.ndarray, np.ndarra
             whole &= letter[i:size + i]     # no border inside
         if n == 2:
             whole &= letter[:size] | letter[1:size + 1]
-        same = owner[:size] == owner[n - 1:size + n - 1]
-        at = np.flatnonzero(whole & same)
+        at = np.flatnonzero(whole)
         h = np.full(len(at), n, np.uint64)
         with np.errstate(over="ignore"):
             for i in range(n):
                 h = (h ^ codes[at + i]) * np.uint64(0x9E3779B97F4A7C15)
                 h ^= h >> np.uint64(32)
         out.append((h & np.uint64(BUCKETS - 1)).astype(np.int32))
-        own.append(owner[at])
+        own.append(owner[at + ~letter[at]])     # a border may be the next text's
     if not out:
         return np.zeros(0, np.int32), np.zeros(0, np.int64)
     bucket, own = np.concatenate(out), np.concatenate(own)
