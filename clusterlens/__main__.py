@@ -36,7 +36,7 @@ def _train(a) -> None:
     spark = get_spark()
     lines = rec.with_record_id(rec.scan_text(spark, a.input))
     trained = tr.train(lines, layout, k=a.k, runs=a.runs, sample=a.sample, seed=a.seed,
-                       n_top=a.top, parallelism=a.parallelism, encoding=a.encoding)
+                       n_top=a.top, encoding=a.encoding)
     tr.report_all(tr.score_all(lines, layout, trained)).write.mode("overwrite").json(a.out)
     if a.model:
         tr.save(spark, trained, a.model)
@@ -77,7 +77,6 @@ def main(argv=None) -> None:
     t.add_argument("--sample", type=float, default=D.BATCH_SAMPLE)
     t.add_argument("--seed", type=int, default=D.SPLIT_SEED)
     t.add_argument("--top", type=int, default=D.ANOMALY_TOP_N)
-    t.add_argument("--parallelism", type=int, default=1)
     m = sub.add_parser("monitor", help="streaming job over a directory of line files")
     m.add_argument("--model", required=True, help="folder written by train --model")
     m.add_argument("--input-dir", required=True, help="directory new line files arrive in")

@@ -81,15 +81,15 @@ class AnomalyDetector:
 def build_detector_selffit(points: DataFrame, k: int = D.DETECTOR_K, runs: int = D.BATCH_RUNS,
                            tol: float = D.BATCH_EPSILON, n: int = D.ANOMALY_TOP_N, seed: int = 1,
                            features: str = "features",
-                           max_iter: int = 20) -> AnomalyDetector:
+                           max_iter: int = 20, id_col: str | None = None) -> AnomalyDetector:
     """Normalise, fit the best of ``runs`` k-means models, then N1."""
     from clusterlens.operators.kmeans import fit_best
 
     nz = Normalizer.fit(points, features)
-    norm = nz.apply(points, features).select(features).persist()
+    norm = nz.apply(points, features).select(features, *((id_col,) if id_col else ())).persist()
     try:
         model = fit_best(norm, k=k, runs=runs, tol=tol, seed=seed,
-                         features=features, max_iter=max_iter)
+                         features=features, max_iter=max_iter, id_col=id_col)
         t = distance_threshold(assign(norm, model.centers, features), n).first()["threshold"]
     finally:
         norm.unpersist()

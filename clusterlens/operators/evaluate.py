@@ -49,24 +49,26 @@ def distance_by_cluster(assigned: DataFrame, cluster_col: str = "cluster",
                  F.avg(dist_col).alias("mean_dist")))
 
 
-def _cluster_sums(makeup: DataFrame, cluster_col: str, count_col: str) -> DataFrame:
+def _cluster_sums(makeup: DataFrame, cluster_col: str, count_col: str, *by: str) -> DataFrame:
     # H = ln t - (sum n ln n) / t  with t = sum n, over counts n > 0 (F2).
     n = F.col(count_col).cast("double")
     return (makeup.where(F.col(count_col) > 0)
-            .groupBy(cluster_col)
+            .groupBy(*by, cluster_col)
             .agg(F.sum(count_col).alias("n"),
                  F.sum(n * F.log(n)).alias("_nlogn"),
                  F.max(count_col).alias("_most")))
 
 
 def cluster_entropy(makeup: DataFrame, cluster_col: str = "cluster",
-                    count_col: str = "count") -> DataFrame:
-    """A5: label entropy of each cluster, natural log: ``-sum p ln p``."""
-    s = _cluster_sums(makeup, cluster_col, count_col)
+                    count_col: str = "count", by: str | None = None) -> DataFrame:
+    """A5: label entropy of each cluster, natural log: ``-sum p ln p``; with
+    ``by``, of each cluster of each model."""
+    models = (by,) if by else ()
+    s = _cluster_sums(makeup, cluster_col, count_col, *models)
     t = F.col("n").cast("double")
     # rounding must not take a pure cluster off 0, nor any below it
     h = F.greatest(F.log(t) - F.col("_nlogn") / t, F.lit(0.0))
-    return s.select(cluster_col, "n",
+    return s.select(*models, cluster_col, "n",
                     F.when(F.col("_most") == F.col("n"), 0.0).otherwise(h).alias("entropy"))
 
 
@@ -77,10 +79,11 @@ def sorted_makeup(makeup: DataFrame, cluster_col: str = "cluster",
 
 
 def entropy_score(makeup: DataFrame, cluster_col: str = "cluster",
-                  count_col: str = "count") -> DataFrame:
-    """Size-weighted mean entropy ``sum n_c H_c / N`` (one row)."""
-    e = cluster_entropy(makeup, cluster_col, count_col)
-    return e.agg(F.sum("n").alias("n"),
+                  count_col: str = "count", by: str | None = None) -> DataFrame:
+    """Size-weighted mean entropy ``sum n_c H_c / N`` (one row, or one for
+    each model ``by`` tells apart)."""
+    e = cluster_entropy(makeup, cluster_col, count_col, by)
+    return e.groupBy(*((by,) if by else ())).agg(F.sum("n").alias("n"),
                  (F.sum(F.col("n") * F.col("entropy")) / F.sum("n"))
                  .alias("entropy_score"))
 

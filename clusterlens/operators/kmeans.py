@@ -1,21 +1,17 @@
 """k-means: default and tuned fits, Lloyd steps from given centres, k sweeps.
 
-Fitting uses ``pyspark.ml.clustering.KMeans`` (distributed k-means|| and
-Lloyd iterations). ``runs`` (best of several seeds, lowest training cost)
-is kept as a loop of fits over one persisted input, since the ML API has no
-``runs``. Lloyd steps from *given* centres (which ML KMeans cannot take) are
-plain DataFrame jobs: nearest centre, then a per-cluster vector sum that is
-combined map-side, so only k x d partial sums per partition are shuffled.
+Fits are batches of runs (``kmeans_runs``): seeding and Lloyd iterations of all
+runs, and of all k of a sweep, share their passes over the points. Lloyd steps
+from *given* centres are plain DataFrame jobs: nearest centre, then a
+per-cluster vector sum that is combined map-side, so only k x d partial sums per
+partition are shuffled.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -24,6 +20,7 @@ from clusterlens import defaults as D
 from clusterlens.functions.nearest import CenterSet, as_center_set, assign
 from clusterlens.functions.vectors import UNROLL_LIMIT, col_of, of_width
 from clusterlens.operators import evaluate as ev
+from clusterlens.operators import kmeans_runs as kr
 
 
 @dataclass(frozen=True)
@@ -37,61 +34,36 @@ class KMeansResult:
         return self.centers.to_df(spark)
 
 
-def _vectors(points: DataFrame, features: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """The ML input: one VectorUDT column ``_v`` (plus ``keep``), quarantined
-    (null-feature) rows dropped."""
-    f = col_of(features)
-    return points.where(f.isNotNull()).select(array_to_vector(f).alias("_v"), *keep)
-
-
-def _fit_vectors(vec: DataFrame, k: int, seed: int, tol: float, max_iter: int,
-                 init_steps: int) -> KMeansResult:
-    km = KMeans(k=k, seed=seed, tol=tol, maxIter=max_iter, initSteps=init_steps,
-                featuresCol="_v", predictionCol="_p")
-    model = km.fit(vec)
-    centers = [np.asarray(c, dtype=np.float64) for c in model.clusterCenters()]
-    return KMeansResult(CenterSet.from_arrays(range(len(centers)), centers),
-                        float(model.summary.trainingCost), k, seed)
+def _result(fitted: kr.Fitted) -> KMeansResult:
+    return KMeansResult(CenterSet.from_arrays(range(len(fitted.centers)), fitted.centers),
+                        fitted.cost, fitted.run.k, fitted.run.seed)
 
 
 def fit(points: DataFrame, k: int = D.DEFAULT_K, seed: int = 1, tol: float = 1e-4,
-        max_iter: int = 20, init_steps: int = 2,
-        features: str = "features") -> KMeansResult:
+        max_iter: int = 20, init_steps: int = 2, features: str = "features",
+        id_col: str | None = None) -> KMeansResult:
     """K1: one k-means fit (defaults: k = 2, tolerance 1e-4, 20 iterations)."""
-    return _fit_vectors(_vectors(points, features), k, seed, tol, max_iter, init_steps)
+    return fit_best(points, k, 1, tol, seed, max_iter, init_steps, features, id_col)
 
 
 def fit_best(points: DataFrame, k: int, runs: int = D.BATCH_RUNS, tol: float = D.BATCH_EPSILON,
-             seed: int = 1, max_iter: int = 20, init_steps: int = 5,
-             features: str = "features", parallelism: int = 1) -> KMeansResult:
+             seed: int = 1, max_iter: int = 20, init_steps: int = 5, features: str = "features",
+             id_col: str | None = None) -> KMeansResult:
     """K2: best (lowest cost) of ``runs`` fits with seeds seed..seed+runs-1.
 
-    The vector input is persisted once for all runs; with ``parallelism`` > 1
-    runs are submitted as concurrent jobs (useful when one fit cannot fill
-    the cluster, e.g. a small training sample).
+    All runs share each pass over the distinct points, which are persisted; the
+    number of jobs is that of the slowest run. ``id_col`` names the rows for the
+    random draws (a vector that occurs often goes by its least id); without it
+    the vector itself does.
     """
-    vec = _vectors(points, features).persist()
+    vec = kr.weighted_points(points, features, id_col).persist()
     try:
-        vec.count()  # fill the cache once, before concurrent runs read it
-        return _best_of(vec, k, runs, tol, seed, max_iter, init_steps, parallelism)
+        return _result(kr.best_of(kr.fit_runs(vec, [kr.Run(k, seed + r) for r in range(runs)],
+                                              tol, max_iter, init_steps)))
     finally:
         vec.unpersist()
 
 
-def _best_of(vec: DataFrame, k: int, runs: int, tol: float, seed: int, max_iter: int,
-             init_steps: int, parallelism: int) -> KMeansResult:
-    def one(r):
-        return _fit_vectors(vec, k, seed + r, tol, max_iter, init_steps)
-
-    if parallelism > 1:
-        with ThreadPoolExecutor(min(parallelism, runs)) as pool:
-            results = list(pool.map(one, range(runs)))
-    else:
-        results = [one(r) for r in range(runs)]
-    # lowest cost; the earliest run wins a tie, whatever the completion order
-    return min(results, key=lambda res: (res.cost, res.seed))
-
-
 def vector_sums(assigned: DataFrame, dim: int, features: str = "features",
                 cluster_col: str = "cluster") -> DataFrame:
     """``cluster, n, sums`` with the element-wise sum of each cluster's vectors."""
@@ -185,32 +157,25 @@ def tuned_score(points: DataFrame, k: int, runs: int = 10, tol: float = 1e-6,
 
 def k_sweep(points: DataFrame, ks, how: str = "distance", tuned: bool = True,
             runs: int = 10, tol: float = 1e-6, seed: int = 1,
-            features: str = "features", parallelism: int = 1) -> DataFrame:
-    """K3-K8: ``(k, score)`` for every k.
+            features: str = "features", id_col: str | None = None) -> DataFrame:
+    """K3-K8: ``(k, score)`` for every k, in passes shared by all k.
 
-    One copy of the input (the vector form, plus the label for entropy) is
-    persisted for the whole sweep; fits read it directly and scores read it
-    back as arrays. With ``parallelism`` > 1 the values of k are fitted as
-    concurrent Spark jobs on the same session.
+    Every run of every k is in one batch, so the number of passes is that of the
+    slowest run. Distance scores come from the last pass; for entropy the best
+    model of each k is put to one more reading, with a make-up per k.
     """
-    spark = points.sparkSession
-    keep = ("label",) if how == "entropy" else ()
-    vec = _vectors(points, features, keep).persist()
-    arrays = vec.select(vector_to_array("_v").alias("features"), *keep)
+    if how not in ("distance", "entropy"):
+        raise ValueError(how)
+    ks = list(dict.fromkeys(int(k) for k in ks))
+    specs = [kr.Run(k, seed + r) for k in ks for r in range(runs if tuned else 1)]
+    vec = kr.weighted_points(points, features, id_col).persist()
     try:
-        vec.count()  # fill the cache once, before concurrent fits read it
-        def one(k):
-            if tuned:
-                model = _best_of(vec, k, runs, tol, seed, 20, 5, 1)
-            else:
-                model = _fit_vectors(vec, k, seed, 1e-4, 20, 2)
-            return k, score(arrays, model.centers, how)
-
-        if parallelism > 1:
-            with ThreadPoolExecutor(parallelism) as pool:
-                rows = list(pool.map(one, list(ks)))
-        else:
-            rows = [one(k) for k in ks]
+        fits = kr.fit_runs(vec, specs, tol if tuned else 1e-4, 20, 5 if tuned else 2)
     finally:
         vec.unpersist()
-    return spark.createDataFrame(rows, "k int, score double")
+    best = {k: kr.best_of([f for f in fits if f.run.k == k]) for k in ks}
+    if how == "distance":
+        return points.sparkSession.createDataFrame(
+            [(k, float(best[k].mean_distance)) for k in ks], "k int, score double")
+    makeup = kr.makeups(points, {k: best[k].centers for k in ks}, features)
+    return ev.entropy_score(makeup, by="k").select("k", F.col("entropy_score").alias("score"))

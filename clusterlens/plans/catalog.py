@@ -5,7 +5,7 @@ full. Floating outputs are rounded to 6 digits so that the SQL twin in
 ``oracle.py`` can be compared value by value. Model-dependent queries use
 the given centres (``fixtures.given_centers``) so their results do not
 depend on how a fit happened to be partitioned; the fitted-model queries
-(k-means, sweeps, self-fitted detectors) are row-checked only.
+(streamed model state) are row-checked only.
 """
 
 from __future__ import annotations
@@ -46,7 +46,6 @@ DIGITS = 6
 LAYOUT = fx.RECORD_LAYOUT
 SWEEP_KS = (2, 5, 10)
 SWEEP_RUNS = 3
-SWEEP_PARALLELISM = 3
 
 
 def r6(c) -> F.Column:
@@ -165,48 +164,37 @@ def q_hash_split_fine(spark, sf_dir):
 
 def q_kmeans_default(spark, sf_dir):
     pts = fx.embedding_points(spark, sf_dir)
-    return centers_long(spark, km.fit(pts, k=2, seed=1).centers)
+    return centers_long(spark, km.fit(pts, k=2, seed=1, id_col="id").centers)
 
 
 def q_kmeans_tuned(spark, sf_dir):
     pts = fx.embedding_points(spark, sf_dir)
-    return centers_long(spark, km.fit_best(pts, k=10, runs=10, tol=1e-6, seed=1).centers)
+    return centers_long(spark, km.fit_best(pts, k=10, runs=10, tol=1e-6, seed=1, id_col="id").centers)
 
 
-def q_k_sweep_basic(spark, sf_dir):
-    return ms.search_k_basic(_records(spark, sf_dir), LAYOUT, SWEEP_KS,
-                             parallelism=SWEEP_PARALLELISM)
+def _sweep(search, **options):
+    def query(spark, sf_dir):
+        out = search(_records(spark, sf_dir), LAYOUT, SWEEP_KS, id_col="rid", **options)
+        return out.select("k", r6("score").alias("score"))
+    return query
 
 
-def q_k_sweep_raw(spark, sf_dir):
-    return ms.search_k_raw(_records(spark, sf_dir), LAYOUT, SWEEP_KS, runs=SWEEP_RUNS,
-                           parallelism=SWEEP_PARALLELISM)
-
-
-def q_k_sweep_zscore(spark, sf_dir):
-    return ms.search_k_zscore(_records(spark, sf_dir), LAYOUT, SWEEP_KS, runs=SWEEP_RUNS,
-                              parallelism=SWEEP_PARALLELISM)
-
-
-def q_k_sweep_mixed(spark, sf_dir):
-    return ms.search_k_mixed(_records(spark, sf_dir), LAYOUT, SWEEP_KS, runs=SWEEP_RUNS,
-                             parallelism=SWEEP_PARALLELISM)
-
-
-def q_k_sweep_entropy(spark, sf_dir):
-    return ms.search_k_entropy(_records(spark, sf_dir), LAYOUT, SWEEP_KS, runs=SWEEP_RUNS,
-                               parallelism=SWEEP_PARALLELISM)
+q_k_sweep_basic = _sweep(ms.search_k_basic)
+q_k_sweep_raw = _sweep(ms.search_k_raw, runs=SWEEP_RUNS)
+q_k_sweep_zscore = _sweep(ms.search_k_zscore, runs=SWEEP_RUNS)
+q_k_sweep_mixed = _sweep(ms.search_k_mixed, runs=SWEEP_RUNS)
+q_k_sweep_entropy = _sweep(ms.search_k_entropy, runs=SWEEP_RUNS)
 
 
 def q_anomaly_selffit(spark, sf_dir):
     pts = _numeric_records(spark, sf_dir)
-    det = an.build_detector_selffit(pts, k=20, runs=3, n=100, seed=1)
+    det = an.build_detector_selffit(pts, k=20, runs=3, n=100, seed=1, id_col="rid")
     return det.anomalies(pts).select("rid", "label", "cluster", r6("dist").alias("dist"))
 
 
 def q_anomaly_mixed(spark, sf_dir):
     """Original line, its label and distance for every anomalous record."""
-    out = ms.list_anomalies(_records(spark, sf_dir), LAYOUT, k=20, runs=3, n=100, seed=1)
+    out = ms.list_anomalies(_records(spark, sf_dir), LAYOUT, k=20, runs=3, n=100, seed=1, id_col="rid")
     return out.select("line", "label", r6("dist").alias("dist"))
 
 
@@ -479,14 +467,15 @@ def q_report_json(spark, sf_dir):
 
 def _trained(spark, sf_dir):
     return tr.train(_records(spark, sf_dir), LAYOUT, k=20, runs=3, tol=1e-6,
-                    sample=0.05, seed=11, n_top=100, parallelism=3, encoding="mixed")
+                    sample=0.05, seed=11, n_top=100, encoding="mixed")
 
 
 def q_train_evaluate(spark, sf_dir):
     """Train on a 5 % hash sample, then its scores and threshold."""
     t = _trained(spark, sf_dir)
     return spark.createDataFrame(
-        [(t.n_train, t.model.k, t.distance_score, t.entropy_score, t.detector.threshold)],
+        [(t.n_train, t.model.k, round(t.distance_score, DIGITS), round(t.entropy_score, DIGITS),
+          round(t.detector.threshold, DIGITS))],
         "n_train long, k int, distance_score double, entropy_score double, threshold double")
 
 
@@ -539,7 +528,7 @@ QUERIES: dict[str, Query] = {
     "anomaly_records": q_anomaly_records,
     "cluster_report": q_cluster_report,
     "lloyd_steps": q_lloyd_steps,
-    # fitted models (row checks)
+    # fitted models
     "kmeans_default": q_kmeans_default,
     "kmeans_tuned": q_kmeans_tuned,
     "k_sweep_basic": q_k_sweep_basic,
@@ -577,11 +566,6 @@ QUERIES: dict[str, Query] = {
     "stream_monitor": q_stream_monitor,
 }
 
-# Queries SQL cannot express (fitted models depend on the partition layout,
-# streamed model state, random order, Poisson sampling); the driver checks
-# their rows only and pytest checks them against brute force / MLlib.
-ROW_CHECKED = frozenset({
-    "kmeans_default", "kmeans_tuned", "k_sweep_basic", "k_sweep_raw",
-    "k_sweep_zscore", "k_sweep_mixed", "k_sweep_entropy", "anomaly_selffit", "anomaly_mixed",
-    "stream_kmeans", "stream_distance", "train_evaluate", "stream_monitor",
-})
+# Queries SQL cannot express (streamed model state); the driver checks their
+# rows only and pytest checks them against brute force / MLlib.
+ROW_CHECKED = frozenset({"stream_kmeans", "stream_distance", "stream_monitor"})

@@ -4,7 +4,8 @@ anomaly listing (N3, E3).
 Each one parses, normalises where the flow calls for it, and returns a
 DataFrame: ``(k, score)`` rows for sweeps, anomalous original records for
 the listing. Defaults are the reference's k ranges and runs
-(``clusterlens.defaults``); every fit reads one persisted input.
+(``clusterlens.defaults``); all runs of all k share their passes over one
+persisted input. ``id_col`` names the rows for the fits' random draws.
 """
 
 from __future__ import annotations
@@ -21,8 +22,12 @@ from clusterlens.operators.stats import zscore
 from clusterlens.schema import RecordLayout
 
 
-def _numeric(lines: DataFrame, layout: RecordLayout) -> DataFrame:
-    return ps.parse_numeric(lines, layout)
+def _keep(id_col: str | None) -> tuple[str, ...]:
+    return (id_col,) if id_col else ()
+
+
+def _numeric(lines: DataFrame, layout: RecordLayout, keep: tuple[str, ...] = ()) -> DataFrame:
+    return ps.parse_numeric(lines, layout, keep=keep)
 
 
 def _mixed(lines: DataFrame, layout: RecordLayout, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -30,42 +35,42 @@ def _mixed(lines: DataFrame, layout: RecordLayout, keep: tuple[str, ...] = ()) -
 
 
 def search_k_basic(lines: DataFrame, layout: RecordLayout, ks=tuple(range(5, 31, 5)),
-                   parallelism: int = 1) -> DataFrame:
+                   id_col: str | None = None) -> DataFrame:
     """K3 sweep: default fit per k on numeric features, mean distance."""
-    return km.k_sweep(_numeric(lines, layout), ks, tuned=False, parallelism=parallelism)
+    return km.k_sweep(_numeric(lines, layout, _keep(id_col)), ks, tuned=False, id_col=id_col)
 
 
 def search_k_raw(lines: DataFrame, layout: RecordLayout, ks=D.SWEEP_RAW_KS,
-                 runs: int = D.BATCH_RUNS, parallelism: int = 1) -> DataFrame:
+                 runs: int = D.BATCH_RUNS, id_col: str | None = None) -> DataFrame:
     """K5: tuned fit per k on raw numeric features, mean distance."""
-    return km.k_sweep(_numeric(lines, layout), ks, runs=runs, parallelism=parallelism)
+    return km.k_sweep(_numeric(lines, layout, _keep(id_col)), ks, runs=runs, id_col=id_col)
 
 
 def search_k_zscore(lines: DataFrame, layout: RecordLayout, ks=D.SWEEP_ZSCORE_KS,
-                    runs: int = D.BATCH_RUNS, parallelism: int = 1) -> DataFrame:
+                    runs: int = D.BATCH_RUNS, id_col: str | None = None) -> DataFrame:
     """K6: tuned fit per k on z-scored numeric features, mean distance."""
-    return km.k_sweep(zscore(_numeric(lines, layout)), ks, runs=runs, parallelism=parallelism)
+    return km.k_sweep(zscore(_numeric(lines, layout, _keep(id_col))), ks, runs=runs, id_col=id_col)
 
 
 def search_k_mixed(lines: DataFrame, layout: RecordLayout, ks=D.SWEEP_MIXED_KS,
-                   runs: int = D.BATCH_RUNS, parallelism: int = 1) -> DataFrame:
+                   runs: int = D.BATCH_RUNS, id_col: str | None = None) -> DataFrame:
     """K7: tuned fit per k on z-scored one-hot features, mean distance."""
-    return km.k_sweep(zscore(_mixed(lines, layout)), ks, runs=runs, parallelism=parallelism)
+    return km.k_sweep(zscore(_mixed(lines, layout, _keep(id_col))), ks, runs=runs, id_col=id_col)
 
 
 def search_k_entropy(lines: DataFrame, layout: RecordLayout, ks=D.SWEEP_ENTROPY_KS,
-                     runs: int = D.BATCH_RUNS, parallelism: int = 1) -> DataFrame:
+                     runs: int = D.BATCH_RUNS, id_col: str | None = None) -> DataFrame:
     """K8: tuned fit per k on z-scored one-hot features, weighted entropy."""
-    return km.k_sweep(zscore(_mixed(lines, layout)), ks, how="entropy", runs=runs,
-                      parallelism=parallelism)
+    return km.k_sweep(zscore(_mixed(lines, layout, _keep(id_col))), ks, how="entropy", runs=runs,
+                      id_col=id_col)
 
 
 def list_anomalies(lines: DataFrame, layout: RecordLayout, k: int = D.DETECTOR_K,
                    runs: int = D.BATCH_RUNS, n: int = D.ANOMALY_TOP_N,
-                   seed: int = 1) -> DataFrame:
+                   seed: int = 1, id_col: str | None = None) -> DataFrame:
     """One-hot parse (original line kept), self-fitted detector, and
     the anomalous records: ``line, label, dist``. Count them with
     ``.count()``; labels are the ``label`` column."""
-    pts = _mixed(lines, layout, keep=("line",)).where(F.col("features").isNotNull())
-    det = build_detector_selffit(pts, k=k, runs=runs, n=n, seed=seed)
+    pts = _mixed(lines, layout, keep=("line", *_keep(id_col))).where(F.col("features").isNotNull())
+    det = build_detector_selffit(pts, k=k, runs=runs, n=n, seed=seed, id_col=id_col)
     return det.anomalies(pts).select("line", "label", "dist")

@@ -9,6 +9,8 @@ rather than translations of the Spark code. Floats are rounded to 6 digits
 
 from __future__ import annotations
 
+from clusterlens.operators.kmeans_runs import Run
+from clusterlens.plans import oracle_kmeans as ok
 
 # places (of 2^32) at which a Poisson count of mean 0.01 rises by one:
 # 2^32 times its distribution function at 0, 1, 2, 3
@@ -99,7 +101,47 @@ SELECT cluster, CAST(x.pos - 1 AS INTEGER) AS pos, {R('x.v')} AS value
 FROM {prev}, unnest({prev}.c) WITH ORDINALITY AS x(v, pos)""")
 
 
+def _runs(ks, runs: int) -> list[Run]:
+    return [Run(k, 1 + i) for k in ks for i in range(runs)]
+
+
+_EMB_PTS = "pts AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS f FROM embeddings)"
+_NUM = "SELECT rid AS id, [l_quantity, l_extendedprice, l_discount, l_tax]::DOUBLE[] AS f FROM j"
+_NUM_PTS = f"{_J.strip()},\npts AS ({_NUM})"
+_NUM_Z = f"{_J.strip()},\nraw AS ({_NUM}),\n{ok.ZSCORED}"
+# one-hot: a 0/1 entry for each value of a field, values in order
+_HOT = """[l_quantity]
+       || list_transform((SELECT list(value ORDER BY value) FROM dct WHERE field = 1), lambda v: (v = l_returnflag)::DOUBLE)
+       || list_transform((SELECT list(value ORDER BY value) FROM dct WHERE field = 2), lambda v: (v = l_linestatus)::DOUBLE)
+       || list_transform((SELECT list(value ORDER BY value) FROM dct WHERE field = 3), lambda v: (v = o_orderpriority)::DOUBLE)
+       || [l_extendedprice, l_discount, l_tax]"""
+_MIX_Z = f"""{_DICT.strip()},
+raw AS (SELECT rid AS id, {_HOT} AS f FROM j),
+{ok.ZSCORED},
+lab AS (SELECT rid AS id, label, concat_ws(',', l_quantity, l_returnflag, l_linestatus, o_orderpriority,
+               l_extendedprice, l_discount, l_tax, label) AS line FROM j)"""
+_SAMPLE_Z = _MIX_Z.replace("AS f FROM j)", """AS f FROM j
+  WHERE CAST('0x' || substr(md5('11:' || rid), 1, 8) AS BIGINT) < 214748365)""", 1)
+
 ORACLE: dict[str, str] = {
+    # -------------------------------------------------------- fitted models
+    "kmeans_default": ok.centers_sql(_EMB_PTS, _runs([2], 1), 2, 1e-4),
+    "kmeans_tuned": ok.centers_sql(_EMB_PTS, _runs([10], 10), 5, 1e-6),
+    "k_sweep_basic": ok.sweep_sql(_NUM_PTS, _runs((2, 5, 10), 1), 2, 1e-4),
+    "k_sweep_raw": ok.sweep_sql(_NUM_PTS, _runs((2, 5, 10), 3), 5, 1e-6),
+    "k_sweep_zscore": ok.sweep_sql(_NUM_Z, _runs((2, 5, 10), 3), 5, 1e-6),
+    "k_sweep_mixed": ok.sweep_sql(_MIX_Z, _runs((2, 5, 10), 3), 5, 1e-6),
+    "k_sweep_entropy": ok.entropy_sweep_sql(_MIX_Z, _runs((2, 5, 10), 3), 5, 1e-6),
+    "anomaly_selffit": ok.under_best(_NUM_Z, _runs([20], 3), 5, 1e-6) + f"""
+SELECT rid, label, CAST(cluster AS INTEGER) AS cluster, {R('dist')} AS dist
+FROM under JOIN j ON j.rid = under.id CROSS JOIN limit_ WHERE dist > t""",
+    "anomaly_mixed": ok.under_best(_MIX_Z, _runs([20], 3), 5, 1e-6) + f"""
+SELECT line, label, {R('dist')} AS dist FROM under JOIN lab USING (id) CROSS JOIN limit_ WHERE dist > t""",
+    "train_evaluate": ok.under_best(_SAMPLE_Z, [Run(20, 11 + i) for i in range(3)], 5, 1e-6) + f""",
+made AS (SELECT cluster, label, count(*) AS n FROM under JOIN lab USING (id) GROUP BY ALL),
+share AS (SELECT n, n / sum(n) OVER (PARTITION BY cluster) AS p FROM made)
+SELECT (SELECT count(*) FROM under) AS n_train, 20 AS k, (SELECT {R('avg(dist)')} FROM under) AS distance_score,
+       (SELECT {R('sum(-n * ln(p)) / sum(n)')} FROM share) AS entropy_score, {R('t')} AS threshold FROM limit_""",
     # ------------------------------------------------------------ records
     "scan_records": f"""WITH {_J}
 SELECT l_quantity, l_returnflag, l_linestatus, o_orderpriority,

@@ -62,8 +62,7 @@ def parse_records(lines: DataFrame, layout: RecordLayout, dictionary: DataFrame
 def train(lines: DataFrame, layout: RecordLayout, k: int = D.BATCH_K, runs: int = D.BATCH_RUNS,
           tol: float = D.BATCH_EPSILON, sample: float = D.BATCH_SAMPLE,
           seed: int = D.SPLIT_SEED, n_top: int = D.ANOMALY_TOP_N,
-          id_col: str = "rid", max_iter: int = 20, parallelism: int = 1,
-          encoding: str = "numeric") -> TrainResult:
+          id_col: str = "rid", max_iter: int = 20, encoding: str = "numeric") -> TrainResult:
     """E1 on the ``sample`` share of the records (hash split on ``id_col``).
 
     ``encoding="numeric"`` drops the categorical fields (the main job);
@@ -84,7 +83,7 @@ def train(lines: DataFrame, layout: RecordLayout, k: int = D.BATCH_K, runs: int
         nbatch = nz.apply(batch).persist()
         try:
             model = fit_best(nbatch, k, runs=runs, tol=tol, seed=seed, max_iter=max_iter,
-                             parallelism=parallelism)
+                             id_col=id_col)
             assigned = assign(nbatch, model.centers).persist()
             try:
                 s = ev.distance_score(assigned).first()

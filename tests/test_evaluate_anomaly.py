@@ -143,7 +143,7 @@ def test_fit_and_fit_best(spark):
 
 def test_sweep_returns_one_row_per_k(spark):
     pts = fx.embedding_points(spark, SF_SMALL)
-    rows = km.k_sweep(pts, (2, 4), runs=1, parallelism=2).orderBy("k").collect()
+    rows = km.k_sweep(pts, (2, 4), runs=1).orderBy("k").collect()
     assert [r.k for r in rows] == [2, 4]
     assert all(r.score > 0 for r in rows)
 

@@ -6,7 +6,7 @@ from conftest import SF_SMALL
 def test_sweeps_return_one_score_per_k(spark):
     lines = fx.record_lines(spark, SF_SMALL)
     for fn in (ms.search_k_raw, ms.search_k_zscore, ms.search_k_mixed, ms.search_k_entropy):
-        rows = fn(lines, fx.RECORD_LAYOUT, ks=(2, 3), runs=1, parallelism=2).orderBy("k").collect()
+        rows = fn(lines, fx.RECORD_LAYOUT, ks=(2, 3), runs=1).orderBy("k").collect()
         assert [r.k for r in rows] == [2, 3]
         assert all(r.score >= 0 for r in rows)
     basic = ms.search_k_basic(lines, fx.RECORD_LAYOUT, ks=(2,)).collect()
