@@ -34,8 +34,10 @@ def _train(a) -> None:
     layout = RecordLayout(width=a.width,
                           categorical=tuple(int(x) for x in a.categorical.split(",") if x))
     spark = get_spark()
-    lines = rec.with_record_id(rec.scan_text(spark, a.input))
-    trained = tr.train(lines, layout, k=a.k, runs=a.runs, sample=a.sample, seed=a.seed,
+    read = rec.scan_text(spark, a.input)
+    lines = rec.with_record_id(read)
+    # the sample is one of records: equal lines are numbered, and taken one by one
+    trained = tr.train(rec.numbered_records(read), layout, k=a.k, runs=a.runs, sample=a.sample, seed=a.seed,
                        n_top=a.top, encoding=a.encoding)
     tr.report_all(tr.score_all(lines, layout, trained)).write.mode("overwrite").json(a.out)
     if a.model:

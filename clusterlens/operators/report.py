@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 
 from clusterlens import defaults as D
 from clusterlens.functions.vectors import col_of
-from clusterlens.operators.anomaly import flag, threshold_value
 from clusterlens.operators.ordering import positions
+from clusterlens.operators.summary import beyond, summarise, threshold_of
+from clusterlens.session import written
 
 
 # ------------------------------------------------------------------- D1
@@ -27,12 +28,17 @@ def cluster_report(assigned: DataFrame, n: int = 100, cluster_col: str = "cluste
                    label_col: str = "label", dist_col: str = "dist") -> DataFrame:
     """``cluster, label, count, entropy, mean_dist, anomalies``.
 
+    The records are read once, into a summary per (cluster, label) that is written
+    to the shared folder; threshold and report are made from it.
+
     entropy: label entropy of the cluster (A5); mean_dist: the cluster's mean
     distance to its centre (A3 per cluster); anomalies: records of the
     cluster beyond the n-th largest distance overall (A7 per cluster).
     """
-    flagged = flag(assigned, threshold_value(assigned, n, dist_col), dist_col)
-    return report_from_flags(flagged, cluster_col, label_col, dist_col)
+    groups = written(summarise(assigned, n, cluster_col, label_col, dist_col), "report-summary")
+    marked = groups.withColumn("_t", threshold_of(groups, n).scalar())
+    return _report(marked.select(cluster_col, label_col, "count", F.col("sum_dist").alias("_sd"),
+                                 beyond(F.col("_t")).alias("_an")), cluster_col, label_col)
 
 
 def report_from_flags(flagged: DataFrame, cluster_col: str = "cluster",
@@ -50,6 +56,11 @@ def report_from_flags(flagged: DataFrame, cluster_col: str = "cluster",
                       F.sum(dist_col).alias("_sd"),
                       F.count(F.when(F.col(flag_col), 1)).alias("_an"))
                  .where(F.col(cluster_col).isNotNull()))
+    return _report(cl, cluster_col, label_col)
+
+
+def _report(cl: DataFrame, cluster_col: str, label_col: str) -> DataFrame:
+    """The report rows from ``count, _sd, _an`` per (cluster, label)."""
     w = Window.partitionBy(cluster_col)
     c = F.col("count").cast("double")
     t = F.sum("count").over(w).cast("double")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clusterlens import defaults as D
-from clusterlens.functions.nearest import assign
+from clusterlens.functions.nearest import as_center_set, assign
 from clusterlens.functions.vectors import distance
 from clusterlens.operators import anomaly as an
 from clusterlens.operators import encode as enc
@@ -30,6 +30,7 @@ from clusterlens.operators.report import (caption, chart_label, chart_rows, clus
                                           group_members, group_small, hide_below, number_text,
                                           running_share, sort_rows, truncate_label, upsert,
                                           validate, with_share)
+from clusterlens.operators.summary import anomaly_count_of
 from clusterlens.plans import fixtures as fx
 from clusterlens.plans import model_search as ms
 from clusterlens.plans import train as tr
@@ -38,8 +39,9 @@ from clusterlens.schema import layout_schema
 from clusterlens.session import scratch_path
 from clusterlens.sources import records as rec
 from clusterlens.sources.report_json import read_report_json, write_report_json
+from clusterlens.streaming.delta_log import DeltaLog, StreamMoments, WindowScores, summed
 from clusterlens.streaming.kmeans_stream import StreamingKMeans
-from clusterlens.streaming.score import file_stream, predict, window_scores
+from clusterlens.streaming.score import anomalies, file_stream, predict, window_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
 DIGITS = 6
@@ -162,6 +164,21 @@ def q_hash_split_fine(spark, sf_dir):
     return sm.hash_split(lines, (0.00004, 0.99996), 11, "rid")[0].select("rid", "label")
 
 
+def q_split_repeated_lines(spark, sf_dir):
+    """S1 + M1 on lines of which one is 57 % of all: how many copies of each line
+    fall into a 1 % part and into the rest."""
+    lines = fx.repeated_lines(spark, sf_dir)
+    numbered = rec.numbered_records(lines).withColumn("part", sm.split_index("rid", (0.01, 0.99), seed=11))
+    return (numbered.groupBy("line", "part").agg(F.count(F.lit(1)).alias("copies")))
+
+
+def q_bootstrap_repeated_lines(spark, sf_dir):
+    """S1 + M2 on the same lines: how often each line is drawn."""
+    numbered = rec.numbered_records(fx.repeated_lines(spark, sf_dir))
+    return (sm.bootstrap_sample(numbered, 0.01, seed=11, id_col="rid")
+            .groupBy("line").agg(F.count(F.lit(1)).alias("drawn")))
+
+
 def q_kmeans_default(spark, sf_dir):
     pts = fx.embedding_points(spark, sf_dir)
     return centers_long(spark, km.fit(pts, k=2, seed=1, id_col="id").centers)
@@ -254,8 +271,7 @@ def q_distance_threshold(spark, sf_dir):
 
 
 def q_anomaly_count(spark, sf_dir):
-    a = assigned_embeddings(spark, sf_dir)
-    return ev.anomaly_count(an.flag(a, an.threshold_value(a, 100)))
+    return anomaly_count_of(assigned_embeddings(spark, sf_dir), 100)
 
 
 def q_anomaly_records(spark, sf_dir):
@@ -322,34 +338,100 @@ def q_window_score(spark, sf_dir):
     return w.select("window_start", "n", r6("mean_dist").alias("mean_dist"))
 
 
+def _in_batches(spark, rows: DataFrame, part, start, batches: int = 4) -> None:
+    """``rows`` as a stream of micro-batches: each part is written as a folder, in
+    as many files as Spark makes, and taken up by a run of the same query.
+
+    ``start(stream, checkpoint)`` starts the query on what is there and returns it.
+    """
+    src, checkpoint = scratch_path(spark, "stream-src"), scratch_path(spark, "stream-ckpt")
+    tagged = rows.withColumn("_part", part)
+    for i in range(batches):
+        tagged.where(F.col("_part") == i).drop("_part").write.parquet(f"{src}/{i}")
+        start(file_stream(spark, f"{src}/*", rows.schema), checkpoint).awaitTermination()
+
+
+def _appended(spark, rows: DataFrame, part, transform) -> DataFrame:
+    """The output of a stateless stream over ``rows``, written as it comes."""
+    out = scratch_path(spark, "stream-out")
+
+    def start(stream, checkpoint):
+        return (transform(stream).writeStream.format("parquet").outputMode("append")
+                .option("path", out).option("checkpointLocation", checkpoint)
+                .trigger(availableNow=True).start())
+    _in_batches(spark, rows, part, start)
+    return spark.read.parquet(out)
+
+
+def _each(process):
+    """A query that hands its micro-batches to ``process``."""
+    def start(stream, checkpoint):
+        return (stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
+                .trigger(availableNow=True).start())
+    return start
+
+
+def _quarters(id_col: str, seed: int = 7):
+    return sm.split_index(id_col, (1, 1, 1, 1), seed=seed)
+
+
 def q_stream_anomalies(spark, sf_dir):
-    """R3 (batch form): events beyond the frozen detector's threshold."""
+    """Events streamed in four batches; those beyond the frozen detector's threshold."""
     z, centers = event_model(spark, sf_dir)
     det = an.AnomalyDetector.build(z, centers, None, n=100)
-    return det.anomalies(z).select(F.col("id").alias("event_id"), "label", "cluster",
-                                   r6("dist").alias("dist"))
+    out = _appended(spark, z, _quarters("id"), lambda s: anomalies(s, det))
+    return out.select(F.col("id").alias("event_id"), "label", "cluster", r6("dist").alias("dist"))
 
 
 def q_stream_predict(spark, sf_dir):
-    """R4 (batch form): tab-labelled records -> nearest given centre."""
-    p = ps.valid(ps.parse_tab_labelled(fx.embedding_lines(spark, sf_dir), keep=("id",)))
-    out = predict(p, fx.given_centers(spark, sf_dir))
+    """Tab-labelled lines streamed in four batches -> nearest given centre."""
+    centers = as_center_set(fx.given_centers(spark, sf_dir))
+
+    def transform(stream):
+        return predict(ps.valid(ps.parse_tab_labelled(stream, keep=("id",))), centers)
+    out = _appended(spark, fx.embedding_lines(spark, sf_dir).select("id", "line"), _quarters("id"), transform)
     return out.select("id", "label", "cluster", r6("dist").alias("dist"))
 
 
+def q_stream_window_score(spark, sf_dir):
+    """Events arriving by the quarter of their time, one in twenty a batch
+    late; scores of the windows, late records counted through the watermark."""
+    z, centers = event_model(spark, sf_dir)
+    cs = as_center_set(centers)
+    seconds = F.unix_timestamp(F.col("ts").cast("timestamp"))
+    span = z.agg(F.min(seconds).alias("lo"), F.max(seconds).alias("hi")).first()
+    quarter = F.least(F.lit(3), F.floor(F.lit(4) * (seconds - span["lo"]) / F.lit(max(span["hi"] - span["lo"], 1))))
+    behind = (sm.split_index("id", (1, 19), seed=7) == 0).cast("int")
+    scores = WindowScores(spark, scratch_path(spark, "windows"), z.schema["ts"].dataType.simpleString(), every=2)
+    _in_batches(spark, z, quarter + behind,
+                _each(lambda b, i: scores.process(assign(b, cs), i)), batches=5)
+    return scores.scores().select("window_start", "n", r6("mean_dist").alias("mean_dist"), "late", "closed")
+
+
+def q_stream_report(spark, sf_dir):
+    """R6 + D8: the running make-up of a stream of points, kept as a delta log
+    and compacted on the way."""
+    cs = as_center_set(fx.given_centers(spark, sf_dir))
+    log = DeltaLog(spark, scratch_path(spark, "running"), "cluster int, label int, count long",
+                   summed(("cluster", "label")), every=3)
+    _in_batches(spark, fx.embedding_points(spark, sf_dir), _quarters("id"),
+                _each(lambda b, i: log.append(ev.label_makeup(assign(b, cs)), i)))
+    return log.state()
+
+
+def q_stream_moments(spark, sf_dir):
+    """A2 on a stream: moments of the embeddings, merged over four batches."""
+    moments = StreamMoments(spark, scratch_path(spark, "moments"), dim=fx.EMBEDDING_DIM, every=3)
+    _in_batches(spark, fx.embedding_points(spark, sf_dir), _quarters("id"), _each(moments.process))
+    return moments.moments().select("pos", "n", r6("mean").alias("mean"), r6("std").alias("std"))
+
+
 def _run_stream_kmeans(spark, sf_dir):
-    """Streaming k-means over the embeddings arriving as 4 files."""
-    pts = fx.embedding_points(spark, sf_dir)
-    src = scratch_path(spark, "stream-src")
-    tagged = pts.withColumn("_part", sm.split_index("id", (1, 1, 1, 1), seed=7))
-    for i in range(4):
-        (tagged.where(F.col("_part") == i).drop("_part").coalesce(1)
-               .write.mode("overwrite").parquet(f"{src}/{i}"))
-    stream = file_stream(spark, f"{src}/*", pts.schema, max_files_per_trigger=1)
+    """Streaming k-means over the embeddings arriving in four batches."""
     skm = StreamingKMeans(spark, scratch_path(spark, "stream-state"),
                           fx.given_centers(spark, sf_dir), initial_weight=100.0, decay=1.0)
-    q = skm.start(stream, scratch_path(spark, "stream-ckpt"), {"availableNow": True})
-    q.awaitTermination()
+    _in_batches(spark, fx.embedding_points(spark, sf_dir), _quarters("id"),
+                lambda s, c: skm.start(s, c, {"availableNow": True}))
     return skm
 
 
@@ -528,6 +610,8 @@ QUERIES: dict[str, Query] = {
     "anomaly_records": q_anomaly_records,
     "cluster_report": q_cluster_report,
     "lloyd_steps": q_lloyd_steps,
+    "split_repeated_lines": q_split_repeated_lines,
+    "bootstrap_repeated_lines": q_bootstrap_repeated_lines,
     # fitted models
     "kmeans_default": q_kmeans_default,
     "kmeans_tuned": q_kmeans_tuned,
@@ -538,10 +622,13 @@ QUERIES: dict[str, Query] = {
     "k_sweep_entropy": q_k_sweep_entropy,
     "anomaly_selffit": q_anomaly_selffit,
     "anomaly_mixed": q_anomaly_mixed,
-    # streaming (batch forms are SQL-checked; stream runs are row-checked)
+    # streaming
     "window_score": q_window_score,
     "stream_anomalies": q_stream_anomalies,
     "stream_predict": q_stream_predict,
+    "stream_window_score": q_stream_window_score,
+    "stream_report": q_stream_report,
+    "stream_moments": q_stream_moments,
     "stream_kmeans": q_stream_kmeans,
     "stream_distance": q_stream_distance,
     # report preparation

@@ -49,6 +49,18 @@ def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(rid.alias("rid"), line.alias("line"))
 
 
+HOT_LINE = "1.0,N,O,3-MEDIUM,1000.0,0.0,0.0,O."
+
+
+def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``line``: the record lines, 57 in a hundred (by the hash of their id)
+    replaced by one and the same line."""
+    place = (F.conv(F.substring(F.md5(F.concat(F.lit("copy:"), "rid")), 1, 8), 16, 10)
+             .cast("bigint") % 100)
+    return record_lines(spark, sf_dir).select(
+        F.when(place < 57, F.lit(HOT_LINE)).otherwise(F.col("line")).alias("line"))
+
+
 def spoiled_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``rid, line, kind``: the record lines, about four in a hundred spoiled
     by the hash of their id: kind 0 lacks a field, 1 has text, 2 NaN and 3 an

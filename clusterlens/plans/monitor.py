@@ -11,7 +11,7 @@ For every micro-batch of record lines (one ``foreachBatch`` call):
   ``anomalies/batch_id=N``;
 * R6: the cluster/label make-up of the batch under the updated model,
   written as report version N for the dashboard; and the running make-up of
-  all batches so far (D8, sums), as version N of ``running``.
+  all batches so far (D8, sums), as a delta log (``running``).
 
 Everything is keyed by the batch id and overwritten on replay, and the model
 update is skipped for a committed batch, so at-least-once delivery of
@@ -29,7 +29,7 @@ from clusterlens.functions.nearest import assign
 from clusterlens.operators import evaluate as ev
 from clusterlens.operators import parse as ps
 from clusterlens.operators.anomaly import AnomalyDetector
-from clusterlens.operators.report import upsert
+from clusterlens.streaming.delta_log import DeltaLog, summed
 from clusterlens.streaming.kmeans_stream import StreamingKMeans
 from clusterlens.streaming.score import read_latest_snapshot, write_snapshot
 
@@ -63,13 +63,19 @@ class StreamMonitor:
             makeup = ev.label_makeup(assign(pts, cs))
             write_snapshot(makeup, f"{self.root}/report", batch_id)
             now = read_latest_snapshot(self.spark, f"{self.root}/report", makeup.schema)
-            before = read_latest_snapshot(self.spark, f"{self.root}/running", makeup.schema,
-                                          before=batch_id)
-            write_snapshot(upsert(before, now, ("cluster", "label"), "count", mode="sum"),
-                           f"{self.root}/running", batch_id)
+            self.log(makeup).append(now, batch_id)
         finally:
             every.unpersist()
 
+    def log(self, makeup: DataFrame) -> DeltaLog:
+        """The running make-up of all batches, as deltas of the make-up's schema."""
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in makeup.schema)
+        return DeltaLog(self.spark, f"{self.root}/running", schema, summed(("cluster", "label")))
+
+    def running(self) -> DataFrame:
+        """``cluster, label, count`` over all batches so far."""
+        return self.log(self.spark.createDataFrame([], "cluster int, label string, count long")).state()
+
     def anomalies(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/anomalies")
 

@@ -101,6 +101,15 @@ SELECT cluster, CAST(x.pos - 1 AS INTEGER) AS pos, {R('x.v')} AS value
 FROM {prev}, unnest({prev}.c) WITH ORDINALITY AS x(v, pos)""")
 
 
+_COPIES = _J + """,
+l AS (SELECT CASE WHEN CAST('0x' || substr(md5('copy:' || rid), 1, 8) AS BIGINT) % 100 < 57
+                  THEN '1.0,N,O,3-MEDIUM,1000.0,0.0,0.0,O.'
+                  ELSE concat_ws(',', l_quantity, l_returnflag, l_linestatus, o_orderpriority,
+                                 l_extendedprice, l_discount, l_tax, label) END AS line FROM j),
+h AS (SELECT line, CAST('0x' || substr(md5('11:' || md5(line) || ':' ||
+             row_number() OVER (PARTITION BY line)), 1, 8) AS BIGINT) AS h FROM l)"""
+
+
 def _runs(ks, runs: int) -> list[Run]:
     return [Run(k, 1 + i) for k in ks for i in range(runs)]
 
@@ -124,6 +133,12 @@ _SAMPLE_Z = _MIX_Z.replace("AS f FROM j)", """AS f FROM j
   WHERE CAST('0x' || substr(md5('11:' || rid), 1, 8) AS BIGINT) < 214748365)""", 1)
 
 ORACLE: dict[str, str] = {
+    # ------------------------------------------------------- repeated lines
+    "split_repeated_lines": f"""WITH {_COPIES}
+SELECT line, CASE WHEN h < 42949673 THEN 0 ELSE 1 END AS part, count(*) AS copies FROM h GROUP BY ALL""",
+    "bootstrap_repeated_lines": f"""WITH {_COPIES}
+SELECT line, CAST(sum(len(list_filter({BOOTSTRAP_BOUNDS}, lambda b: h >= b))) AS BIGINT) AS drawn
+FROM h GROUP BY line HAVING drawn > 0""",
     # -------------------------------------------------------- fitted models
     "kmeans_default": ok.centers_sql(_EMB_PTS, _runs([2], 1), 2, 1e-4),
     "kmeans_tuned": ok.centers_sql(_EMB_PTS, _runs([10], 10), 5, 1e-6),
@@ -275,6 +290,24 @@ FROM asg GROUP BY 1""",
 SELECT event_id, label, cluster, {R('dist')} AS dist FROM asg, thr WHERE dist > t""",
     "stream_predict": f"""WITH {_ASSIGNED}
 SELECT id, CAST(label AS DOUBLE) AS label, cluster, {R('dist')} AS dist FROM asg""",
+    "stream_window_score": f"""WITH {_EVZ},
+span AS (SELECT min(epoch(date_trunc('second', ts))::BIGINT) AS lo, max(epoch(date_trunc('second', ts))::BIGINT) AS hi FROM asg),
+arrived AS (
+  SELECT asg.*, date_trunc('hour', ts) AS start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS finish,
+         least(3, floor(4 * (epoch(date_trunc('second', ts))::BIGINT - lo) / greatest(hi - lo, 1)))
+         + CASE WHEN CAST('0x' || substr(md5('7:' || event_id), 1, 8) AS BIGINT) < 214748365 THEN 1 ELSE 0 END AS b
+  FROM asg, span),
+marks AS (SELECT b, max(max(ts)) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                    - INTERVAL 1 HOUR AS mark FROM arrived GROUP BY b),
+judged AS (SELECT a.*, coalesce(a.finish <= m.mark, false) AS late FROM arrived a JOIN marks m USING (b))
+SELECT strftime(start, '%Y-%m-%d %H:%M:%S') AS window_start, count(*) FILTER (NOT late) AS n,
+       {R('avg(dist) FILTER (NOT late)')} AS mean_dist, count(*) FILTER (late) AS late,
+       any_value(finish) <= (SELECT max(ts) - INTERVAL 1 HOUR FROM asg) AS closed
+FROM judged GROUP BY start""",
+    "stream_report": f"WITH {_ASSIGNED} SELECT cluster, label, count FROM mk",
+    "stream_moments": f"""WITH {_EMB},
+u AS (SELECT CAST(x.pos - 1 AS INTEGER) AS pos, x.v FROM pts p, unnest(p.f) WITH ORDINALITY AS x(v, pos))
+SELECT pos, count(v) AS n, {R('avg(v)')} AS mean, {R('stddev_pop(v)')} AS std FROM u GROUP BY pos""",
     "report_validate": f"""WITH {_ASSIGNED},
 v AS (SELECT 'cluster ' || CAST(cluster AS VARCHAR) || ' label ' || CAST(label AS VARCHAR) AS label,
              count - (sum(count) OVER (PARTITION BY cluster)) / (count(*) OVER (PARTITION BY cluster)) AS value

@@ -82,6 +82,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def written(df, name: str):
+    """``df`` written to the shared folder and read back: a small result that
+    several later steps use, computed once and kept if an executor is lost."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` exists, on whatever file system it names.
 

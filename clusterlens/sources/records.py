@@ -37,11 +37,35 @@ def with_record_id(df: DataFrame, out: str = "rid", line_col: str = "line") -> D
     """A stable id for records read straight from files (the lines carry
     none): the line's md5. It depends on nothing but the line, neither on
     files nor on splits, so hash splits and replays keep their records. Equal
-    lines have equal ids and fall into the same part of a split.
+    lines have equal ids and fall into the same part of a split; a batch whose
+    copies are to be split one by one takes ``numbered_records``.
     """
     return df.withColumn(out, F.md5(F.col(line_col)))
 
 
+COPIES = 4_096              # copies of a line that one task numbers together
+
+
+def numbered_records(df: DataFrame, out: str = "rid", line_col: str = "line") -> DataFrame:
+    """``rid, line`` with an id of its own for every record, equal lines included.
+
+    The id is the line's md5 and the number of the copy, so a split or sample by
+    it takes its share of the copies of a line, and it depends on nothing but the
+    lines. Copies of a line cannot be told apart, so they are counted, not moved:
+    a line travels once with its number of copies and is dealt out again in
+    blocks of ``COPIES``, whatever its share of all records. A null line is left
+    out.
+    """
+    counted = df.where(F.col(line_col).isNotNull()).groupBy(line_col).agg(F.count(F.lit(1)).alias("n"))
+    blocks = counted.select(
+        line_col, "n", F.explode(F.sequence(F.lit(0), F.expr(f"(n - 1) div {COPIES}"))).alias("block"))
+    dealt = blocks.repartition(line_col, "block")
+    first = F.col("block") * COPIES + 1
+    copy = F.explode(F.sequence(first, F.least(first + (COPIES - 1), F.col("n")))).alias("copy")
+    return dealt.select(line_col, copy).select(
+        F.concat_ws(":", F.md5(F.col(line_col)), F.col("copy")).alias(out), line_col)
+
+
 def record_count(df: DataFrame) -> DataFrame:
     """One row ``n``."""
     return df.agg(F.count(F.lit(1)).alias("n"))

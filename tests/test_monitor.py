@@ -33,6 +33,7 @@ def test_train_then_monitor_stream(spark):
     assert streamed == batch
     snap = read_latest_snapshot(spark, f"{root}/report", REPORT_JSON_SCHEMA)
     assert snap.agg(F.sum("count")).first()[0] > 0
+    assert mon.running().agg(F.sum("count")).first()[0] == mon.counts().agg(F.sum("parsed")).first()[0]
 
 
 def test_numeric_training_matches_main_job_shape(spark):
