@@ -223,11 +223,10 @@ def _sketches(docs: DataFrame, functions: int, picks: int, k: int) -> DataFrame:
                             lambda: Sketcher(functions, picks, k))
 
         def run(batch: pa.RecordBatch) -> dict:
-            from xxhash import xxh3_128_hexdigest
             content, n, values, counts = [], [], [], []
             for t in texts(batch.column(1)):
                 w = tokens(t)
-                content.append(xxh3_128_hexdigest(b" ".join(w) if w else t.encode()))
+                content.append(content_of(w, t))
                 n.append(len(w))
                 values.append(sketch(w) if w else None)
                 counts.append(sketch.counters(w) if w else None)
@@ -240,17 +239,26 @@ def _sketches(docs: DataFrame, functions: int, picks: int, k: int) -> DataFrame:
                        "counts array<int>")
 
 
-def _packed(docs: DataFrame) -> DataFrame:
-    """node and its compressed text: a third of the bytes to shuffle."""
+def content_of(words: list[bytes], text: str) -> str:
+    """What tells two texts apart: their words, or a wordless text itself."""
+    from xxhash import xxh3_128_hexdigest
+    return xxh3_128_hexdigest(b" ".join(words) if words else text.encode())
+
+
+def _packed(docs: DataFrame, with_content: bool = False) -> DataFrame:
+    """node (the doc_id) and its compressed text: a third of the bytes to shuffle."""
     def make():
         import zstandard
         press = zstandard.ZstdCompressor(level=3).compress
 
         def run(batch: pa.RecordBatch) -> dict:
-            return {"node": batch.column(0), "text": [
+            out = {"node": batch.column(0), "text": [
                 press(t.encode("utf-8", "surrogatepass")) for t in texts(batch.column(1))]}
+            if with_content:
+                out["content"] = [content_of(tokens(t), t) for t in texts(batch.column(1))]
+            return out
         return run
-    return map_batches(docs, make, "node long, text binary")
+    return map_batches(docs, make, "node long, text binary" + (", content string" if with_content else ""))
 
 
 def _judged(pairs: DataFrame, words: DataFrame, similarity: float, reach: int = 1) -> DataFrame:
@@ -309,9 +317,11 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _buckets(members: DataFrame) -> DataFrame:
     """members (key, node, n_words) of keys with two texts or more, with the
-    key's size and centre (its least node)."""
-    sizes = (members.groupBy("key").agg(F.count(F.lit(1)).alias("size"),
-                                        F.min("node").alias("centre")).where("size > 1"))
+    key's size, its centre (the least node) and the centre's length."""
+    sizes = (members.groupBy("key")
+             .agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("node", "n_words")).alias("least"))
+             .where("size > 1")
+             .select("key", "size", F.col("least.node").alias("centre"), F.col("least.n_words").alias("m_words")))
     return members.join(sizes, "key")
 
 
@@ -381,7 +391,6 @@ def links(nodes: DataFrame, words: DataFrame, buckets: DataFrame,
     """node, component for all nodes that have a link."""
     allowed = 1 - similarity
     near = F.least("n_words", "m_words") >= F.greatest("n_words", "m_words") * similarity - 1e-6
-    sizes = nodes.select(F.col("node").alias("centre"), F.col("n_words").alias("m_words"))
     classes = None
 
     def link(judged: DataFrame) -> None:
@@ -396,14 +405,14 @@ def links(nodes: DataFrame, words: DataFrame, buckets: DataFrame,
 
     # a few functions unite most groups; buckets within one component are done
     star = buckets.where((F.col("fn") < FIRST) & (F.col("node") != F.col("centre")))
-    link(_judged(star.join(sizes, "centre").where(near).select(
+    link(_judged(star.where(near).select(
         F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), words, similarity))
     apart = (_placed(buckets, classes).groupBy("key")
              .agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
              .where("lo < hi").select("key"))
     buckets = staged(buckets.join(apart, "key", "left_semi"), "near-dedup-buckets")
 
-    star = buckets.where("node <> centre").join(sizes, "centre")
+    star = buckets.where("node <> centre")
     judged = _judged(star.where(near).select(
         F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), words, similarity, reach=2)
     link(judged)
@@ -460,17 +469,35 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """doc_id and class_id, a row per document row."""
     base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     sketched = staged(_sketches(base, functions, picks, k), "near-dedup-sketches")
-    # one node per word sequence, and one per doc_id
-    owner = (sketched.where("doc_id is not null").groupBy("content")
-             .agg(F.min("doc_id").alias("node")))
-    owner = staged(owner, "near-dedup-owners")
+    # one node per word sequence, named by the least doc_id that has it
+    owner = staged(sketched.where("doc_id is not null").groupBy("content")
+                   .agg(F.min("doc_id").alias("first")).withColumn("node", F.col("first")),
+                   "near-dedup-owners")
+    # a doc_id that comes first for several texts names the least of them; the
+    # others are named by their hash
+    several = owner.groupBy("first").agg(
+        F.min("content").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").select("first", "least")
+    several = staged(several, "near-dedup-several")
+    apart = not several.isEmpty()
+    if apart:
+        own = F.col("least").isNull() | (F.col("content") == F.col("least"))
+        owner = staged(owner.drop("node").join(several, "first", "left").select(
+            "content", "first", F.when(own, F.col("first")).otherwise(
+                -1 - F.pmod(F.xxhash64("content"), F.lit(1 << 62))).alias("node")), "near-dedup-owners")
     nodes = staged(sketched.where("sketch is not null")
-                   .join(owner, "content").where("doc_id = node")
-                   .select("node", "n_words", "sketch", "counts").dropDuplicates(["node", "n_words"]),
+                   .join(owner, "content").where("doc_id = first")
+                   .select("node", "n_words", "sketch", "counts").dropDuplicates(["node"]),
                    "near-dedup-nodes")
     members = nodes.select("node", "n_words", F.posexplode("sketch").alias("fn", "key"))
     buckets = staged(_buckets(members), "near-dedup-buckets")
-    words = staged(_packed(base).join(
+    packed = _packed(base)
+    if apart:
+        ids = several.select(F.col("first").alias("doc_id"))
+        packed = _packed(base.join(ids, "doc_id", "left_anti")).unionByName(
+            _packed(base.join(ids, "doc_id", "left_semi"), True)
+            .join(owner.select("content", F.col("node").alias("named")), "content")
+            .select(F.col("named").alias("node"), "text"))
+    words = staged(packed.join(
         buckets.select("node").distinct(), "node", "left_semi"), "near-dedup-texts")
     # rows of one doc_id belong together whatever their texts
     linked = links(nodes, words, buckets, similarity)
@@ -484,9 +511,12 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                   .unionByName(linked.select(F.col("component").alias("a"), F.col("node").alias("b"))))
         linked = components(joined.where("a <> b").distinct())
     found = owner.join(linked, "node", "left").select(
-        "content", F.coalesce("component", "node").alias("class_id"))
-    return sketched.select("doc_id", "content").join(found, "content", "left").select(
-        "doc_id", "class_id")
+        "content", "first", F.coalesce("component", "node").alias("class_id"))
+    if apart:
+        least = found.groupBy("class_id").agg(F.min("first").alias("id"))
+        found = found.join(least, "class_id").select("content", F.col("id").alias("class_id"))
+    return sketched.select("doc_id", "content").join(
+        found.select("content", "class_id"), "content", "left").select("doc_id", "class_id")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
