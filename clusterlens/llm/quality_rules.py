@@ -49,7 +49,7 @@ def with_metrics(df: DataFrame, text: str = "text", prefix: str = "") -> DataFra
     so that Catalyst keeps it as a value instead of repeating its expression.
     """
     n = {m: prefix + m for m in METRICS}
-    t = {k: f"__qr_{k}" for k in ("text", "words", "dense", "lines", "bits", "windows", "starts")}
+    t = {k: f"__qr_{k}" for k in ("text", "words", "dense", "lines", "bits", "windows", "clash", "exact", "starts")}
     c = {k: F.col(f"`{v}`") for k, v in t.items()}
     df = df.withColumn(t["text"], F.coalesce(F.col(text), F.lit("")))
     df = df.withColumns({
@@ -81,6 +81,22 @@ def with_metrics(df: DataFrame, text: str = "text", prefix: str = "") -> DataFra
 
     df = df.withColumn(t["windows"], F.sort_array(F.transform(at, packed)))
     windows = c["windows"]
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
+
+    def place(k: Column) -> Column:
+        return F.get(windows, k).bitwiseAND(mask).cast("int")
+
+    def unlike(k: Column) -> Column:
+        """Neighbours of equal hash whose words differ."""
+        a, b = place(k - 1), place(k)
+        return (F.call_function("shiftright", F.get(windows, k - 1), bits)
+                == F.call_function("shiftright", F.get(windows, k), bits)) & (
+            (F.get(words, a) != F.get(words, b)) | (F.get(words, a + 1) != F.get(words, b + 1))
+            | (F.get(words, a + 2) != F.get(words, b + 2)))
+
+    clash = F.exists(F.when(F.size(windows) > 1, F.sequence(F.lit(1), F.size(windows) - 1)).otherwise(
+        F.array().cast("array<int>")), unlike)
+    df = df.withColumn(t["clash"], clash)
 
     def repeated(x: Column, i: Column) -> Column:
         def same(k: Column) -> Column:
@@ -88,9 +104,18 @@ def with_metrics(df: DataFrame, text: str = "text", prefix: str = "") -> DataFra
                               == F.call_function("shiftright", x, bits), F.lit(False))
         return same(i - 1) | same(i + 1)
 
-    mask = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
-    df = df.withColumn(t["starts"], F.sort_array(
-        F.transform(F.filter(windows, repeated), lambda x: x.bitwiseAND(mask))))
+    # a text in which a hash stands for two windows has them sorted by their words
+    triple = F.transform(at, lambda i: F.struct(
+        *(F.get(words, i.cast("int") + d).alias(f"w{d}") for d in range(3)), i.alias("i")))
+    df = df.withColumn(t["exact"], F.when(c["clash"], F.sort_array(triple)))
+    exact = c["exact"]
+
+    def equal(x: Column, k: Column) -> Column:
+        y = F.get(exact, k)
+        return F.coalesce((x["w0"] == y["w0"]) & (x["w1"] == y["w1"]) & (x["w2"] == y["w2"]), F.lit(False))
+    verified = F.transform(F.filter(exact, lambda x, i: equal(x, i - 1) | equal(x, i + 1)), lambda x: x["i"])
+    hashed = F.transform(F.filter(windows, repeated), lambda x: x.bitwiseAND(mask))
+    df = df.withColumn(t["starts"], F.sort_array(F.when(c["clash"], verified).otherwise(hashed)))
     starts = c["starts"]
     # a window covers three words; one starting d words after the last adds min(d, 3)
     added = F.transform(starts, lambda x, i: F.least(
