@@ -34,6 +34,7 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -191,23 +192,32 @@ class Page(HTMLParser):
 
 def fold(node: list) -> tuple[list, dict[int, int]]:
     """The tree with equal neighbours as one node and its slots numbered in
-    order; the slot number of each original slot node (by id)."""
+    order; the slot number of each original slot node (by id).
+
+    Equal shapes have equal numbers (0: no text below), so telling two nodes
+    apart takes the same time at any depth.
+    """
     number: dict[int, int] = {}
+    shapes: dict[tuple, int] = {("#",): 1}
     count = 0
-
-    def shape(n: list) -> str:
-        inner = [c for c in map(shape, n[1]) if c]
-        n.append("" if n[0] != "#" and not inner else json.dumps([n[0], inner]))
-        return n[2]
-
-    def walk(group: list[list]) -> list:
-        nonlocal count
-        if group[0][0] == "#":
+    order = [node]
+    for n in order:                             # parents before children
+        order.extend(n[1])
+    for n in reversed(order):
+        inner = tuple(c[2] for c in n[1] if c[2])
+        key = ("#",) if n[0] == "#" else (n[0], *inner)
+        n.append(0 if n[0] != "#" and not inner else shapes.setdefault(key, len(shapes) + 1))
+
+    folded: list = [node[0], []]
+    todo = [([node], folded)] if node[2] else []
+    while todo:                                 # slots are met in page order
+        group, out = todo.pop()
+        if out[0] == "#":
             for n in group:
                 number[id(n)] = count
             count += 1
-            return ["#", []]
-        runs: list[list[list[list]]] = []       # per child place: nodes of all group members
+            continue
+        runs: list[list[list]] = []             # per child place: nodes of all group members
         for n in group:
             places, last = -1, None
             for c in n[1]:
@@ -218,17 +228,42 @@ def fold(node: list) -> tuple[list, dict[int, int]]:
                     if places == len(runs):
                         runs.append([])
                 runs[places].append(c)
-        return [group[0][0], [walk(r) for r in runs]]
-
-    shape(node)
-    return (walk([node]) if node[2] else [node[0], []]), number
+        out[1] = [[r[0][0], []] for r in runs]
+        todo.extend(reversed(list(zip(runs, out[1]))))
+    return folded, number
+
+
+def flat(tree: list) -> str:
+    """A tree as JSON of depth one: signature and number of children, in order."""
+    out, todo = [], [tree]
+    while todo:
+        n = todo.pop()
+        out += [n[0], len(n[1])]
+        todo.extend(reversed(n[1]))
+    return json.dumps(out)
+
+
+def unflat(layout: str) -> tuple[list, int]:
+    """The tree of ``flat`` and its depth."""
+    items = json.loads(layout)
+    root: list = [items[0], []]
+    open_, deepest = [(root, items[1])], 1
+    for at in range(2, len(items), 2):
+        while not open_[-1][1]:
+            open_.pop()
+        parent, left = open_.pop()
+        n = [items[at], []]
+        parent[1].append(n)
+        open_ += [(parent, left - 1), (n, items[at + 1])]
+        deepest = max(deepest, len(open_))
+    return root, deepest
 
 
 def layout_of(html: str) -> tuple[str, list[tuple[int, str, bool, bool]]]:
-    """Layout (JSON) and (slot, text, in main, named as furniture) per block."""
+    """Layout (``flat``) and (slot, text, in main, named as furniture) per block."""
     page = Page(html)
     tree, number = fold(page.root)
-    return json.dumps(tree), [(number[id(n)], t, m, f) for n, t, m, f in page.blocks]
+    return flat(tree), [(number[id(n)], t, m, f) for n, t, m, f in page.blocks]
 
 
 def tree_matching(a: list, b: list) -> tuple[int, list[tuple[list, list]]]:
@@ -262,12 +297,15 @@ class Wrapper:
         self.tree: list | None = None
 
     def add(self, layout: int, tree: list) -> None:
-        slots = iter(range(1 << 30))
-
-        def own(node):      # [signature, children, aligned (layout, slot) pairs]
-            return [node[0], [own(c) for c in node[1]],
-                    [(layout, next(slots))] if node[0] == "#" else []]
-        new = own(tree)
+        new: list = [tree[0], [], []]       # [signature, children, aligned (layout, slot) pairs]
+        todo, slot = [(tree, new)], 0
+        while todo:
+            node, copy = todo.pop()
+            if node[0] == "#":
+                copy[2].append((layout, slot))
+                slot += 1
+            copy[1] = [[c[0], [], []] for c in node[1]]
+            todo.extend(reversed(list(zip(node[1], copy[1]))))
         if self.tree is None:
             self.tree = new
             return
@@ -288,12 +326,13 @@ class Wrapper:
                 self._merge(twin, c, partner)
 
     def slots(self):
-        def walk(n):
+        out, todo = [], [self.tree] if self.tree else []
+        while todo:
+            n = todo.pop()
             if n[0] == "#":
-                yield n[2]
-            for c in n[1]:
-                yield from walk(c)
-        return list(walk(self.tree)) if self.tree else []
+                out.append(n[2])
+            todo.extend(reversed(n[1]))
+        return out
 
 
 def template_slots(layouts: list[str], stats: dict[tuple[int, int], tuple[int, int, int]],
@@ -302,7 +341,11 @@ def template_slots(layouts: list[str], stats: dict[tuple[int, int], tuple[int, i
     text hash and number of different pages of a slot."""
     wrapper = Wrapper()
     for k in sorted(range(len(layouts)), key=layouts.__getitem__):
-        wrapper.add(k, json.loads(layouts[k]))
+        tree, depth = unflat(layouts[k])
+        # frames of Python functions lie on the heap: a deep page needs a higher
+        # limit, not a larger stack
+        sys.setrecursionlimit(max(sys.getrecursionlimit(), 4 * depth + 2_000))
+        wrapper.add(k, tree)
     out = set()
     for aligned in wrapper.slots():
         seen = [stats[x] for x in aligned if x in stats]
@@ -342,37 +385,42 @@ def _parsed(pages: DataFrame, key: str) -> DataFrame:
                          "named array<boolean>")
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")),
                                     r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)", 1))
-    return parsed.withColumn("host", host)
+    return parsed.withColumns({"host": host, "layout_id": F.md5(F.col("layout").cast("binary"))})
 
 
 def _templates(parsed: DataFrame, min_pages: int) -> DataFrame:
-    """host, layout and its template slots (only layouts that have some)."""
-    slots = (parsed.select("host", "layout", "page", F.posexplode("hashes").alias("slot", "hash"))
-             .groupBy("host", "layout", "slot")
-             .agg(F.min("hash").alias("lo"), F.max("hash").alias("hi"),
+    """host, layout_id and its template slots (only layouts that have some).
+
+    A layout's tree travels with its first slot only: the rows of a page grow with
+    its slots, not with slots times depth."""
+    slots = (parsed.select("host", "layout_id", "layout", "page", F.posexplode("hashes").alias("slot", "hash"))
+             .withColumn("layout", F.when(F.col("slot") == 0, F.col("layout")))
+             .groupBy("host", "layout_id", "slot")
+             .agg(F.max("layout").alias("layout"), F.min("hash").alias("lo"), F.max("hash").alias("hi"),
                   F.approx_count_distinct("page").alias("n")))
 
     def merge(rows: pa.Table) -> pa.Table:
         rows = rows.to_pylist()
-        names = sorted({r["layout"] for r in rows})
+        trees = sorted((r["layout"], r["layout_id"]) for r in rows if r["slot"] == 0)
+        names = [name for _, name in trees]
         at = {n: k for k, n in enumerate(names)}
-        stats = {(at[r["layout"]], r["slot"]): (r["lo"], r["hi"], r["n"]) for r in rows}
+        stats = {(at[r["layout_id"]], r["slot"]): (r["lo"], r["hi"], r["n"]) for r in rows}
         found: dict[int, list[int]] = {}
-        for k, s in sorted(template_slots(names, stats, min_pages)):
+        for k, s in sorted(template_slots([t for t, _ in trees], stats, min_pages)):
             found.setdefault(k, []).append(s)
         return pa.table([pa.array([rows[0]["host"]] * len(found), pa.string()),
                          pa.array([names[k] for k in found], pa.string()),
                          pa.array(list(found.values()), pa.list_(pa.int32()))],
-                        names=["host", "layout", "template"])
+                        names=["host", "layout_id", "template"])
 
-    return slots.groupBy("host").applyInArrow(merge, "host string, layout string, template array<int>")
+    return slots.groupBy("host").applyInArrow(merge, "host string, layout_id string, template array<int>")
 
 
 def extract(pages: DataFrame, key: str = "page_id", min_pages: int = MIN_PAGES) -> DataFrame:
     """``key``, url and the main text of every page row."""
     parsed = staged(_parsed(pages, key), "wrapper-pages")
     found = staged(_templates(parsed, min_pages), "wrapper-templates")
-    b = parsed.join(found, ["host", "layout"], "left")
+    b = parsed.join(found, ["host", "layout_id"], "left")
     block = F.arrays_zip("slots", "blocks", "mains", "named")
     b = b.withColumn("all", block)
     kept = F.filter("all", lambda x: ~F.coalesce(
