@@ -13,7 +13,8 @@ for training. Scores are calibrated on labelled rows kept out of the fit, with
 the odds moved from the drawn shares to those of all labelled rows.
 
 Training rows are bounded (``Limits``): the rows of least hash of each kind.
-Their texts stay on the executors; the driver gets feature numbers only.
+Their texts and features stay on the executors, which count and choose features;
+the driver gets the chosen feature numbers of each row.
 Scoring covers every text as a whole.
 
 Defined results: a null or empty text has no features and gets the base
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clusterlens.llm.common import Shared, bucket_of, map_batches, table, texts
+from clusterlens.llm.common import Shared, bucket_of, map_batches, staged, table, texts
 
 BUCKETS = 1 << 18
 THRESHOLD = 0.7
@@ -95,30 +96,36 @@ def _sigmoid(z):
     return 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
 
 
-def one_per_copy_group(rows: list[np.ndarray]) -> list[np.ndarray]:
-    """Training rows without near copies of one another: of rows that share
-    their three least rare features (in at most 1 % of rows), the first."""
-    if not rows:
-        return rows
-    count = np.bincount(np.concatenate([np.unique(r) for r in rows]), minlength=BUCKETS)
-    rare = count <= max(5, len(rows) // 100)
-    out = {}
-    for k, r in enumerate(rows):
-        least = tuple(np.unique(r[rare[r]])[:3].tolist())
-        out.setdefault(least or ("row", k), r)
-    return list(out.values())
-
-
-def select_features(positives: list[np.ndarray], unlabelled: list[np.ndarray],
-                    least: int = 3, share: float = 0.01, z: float = 5.0) -> np.ndarray:
-    """Which features separate the two sets beyond chance: at least ``least``
+def one_per_copy_group(rows: DataFrame) -> DataFrame:
+    """Training rows (kind, features) without near copies of one another: of rows
+    of a kind that share their three least rare features (in at most 1 % of the
+    kind's rows), the least."""
+    rows = rows.distinct().withColumn("row", F.xxhash64("kind", "features"))
+    size = rows.groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+    had = rows.select("kind", "row", F.explode(F.array_distinct("features")).alias("f"))
+    rare = (had.groupBy("kind", "f").agg(F.count(F.lit(1)).alias("c")).join(F.broadcast(size), "kind")
+            .where(F.col("c") <= F.greatest(F.lit(5), F.floor(F.col("n") / 100))).select("kind", "f"))
+    least = (had.join(rare, ["kind", "f"]).groupBy("kind", "row")
+             .agg(F.slice(F.array_sort(F.collect_list("f")), 1, 3).alias("least")))
+    # a row without rare features is like no other
+    return (rows.join(least, ["kind", "row"], "left")
+            .withColumn("group", F.coalesce(F.xxhash64("least"), F.col("row")))
+            .groupBy("kind", "group").agg(F.min(F.struct(F.size("features"), "features")).alias("first"))
+            .select("kind", F.col("first.features").alias("features")))
+
+
+def select_features(rows: DataFrame, least: int = 3, share: float = 0.01, z: float = 5.0) -> list[int]:
+    """Which features separate the kinds P and U beyond chance: at least ``least``
     positives and ``share`` of them have it, by a two-proportion z."""
-    def shares(rows):
-        return np.bincount(np.concatenate([np.unique(r) for r in rows]), minlength=BUCKETS)
-    a, b, n, m = shares(positives), shares(unlabelled), len(positives), len(unlabelled)
-    pooled = (a + b) / (n + m)
-    error = np.sqrt(pooled * (1 - pooled) * (1 / n + 1 / m)) + 1e-12
-    return (a >= max(least, share * n)) & ((a / n - b / m) / error > z)
+    size = {r["kind"]: float(r["n"]) for r in rows.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n, m = size["P"], size["U"]
+    had = (rows.select("kind", F.explode(F.array_distinct("features")).alias("f")).groupBy("f")
+           .agg(*[F.count(F.when(F.col("kind") == k, 1)).alias(k) for k in "PU"]))
+    pooled = (F.col("P") + F.col("U")) / (n + m)
+    error = F.sqrt(pooled * (1 - pooled) * (1 / n + 1 / m)) + F.lit(1e-12)
+    chosen = had.where((F.col("P") >= max(least, share * n))
+                       & ((F.col("P") / n - F.col("U") / m) / error > z))
+    return sorted(r["f"] for r in chosen.select("f").collect())
 
 
 def fit_nnpu(positives: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
@@ -181,10 +188,10 @@ def _features(docs: DataFrame) -> DataFrame:
     def make():
         def run(batch: pa.RecordBatch) -> dict:
             return {"kind": batch.column(0), "features": [
-                np.array(sorted(f for w in distinct_words(t) for f in features_of(w)),
-                         "<i4").tobytes() for t in texts(batch.column(1))]}
+                sorted(f for w in distinct_words(t) for f in features_of(w))
+                for t in texts(batch.column(1))]}
         return run
-    return map_batches(docs, make, "kind string, features binary")
+    return map_batches(docs, make, "kind string, features array<int>")
 
 
 def train(docs: DataFrame, labels: DataFrame, held_out, doc_id: str = "doc_id",
@@ -217,18 +224,22 @@ def train(docs: DataFrame, labels: DataFrame, held_out, doc_id: str = "doc_id",
     # at most the sum of the limits in rows of an id and a letter: broadcast
     sample = (docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__text"))
               .join(F.broadcast(picked), "__id").select("__kind", "__text"))
+    rows = staged(_features(sample), "toxicity-features")
+    training = staged(one_per_copy_group(rows.where("kind in ('P', 'U')")), "toxicity-training")
+    kinds = {r["kind"] for r in training.select("kind").distinct().collect()}
+    if kinds != {"P", "U"}:
+        return Model(np.zeros(BUCKETS), 0.0, 1.0, 0.0, empty=True)
+    use = select_features(training)
+    # the driver gets the rows' chosen features only: some hundred numbers of them
+    chosen = F.array(*map(F.lit, use)) if use else F.array().cast("array<int>")
+    kept = (training.unionByName(rows.where("kind in ('1', '0')"))
+            .select("kind", F.filter("features", lambda f: F.array_contains(chosen, f)).alias("features")).toArrow())
     by: dict[str, list] = {k: [] for k in "PU10"}
-    got = _features(sample).toArrow()
-    for kind, features in zip(got["kind"], got["features"]):
-        by[kind.as_py()].append(np.frombuffer(features.as_py(), "<i4"))
-    del got
+    for kind, features in zip(kept["kind"].to_pylist(), kept["features"].to_pylist()):
+        by[kind].append(np.array(features, np.int64))
     for v in by.values():               # rows arrive in any order
-        v.sort(key=lambda a: (len(a), a.tobytes()))
-    if not by["P"] or not by["U"]:
-        return Model(np.zeros(BUCKETS), 0.0, 1.0, 0.0, empty=True)
-    by["P"], by["U"] = one_per_copy_group(by["P"]), one_per_copy_group(by["U"])
-    use = select_features(by["P"], by["U"])
-    w, b = fit_nnpu([r[use[r]] for r in by["P"]], [r[use[r]] for r in by["U"]],
+        v.sort(key=lambda a: (len(a), a.tolist()))
+    w, b = fit_nnpu(by["P"], by["U"],
                     min(max(prior, 1e-4), 0.9))
     margins = np.array([b + w[r].sum() for r in by["1"] + by["0"]])
     scale, shift = calibrate(margins, np.repeat([1, 0], [len(by["1"]), len(by["0"])]))
