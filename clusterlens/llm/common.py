@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import types
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -27,10 +28,40 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     from the written table, never from a machine-local copy.
     """
     path = scratch_path(df.sparkSession, name)
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_scopes: list[list[str]] = []
+
+
+class Scratch:
+    """Owner of the tables that a step stages: ``with scratch.step(spark):`` around
+    the step collects them, and the next step, called when the output of the one
+    before has been written, deletes them first."""
+
+    def __init__(self):
+        self.held: list[str] = []
+
+    @contextmanager
+    def step(self, spark: SparkSession):
+        self.release(spark)
+        _scopes.append([])
+        try:
+            yield
+        finally:
+            self.held = _scopes.pop()
+
+    def release(self, spark: SparkSession) -> None:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in self.held:
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(conf).delete(at, True)
+        self.held = []
+
+
 def bucket_of(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id's text modulo ``modulus``; a null id counts as ''."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from clusterlens.llm import chat_format, wrapper_induction
@@ -114,3 +115,52 @@ def test_names_do_not_lose_the_main_text(spark):
     title = "title\nstory"
     assert [got[i] for i in range(len(pages))] == ["story"] * 3 + [title] * 3 + ["story"] * 2 + [
         "story\non on", "story"]
+
+
+def plain_matching(a, b):
+    """Simple tree matching by its definition, without keeping pairs."""
+    if a[0] != b[0]:
+        return 0
+    m = [[0] * (len(b[1]) + 1) for _ in range(len(a[1]) + 1)]
+    for i, x in enumerate(a[1], 1):
+        for j, y in enumerate(b[1], 1):
+            m[i][j] = max(m[i - 1][j], m[i][j - 1], m[i - 1][j - 1] + plain_matching(x, y))
+    return m[-1][-1] + 1
+
+
+def test_tree_matching_equals_its_definition():
+    rng = random.Random(5)
+
+    def tree(depth):
+        return [rng.choice("abc"), [tree(depth - 1) for _ in range(rng.randrange(4) if depth else 0)]]
+    for _ in range(200):
+        a, b = tree(3), tree(3)
+        size, pairs = wrapper_induction.tree_matching(a, b)
+        assert size == plain_matching(a, b) == len(pairs)
+        assert all(x[0] == y[0] for x, y in pairs)
+
+
+def test_layouts_round_trip_and_shapes_fold():
+    rng = random.Random(6)
+
+    def tree(depth):
+        kids = [tree(depth - 1) for _ in range(rng.randrange(4))] if depth else []
+        return ["#" if not kids else rng.choice("ab"), kids]
+    for _ in range(100):
+        t = tree(4)
+        assert wrapper_induction.unflat(wrapper_induction.flat(t))[0] == t
+    # equal neighbours fold into one, in page order
+    layout, blocks = wrapper_induction.layout_of(
+        "<ul><li>a</li><li>b</li></ul><div><p>c</p></div><ul><li>d</li></ul>")
+    assert [(s, x) for s, x, *_ in blocks] == [(0, "a"), (0, "b"), (1, "c"), (2, "d")]
+
+
+@pytest.mark.parametrize("depth", [30, 10_000])
+def test_deep_pages(spark, depth):
+    page = "<html><body>" + "<div><p>{}</p>" * depth + "<p>deep</p>" + "</div>" * depth + "</body></html>"
+    rows = [(i, f"http://h/{i}", page.replace("{}", f"text {i}")) for i in range(3)]
+    got = wrapper_induction.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(got) == 3
+    for r in got:
+        lines = r.text.split("\n")
+        assert lines.count(f"text {r.page_id}") == depth

@@ -50,6 +50,18 @@ def test_quality_metrics_equal_brute_force(spark, documents, edges):
         assert tuple(metrics) == brute_rules(text), repr(text)
 
 
+def test_windows_of_equal_hash_are_told_apart_by_their_words(spark, documents, monkeypatch):
+    # a hash with three values: nearly all windows clash
+    real = F.xxhash64
+    monkeypatch.setattr(quality_rules.F, "xxhash64", lambda *c: F.pmod(real(*c), F.lit(3)))
+    rng = random.Random(2)
+    texts = [" ".join(rng.choices("abcdefgh", k=rng.randint(0, 40))) for _ in range(150)]
+    texts += ["x y z " * 20, " ".join(f"w{i}" for i in range(400)), "a b c d a b c"]
+    out = quality_rules.with_metrics(documents(list(enumerate(texts))))
+    for text, hit in rows_of(out, "text", "n_repeat_words"):
+        assert hit == brute_rules(text)[4], text
+
+
 def test_bad_host_takes_its_documents_along(spark, documents):
     good = " ".join(f"w{i}" for i in range(60))
     rows = [(i, "bad", "en", "junk", 3) for i in range(60)] + [(100, good, "en", "junk", 1)]
@@ -275,6 +287,24 @@ def test_pairs_of_a_large_bucket_are_all_compared(spark, documents, monkeypatch,
     assert linked == set(met) and all(got[i] == i for i in range(0, len(texts), 2))
 
 
+def test_texts_of_one_doc_id_keep_their_own_links(spark, documents):
+    # doc 1 has two texts of equally many words; 2 is near the one, 3 near the other
+    rng = random.Random(9)
+    rows, groups = [], 12
+    for g in range(groups):
+        text = lambda: [f"w{rng.randrange(10**6)}" for _ in range(60)]
+        a, b = text(), text()
+        near = [[*t[:30], "changed", *t[31:]] for t in (a, b)]
+        rows += [(10 * g + i, " ".join(t)) for i, t in ((1, a), (1, b), (2, near[0]), (3, near[1]), (4, text()))]
+    got = near_dedup.classes(documents(rows)).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.class_id, set()).add(r.doc_id)
+    want = [{10 * g + i for i in (1, 2, 3)} for g in range(groups)] + [{10 * g + 4} for g in range(groups)]
+    assert sorted(map(sorted, by.values())) == sorted(map(sorted, want))
+    assert all(min(ids) == c for c, ids in by.items())
+
+
 def test_near_dedup_odd_cases(spark, documents, edges, empty):
     got = Counter(rows_of(near_dedup.classes(edges), "doc_id", "class_id"))
     assert got == Counter({(1, 1): 1, (2, 1): 1, (3, 3): 2, (4, 4): 1, (5, 5): 1, (6, 6): 1,
@@ -391,17 +421,36 @@ def test_toxicity_limits_and_held_out_recall(spark):
     assert precision > 0.9 and recall > 0.3
 
 
-def test_non_negative_risk_finds_the_marking_feature():
+def test_non_negative_risk_finds_the_marking_feature(spark):
     rng = np.random.default_rng(0)
     row = lambda bad: np.append(rng.integers(100, 400, 20), [7] if bad else []).astype(np.int64)
     pos = [row(True) for _ in range(100)]
     unlabelled = [row(rng.random() < .1) for _ in range(400)]
-    use = toxicity.select_features(pos, unlabelled)
-    assert use[7] and use.sum() <= 2
-    w, b = toxicity.fit_nnpu([r[use[r]] for r in pos], [r[use[r]] for r in unlabelled], 0.1)
+    rows = spark.createDataFrame([("P", r.tolist()) for r in pos] + [("U", r.tolist()) for r in unlabelled],
+                                 "kind string, features array<int>")
+    use = toxicity.select_features(rows)
+
+    # the same choice in numpy
+    def shares(rs):
+        return np.bincount(np.concatenate([np.unique(r) for r in rs]), minlength=400)
+    a, b = shares(pos), shares(unlabelled)
+    pooled = (a + b) / 500
+    z = (a / 100 - b / 400) / (np.sqrt(pooled * (1 - pooled) * (1 / 100 + 1 / 400)) + 1e-12)
+    assert use == np.flatnonzero((a >= 3) & (z > 5)).tolist() and 7 in use and len(use) <= 2
+    w, b = toxicity.fit_nnpu(*[[r[np.isin(r, use)] for r in rs] for rs in (pos, unlabelled)], 0.1)
     assert b < 0 < b + w[7]
 
 
+def test_one_training_row_per_copy_group(spark):
+    rng = np.random.default_rng(1)
+    rows = [("P", sorted(rng.choice(5_000, 30, replace=False).tolist())) for _ in range(60)]
+    copies = [("P", rows[0][1])] * 40 + [("P", rows[1][1] + [4_999_999 % 6_000])] * 3
+    other = [("U", r) for _, r in rows[:5]] + [("U", [])]
+    df = spark.createDataFrame(rows + copies + other, "kind string, features array<int>").repartition(5)
+    got = [(r.kind, tuple(r.features)) for r in toxicity.one_per_copy_group(df).collect()]
+    assert sorted(got) == sorted({(k, tuple(f)) for k, f in rows + other})
+
+
 @pytest.mark.parametrize("op", [toxicity, compression_quality])
 def test_classifiers_odd_cases(spark, edges, empty, op):
     label = "toxic" if op is toxicity else "quality"
