@@ -19,29 +19,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from clusterlens.llm import bpe, decontaminate, near_dedup, quality_rules, toxicity
-from clusterlens.llm.common import staged, table
+from clusterlens.llm.common import Scratch, staged, table
+
+# tables that a stage stages are deleted when the next stage begins: its input,
+# the output of the one before, has been written by then
+SCRATCH = Scratch()
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality_rules.filter_documents(docs)
+    with SCRATCH.step(spark):
+        return quality_rules.filter_documents(docs)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = toxicity.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
-                           toxicity.held_out())
-    return toxicity.filter_documents(docs, model)
+    with SCRATCH.step(spark):
+        model = toxicity.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                               toxicity.held_out())
+        return toxicity.filter_documents(docs, model)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dedup.keep_one(docs)
+    with SCRATCH.step(spark):
+        return near_dedup.keep_one(docs)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
+    with SCRATCH.step(spark):
+        return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.digest(docs)
+    with SCRATCH.step(spark):
+        return bpe.digest(docs)
 
 
 STAGES = [
