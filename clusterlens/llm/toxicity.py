@@ -96,36 +96,77 @@ def _sigmoid(z):
     return 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
 
 
+def document_counts(rows: DataFrame) -> dict[str, tuple[int, np.ndarray]]:
+    """By kind the number of rows and of rows with each feature: an array of
+    ``BUCKETS`` numbers a task, added up per kind, two of them to the driver."""
+    def count(batches):
+        total: dict[str, np.ndarray] = {}
+        for batch in batches:
+            for kind, features in zip(batch.column(0).to_pylist(), batch.column(1)):
+                mine = total.setdefault(kind, np.zeros(BUCKETS + 1, np.int64))
+                mine[np.unique(features.values.to_numpy())] += 1
+                mine[BUCKETS] += 1
+        for kind, mine in total.items():
+            yield pa.RecordBatch.from_pydict({"kind": [kind], "counts": [mine.tobytes()]})
+
+    def merge(batches):
+        total: dict[str, np.ndarray] = {}
+        for batch in batches:
+            for kind, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                counts = np.frombuffer(counts, np.int64)
+                total[kind] = total[kind] + counts if kind in total else counts
+        for kind, mine in total.items():
+            yield pa.RecordBatch.from_pydict({"kind": [kind], "counts": [mine.tobytes()]})
+    schema = "kind string, counts binary"
+    got = (rows.select("kind", "features").mapInArrow(count, schema).repartition("kind")
+           .mapInArrow(merge, schema).toArrow())
+    out = {}
+    for kind, counts in zip(got["kind"].to_pylist(), got["counts"].to_pylist()):
+        counts = np.frombuffer(counts, np.int64)
+        out[kind] = (int(counts[BUCKETS]), counts[:BUCKETS])
+    return out
+
+
+def _narrowed(rows: DataFrame, masks: dict[str, np.ndarray]) -> DataFrame:
+    """kind, features and those of them that the kind's mask has, in ``chosen``."""
+    packed = {kind: np.packbits(mask).tobytes() for kind, mask in masks.items()}    # 32 KB each
+
+    def make():
+        keep = {kind: np.unpackbits(np.frombuffer(bits, np.uint8)).astype(bool) for kind, bits in packed.items()}
+
+        def run(batch: pa.RecordBatch) -> dict:
+            chosen = []
+            for kind, features in zip(batch.column(0).to_pylist(), batch.column(1)):
+                f = features.values.to_numpy()
+                chosen.append(f[keep[kind][f]])
+            return {"kind": batch.column(0), "features": batch.column(1), "chosen": chosen}
+        return run
+    return map_batches(rows.select("kind", "features"), make,
+                       "kind string, features array<int>, chosen array<int>")
+
+
 def one_per_copy_group(rows: DataFrame) -> DataFrame:
     """Training rows (kind, features) without near copies of one another: of rows
     of a kind that share their three least rare features (in at most 1 % of the
     kind's rows), the least."""
-    rows = rows.distinct().withColumn("row", F.xxhash64("kind", "features"))
-    size = rows.groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
-    had = rows.select("kind", "row", F.explode(F.array_distinct("features")).alias("f"))
-    rare = (had.groupBy("kind", "f").agg(F.count(F.lit(1)).alias("c")).join(F.broadcast(size), "kind")
-            .where(F.col("c") <= F.greatest(F.lit(5), F.floor(F.col("n") / 100))).select("kind", "f"))
-    least = (had.join(rare, ["kind", "f"]).groupBy("kind", "row")
-             .agg(F.slice(F.array_sort(F.collect_list("f")), 1, 3).alias("least")))
+    rare = {kind: c <= max(5, n // 100) for kind, (n, c) in document_counts(rows).items()}
+    least = F.slice(F.array_sort(F.array_distinct("chosen")), 1, 3)
     # a row without rare features is like no other
-    return (rows.join(least, ["kind", "row"], "left")
-            .withColumn("group", F.coalesce(F.xxhash64("least"), F.col("row")))
-            .groupBy("kind", "group").agg(F.min(F.struct(F.size("features"), "features")).alias("first"))
+    group = F.when(F.size("chosen") > 0, F.xxhash64(least)).otherwise(F.xxhash64("features"))
+    return (_narrowed(rows, rare).withColumn("group", group).groupBy("kind", "group")
+            .agg(F.min(F.struct(F.size("features"), "features")).alias("first"))
             .select("kind", F.col("first.features").alias("features")))
 
 
-def select_features(rows: DataFrame, least: int = 3, share: float = 0.01, z: float = 5.0) -> list[int]:
-    """Which features separate the kinds P and U beyond chance: at least ``least``
-    positives and ``share`` of them have it, by a two-proportion z."""
-    size = {r["kind"]: float(r["n"]) for r in rows.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n, m = size["P"], size["U"]
-    had = (rows.select("kind", F.explode(F.array_distinct("features")).alias("f")).groupBy("f")
-           .agg(*[F.count(F.when(F.col("kind") == k, 1)).alias(k) for k in "PU"]))
-    pooled = (F.col("P") + F.col("U")) / (n + m)
-    error = F.sqrt(pooled * (1 - pooled) * (1 / n + 1 / m)) + F.lit(1e-12)
-    chosen = had.where((F.col("P") >= max(least, share * n))
-                       & ((F.col("P") / n - F.col("U") / m) / error > z))
-    return sorted(r["f"] for r in chosen.select("f").collect())
+def select_features(positives: tuple[int, np.ndarray], unlabelled: tuple[int, np.ndarray],
+                    least: int = 3, share: float = 0.01, z: float = 5.0) -> np.ndarray:
+    """Which features separate the two sets (``document_counts``) beyond chance:
+    at least ``least`` positives and ``share`` of them have it, by a
+    two-proportion z."""
+    (n, a), (m, b) = positives, unlabelled
+    pooled = (a + b) / (n + m)
+    error = np.sqrt(pooled * (1 - pooled) * (1 / n + 1 / m)) + 1e-12
+    return (a >= max(least, share * n)) & ((a / n - b / m) / error > z)
 
 
 def fit_nnpu(positives: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
@@ -226,14 +267,13 @@ def train(docs: DataFrame, labels: DataFrame, held_out, doc_id: str = "doc_id",
               .join(F.broadcast(picked), "__id").select("__kind", "__text"))
     rows = staged(_features(sample), "toxicity-features")
     training = staged(one_per_copy_group(rows.where("kind in ('P', 'U')")), "toxicity-training")
-    kinds = {r["kind"] for r in training.select("kind").distinct().collect()}
-    if kinds != {"P", "U"}:
+    counts = document_counts(training)
+    if counts.keys() != {"P", "U"}:
         return Model(np.zeros(BUCKETS), 0.0, 1.0, 0.0, empty=True)
-    use = select_features(training)
+    use = select_features(counts["P"], counts["U"])
     # the driver gets the rows' chosen features only: some hundred numbers of them
-    chosen = F.array(*map(F.lit, use)) if use else F.array().cast("array<int>")
-    kept = (training.unionByName(rows.where("kind in ('1', '0')"))
-            .select("kind", F.filter("features", lambda f: F.array_contains(chosen, f)).alias("features")).toArrow())
+    kept = _narrowed(training.unionByName(rows.where("kind in ('1', '0')")),
+                     dict.fromkeys("PU10", use)).select("kind", F.col("chosen").alias("features")).toArrow()
     by: dict[str, list] = {k: [] for k in "PU10"}
     for kind, features in zip(kept["kind"].to_pylist(), kept["features"].to_pylist()):
         by[kind].append(np.array(features, np.int64))

@@ -428,15 +428,14 @@ def test_non_negative_risk_finds_the_marking_feature(spark):
     unlabelled = [row(rng.random() < .1) for _ in range(400)]
     rows = spark.createDataFrame([("P", r.tolist()) for r in pos] + [("U", r.tolist()) for r in unlabelled],
                                  "kind string, features array<int>")
-    use = toxicity.select_features(rows)
+    counts = toxicity.document_counts(rows.repartition(4))
 
-    # the same choice in numpy
     def shares(rs):
         return np.bincount(np.concatenate([np.unique(r) for r in rs]), minlength=400)
-    a, b = shares(pos), shares(unlabelled)
-    pooled = (a + b) / 500
-    z = (a / 100 - b / 400) / (np.sqrt(pooled * (1 - pooled) * (1 / 100 + 1 / 400)) + 1e-12)
-    assert use == np.flatnonzero((a >= 3) & (z > 5)).tolist() and 7 in use and len(use) <= 2
+    for kind, rs in (("P", pos), ("U", unlabelled)):
+        assert counts[kind][0] == len(rs) and counts[kind][1][:400].tolist() == shares(rs).tolist()
+    use = np.flatnonzero(toxicity.select_features(counts["P"], counts["U"]))
+    assert 7 in use and len(use) <= 2
     w, b = toxicity.fit_nnpu(*[[r[np.isin(r, use)] for r in rs] for rs in (pos, unlabelled)], 0.1)
     assert b < 0 < b + w[7]
 
