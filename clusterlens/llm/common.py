@@ -17,6 +17,9 @@ from clusterlens.session import scratch_path
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+ROWS = 1_000                # rows of a batch that a function sees at a time
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -78,9 +81,11 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dic
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
         for batch in batches:
-            cols = fn(batch)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[f.name], type=f.type) for f in out], schema=out)
+            # what is made of a batch is held as Python objects: some rows at a time
+            for at in range(0, batch.num_rows, ROWS):
+                cols = fn(batch.slice(at, ROWS))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(cols[f.name], type=f.type) for f in out], schema=out)
 
     return df.mapInArrow(run, schema)
 
