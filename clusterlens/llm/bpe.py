@@ -36,10 +36,16 @@ from pyspark.sql import DataFrame, SparkSession
 from clusterlens.llm.common import map_batches, per_worker, table, texts
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
-CACHE_ENTRIES = 400_000     # a fuller cache is emptied before the next text
+# a cache that would hold more than either is emptied first; an entry of so many
+# characters is not kept
+CACHE_ENTRIES = 400_000
+CACHE_BYTES = 96 << 20
+LONG_PIECE = 128
+_ENTRY = 200                # bytes of an entry besides its characters and ids
 
 # a space beside other white space: the pieces between spaces are not independent
-_UNSAFE = re.compile(r"\s (?:\s|\Z)")
+# (the pattern begins with the space itself, which the search can skip to)
+_UNSAFE = re.compile(r" (?<=\s )(?=\s|\Z)")
 
 # characters that end a word without being letters, digits or white space
 _STOPS = ".,;:!?"
@@ -125,14 +131,24 @@ class Vocabulary:
 
 
 class Pieces(dict):
-    """Ids by piece, made when first asked for."""
+    """Ids by piece, made when first asked for; ``front`` stands before every key
+    of it. Whatever is asked for, the bounds above hold after every entry."""
 
-    def __init__(self, make):
+    def __init__(self, make, front: str = ""):
         super().__init__()
-        self.make = make
+        self.make, self.front, self.held = make, front, 0
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self[piece] = self.make(piece)
+        return self.keep(piece, self.make(self.front + piece))
+
+    def keep(self, piece: str, ids: bytes) -> bytes:
+        if len(piece) < LONG_PIECE:
+            size = _ENTRY + 4 * len(piece) + len(ids)
+            if len(self) >= CACHE_ENTRIES or self.held + size > CACHE_BYTES:
+                self.clear()
+                self.held = 0
+            self[piece] = ids
+            self.held += size
         return ids
 
 
@@ -148,6 +164,7 @@ class PieceEncoder:
         self.added_ids = added
         self.pattern = regex.compile(public_tokenizers.PATTERN)
         self.pieces = Pieces(self._piece)       # pretokens too: they are pieces
+        self.spaced = Pieces(self._piece, " ")  # those that begin with a space, without it
         self.added = (re.compile("(" + "|".join(
             map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None)
 
@@ -155,10 +172,9 @@ class PieceEncoder:
         raise NotImplementedError
 
     def _word(self, word: str) -> bytes:
-        ids = self.pieces.get(word)
-        if ids is None:
-            ids = self.pieces[word] = self.encode_word(word)
-        return ids
+        held, key = (self.spaced, word[1:]) if word[0] == " " else (self.pieces, word)
+        ids = held.get(key)
+        return held.keep(key, self.encode_word(word)) if ids is None else ids
 
     def _piece(self, piece: str) -> bytes:
         # most pieces are a word, or a word and stops: letters are one pretoken
@@ -187,11 +203,10 @@ class PieceEncoder:
             return b""
         if _UNSAFE.search(text):
             return self.long(text)
-        if len(self.pieces) > CACHE_ENTRIES:
-            self.pieces.clear()
         # "a b c" -> "a", " b", " c": no pretoken crosses the front of such a space
-        first, *rest = text.split(" ")
-        ids = b"".join(map(self.pieces.__getitem__, [" " + r for r in rest]))
+        parts = text.split(" ")
+        first = parts.pop(0)
+        ids = b"".join(map(self.spaced.__getitem__, parts))
         return self.pieces[first] + ids if first else ids
 
 
@@ -239,7 +254,7 @@ class Encoder(PieceEncoder):
         key = a * self.width + b
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) > CACHE_ENTRIES:
+            if len(self.pairs) >= CACHE_ENTRIES:
                 self.pairs.clear()
             known = self._apart(self.vocab.bytes_of[a], self.vocab.bytes_of[b], 1 << 60)
             self.pairs[key] = known

@@ -101,6 +101,23 @@ def test_full_caches_are_emptied(monkeypatch):
     assert len(enc.pieces) < 30
 
 
+@pytest.mark.parametrize("make", [lambda: bpe.Encoder(bpe.Vocabulary(bpe.TOKENIZER)),
+                                  lambda: token_files.LibraryEncoder(bpe.TOKENIZER)])
+def test_caches_are_bounded_on_indented_and_unspaced_texts(monkeypatch, make):
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 20_000)
+    enc, lib = make(), library()
+    rng = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    for i in range(300):
+        word = "".join(rng.choices(letters, k=9))
+        for text in (f"def {word}():\n    return {word}{i}\n", "".join(rng.choices(letters, k=700)),
+                     f"{word} {i} {word[::-1]}, {word[3:]}."):
+            assert enc.encode(text).tolist() == lib.encode(text, add_special_tokens=False).ids
+        for cache in (enc.pieces, enc.spaced):
+            assert cache.held == sum(bpe._ENTRY + 4 * len(k) + len(v) for k, v in cache.items()) <= 20_000
+            assert all(len(k) < bpe.LONG_PIECE for k in cache)
+
+
 def test_bpe_digest_and_round_trip(spark, edges, empty):
     lib = library()
     got = rows_of(bpe.digest(edges.withColumn("ids", F.lit(1))), "doc_id", "n_tokens", "ids_sha256",
