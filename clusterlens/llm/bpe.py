@@ -199,10 +199,9 @@ class PieceEncoder:
              for i, part in enumerate(self.added.split(text))]), "<u4")
 
     def _plain(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if _UNSAFE.search(text):
-            return self.long(text)
+        return self.long(text) if _UNSAFE.search(text) else self._safe(text)
+
+    def _safe(self, text: str) -> bytes:
         # "a b c" -> "a", " b", " c": no pretoken crosses the front of such a space
         parts = text.split(" ")
         first = parts.pop(0)

@@ -129,7 +129,7 @@ class LibraryEncoder(PieceEncoder):
     def encode(self, text: str) -> np.ndarray:
         if _UNSAFE.search(text) or any(a in text for a in self.added_ids):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-        return np.frombuffer(self._plain(text), "<u4")
+        return np.frombuffer(self._safe(text), "<u4")
 
 
 def library_encoder(path: str) -> LibraryEncoder:
