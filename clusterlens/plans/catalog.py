@@ -40,6 +40,7 @@ from clusterlens.session import scratch_path
 from clusterlens.sources import records as rec
 from clusterlens.sources.report_json import read_report_json, write_report_json
 from clusterlens.streaming.delta_log import DeltaLog, StreamMoments, WindowScores, summed
+from clusterlens.streaming.dictionary import StreamDictionary, widen
 from clusterlens.streaming.kmeans_stream import StreamingKMeans
 from clusterlens.streaming.score import anomalies, file_stream, predict, window_scores
 
@@ -426,6 +427,35 @@ def q_stream_moments(spark, sf_dir):
     return moments.moments().select("pos", "n", r6("mean").alias("mean"), r6("std").alias("std"))
 
 
+def q_stream_dictionary(spark, sf_dir):
+    """P2 + P4 on a stream: record lines arriving by order priority; each batch is
+    encoded by the dictionary known then, its vectors are widened at the end.
+    Returns the final entries with the number of vectors that have each."""
+    grown = StreamDictionary(spark, scratch_path(spark, "dictionary"), LAYOUT, every=3)
+    out = scratch_path(spark, "encoded")
+
+    def process(batch, i):
+        grown.process(batch, i)
+        grown.encode(batch, i + 1, keep=("rid",)).write.mode("overwrite").parquet(f"{out}/{i}")
+    part = (F.ascii(F.get(ps.split_fields("line"), 3)) * 3) % 4
+    _in_batches(spark, fx.record_lines(spark, sf_dir), part, _each(process))
+    sizes, first = grown.sizes(), F.lit(0)
+    ones = None
+    for i in grown.log.versions():                          # the four batches
+        vectors = spark.read.parquet(f"{out}/{i}").select(
+            widen("features", LAYOUT, grown.sizes(i + 1), sizes).alias("features"))
+        ones = vectors if ones is None else ones.union(vectors)
+    n = (ones.select(F.posexplode("features").alias("pos", "v")).groupBy("pos")
+         .agg(F.sum("v").cast("long").alias("n")))
+    at = 0
+    for i in range(LAYOUT.width - 1):                       # the label is last
+        if i in LAYOUT.categorical:
+            first = F.when(F.col("field") == i, at).otherwise(first)
+        at += sizes.get(i, 0) if i in LAYOUT.categorical else 1
+    entries = grown.dictionary().withColumn("pos", first + F.col("idx"))
+    return entries.join(n, "pos").select("field", "value", "idx", "n")
+
+
 def _run_stream_kmeans(spark, sf_dir):
     """Streaming k-means over the embeddings arriving in four batches."""
     skm = StreamingKMeans(spark, scratch_path(spark, "stream-state"),
@@ -629,6 +659,7 @@ QUERIES: dict[str, Query] = {
     "stream_window_score": q_stream_window_score,
     "stream_report": q_stream_report,
     "stream_moments": q_stream_moments,
+    "stream_dictionary": q_stream_dictionary,
     "stream_kmeans": q_stream_kmeans,
     "stream_distance": q_stream_distance,
     # report preparation

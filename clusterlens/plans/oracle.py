@@ -308,6 +308,13 @@ FROM judged GROUP BY start""",
     "stream_moments": f"""WITH {_EMB},
 u AS (SELECT CAST(x.pos - 1 AS INTEGER) AS pos, x.v FROM pts p, unnest(p.f) WITH ORDINALITY AS x(v, pos))
 SELECT pos, count(v) AS n, {R('avg(v)')} AS mean, {R('stddev_pop(v)')} AS std FROM u GROUP BY pos""",
+    "stream_dictionary": f"""WITH {_J},
+v AS (SELECT 1 AS field, l_returnflag AS value, (ascii(o_orderpriority) * 3) % 4 AS part FROM j
+      UNION ALL SELECT 2, l_linestatus, (ascii(o_orderpriority) * 3) % 4 FROM j
+      UNION ALL SELECT 3, o_orderpriority, (ascii(o_orderpriority) * 3) % 4 FROM j)
+SELECT field, value, count(*) AS n,
+       CAST(row_number() OVER (PARTITION BY field ORDER BY min(part), value) - 1 AS INTEGER) AS idx
+FROM v WHERE value IS NOT NULL GROUP BY field, value""",
     "report_validate": f"""WITH {_ASSIGNED},
 v AS (SELECT 'cluster ' || CAST(cluster AS VARCHAR) || ' label ' || CAST(label AS VARCHAR) AS label,
              count - (sum(count) OVER (PARTITION BY cluster)) / (count(*) OVER (PARTITION BY cluster)) AS value

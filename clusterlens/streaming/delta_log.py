@@ -51,11 +51,13 @@ class DeltaLog:
     def append(self, delta: DataFrame, batch_id: int) -> None:
         self._write("delta", batch_id, self.merge(delta))
         if (batch_id + 1) % self.every == 0:
-            self._write("base", batch_id, self.state(batch_id + 1))
+            # a replay writes its base anew, so it must not read it
+            self._write("base", batch_id, self.state(batch_id + 1, batch_id))
 
-    def state(self, before: int | None = None) -> DataFrame:
-        """All deltas (of batches below ``before``) merged."""
-        bases = self.versions("base", before)
+    def state(self, before: int | None = None, base_before: int | None = None) -> DataFrame:
+        """All deltas (of batches below ``before``) merged; bases below
+        ``base_before`` only, if it is given."""
+        bases = self.versions("base", before if base_before is None else base_before)
         after = [v for v in self.versions("delta", before) if not bases or v > bases[-1]]
         paths = [self._path("base", bases[-1])] if bases else []
         paths += [self._path("delta", v) for v in after]
