@@ -5,21 +5,25 @@ driver behind a size check and shipped to executors as broadcast blocks; the
 points are never moved or paired with centres, so the work is one narrow
 pass over the data whatever the data size.
 
-Two equivalent kernels:
+Equivalent kernels:
 
 * ``method="arrow"`` (default): a scalar Arrow UDF. Each Arrow batch of the
   feature column is reshaped zero-copy into an (m, d) matrix; candidate
   winners come from one matrix product, and rows whose two best candidates
   are within the rounding error of that product are re-decided by exact
   differences, so the winner is the one exact differencing picks.
+  A set of ``MANY_CENTERS`` or more goes through balls of centres
+  (``center_balls``), which leave out centres too far away to win;
+  ``method="balls"`` does so for a set of any size.
 * ``method="hof"``: the same rule written with built-in higher-order
   functions; slower, used as the executable reference in tests.
 
-Ties go to the lowest cluster id in both kernels.
+Ties go to the lowest cluster id in all kernels.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clusterlens.functions.center_balls import CenterBalls
 from clusterlens.functions.vectors import col_of, distance
 from clusterlens.schema import CENTERS_SCHEMA, WEIGHTED_CENTERS_SCHEMA
 
@@ -38,6 +43,9 @@ MAX_CENTER_VALUES = 64 * 1024 * 1024
 # Values per broadcast block; larger centre sets are split into blocks whose
 # per-block winners are combined with a min over blocks.
 BLOCK_VALUES = 4 * 1024 * 1024
+# From so many centres on, balls of centres take less time than one product with
+# all of them (README has the figures); the result is the same.
+MANY_CENTERS = 512
 # Working-set budgets for the numpy kernel (number of float64 entries).
 _GEMM_BUDGET = 4 * 1024 * 1024
 _EXACT_BUDGET = 8 * 1024 * 1024
@@ -167,22 +175,46 @@ def nearest_numpy(x: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return best, np.sqrt(np.einsum("ij,ij->i", diff, diff))
 
 
-def _arrow_nearest(feats, ids: np.ndarray, c: np.ndarray) -> pa.Array:
+def nearest_in_balls(x: np.ndarray, balls: CenterBalls) -> tuple[np.ndarray, np.ndarray]:
+    """``nearest_numpy`` over balls of centres: the same index and distance."""
+    best, unsure = balls.candidates(x)
+    if len(unsure):
+        best[unsure] = _exact_argmin(x[unsure], balls.c)
+        balls.compared += len(unsure) * len(balls.c)
+    diff = x - balls.c[best]
+    return best, np.sqrt(np.einsum("ij,ij->i", diff, diff))
+
+
+def kernel_of(c: np.ndarray, many: int | None = None):
+    """Rows to (index of the nearest row of ``c``, distance), by the faster of
+    the two; made once per task, as balls take a pass over the centres."""
+    if len(c) < (MANY_CENTERS if many is None else many):
+        return lambda x: nearest_numpy(x, c)
+    balls = CenterBalls(c)
+    return lambda x: nearest_in_balls(x, balls)
+
+
+def _matrix_of(feats, d: int) -> tuple[np.ndarray, np.ndarray]:
+    """The finite rows of width ``d`` as a matrix, and their positions."""
     if isinstance(feats, pa.ChunkedArray):
         feats = feats.combine_chunks()
-    n, d = len(feats), c.shape[1]
     lengths = pc.list_value_length(feats)
     ok = pc.fill_null(pc.equal(lengths, d), False).to_numpy(zero_copy_only=False)
     sub = feats if ok.all() else feats.filter(pa.array(ok))
     x = sub.flatten().to_numpy(zero_copy_only=False)
     x = np.asarray(x, dtype=np.float64).reshape(len(sub), d)
     finite = np.isfinite(x).all(axis=1)
+    return np.ascontiguousarray(x[finite]), np.nonzero(ok)[0][finite]
+
+
+def _arrow_nearest(feats, ids: np.ndarray, d: int, kernel) -> pa.Array:
+    x, rows = _matrix_of(feats, d)
+    n = len(feats)
     cluster = np.zeros(n, dtype=np.int32)
     dist = np.zeros(n, dtype=np.float64)
     valid = np.zeros(n, dtype=bool)
-    rows = np.nonzero(ok)[0][finite]
     if len(rows):
-        b, dd = nearest_numpy(np.ascontiguousarray(x[finite]), c)
+        b, dd = kernel(x)
         cluster[rows] = ids[b].astype(np.int32)
         dist[rows] = dd
         valid[rows] = True
@@ -192,13 +224,15 @@ def _arrow_nearest(feats, ids: np.ndarray, c: np.ndarray) -> pa.Array:
         fields=[pa.field("cluster", pa.int32()), pa.field("dist", pa.float64())])
 
 
-def _arrow_udf_for(block):
+def _arrow_udf_for(block, many: int | None):
     from pyspark.sql.functions import arrow_udf
 
     @arrow_udf(RESULT_TYPE)
-    def nearest_centre(feats: pa.Array) -> pa.Array:
+    def nearest_centre(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         ids, c = block.value
-        return _arrow_nearest(feats, ids, c)
+        kernel = kernel_of(c, many)
+        for feats in batches:
+            yield _arrow_nearest(feats, ids, c.shape[1], kernel)
 
     # Marked non-deterministic only so the optimizer evaluates it exactly
     # once per row: otherwise a filter on its output (e.g. cluster IS NOT
@@ -218,10 +252,12 @@ def _min_struct(a: Column, b: Column) -> Column:
                   b).otherwise(a)
 
 
-def nearest_arrow(features: str | Column, centers: CenterSet, spark) -> Column:
+def nearest_arrow(features: str | Column, centers: CenterSet, spark,
+                  many: int | None = None) -> Column:
+    """``many``: centres of a block from which on balls are used."""
     result = None
     for block in centers.broadcasts(spark.sparkContext):
-        expr = _arrow_udf_for(block)(col_of(features))
+        expr = _arrow_udf_for(block, many)(col_of(features))
         result = expr if result is None else _min_struct(result, expr)
     return result
 
@@ -258,6 +294,8 @@ def assign(df: DataFrame, centers, features: str = "features",
     cs = as_center_set(centers)
     if method == "arrow":
         expr = nearest_arrow(features, cs, df.sparkSession)
+    elif method == "balls":
+        expr = nearest_arrow(features, cs, df.sparkSession, many=1)
     elif method == "hof":
         expr = nearest_hof(features, cs)
     else:
@@ -267,3 +305,25 @@ def assign(df: DataFrame, centers, features: str = "features",
               .withColumn(cluster_col, F.col(f"{tmp}.cluster"))
               .withColumn(dist_col, F.col(f"{tmp}.dist"))
               .drop(tmp))
+
+
+def distance_counts(df: DataFrame, centers, features: str = "features") -> DataFrame:
+    """One row: rows assigned, distances that balls of centres take for them
+    (pivots and exact decisions included) and rows times centres."""
+    cs = as_center_set(centers)
+    blocks, d = cs.broadcasts(df.sparkSession.sparkContext), cs.dim
+
+    def count(batches):
+        balls = [CenterBalls(b.value[1]) for b in blocks]
+        n = 0
+        for batch in batches:
+            x, rows = _matrix_of(batch.column(0), d)
+            n += len(rows)
+            for b in balls:
+                nearest_in_balls(x, b)
+        yield pa.RecordBatch.from_pydict({"n": [n], "compared": [sum(b.compared for b in balls)]})
+
+    counts = df.select(col_of(features)).mapInArrow(count, "n long, compared long")
+    return counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+                      F.coalesce(F.sum("compared"), F.lit(0)).alias("n_compared"),
+                      (F.coalesce(F.sum("n"), F.lit(0)) * cs.k).alias("n_pairs"))

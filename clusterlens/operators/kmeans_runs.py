@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clusterlens.functions.nearest import MAX_CENTER_VALUES, nearest_numpy
+from clusterlens.functions.nearest import MAX_CENTER_VALUES, kernel_of, nearest_numpy
 from clusterlens.functions.vectors import col_of
 
 PRIME = 2 ** 31 - 1
@@ -177,7 +177,7 @@ def _least(points: DataFrame, shape: Shape, runs: Sequence[Run], sets: Sequence[
     width = shape.width
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = held.value
+        known = [kernel_of(c) for c in held.value]
         best: list[tuple | None] = [None] * len(runs)
         for batch in batches:
             if not batch.num_rows:
@@ -185,7 +185,7 @@ def _least(points: DataFrame, shape: Shape, runs: Sequence[Run], sets: Sequence[
             x = _matrix(batch.column(0), width)
             w, b1, b2 = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2, 3))
             for r, run in enumerate(runs):
-                weight = w if not known else w * nearest_numpy(x, known[r])[1] ** 2
+                weight = w if not known else w * known[r](x)[1] ** 2
                 key = race(b1, b2, run.seed, tag, weight)
                 at = np.flatnonzero(np.isfinite(key))
                 if len(at) > most[r]:
@@ -278,7 +278,7 @@ def scan(points: DataFrame, shape: Shape, sets: Sequence[np.ndarray]) -> list[Sc
     root = square // 2 + 1
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
+        total, kernels = None, [kernel_of(c) for c in held.value]
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -287,8 +287,8 @@ def scan(points: DataFrame, shape: Shape, sets: Sequence[np.ndarray]) -> list[Sc
             x = _matrix(batch.column(0), width)
             w = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
             cut = np.column_stack((np.ones(len(x), np.int64), *limbs(x, e))) * w[:, None]
-            for s, centers in enumerate(held.value):
-                near, dist = nearest_numpy(x, centers)
+            for s, kernel in enumerate(kernels):
+                near, dist = kernel(x)
                 order = np.argsort(near, kind="stable")
                 first = np.flatnonzero(np.diff(near[order], prepend=-1))
                 total[start[s] + near[order][first], :1 + 2 * width] += np.add.reduceat(
@@ -399,6 +399,7 @@ def makeups(points: DataFrame, sets: dict[int, np.ndarray], features: str = "fea
     kind = points.schema[label_col].dataType.simpleString()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kernels = [kernel_of(c) for c in handle.value]
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -411,8 +412,8 @@ def makeups(points: DataFrame, sets: dict[int, np.ndarray], features: str = "fea
             code = label.indices.fill_null(len(label.dictionary)).to_numpy(zero_copy_only=False).astype(np.int64)
             names = pa.concat_arrays([label.dictionary, pa.nulls(1, label.dictionary.type)])
             base = len(names)
-            for k, centers in zip(keys, handle.value):
-                pair, n = np.unique(nearest_numpy(x, centers)[0] * base + code, return_counts=True)
+            for k, kernel in zip(keys, kernels):
+                pair, n = np.unique(kernel(x)[0] * base + code, return_counts=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(pair), k, np.int32)), pa.array((pair // base).astype(np.int32)),
                      names.take(pa.array(pair % base)), pa.array(n.astype(np.int64))],

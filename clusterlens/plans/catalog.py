@@ -237,6 +237,14 @@ def q_assign_clusters(spark, sf_dir):
     return a.select("id", "label", "cluster", r6("dist").alias("dist"))
 
 
+def q_assign_many_centers(spark, sf_dir):
+    """X2 with several hundred centres: order lines to the mean line of every
+    quantity and discount, through balls of centres."""
+    cs = as_center_set(fx.grid_centers(spark, sf_dir))
+    a = assign(fx.order_points(spark, sf_dir), cs, method="balls")
+    return a.select("rid", "cluster", r6("dist").alias("dist"))
+
+
 def q_vector_distance(spark, sf_dir):
     e = fx.embedding_points(spark, sf_dir)
     nxt = e.select((F.col("id") - 1).alias("id"), F.col("id").alias("next_id"),
@@ -630,6 +638,7 @@ QUERIES: dict[str, Query] = {
     "label_makeup": q_label_makeup,
     "makeup_text": q_makeup_text,
     "assign_clusters": q_assign_clusters,
+    "assign_many_centers": q_assign_many_centers,
     "vector_distance": q_vector_distance,
     "distance_score": q_distance_score,
     "cluster_distance": q_cluster_distance,

@@ -91,6 +91,25 @@ def given_centers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_means(embedding_points(spark, sf_dir), "label", dim=EMBEDDING_DIM)
 
 
+def order_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``rid, grid, features``: order lines as [quantity, discount and tax in per
+    cent, price in thousands]; ``grid`` numbers their quantity and discount."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("rid"),
+        (F.round("l_quantity").cast("int") * 100
+         + F.round(F.col("l_discount") * 100).cast("int")).alias("grid"),
+        F.array(F.col("l_quantity").cast("double"), F.col("l_discount") * 100.0,
+                F.col("l_tax") * 100.0, F.col("l_extendedprice") / 1000.0).alias("features"))
+
+
+def grid_centers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``cluster, center``: the mean order line of every quantity and discount
+    (some hundred centres whatever the size of the table)."""
+    from clusterlens.operators.kmeans import group_means
+    return group_means(order_points(spark, sf_dir), "grid", dim=4)
+
+
 def embedding_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``id, line`` with ``label<TAB>f0,f1,...`` (tab-labelled stream record)
     and ``id, plain`` with ``f0,f1,...`` (unlabelled record)."""

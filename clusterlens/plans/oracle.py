@@ -226,6 +226,16 @@ SELECT cluster, label, count,
        printf('%1s%18s%8s', CAST(cluster AS VARCHAR), CAST(label AS VARCHAR),
               CAST(count AS VARCHAR)) AS line FROM mk""",
     "assign_clusters": f"WITH {_ASSIGNED} SELECT id, label, cluster, {R('dist')} AS dist FROM asg",
+    "assign_many_centers": f"""WITH o AS (
+  SELECT concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS rid,
+         CAST(round(l_quantity) AS INT) * 100 + CAST(round(l_discount * 100) AS INT) AS grid,
+         CAST(l_quantity AS DOUBLE) AS a, l_discount * 100.0 AS b, l_tax * 100.0 AS c,
+         l_extendedprice / 1000.0 AS d FROM lineitem),
+ctr AS (SELECT grid AS cluster, avg(a) AS a, avg(b) AS b, avg(c) AS c, avg(d) AS d FROM o GROUP BY grid),
+best AS (SELECT rid, min({{'s': (o.a - ctr.a) ** 2 + (o.b - ctr.b) ** 2 + (o.c - ctr.c) ** 2
+                                + (o.d - ctr.d) ** 2, 'cluster': cluster}}) AS m
+         FROM o CROSS JOIN ctr GROUP BY rid)
+SELECT rid, m.cluster AS cluster, {R('sqrt(m.s)')} AS dist FROM best""",
     "vector_distance": f"""
 SELECT a.vec_id AS id, b.vec_id AS next_id,
        {R('list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[]))')} AS dist

@@ -100,3 +100,42 @@ def test_one_broadcast_per_centre_set_and_release(spark):
     cs.release()
     assert [r.cluster for r in assign(df, cs).collect()] == [0, 1]
     cs.release()
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(1, 60), st.integers(1, 90), st.integers(1, 5), st.sampled_from([1e-3, 1.0, 1e6]),
+       st.integers(1, 12), st.booleans(), st.integers(0, 10_000))
+def test_balls_of_centres_equal_comparing_all(m, k, d, scale, balls, lattice, seed):
+    """Also on a lattice, where many centres are repeated and many distances tie."""
+    rng = np.random.RandomState(seed)
+    draw = (lambda n: rng.randint(0, 3, (n, d)) * scale) if lattice else (lambda n: rng.randn(n, d) * scale)
+    x, c = draw(m), draw(k)
+    b, dist = nr.nearest_in_balls(x, nr.CenterBalls(c, balls))
+    diff = x[:, None, :] - c[None, :, :]
+    want = np.einsum("ikd,ikd->ik", diff, diff).argmin(axis=1)
+    np.testing.assert_array_equal(b, want)
+    np.testing.assert_array_equal(dist, nearest_numpy(x, c)[1])
+
+
+@pytest.mark.parametrize("k, share", [(130, 1.2), (5_000, 0.3)])
+def test_distance_counts_fall_with_many_centres(spark, k, share):
+    pts = fx.order_points(spark, SF_SMALL)
+    rows = pts.orderBy("rid").limit(k).collect()
+    cs = CenterSet.from_arrays(range(len(rows)), [r.features for r in rows])
+    all_, balls = (assign(pts, c, method=m) for c, m in ((cs, "arrow"), (cs, "balls")))
+    assert sorted(map(tuple, all_.select("rid", "cluster", "dist").collect())) == sorted(
+        map(tuple, balls.select("rid", "cluster", "dist").collect()))
+    n = nr.distance_counts(pts, cs).first()
+    assert n.n_rows == pts.count() and n.n_pairs == n.n_rows * len(rows)
+    assert n.n_compared < share * n.n_pairs
+
+
+def test_balls_on_odd_rows_and_an_empty_table(spark):
+    df = spark.createDataFrame(
+        [(1, [0.0, 0.0]), (2, None), (3, [1.0]), (4, [float("nan"), 1.0]), (5, [1e308, -1e308]), (6, [9.0, None])],
+        "id int, features array<double>")
+    cs = CenterSet.from_arrays([7, 3, 5], [[10.0, 10.0], [0.0, 0.0], [0.0, 0.0]])
+    out = {r.id: (r.cluster, r.dist) for r in assign(df.where("id <> 5"), cs, method="balls").collect()}
+    assert out == {1: (3, 0.0), 2: (None, None), 3: (None, None), 4: (None, None), 6: (None, None)}
+    assert assign(df.limit(0), cs, method="balls").collect() == []
+    assert nr.distance_counts(df.limit(0), cs).first() == (0, 0, 0)
