@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 from collections.abc import Callable, Iterable, Iterator
@@ -86,10 +88,23 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dic
                 cols = fn(batch.slice(at, ROWS))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(cols[f.name], type=f.type) for f in out], schema=out)
+        fn = cols = batch = None
+        hand_back()
 
     return df.mapInArrow(run, schema)
 
 
+def hand_back() -> None:
+    """Return a task's freed memory to the machine. Workers wait for further tasks
+    and would else hold it beside those of the next step."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):       # not glibc
+        pass
+
+
 def texts(column: pa.Array) -> Iterator[str]:
     """The strings of an Arrow column one at a time; null reads as ''."""
     for value in column:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clusterlens.llm.common import Shared, map_batches, staged, table, texts
+from clusterlens.llm.common import Shared, hand_back, map_batches, staged, table, texts
 
 WINDOW = 10
 MAX_AUTOMATON_WORDS = 100_000
@@ -303,6 +303,8 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text",
                     cols[chars] = pa.array(n, type=arrow.field(chars).type)
                 batch = pa.RecordBatch.from_arrays(cols, schema=arrow).filter(pa.array(keep))
             yield batch
+        loaded.clear()
+        hand_back()
 
     return docs.mapInArrow(run, schema)
 

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clusterlens.llm.common import map_batches, per_worker, staged, table, texts
+from clusterlens.llm.common import map_batches, staged, table, texts
 from clusterlens.llm.decontaminate import words_of
 
 K = 5
@@ -219,8 +219,7 @@ def similar(a: list[bytes], b: list[bytes], similarity: float = SIMILARITY) -> b
 
 def _sketches(docs: DataFrame, functions: int, picks: int, k: int) -> DataFrame:
     def make():
-        sketch = per_worker(("sketcher", functions, picks, k),
-                            lambda: Sketcher(functions, picks, k))
+        sketch = Sketcher(functions, picks, k)      # a task's own: its hashed words go with it
 
         def run(batch: pa.RecordBatch) -> dict:
             content, n, values, counts = [], [], [], []

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clusterlens.llm.common import Shared, bucket_of, map_batches, staged, table, texts
+from clusterlens.llm.common import Shared, bucket_of, hand_back, map_batches, staged, table, texts
 
 BUCKETS = 1 << 18
 THRESHOLD = 0.7
@@ -303,6 +303,8 @@ def score(docs: DataFrame, model: Model, text: str = "text", column: str = "scor
         for batch in batches:
             s = pa.array([one(t) for t in texts(batch.column(at))], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, s], schema=arrow)
+        one = batch = s = None
+        hand_back()
 
     return docs.mapInArrow(run, schema)
 
