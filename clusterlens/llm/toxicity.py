@@ -3,6 +3,9 @@
 A linear model over hashed word features (each distinct word as a whole and
 its first four and five letters) is trained from confirmed toxic texts and
 unlabelled ones, on features more frequent in the former than chance allows.
+Unlabelled rows are drawn from all documents whether labelled or not, toxic ones
+too, without a look at labels, so that they are one population with the prior's
+share of toxic rows.
 The risk is the class-prior-corrected estimate
 
     prior * R+(positives) + max(0, R-(unlabelled) - prior * R-(positives))
@@ -159,14 +162,38 @@ def one_per_copy_group(rows: DataFrame) -> DataFrame:
 
 
 def select_features(positives: tuple[int, np.ndarray], unlabelled: tuple[int, np.ndarray],
+                    prior: float = 0.0,
                     least: int = 3, share: float = 0.01, z: float = 5.0) -> np.ndarray:
     """Which features separate the two sets (``document_counts``) beyond chance:
     at least ``least`` positives and ``share`` of them have it, by a
-    two-proportion z."""
+    two-proportion z. The toxic rows among the unlabelled ones, ``prior`` of
+    them, shrink the difference to clean rows by that share, and ``z`` with it."""
     (n, a), (m, b) = positives, unlabelled
     pooled = (a + b) / (n + m)
     error = np.sqrt(pooled * (1 - pooled) * (1 / n + 1 / m)) + 1e-12
-    return (a >= max(least, share * n)) & ((a / n - b / m) / error > z)
+    return (a >= max(least, share * n)) & ((a / n - b / m) / error > z * (1 - prior))
+
+
+def risk(z: np.ndarray, pos: np.ndarray, prior: float) -> tuple[float, float]:
+    """The two parts of the risk of margins ``z`` (``pos``: which are positives):
+    the positives' own and the corrected one, which may come out below zero."""
+    # softplus losses: l(-z) for "toxic", l(z) for "clean"
+    own = prior * np.logaddexp(0, -z[pos]).mean()
+    return own, np.logaddexp(0, z[~pos]).mean() - prior * np.logaddexp(0, z[pos]).mean()
+
+
+def slope(z: np.ndarray, pos: np.ndarray, prior: float) -> np.ndarray:
+    """Gradient of a step by margin: of the whole risk, or, where the corrected part
+    is below zero, of that part turned round, which walks it back up."""
+    p, n_pos = _sigmoid(z), int(pos.sum())
+    g = np.empty(len(z))
+    if risk(z, pos, prior)[1] >= 0:
+        g[pos] = prior * (p[pos] - 1) / n_pos - prior * p[pos] / n_pos
+        g[~pos] = p[~pos] / (len(z) - n_pos)
+    else:
+        g[pos] = prior * p[pos] / n_pos
+        g[~pos] = -p[~pos] / (len(z) - n_pos)
+    return g
 
 
 def fit_nnpu(positives: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
@@ -184,17 +211,7 @@ def fit_nnpu(positives: list[np.ndarray], unlabelled: list[np.ndarray], prior: f
     m1, m2 = np.zeros(len(used) + 1), np.zeros(len(used) + 1)
     for step in range(1, steps + 1):
         z = np.bincount(doc, w[col], n) + b
-        p = _sigmoid(z)
-        # softplus losses: l(z) for "toxic", l(-z) for "clean"
-        risk_neg = np.logaddexp(0, z)
-        corrected = risk_neg[~pos].mean() - prior * risk_neg[pos].mean()
-        g = np.zeros(n)
-        if corrected >= 0:
-            g[pos] = prior * (p[pos] - 1) / n_pos - prior * p[pos] / n_pos
-            g[~pos] = p[~pos] / (n - n_pos)
-        else:                      # walk the corrected part back up to zero
-            g[pos] = prior * p[pos] / n_pos
-            g[~pos] = -p[~pos] / (n - n_pos)
+        g = slope(z, pos, prior)
         grad = np.append(np.bincount(col, g[doc], len(used)), g.sum())
         m1 = 0.9 * m1 + 0.1 * grad
         m2 = 0.999 * m2 + 0.001 * grad * grad
@@ -253,10 +270,11 @@ def train(docs: DataFrame, labels: DataFrame, held_out, doc_id: str = "doc_id",
     def least(df: DataFrame, n: int, kind: str) -> DataFrame:
         return df.orderBy("__h", "__id").limit(n).select("__id", F.lit(kind).alias("__kind"))
 
-    # a quarter of the labelled rows calibrates, the others are positives or unlabelled
-    fit = rows.where(F.col("__y").isNull() | (F.col("__fold") != 0))
+    # a quarter calibrates; of the others all make the unlabelled population, and
+    # the confirmed toxic ones the positives as well
+    fit = rows.where("__fold <> 0")
     chosen = [least(fit.where("__y = 1"), limits.positives, "P"),
-              least(fit.where("__y is null or __y <> 1"), limits.unlabelled, "U"),
+              least(fit, limits.unlabelled, "U"),
               least(labelled.where("__fold = 0 and __y = 1"), limits.calibration, "1"),
               least(labelled.where("__fold = 0 and __y <> 1"), limits.calibration, "0")]
     picked = chosen[0]
@@ -270,7 +288,7 @@ def train(docs: DataFrame, labels: DataFrame, held_out, doc_id: str = "doc_id",
     counts = document_counts(training)
     if counts.keys() != {"P", "U"}:
         return Model(np.zeros(BUCKETS), 0.0, 1.0, 0.0, empty=True)
-    use = select_features(counts["P"], counts["U"])
+    use = select_features(counts["P"], counts["U"], prior)
     # the driver gets the rows' chosen features only: some hundred numbers of them
     kept = _narrowed(training.unionByName(rows.where("kind in ('1', '0')")),
                      dict.fromkeys("PU10", use)).select("kind", F.col("chosen").alias("features")).toArrow()
