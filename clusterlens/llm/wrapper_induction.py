@@ -9,8 +9,13 @@ wrapper; the texts of aligned slots are compared over all of the host's pages.
 A slot whose text is the same on all of at least ``MIN_PAGES`` different pages
 is template, a varying slot is content. The page's text is its content slots,
 without elements that are furniture by tag or role (menus, site headers,
-footers, asides, forms, scripts, styles), within the article or main element
-where there is one.
+footers, asides, forms, scripts, styles).
+
+Where pages of a layout have an article or main element, what varies decides
+whether it holds the story: it does unless a varying slot outside of it holds
+more text, over all pages of the layout, than all varying slots within. Then the
+content slots outside are the page's text and the element is a teaser. Without
+enough pages to tell, the element is the page's text.
 
 A class or id that is as a whole the name of furniture (sidebar, notice, advert,
 reader comments) only weighs: its text is aligned like any other, in slots of
@@ -335,10 +340,10 @@ class Wrapper:
         return out
 
 
-def template_slots(layouts: list[str], stats: dict[tuple[int, int], tuple[int, int, int]],
-                   min_pages: int = MIN_PAGES) -> set[tuple[int, int]]:
-    """Slots (layout, slot) that are template. ``stats``: least and greatest
-    text hash and number of different pages of a slot."""
+def slot_kinds(layouts: list[str], stats: dict[tuple[int, int], tuple[int, int, int]],
+               min_pages: int = MIN_PAGES) -> tuple[set[tuple[int, int]], set[tuple[int, int]]]:
+    """Slots (layout, slot) that are template, and those that vary. ``stats``:
+    least and greatest text hash and number of different pages of a slot."""
     wrapper = Wrapper()
     for k in sorted(range(len(layouts)), key=layouts.__getitem__):
         tree, depth = unflat(layouts[k])
@@ -346,32 +351,45 @@ def template_slots(layouts: list[str], stats: dict[tuple[int, int], tuple[int, i
         # limit, not a larger stack
         sys.setrecursionlimit(max(sys.getrecursionlimit(), 4 * depth + 2_000))
         wrapper.add(k, tree)
-    out = set()
+    template, varying = set(), set()
     for aligned in wrapper.slots():
         seen = [stats[x] for x in aligned if x in stats]
-        if (seen and len({h for lo, hi, _ in seen for h in (lo, hi)}) == 1
-                and sum(n for *_, n in seen) >= min_pages):
-            out.update(aligned)
-    return out
+        if seen and sum(n for *_, n in seen) >= min_pages:
+            same = len({h for lo, hi, _ in seen for h in (lo, hi)}) == 1
+            (template if same else varying).update(aligned)
+    return template, varying
+
+
+def is_teaser(slots: list[tuple[int, bool]]) -> bool:
+    """Whether a varying slot outside holds more text than all within an article
+    or main element together. ``slots``: length and whether within, of varying
+    slots not named as furniture."""
+    return max((n for n, main in slots if not main), default=0) > sum(n for n, main in slots if main)
 
 
 def _parsed(pages: DataFrame, key: str) -> DataFrame:
-    """host, layout, page digest, and per slot the hash of its text; the blocks."""
+    """host, layout, page digest, and per slot the hash of its text, the length of
+    what is not named as furniture and whether it is within an article; the blocks."""
     kind = pages.schema[key].dataType.simpleString()
 
     def make():
         def run(batch: pa.RecordBatch) -> dict:
             from xxhash import xxh3_64_intdigest
             signed = lambda t: xxh3_64_intdigest(t) - (1 << 63)
-            out = {k: [] for k in ("layout", "page", "hashes", "slots", "blocks", "mains", "named")}
+            out = {k: [] for k in ("layout", "page", "facts", "slots", "blocks", "mains", "named")}
             for html in texts(batch.column(2)):
                 layout, blocks = layout_of(html)
                 held: dict[int, list[str]] = {}
-                for slot, t, *_ in blocks:
+                main: dict[int, bool] = {}
+                plain: dict[int, int] = {}
+                for slot, t, m, f in blocks:
                     held.setdefault(slot, []).append(t)
+                    main[slot] = main.get(slot, False) or m
+                    plain[slot] = plain.get(slot, 0) + (0 if f else len(t))
                 out["layout"].append(layout)
                 out["page"].append(signed("\n".join(t for _, t, *_ in blocks)))
-                out["hashes"].append([signed("\n".join(held[s])) for s in sorted(held)])
+                out["facts"].append([{"hash": signed("\n".join(held[s])), "chars": plain[s], "main": main[s]}
+                                     for s in sorted(held)])
                 out["slots"].append([s for s, *_ in blocks])
                 out["blocks"].append([t for _, t, *_ in blocks])
                 out["mains"].append([m for _, _, m, _ in blocks])
@@ -380,7 +398,8 @@ def _parsed(pages: DataFrame, key: str) -> DataFrame:
         return run
 
     parsed = map_batches(pages.select(key, "url", "html"), make,
-                         f"key {kind}, url string, layout string, page long, hashes array<long>, "
+                         f"key {kind}, url string, layout string, page long, "
+                         "facts array<struct<hash:long,chars:long,main:boolean>>, "
                          "slots array<int>, blocks array<string>, mains array<boolean>, "
                          "named array<boolean>")
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")),
@@ -389,15 +408,20 @@ def _parsed(pages: DataFrame, key: str) -> DataFrame:
 
 
 def _templates(parsed: DataFrame, min_pages: int) -> DataFrame:
-    """host, layout_id and its template slots (only layouts that have some).
+    """host, layout_id, its template slots and whether its article is a teaser
+    (only layouts that have either).
 
     A layout's tree travels with its first slot only: the rows of a page grow with
     its slots, not with slots times depth."""
-    slots = (parsed.select("host", "layout_id", "layout", "page", F.posexplode("hashes").alias("slot", "hash"))
+    layout = ["host", "layout_id"]
+    # every page of a layout has all of its slots
+    pages = parsed.groupBy(*layout).agg(F.count_distinct("page").alias("n"))
+    slots = (parsed.select(*layout, "layout", F.posexplode("facts").alias("slot", "fact"))
              .withColumn("layout", F.when(F.col("slot") == 0, F.col("layout")))
-             .groupBy("host", "layout_id", "slot")
-             .agg(F.max("layout").alias("layout"), F.min("hash").alias("lo"), F.max("hash").alias("hi"),
-                  F.approx_count_distinct("page").alias("n")))
+             .groupBy(*layout, "slot")
+             .agg(F.max("layout").alias("layout"), F.min("fact.hash").alias("lo"), F.max("fact.hash").alias("hi"),
+                  F.sum("fact.chars").alias("chars"), F.max("fact.main").alias("main"))
+             .join(pages, layout))
 
     def merge(rows: pa.Table) -> pa.Table:
         rows = rows.to_pylist()
@@ -405,15 +429,25 @@ def _templates(parsed: DataFrame, min_pages: int) -> DataFrame:
         names = [name for _, name in trees]
         at = {n: k for k, n in enumerate(names)}
         stats = {(at[r["layout_id"]], r["slot"]): (r["lo"], r["hi"], r["n"]) for r in rows}
+        template, varying = slot_kinds([t for t, _ in trees], stats, min_pages)
         found: dict[int, list[int]] = {}
-        for k, s in sorted(template_slots([t for t, _ in trees], stats, min_pages)):
+        for k, s in sorted(template):
             found.setdefault(k, []).append(s)
-        return pa.table([pa.array([rows[0]["host"]] * len(found), pa.string()),
-                         pa.array([names[k] for k in found], pa.string()),
-                         pa.array(list(found.values()), pa.list_(pa.int32()))],
-                        names=["host", "layout_id", "template"])
-
-    return slots.groupBy("host").applyInArrow(merge, "host string, layout_id string, template array<int>")
+        told: dict[int, list[tuple[int, bool]]] = {}
+        for r in rows:
+            k = at[r["layout_id"]]
+            if (k, r["slot"]) in varying:
+                told.setdefault(k, []).append((r["chars"], r["main"]))
+        teasers = {k for k, slots in told.items() if is_teaser(slots)}
+        some = sorted(found.keys() | teasers)
+        return pa.table([pa.array([rows[0]["host"]] * len(some), pa.string()),
+                         pa.array([names[k] for k in some], pa.string()),
+                         pa.array([found.get(k, []) for k in some], pa.list_(pa.int32())),
+                         pa.array([k in teasers for k in some], pa.bool_())],
+                        names=["host", "layout_id", "template", "teaser"])
+
+    return slots.groupBy("host").applyInArrow(
+        merge, "host string, layout_id string, template array<int>, teaser boolean")
 
 
 def extract(pages: DataFrame, key: str = "page_id", min_pages: int = MIN_PAGES) -> DataFrame:
@@ -425,9 +459,10 @@ def extract(pages: DataFrame, key: str = "page_id", min_pages: int = MIN_PAGES)
     b = b.withColumn("all", block)
     kept = F.filter("all", lambda x: ~F.coalesce(
         F.array_contains("template", x["slots"]), F.lit(False)))
-    # a page with a main element is that element alone; names of furniture give
-    # way to other text
-    rules = (lambda x: x["mains"] & ~x["named"], lambda x: x["mains"], lambda x: ~x["named"],
+    # a page with a main element is that element alone unless it is a teaser; names
+    # of furniture give way to other text
+    rules = (lambda x: ~x["mains"] & ~x["named"] & F.coalesce("teaser", F.lit(False)),
+             lambda x: x["mains"] & ~x["named"], lambda x: x["mains"], lambda x: ~x["named"],
              lambda x: F.lit(True))
     chosen = F.coalesce(*[F.when(F.exists("all", r), F.filter(kept, r)) for r in rules],
                         F.array().cast(b.schema["all"].dataType))

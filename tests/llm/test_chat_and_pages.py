@@ -117,6 +117,32 @@ def test_names_do_not_lose_the_main_text(spark):
         "story\non on", "story"]
 
 
+def test_varying_slots_decide_before_tags(spark):
+    """A teaser article beside the story, a story in its article beside smaller
+    varying text, and too few pages to tell."""
+    story = "It was a dark and stormy night number {i} and nobody slept. " * 5
+    teaser = ("<body><div class='box'><p>Same on all.</div><article><p>Read more {i}</article>"
+              "<div class='text'><h1>Title {i}</h1><p>%s</div></body>" % story)
+    inside = "<body><div class='box'><p>Same on all.</div><article><p>%s</article><div><p>On day {i}</div></body>" % story
+    pages = [(h, i, html.format(i=i)) for h, html, n in (("t", teaser, 6), ("i", inside, 6), ("few", teaser, 2))
+             for i in range(n)]
+    df = spark.createDataFrame([(k, f"http://{h}.example/{i}", x) for k, (h, i, x) in enumerate(pages)],
+                               "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in wrapper_induction.extract(df).collect()}
+    for k, (h, i, _) in enumerate(pages):
+        text = story.format(i=i).strip()
+        assert got[k] == {"t": f"Title {i}\n{text}", "i": text, "few": f"Read more {i}"}[h]
+    # without the wrapper's say the story is lost: the method changes these pages
+    alone = {r.page_id: r.text for r in wrapper_induction.extract(df, min_pages=1_000).collect()}
+    assert sorted(k for k in got if got[k] != alone[k]) == [k for k, p in enumerate(pages) if p[0] == "t"]
+
+
+def test_two_pages_are_not_three(spark):
+    rows = [(i, f"http://h.example/{i % 2}", page(f"T{i % 2}", f"one {i % 2}")) for i in range(2_000)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert all("Every page says this." in r.text for r in wrapper_induction.extract(df).collect())
+
+
 def plain_matching(a, b):
     """Simple tree matching by its definition, without keeping pairs."""
     if a[0] != b[0]:
