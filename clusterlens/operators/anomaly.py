@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clusterlens import defaults as D
@@ -19,14 +19,21 @@ from clusterlens.operators.stats import Normalizer
 
 
 def distance_threshold(scored: DataFrame, n: int = D.ANOMALY_TOP_N,
-                       dist_col: str = "dist") -> DataFrame:
+                       dist_col: str = "dist", weight_col: str | None = None) -> DataFrame:
     """One row ``threshold`` = n-th largest distance.
 
     With fewer than n rows it is the smallest distance (as the reference's
-    ``top(n).last``); with no rows it is null.
+    ``top(n).last``); with no rows it is null. ``weight_col`` says how many
+    records a row stands for (one or more).
     """
     top = (scored.where(F.col(dist_col).isNotNull())
-                 .select(dist_col).orderBy(F.desc(dist_col)).limit(n))
+                 .select(dist_col, *([weight_col] if weight_col else []))
+                 .orderBy(F.desc(dist_col)).limit(n))
+    if weight_col:
+        # n rows at most: those before which fewer than n records come
+        before = F.sum(weight_col).over(Window.orderBy(F.desc(dist_col)).rowsBetween(
+            Window.unboundedPreceding, -1))
+        top = top.withColumn("_before", before).where(F.coalesce("_before", F.lit(0)) < n)
     return top.agg(F.min(dist_col).alias("threshold"))
 
 
@@ -82,15 +89,18 @@ def build_detector_selffit(points: DataFrame, k: int = D.DETECTOR_K, runs: int =
                            tol: float = D.BATCH_EPSILON, n: int = D.ANOMALY_TOP_N, seed: int = 1,
                            features: str = "features",
                            max_iter: int = 20, id_col: str | None = None) -> AnomalyDetector:
-    """Normalise, fit the best of ``runs`` k-means models, then N1."""
-    from clusterlens.operators.kmeans import fit_best
+    """Normalise, fit the best of ``runs`` k-means models, then N1.
+
+    Fit and threshold share the distinct vectors and their numbers of records,
+    so the records are read twice: for the moments and for these."""
+    from clusterlens.operators.kmeans import fit_weighted
+    from clusterlens.operators.kmeans_runs import distances, packed, weighted_points
 
     nz = Normalizer.fit(points, features)
-    norm = nz.apply(points, features).select(features, *((id_col,) if id_col else ())).persist()
+    vec = packed(weighted_points(nz.apply(points, features), features, id_col)).persist()
     try:
-        model = fit_best(norm, k=k, runs=runs, tol=tol, seed=seed,
-                         features=features, max_iter=max_iter, id_col=id_col)
-        t = distance_threshold(assign(norm, model.centers, features), n).first()["threshold"]
+        model = fit_weighted(vec, k=k, runs=runs, tol=tol, seed=seed, max_iter=max_iter)
+        t = distance_threshold(distances(vec, model.centers.matrix), n, weight_col="w").first()["threshold"]
     finally:
-        norm.unpersist()
+        vec.unpersist()
     return AnomalyDetector(nz, model.centers, t)
