@@ -20,9 +20,10 @@ texts that this leaves open; and it meets all other texts of the bucket that
 are not. Lengths and word counters rule most of these pairs out, exactly,
 before any text is read. Where more than ``PAIRWISE`` such texts share a bucket
 (a passage that many different texts have), they are dealt into blocks and
-every two blocks are compared by arrays (``_tiled``), so a text makes a row per
-block, not per pair. There is no cap: every pair that agrees on a sketch is
-linked, ruled out exactly or aligned. Links, components and sketches stay
+every two blocks are compared by arrays (``_tiled``); the pairs that stay open are
+aligned group by group, so a text makes a row per block or group, not per pair.
+There is no cap: every pair that agrees on a sketch is linked, in one class
+already, ruled out exactly or aligned. Links, components and sketches stay
 distributed; each round is written to the shared folder.
 
 Defined results: rows of one doc_id are one document and share a class; texts
@@ -50,7 +51,9 @@ COUNTERS = 128      # word counters of a text, to rule pairs out before reading
 PAIRWISE = 32       # more texts of a bucket that are not similar to its centre are tiled
 TILE = 1024         # texts of a block, about
 FINE = 16           # finer counters for each counter, for texts of large buckets
+PAIRS = 4096        # open pairs that are aligned in one group, about
 MAX_WORD_CACHE = 150_000
+MAX_WORDS_HELD = 500_000    # words of texts that an aligning task keeps split
 
 _MASK = (1 << 64) - 1
 
@@ -335,9 +338,12 @@ def _named(classes: DataFrame) -> DataFrame:
 
 
 def _tiled(rest: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of a bucket's texts (key, node, n_words, component, size)
-    that lengths, components and fine word counters leave open. Every pair of
-    blocks is one group, so every pair of texts meets in one."""
+    """Links (a, b, linked) among a bucket's texts (key, node, n_words, component,
+    size, d, met) that lengths, components, the centre and fine word counters
+    leave open. Every pair of blocks is one group, so every pair of texts meets in
+    one; a pair that shares several buckets is compared in the first of them. The
+    open pairs of a group are dealt into smaller groups, and a text goes once into
+    each of those, not once per pair."""
     def make():
         import zstandard
         unpack, sketch = zstandard.ZstdDecompressor().decompress, Sketcher()
@@ -349,40 +355,101 @@ def _tiled(rest: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
                     "over": [o for _, o in found]}
         return fine
 
-    fine = map_batches(words.select("node", "text").join(rest.select("node").distinct(), "node", "left_semi"),
-                       make, "node long, counts binary, over long").distinct()
-    rest = rest.join(staged(fine, "near-dedup-counters"), "node")
+    keys = rest.groupBy("node").agg(F.sort_array(F.collect_set("key")).alias("keys"))
+    words = staged(words.select("node", "text").join(keys.select("node"), "node", "left_semi")
+                   .dropDuplicates(["node"]), "near-dedup-open-texts")
+    fine = map_batches(words, make, "node long, counts binary, over long")
+    rest = rest.join(staged(fine.join(keys, "node"), "near-dedup-counters"), "node")
     blocks = F.ceil(F.col("size") / TILE).cast("int")
     tiles = (rest.withColumn("blocks", blocks)
              .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
              .withColumn("t", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("key", F.least("block", "t").alias("i"), F.greatest("block", "t").alias("j"),
-                     "block", "node", "n_words", "component", "counts", "over"))
+                     "block", "node", "n_words", "component", "d", "met", "counts", "over", "keys"))
+    dealt, tasks = PAIRS, int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def run(rows: pa.Table) -> pa.Table:
+    def open_pairs(rows: pa.Table) -> pa.Table:
         n = rows["n_words"].to_numpy()
         order = np.argsort(n, kind="stable")
-        n, node, block, component, over = (rows[c].to_numpy()[order] for c in (
-            "n_words", "node", "block", "component", "over"))
+        n, node, block, component, over, d, met = (rows[c].to_numpy()[order] for c in (
+            "n_words", "node", "block", "component", "over", "d", "met"))
         fine = np.frombuffer(b"".join(rows["counts"].to_pylist()), np.uint8).reshape(len(n), -1)[order]
         coarse = fine.reshape(len(n), FINE, COUNTERS).sum(axis=1, dtype=np.int32)
-        within = rows["i"][0].as_py() == rows["j"][0].as_py()
+        key, i, j = (rows[c][0].as_py() for c in ("key", "i", "j"))
+        held = rows["keys"].combine_chunks().take(pa.array(order))
+        before = [{k for k in own if k < key} for own in held.to_pylist()]
         longest = np.searchsorted(n, (n + 1e-6) / similarity, "right")
         a, b = [], []
         for p in range(len(n)):
             q = np.arange(p + 1, longest[p])
-            q = q[(component[q] != component[p]) & (within | (block[q] != block[p]))]
+            q = q[(component[q] != component[p]) & ((i == j) | (block[q] != block[p])) & ~(met[q] & met[p])]
+            # edits are a metric: what is far from the centre is far from its links
+            far = np.where(met[q], d[p] - d[q], np.where(met[p], d[q] - d[p], 0))
+            q = q[far <= n[q] * (1 - similarity) + 1e-6]
             # texts share at most the sum of the lesser counts
             for counts in (coarse, fine):
                 shared = np.minimum(counts[q], counts[p]).sum(axis=1, dtype=np.int64)
                 q = q[shared + np.minimum(over[q], over[p]) >= n[q] * similarity - 1e-6]
-            if len(q):
-                a.append(np.minimum(node[q], node[p]))
-                b.append(np.maximum(node[q], node[p]))
-        none = [np.empty(0, np.int64)]
-        return pa.table({"a": np.concatenate(a or none), "b": np.concatenate(b or none)})
+            q = [x for x in q.tolist() if before[p].isdisjoint(before[x])]
+            a += [p] * len(q)
+            b += q
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        # open pairs in square groups of texts, each text with its partners there
+        parts = max(1, int(np.ceil(np.sqrt(len(a) / dealt))))
+        part = np.arange(len(n)) % parts
+        out = {"key": [], "group": [], "node": [], "others": []}
+        group = part[a] * parts + part[b]
+        for g in np.unique(group).tolist():
+            pa_, pb = a[group == g], b[group == g]
+            for x in np.unique(np.concatenate((pa_, pb))).tolist():
+                out["node"].append(int(node[x]))
+                out["others"].append(node[pb[pa_ == x]])
+                out["group"].append(g)
+        out["key"] = [f"{key} {i} {j}"] * len(out["node"])
+        return pa.table({c: pa.array(v, t) for (c, v), t in zip(out.items(), (
+            pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64())))})
+
+    def align(rows: pa.Table) -> pa.Table:
+        import zstandard
+        unpack = zstandard.ZstdDecompressor().decompress
+        packed = dict(zip(rows["node"].to_pylist(), rows["text"].to_pylist()))
+        known: dict[int, list[bytes]] = {}
+        words_held = 0
+
+        def words_in(x: int) -> list[bytes]:
+            nonlocal words_held
+            if x not in known:
+                if words_held > MAX_WORDS_HELD:
+                    known.clear()
+                    words_held = 0
+                known[x] = tokens(unpack(packed[x]).decode("utf-8", "surrogatepass"))
+                words_held += len(known[x])
+            return known[x]
+
+        root = {x: x for x in packed}
+
+        def root_of(x: int) -> int:
+            while root[x] != x:
+                root[x] = x = root[root[x]]
+            return x
 
-    return tiles.groupBy("key", "i", "j").applyInArrow(run, "a long, b long")
+        a, b = [], []
+        for x, others in zip(rows["node"].to_pylist(), rows["others"].to_pylist()):
+            wx = words_in(x) if others else None
+            for y in others:
+                # links join whole classes: a pair in one already adds nothing
+                if root_of(x) != root_of(y) and similar(wx, words_in(y), similarity):
+                    root[root_of(x)] = root_of(y)
+                    a.append(min(x, y))
+                    b.append(max(x, y))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()),
+                         "linked": pa.array([True] * len(a), pa.bool_())})
+
+    # few bytes and much work: a given number of tasks is not merged into fewer
+    found = staged(tiles.repartition(tasks, "key", "i", "j").groupBy("key", "i", "j").applyInArrow(
+        open_pairs, "key string, group long, node long, others array<long>"), "near-dedup-pairs")
+    return staged(found.join(words, "node").repartition(tasks, "key", "group").groupBy("key", "group")
+                  .applyInArrow(align, "a long, b long, linked boolean"), "near-dedup-tiled")
 
 
 def links(nodes: DataFrame, words: DataFrame, buckets: DataFrame,
@@ -438,27 +505,45 @@ def links(nodes: DataFrame, words: DataFrame, buckets: DataFrame,
         F.coalesce("other", "b") != F.col("component"))
     link(_judged(two.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"))
                  .distinct(), words, similarity))
-    left = _placed(open_, classes).join(
-        yes.join(_named(classes), "b", "left").withColumn("other", F.coalesce("other", "b")), "key")
-    left = (left.where((F.col("component") != F.col("other")) & near
-                       & (F.col("d") <= F.col("e") + F.greatest("m_words", "n_words") * allowed + 1e-6))
-            .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")))
-    no = _placed(star.where("not linked"), classes)
-    apart = (no.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("lo"),
-                                   F.max("component").alias("hi"))
-             .where("size > 1 and lo < hi").select("key", "size"))
-    rest = staged(no.join(apart, "key").select("key", "node", "n_words", "component", "size"),
+    # left are the texts that are not linked to the centre, among each other, and the
+    # open ones with the linked ones, which are of the centre's component
+    placed = staged(_placed(star.join(open_.select("key", "node", F.lit(True).alias("open")),
+                                      ["key", "node"], "left"), classes), "near-dedup-placed")
+    part = {"no": ~F.col("linked"), "yes": F.col("linked"), "open": F.col("open")}
+    facts = placed.groupBy("key").agg(
+        *(f(F.when(part[c], F.col("component"))).alias(f"{c}_{n}")
+          for c in part for f, n in ((F.min, "lo"), (F.max, "hi"))),
+        F.min(F.when(part["open"], F.col("d"))).alias("d_least"),
+        F.max(F.when(part["open"], F.col("n_words"))).alias("n_most"))
+    facts = facts.select(
+        "key", "d_least", "n_most", "yes_lo", (F.col("no_lo") < F.col("no_hi")).alias("among"),
+        F.coalesce((F.col("open_lo") != F.col("yes_lo")) | (F.col("open_hi") != F.col("yes_lo")),
+                   F.lit(False)).alias("across")).where("among or across")
+    rest = placed.join(facts, "key").where(F.when(
+        F.col("linked"), F.col("across") & (
+            F.col("d") + F.greatest("n_words", "n_most") * allowed + 1e-6 >= F.col("d_least")))
+        .otherwise(F.col("among") | (F.coalesce("open", F.lit(False)) & (F.col("component") != F.col("yes_lo")))))
+    rest = staged(rest.select("key", "node", "n_words", "component", "d", F.col("linked").alias("met")),
                   "near-dedup-rest")
+    sizes = rest.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    rest = staged(rest.join(sizes, "key"), "near-dedup-sized")
     few = rest.where(F.col("size") <= PAIRWISE).join(nodes.select("node", "counts"), "node")
     other = few.select("key", F.col("node").alias("b"), F.col("n_words").alias("m_words"),
-                       F.col("component").alias("other"), F.col("counts").alias("m_counts"))
+                       F.col("component").alias("other"), F.col("counts").alias("m_counts"),
+                       F.col("d").alias("e"), F.col("met").alias("m_met"))
     shared = F.aggregate(F.zip_with("counts", "m_counts", lambda x, y: F.least(x, y)), F.lit(0), lambda a, x: a + x)
+    longer = F.greatest("n_words", "m_words")
+    far = F.when(F.col("m_met"), F.col("d") - F.col("e")).when(F.col("met"), F.col("e") - F.col("d")).otherwise(0)
     among = (few.join(other, "key")
              .where((F.col("node") < F.col("b")) & (F.col("component") != F.col("other")) & near
-                    & (shared >= F.greatest("n_words", "m_words") * similarity - 1e-6))
+                    & ~(F.col("met") & F.col("m_met")) & (far <= longer * allowed + 1e-6)
+                    & (shared >= longer * similarity - 1e-6))
              .select(F.col("node").alias("a"), "b"))
     tiled = _tiled(rest.where(F.col("size") > PAIRWISE), words, similarity)
-    link(_judged(left.unionByName(among).unionByName(tiled).distinct(), words, similarity))
+    link(_judged(among.distinct(), words, similarity).select("a", "b", "linked").unionByName(tiled))
+    return classes
+
+
     return classes
 
 

@@ -304,6 +304,39 @@ def test_pairs_of_a_large_bucket_are_all_compared(spark, documents, monkeypatch,
     assert linked == set(met) and all(got[i] == i for i in range(0, len(texts), 2))
 
 
+def test_open_pairs_of_a_large_bucket_make_no_row_each(spark, documents, monkeypatch):
+    # one passage, then the same words in another order: counters leave every pair
+    # open, and alignment parts all but the near copies
+    rng = random.Random(12)
+    passage, pool = [f"p{i}" for i in range(100)], [f"q{i}" for i in range(45)]
+    texts = [passage + rng.sample(pool, 40) for _ in range(80)]
+    for t in texts[::4]:
+        texts.append([*t[:102], "changed", *t[103:]])
+    aligned, judge = [], near_dedup._judged
+
+    def counted(pairs, *rest, **options):
+        aligned.append(pairs.count())
+        return judge(pairs, *rest, **options)
+    monkeypatch.setattr(near_dedup, "_judged", counted)
+    monkeypatch.setattr(near_dedup, "PAIRS", 300, raising=False)
+    monkeypatch.setattr(near_dedup, "PAIRWISE", 1)          # every bucket counts as large
+    got = dict(rows_of(near_dedup.classes(documents([(i, " ".join(t)) for i, t in enumerate(texts)])),
+                       "doc_id", "class_id"))
+    parent = list(range(len(texts)))
+
+    def root(x):
+        return x if parent[x] == x else root(parent[x])
+    linked = 0
+    for i, a in enumerate(texts):
+        for j in range(i):
+            if near_dedup.similar(a, texts[j]):
+                linked += 1
+                x, y = sorted((root(i), root(j)))
+                parent[y] = x
+    assert 20 <= linked < 1000 and got == {i: root(i) for i in range(len(texts))}
+    assert aligned[-1] < len(texts)
+
+
 def test_texts_of_one_doc_id_keep_their_own_links(spark, documents):
     # doc 1 has two texts of equally many words; 2 is near the one, 3 near the other
     rng = random.Random(9)
