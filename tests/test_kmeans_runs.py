@@ -172,3 +172,29 @@ def test_one_column_points(spark):
     x = [[0.0], [0.1], [10.0], [10.2], [20.0]]
     r = km.fit_best(frame(spark, x), 3, runs=5)
     assert sorted(round(v, 6) for v in r.centers.matrix[:, 0]) == [0.05, 10.1, 20.0]
+
+
+@pytest.mark.parametrize("top", [2 ** 20, 2 ** 60])
+@pytest.mark.parametrize("groups", [1, 5, 40])
+def test_group_sums_are_exact_whatever_the_path(top, groups):
+    rng = np.random.default_rng(groups)
+    values = rng.integers(-top // 4096, top // 4096, (3000, 4)) | 1
+    group = rng.integers(0, groups, 3000)
+    group[group == 3] = 0                                   # one without rows
+    want = [[sum(int(v) for v in values[group == g, c]) for c in range(4)] for g in range(groups)]
+    assert kr.group_sums(values)(group, groups).tolist() == want
+    assert kr.group_sums(values[:0])(group[:0], groups).tolist() == [[0] * 4] * groups
+
+
+@pytest.mark.parametrize("k", [1, 2, 17, 101, 400])
+def test_nearest_of_a_middling_number_of_centres_is_exact(k):
+    from clusterlens.functions.nearest import _exact_argmin, nearest_numpy
+    rng = np.random.default_rng(k)
+    x = rng.integers(0, 4, (2000, 3)).astype(np.float64)        # many ties
+    c = np.vstack((rng.integers(0, 4, (k - k // 2, 3)), x[:k // 2])).astype(np.float64)
+    for scale in (1.0, 1e-100, 1e150):
+        near, dist = nearest_numpy(x * scale, c * scale)
+        want = _exact_argmin(x, c)
+        if scale == 1.0:
+            assert (near == want).all()
+        np.testing.assert_allclose(dist, np.sqrt(((x - c[want]) ** 2).sum(axis=1)) * scale, rtol=1e-12)
