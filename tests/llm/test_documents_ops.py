@@ -515,6 +515,8 @@ def test_scores_equal_plain_sums_of_word_weights(spark, documents):
     rng = np.random.default_rng(3)
     weights = np.where(rng.random(toxicity.BUCKETS) < 0.3, rng.normal(size=toxicity.BUCKETS), 0)
     model = toxicity.Model(weights, -0.5, 0.05, 0.2)
+    words = [f"w{i}" for i in range(200)]
+    documents = documents([(i, " ".join(rng.choice(words, 5 * i))) for i in range(40)] + [(40, None)])
     rows = documents.select("doc_id", "text").orderBy("doc_id").limit(60).collect()
     want = {}
     for r in rows:
