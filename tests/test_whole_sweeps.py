@@ -11,6 +11,7 @@ from clusterlens.operators import kmeans as km
 WHOLE = {
     "k_sweep_entropy": range(30, 161, 10),
     "k_sweep_mixed": range(30, 161, 10),
+    "k_sweep_raw": range(30, 101, 10),
 }
 RUNS = 10
 
