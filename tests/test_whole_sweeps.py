@@ -12,6 +12,7 @@ WHOLE = {
     "k_sweep_entropy": range(30, 161, 10),
     "k_sweep_mixed": range(30, 161, 10),
     "k_sweep_raw": range(30, 101, 10),
+    "k_sweep_zscore": range(60, 121, 20),
 }
 RUNS = 10
 
