@@ -156,6 +156,15 @@ def test_race_draws_by_weight():
         assert abs(won[i] / 4000 - weight[i] / 8) < 0.03
 
 
+def test_blocks_of_wide_points_stay_small(spark):
+    wide = spark.range(600).selectExpr("id", "transform(sequence(0, 1999), i -> if(i = id, 1.0D, 0.0D)) AS features")
+    blocks = kr.packed(kr.weighted_points(wide.coalesce(1), id_col="id")).persist()
+    assert blocks.selectExpr("max(length(f))").first()[0] <= 8 * kr.BLOCK_VALUES
+    assert blocks.selectExpr("sum(points)", "sum(rows)").first()[:] == (600, 600)
+    assert kr.fit_runs(blocks, [kr.Run(2, 1)], 1e-6, 5, 1)[0].n == 600
+    blocks.unpersist()
+
+
 def test_odd_inputs(spark):
     two = frame(spark, [[1.0, 2.0]] * 5 + [[3.0, 4.0]] + [None, [float("nan"), 1.0]])
     r = km.fit(two, k=4)
